@@ -63,20 +63,24 @@ def load_time(ts: dt.datetime | str | None = None) -> Column:
 
 def add_metadata(df: DataFrame, source: str | None = None, ts=None, *,
                  root: str | None = None, on_collision: str = "error",
-                 time_name: str = TARGET_TIME) -> DataFrame:
+                 time_name: str = TARGET_TIME, source_column: str | None = None) -> DataFrame:
     """T1 + T2: add ``ingestion_timestamp`` and ``source_file``.
 
-    ``source`` is the key of the one file loaded. Without it, every row
-    names its own file from the scan's ``_metadata.file_path`` (call this
+    ``source`` is the key of the one file loaded. Otherwise every row names
+    its own file: from ``source_column`` when the frame carries one (it is
+    consumed), else from the scan's ``_metadata.file_path`` (call this
     straight on the file read), less ``root`` when given.
     """
-    if source is None:
-        path = F.col("_metadata.file_path")
-        source_col = relative_key(path, root) if root else path
-    else:
+    data = [c for c in df.columns if c != source_column]
+    if source is not None:
         source_col = F.lit(source)
+    else:
+        path = F.col(source_column) if source_column else F.col("_metadata.file_path")
+        source_col = relative_key(path, root) if root else path
+    df = df.select(*[quoted(c) for c in data], source_col.alias("__source"))
     df = resolve_collisions(df, (LOAD_TIME, SOURCE_FILE, time_name), on_collision)
-    return df.select("*", load_time(ts).alias(LOAD_TIME), source_col.alias(SOURCE_FILE))
+    return df.select(*[quoted(c) for c in df.columns if c != "__source"],
+                     load_time(ts).alias(LOAD_TIME), F.col("__source").alias(SOURCE_FILE))
 
 
 def ensure_id(df: DataFrame, profile: str = "content", key: str = KEY) -> DataFrame:

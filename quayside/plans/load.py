@@ -24,7 +24,8 @@ from quayside.operators.columns import (KEY, TARGET_TIME, add_metadata, apply_ma
                                         ensure_id, find_column)
 from quayside.operators.quality import dedup_counted
 from quayside.plans import target as tgt
-from quayside.sources.csv import DEFAULT_ESCAPE, is_empty, read_csv
+from quayside.sources.csv import (DEFAULT_ESCAPE, FILE_COLUMN, is_empty, read_csv,
+                                  read_csv_files)
 
 
 @dataclass(frozen=True)
@@ -61,14 +62,14 @@ class LoadResult:
 
 
 def prepare(df: DataFrame, config: LoadConfig, source: str | None = None,
-            root: str | None = None):
+            root: str | None = None, source_column: str | None = None):
     """The lazy load plan over a scanned frame.
 
     Returns ``(mapped_frame, observation)``; nothing runs until the frame
     is written.
     """
-    df = add_metadata(df, source, config.ts, root=root,
-                      on_collision=config.on_collision, time_name=config.time_name)
+    df = add_metadata(df, source, config.ts, root=root, on_collision=config.on_collision,
+                      time_name=config.time_name, source_column=source_column)
     df = ensure_id(df, config.profile, config.key)
     required = [c for c in (find_column(df, r) for r in config.required) if c]
     valid = None
@@ -83,7 +84,8 @@ def prepare(df: DataFrame, config: LoadConfig, source: str | None = None,
 
 
 def load_frame(spark: SparkSession, df: DataFrame, config: LoadConfig, source_label: str,
-               source: str | None = None, root: str | None = None) -> LoadResult:
+               source: str | None = None, root: str | None = None,
+               source_column: str | None = None) -> LoadResult:
     """Run the load of an already scanned frame into ``config.target``."""
     tgt.ensure_target(spark, config.target, config.key)
     batch_id = config.batch_id or tgt.next_batch_id(spark, config.target)
@@ -93,7 +95,7 @@ def load_frame(spark: SparkSession, df: DataFrame, config: LoadConfig, source_la
         _store(spark, result)
         return result
     try:
-        mapped, obs = prepare(df, config, source, root)
+        mapped, obs = prepare(df, config, source, root, source_column)
         tgt.upsert(mapped, config.target, batch_id, config.key, config.write_partitions)
         counts = LoadCounts.from_metrics(obs.get).check()
     except Exception as exc:
@@ -116,10 +118,14 @@ def run_load(spark: SparkSession, path: str | Sequence[str], config: LoadConfig,
     paths = [path] if isinstance(path, str) else list(path)
     for p in ([key] if key else paths):
         check_format(p)
-    df = read_csv(spark, paths, escape=config.escape, multi_line=config.multi_line,
-                  **config.csv_options)
+    options = dict(escape=config.escape, multi_line=config.multi_line, **config.csv_options)
     label = key or ",".join(paths)
-    return load_frame(spark, df, config, label, source=key, root=root)
+    if len(paths) == 1:
+        df = read_csv(spark, paths, **options)
+        return load_frame(spark, df, config, label, source=key, root=root)
+    df = read_csv_files(spark, paths, **options)
+    return load_frame(spark, df, config, label, source=key, root=root,
+                      source_column=FILE_COLUMN)
 
 
 def _store(spark: SparkSession, r: LoadResult) -> None:

@@ -52,6 +52,39 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], **options) -> Data
     return csv_reader(spark, **options).load(list(paths))
 
 
+FILE_COLUMN = "_file"
+
+
+def header_groups(spark: SparkSession, paths: Sequence[str], **options
+                  ) -> list[tuple[object, list[str]]]:
+    """Group files by their header: ``[(schema, paths), ...]``.
+
+    A multi-file CSV scan takes the first file's header for all files, by
+    position, so files with different headers must be read apart. Each
+    file's header is peeked (the scan reads its first record only); only the
+    header names reach the driver.
+    """
+    groups: dict[tuple, tuple[object, list[str]]] = {}
+    for p in paths:
+        schema = csv_reader(spark, **options).load(p).schema
+        groups.setdefault(tuple(schema.fieldNames()), (schema, []))[1].append(p)
+    return list(groups.values())
+
+
+def read_csv_files(spark: SparkSession, paths: Sequence[str], **options) -> DataFrame:
+    """S1 over files that may differ in header: one scan per header group,
+    stacked by name (absent columns null), each row tagged with its file in
+    ``_file``. One Spark plan, however many files."""
+    frames = []
+    for schema, group in header_groups(spark, paths, **options):
+        scan = csv_reader(spark, schema=schema, **options).load(group)
+        frames.append(scan.select("*", F.col("_metadata.file_path").alias(FILE_COLUMN)))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def is_empty(df: DataFrame) -> bool:
     """S3: true when the frame has no row (reads at most one)."""
     return df.isEmpty()
@@ -111,5 +144,5 @@ def inventory(spark: SparkSession, raw_dir: str, root: str | None = None) -> Dat
     )
 
 
-__all__ = ["csv_reader", "read_csv", "is_empty", "to_text", "land_csv", "inventory",
+__all__ = ["csv_reader", "read_csv", "read_csv_files", "header_groups", "is_empty", "to_text", "land_csv", "inventory",
            "CSV_GLOB"]
