@@ -3,7 +3,7 @@
 Parquet has no keyed update, so the table is an append log plus snapshots::
 
     <target>/_target/                 marker written by ensure_target (K1)
-    <target>/log/batch_id=<n>/        one load, unique by key (K2)
+    <target>/log/_batch_id=<n>/       one load, unique by key (K2)
     <target>/snapshot/v=<n>/          current state as of batch n (compact)
     <target>/snapshot_done/v=<n>/     commit marker, written after the snapshot
     <target>/_audit/batch_id=<n>/     the load's audit row
@@ -29,7 +29,8 @@ from quayside.operators.columns import KEY
 from quayside.operators.quality import dedup
 from quayside.plans import files
 
-BATCH = "batch_id"
+# Partition column of the log; a name no loaded column may take.
+BATCH = "_batch_id"
 VERSION = "v"
 
 
@@ -72,6 +73,8 @@ def upsert(df: DataFrame, target: str, batch_id: int, key: str = KEY,
     """
     if key not in df.columns:
         raise ValueError(f"frame has no key column {key!r}")
+    if BATCH in df.columns:
+        raise ValueError(f"column {BATCH!r} is reserved for the load log")
     path = _p(target, "log", f"{BATCH}={int(batch_id)}")
     out = df.coalesce(write_partitions) if write_partitions else df
     out.write.mode("overwrite").parquet(path)
@@ -95,8 +98,8 @@ def current(spark: SparkSession, target: str, key: str = KEY) -> DataFrame:
     version = snapshot_version(spark, target)
     snap = None
     if version is not None:
-        snap = (spark.read.option("mergeSchema", True).parquet(_p(target, "snapshot"))
-                .where(F.col(VERSION) == version).drop(VERSION))
+        # The version folder is read as a leaf, so no partition column appears.
+        snap = spark.read.parquet(_p(target, "snapshot", f"{VERSION}={version}"))
     if log is None:
         if snap is not None:
             return snap

@@ -1,0 +1,189 @@
+"""P1 over the small raw-zone inputs (FIXTURES X1-X14)."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from quayside.functions.paths import UnsupportedFormatError
+from quayside.operators.audit import EMPTY, SUCCESS, read_audit
+from quayside.operators.columns import ColumnCollisionError
+from quayside.plans import target as tgt
+from quayside.plans.load import LoadConfig, run_load
+
+TS = "2024-03-01 12:00:00"
+
+
+def cfg(root, **kw):
+    return LoadConfig(target=f"{root}/target", ts=TS, **kw)
+
+
+def rows(df, *cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def test_plain_file_keeps_its_ids(spark, zone):
+    root, write = zone
+    p = write("plain.csv", "id,name,city\n1,a,x\n2,b,y\n3,c,z\n4,d,x\n5,e,y\n")
+    r = run_load(spark, p, cfg(root), key="raw/plain.csv")
+    assert r.status == SUCCESS
+    assert (r.counts.read, r.counts.written, r.counts.duplicates, r.counts.null_rejected) == (5, 5, 0, 0)
+    cur = tgt.current(spark, f"{root}/target")
+    assert cur.columns == ["id", "timestamp", "source_file", "name", "city"]
+    assert rows(cur, "id", "name") == [("1", "a"), ("2", "b"), ("3", "c"), ("4", "d"), ("5", "e")]
+    assert {r[0] for r in cur.select("timestamp").collect()} == {TS}
+    assert {r[0] for r in cur.select("source_file").collect()} == {"raw/plain.csv"}
+    assert all(t.simpleString() == "string" for _, t in [(f.name, f.dataType) for f in cur.schema])
+
+
+def test_no_id_hashes_and_drops_exact_repeats(spark, zone):
+    root, write = zone
+    p = write("noid.csv", "name,city\nann,x\nbob,y\nann,x\ncid,z\n")
+    r = run_load(spark, p, cfg(root), key="raw/noid.csv")
+    assert (r.counts.read, r.counts.duplicates, r.counts.written) == (4, 1, 3)
+    ids = [x[0] for x in tgt.current(spark, f"{root}/target").select("id").collect()]
+    assert len(set(ids)) == 3 and all(i.startswith("record-") and len(i) == 39 for i in ids)
+
+
+def test_null_and_empty_ids_are_rejected(spark, zone):
+    root, write = zone
+    p = write("nullid.csv", 'id,name\n,x\n"",y\n1,z\n')
+    r = run_load(spark, p, cfg(root), key="raw/nullid.csv")
+    assert (r.counts.read, r.counts.null_rejected, r.counts.written) == (3, 2, 1)
+    assert rows(tgt.current(spark, f"{root}/target"), "id", "name") == [("1", "z")]
+
+
+def test_repeated_id_keeps_one_row_by_order(spark, zone):
+    root, write = zone
+    p = write("dupid.csv", "id,name,v\n1,a,2\n1,b,3\n1,c,1\n")
+    r = run_load(spark, p, cfg(root, order_by=("v",)), key="raw/dupid.csv")
+    assert (r.counts.duplicates, r.counts.written) == (2, 1)
+    assert rows(tgt.current(spark, f"{root}/target"), "id", "name", "v") == [("1", "b", "3")]
+    r2 = run_load(spark, p, cfg(root, order_by=("v",), keep="first"), key="raw/dupid.csv")
+    assert rows(tgt.current(spark, f"{root}/target"), "v") == [("1",)]
+    assert r2.batch_id == r.batch_id + 1
+
+
+def test_collisions_by_profile(spark, zone):
+    root, write = zone
+    p = write("collide.csv", "a,b,c\nx,,y\nx,y,\np_q,r,\np,q_r,\n")
+    coded = run_load(spark, p, cfg(root + "/c", profile="as_coded"), key="raw/collide.csv")
+    content = run_load(spark, p, cfg(root + "/d"), key="raw/collide.csv")
+    assert coded.counts.written == 2
+    assert content.counts.written == 4
+
+
+def test_dotted_names(spark, zone):
+    root, write = zone
+    p = write("dots.csv", "name,addr.city\nann,x\nann,y\n")
+    coded = run_load(spark, p, cfg(root + "/c", profile="as_coded"), key="raw/dots.csv")
+    content = run_load(spark, p, cfg(root + "/d"), key="raw/dots.csv")
+    assert (coded.counts.written, content.counts.written) == (1, 2)
+    cur = tgt.current(spark, f"{root}/d/target")
+    assert "addr.city" in cur.columns
+    assert rows(cur, "`addr.city`") == [("x",), ("y",)]
+
+
+def test_upper_case_id_header_is_the_key(spark, zone):
+    root, write = zone
+    p = write("upper.csv", "ID,name\n7,a\n8,b\n")
+    run_load(spark, p, cfg(root), key="raw/upper.csv")
+    cur = tgt.current(spark, f"{root}/target")
+    assert "ID" not in cur.columns
+    assert rows(cur, "id") == [("7",), ("8",)]
+
+
+def test_reserved_source_columns(spark, zone):
+    root, write = zone
+    p = write("meta.csv", "id,timestamp,source_file\n1,t,f\n")
+    with pytest.raises(ColumnCollisionError):
+        run_load(spark, p, cfg(root), key="raw/meta.csv")
+    run_load(spark, p, cfg(root + "/s", on_collision="suffix"), key="raw/meta.csv")
+    cur = tgt.current(spark, f"{root}/s/target")
+    assert rows(cur, "timestamp", "source_file", "timestamp_source", "source_file_source") == \
+        [(TS, "raw/meta.csv", "t", "f")]
+
+
+def test_quotes_escapes_and_line_breaks(spark, zone):
+    root, write = zone
+    p = write("quotes.csv", 'id,t\n1,"x,""y"\n2,"two\nlines"\n3,plain\n')
+    r = run_load(spark, p, cfg(root), key="raw/quotes.csv")
+    assert r.counts.written == 3
+    got = dict(rows(tgt.current(spark, f"{root}/target"), "id", "t"))
+    assert got == {"1": 'x,"y', "2": "two\nlines", "3": "plain"}
+
+
+def test_backslash_escape_on_request(spark, zone):
+    root, write = zone
+    p = write("bs.csv", 'id,t\n1,"q\\"r"\n')
+    run_load(spark, p, cfg(root, escape="\\"), key="raw/bs.csv")
+    assert rows(tgt.current(spark, f"{root}/target"), "t") == [('q"r',)]
+
+
+@pytest.mark.parametrize("text", ["id,name\n", ""])
+def test_empty_input_writes_nothing(spark, zone, text):
+    root, write = zone
+    p = write("empty.csv", text)
+    r = run_load(spark, p, cfg(root), key="raw/empty.csv")
+    assert r.status == EMPTY and r.counts.read == 0
+    assert tgt.batch_ids(spark, f"{root}/target") == []
+    audit = read_audit(spark, f"{root}/target").collect()
+    assert [(a.status, a.read) for a in audit] == [(EMPTY, 0)]
+
+
+def test_format_gate_before_target(spark, zone):
+    root, write = zone
+    p = write("n.txt", "id\n1\n")
+    with pytest.raises(UnsupportedFormatError):
+        run_load(spark, p, cfg(root), key="raw/n.txt")
+    from quayside.plans import files
+    assert not files.exists(spark, f"{root}/target")
+    up = write("UP.CSV", "id\n1\n")
+    assert run_load(spark, up, cfg(root), key="raw/UP.CSV").counts.written == 1
+
+
+def test_ragged_rows_are_kept(spark, zone):
+    root, write = zone
+    p = write("ragged.csv", "id,a,b\n1,x\n2,y,z,extra\n")
+    r = run_load(spark, p, cfg(root), key="raw/ragged.csv")
+    assert r.counts.written == 2
+    assert rows(tgt.current(spark, f"{root}/target"), "id", "a", "b") == \
+        [("1", "x", None), ("2", "y", "z")]
+
+
+def test_duplicate_headers_are_renamed(spark, zone):
+    root, write = zone
+    p = write("samehdr.csv", "a,a,A,b\n1,2,3,4\n")
+    run_load(spark, p, cfg(root), key="raw/samehdr.csv")
+    cur = tgt.current(spark, f"{root}/target")
+    assert cur.columns[3:] == ["a0", "a1", "A2", "b"]
+
+
+def test_changing_headers_last_load_wins(spark, zone):
+    root, write = zone
+    p1 = write("v1.csv", "id,a\n1,x\n2,y\n")
+    p2 = write("v2.csv", "id,b\n2,z\n3,w\n")
+    run_load(spark, p1, cfg(root), key="raw/v1.csv")
+    run_load(spark, p2, cfg(root), key="raw/v2.csv")
+    cur = tgt.current(spark, f"{root}/target")
+    assert rows(cur, "id", "a", "b", "source_file") == [
+        ("1", "x", None, "raw/v1.csv"), ("2", None, "z", "raw/v2.csv"),
+        ("3", None, "w", "raw/v2.csv")]
+
+
+def test_multi_file_load_reads_each_header(spark, zone):
+    root, write = zone
+    p1 = write("m1.csv", "id,a,b\n1,x,y\n")
+    p2 = write("m2.csv", "b,id\nq,2\n")
+    r = run_load(spark, [p1, p2], cfg(root), root=root)
+    assert r.counts.written == 2
+    assert rows(tgt.current(spark, f"{root}/target"), "id", "a", "b", "source_file") == [
+        ("1", "x", "y", "raw/m1.csv"), ("2", None, "q", "raw/m2.csv")]
+
+
+def test_write_partitions_bounds_files(spark, zone):
+    root, write = zone
+    body = "".join(f"{i},v{i}\n" for i in range(200))
+    p = write("many.csv", "id,v\n" + body)
+    run_load(spark, p, cfg(root, write_partitions=1), key="raw/many.csv")
+    files = spark.read.parquet(f"{root}/target/log").inputFiles()
+    assert len(files) == 1
+    assert tgt.current(spark, f"{root}/target").count() == 200
