@@ -76,6 +76,32 @@ def dedup_counted(df: DataFrame, key: str, order_by: Sequence[str] | None = None
               .select(f"{_WINNER}._row.*", GROUP, COPIES))
 
 
+SPREAD_MIN_BYTES = 32 * 1024 * 1024
+
+
+def spread(df: DataFrame, min_partitions: int | None = None,
+           min_bytes_per_partition: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Spread a file scan with fewer, larger partitions than the cluster has cores.
+
+    A multi-line CSV file is read by one task; without this the hashing and
+    the map-side aggregation of a large file would stay in that task. Rows
+    are hash-partitioned on their position in the scan, which spreads them
+    evenly whatever their content (a hot value cannot land in one task) and
+    needs no sort, unlike a round-robin repartition. Scans with enough
+    partitions, or small ones, are left alone.
+    """
+    from quayside.plans.files import total_size
+
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    if have >= want:
+        return df
+    if total_size(df.sparkSession, df.inputFiles()) < have * min_bytes_per_partition:
+        return df
+    return df.repartition(want, F.monotonically_increasing_id()).select(
+        *[quoted(c) for c in df.columns])
+
+
 def redistribute(df: DataFrame, n: int | None = None, key: str | None = "id") -> DataFrame:
     """hash-partition on ``key`` (``n`` parts, or as AQE decides).
 

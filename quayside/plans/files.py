@@ -46,3 +46,15 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
             except ValueError:
                 continue
     return sorted(out)
+
+
+def total_size(spark: SparkSession, uris: list[str]) -> int:
+    """Bytes of the given files, named by URI as ``DataFrame.inputFiles``
+    gives them (a metadata call per file)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for uri in uris:
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        total += int(p.getFileSystem(conf).getFileStatus(p).getLen())
+    return total

@@ -20,9 +20,11 @@ from quayside.functions.hashing import quoted
 from quayside.functions.paths import check_format
 from quayside.operators.audit import (EMPTY, FAILED, SUCCESS, LoadCounts, audit_row,
                                       observe_load, write_audit)
-from quayside.operators.columns import (KEY, TARGET_TIME, add_metadata, apply_mapping,
-                                        ensure_id, find_column)
-from quayside.operators.quality import dedup_counted
+from quayside.functions.hashing import row_hash
+from quayside.operators.columns import (KEY, LOAD_TIME, SOURCE_FILE, TARGET_TIME, add_metadata,
+                                        apply_mapping, ensure_id, find_column, load_time,
+                                        resolve_collisions)
+from quayside.operators.quality import COPIES, GROUP, dedup_counted, spread
 from quayside.plans import target as tgt
 from quayside.sources.csv import (DEFAULT_ESCAPE, FILE_COLUMN, is_empty, read_csv,
                                   read_csv_files)
@@ -67,22 +69,51 @@ def prepare(df: DataFrame, config: LoadConfig, source: str | None = None,
 
     Returns ``(mapped_frame, observation)``; nothing runs until the frame
     is written.
+
+    When the key is the content hash of one file's rows (profile
+    ``content``, no key column in the file, one literal source, nothing else
+    required), rows with equal keys are exactly the rows with equal values,
+    so the dedup groups by the source columns themselves: a hash aggregate
+    with map-side combine, the key computed once per distinct row after it.
+    Otherwise the dedup picks a survivor per key (sort aggregate, also
+    combined map-side).
     """
-    df = add_metadata(df, source, config.ts, root=root, on_collision=config.on_collision,
-                      time_name=config.time_name, source_column=source_column)
-    df = ensure_id(df, config.profile, config.key)
-    required = [c for c in (find_column(df, r) for r in config.required) if c]
-    valid = None
-    if required:
-        valid = F.lit(True)
-        for c in required:
-            valid = valid & quoted(c).isNotNull()
-    counted = dedup_counted(df, config.key, config.order_by, config.keep, valid)
+    if _content_fast_path(df, config, source):
+        counted = _dedup_by_content(df, config, source)
+    else:
+        df = add_metadata(df, source, config.ts, root=root, on_collision=config.on_collision,
+                          time_name=config.time_name, source_column=source_column)
+        df = ensure_id(df, config.profile, config.key)
+        required = [c for c in (find_column(df, r) for r in config.required) if c]
+        valid = None
+        if required:
+            valid = F.lit(True)
+            for c in required:
+                valid = valid & quoted(c).isNotNull()
+        counted = dedup_counted(df, config.key, config.order_by, config.keep, valid)
     kept, obs = observe_load(counted)
     mapped = apply_mapping(kept, config.mappings, key=config.key, time_name=config.time_name)
     return mapped, obs
 
 
+def _content_fast_path(df: DataFrame, config: LoadConfig, source: str | None) -> bool:
+    return (config.profile == "content" and source is not None
+            and find_column(df, config.key) is None
+            and all(r.lower() == config.key.lower() for r in config.required))
+
+
+def _dedup_by_content(df: DataFrame, config: LoadConfig, source: str) -> DataFrame:
+    df = resolve_collisions(df, (LOAD_TIME, SOURCE_FILE, config.time_name),
+                            config.on_collision)
+    cols = df.columns
+    groups = df.groupBy(*[quoted(c) for c in cols]).agg(F.count(F.lit(1)).alias(COPIES))
+    key = row_hash(cols, "content")
+    return groups.select(*[quoted(c) for c in cols],
+                         load_time(config.ts).alias(LOAD_TIME),
+                         F.lit(source).alias(SOURCE_FILE),
+                         key.alias(config.key), key.alias(GROUP), COPIES)
+
+
 def load_frame(spark: SparkSession, df: DataFrame, config: LoadConfig, source_label: str,
                source: str | None = None, root: str | None = None,
                source_column: str | None = None) -> LoadResult:
@@ -94,6 +125,11 @@ def load_frame(spark: SparkSession, df: DataFrame, config: LoadConfig, source_la
                             "no records in source")
         _store(spark, result)
         return result
+    if source is None and source_column is None:
+        # Name each row's file while the scan is still the frame's source.
+        df = df.select("*", F.col("_metadata.file_path").alias(FILE_COLUMN))
+        source_column = FILE_COLUMN
+    df = spread(df)
     try:
         mapped, obs = prepare(df, config, source, root, source_column)
         tgt.upsert(mapped, config.target, batch_id, config.key, config.write_partitions)
