@@ -103,3 +103,15 @@ def write_audit(row: DataFrame, target: str, batch_id: int) -> None:
 def read_audit(spark: SparkSession, target: str) -> DataFrame:
     cols = [c.split(" ")[0] for c in AUDIT_SCHEMA.split(", ")]
     return spark.read.parquet(audit_path(target)).select(*cols)
+
+
+def already_loaded(spark: SparkSession, target: str, source_label: str) -> bool:
+    """True when the audit holds a successful load under ``source_label``
+    (a stream's epoch replayed after a restart is then skipped)."""
+    from quayside.plans.files import exists
+    if not exists(spark, audit_path(target)):
+        return False
+    done = (read_audit(spark, target)
+            .where((F.col("source_file") == source_label) & (F.col("status") == SUCCESS))
+            .limit(1).count())
+    return done > 0

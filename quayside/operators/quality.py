@@ -96,7 +96,11 @@ def spread(df: DataFrame, min_partitions: int | None = None,
     have = df.rdd.getNumPartitions()
     if have >= want:
         return df
-    if total_size(df.sparkSession, df.inputFiles()) < have * min_bytes_per_partition:
+    inputs = df.inputFiles()
+    # Many files packed into few partitions: spreading costs little, and
+    # sizing them one by one would cost a metadata call each.
+    if len(inputs) <= 4 * want and \
+            total_size(df.sparkSession, inputs) < have * min_bytes_per_partition:
         return df
     return df.repartition(want, F.monotonically_increasing_id()).select(
         *[quoted(c) for c in df.columns])

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.functions.paths import CSV_GLOB
+from quayside.operators.audit import already_loaded
 from quayside.plans.load import LoadConfig, LoadResult, load_frame
 from quayside.sources.csv import FILE_COLUMN, read_csv_files
 
@@ -63,9 +64,12 @@ def start_stream(spark: SparkSession, raw_dir: str, config: LoadConfig, checkpoi
     results: list[LoadResult] = []
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
+        label = f"stream {checkpoint} epoch {epoch}"
+        if already_loaded(spark, config.target, label):
+            return  # an epoch replayed after a restart: its load is done
         # Only the new files' paths come to the driver.
         paths = [r["path"] for r in batch.select("path").collect()]
-        res = load_files(spark, paths, config, root, f"stream epoch {epoch}")
+        res = load_files(spark, paths, config, root, label)
         if res is not None:
             results.append(res)
 

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.operators.audit import already_loaded
 from quayside.plans.load import LoadConfig, LoadResult
 from quayside.sources.notify import LOAD, route_notifications
 from quayside.streaming.files import load_files
@@ -48,9 +49,12 @@ def start_notifications(spark: SparkSession, messages: DataFrame, config: LoadCo
         by_zone: dict[str, list[str]] = {}
         for r in todo:
             by_zone.setdefault(resolve(r["bucket"]).rstrip("/"), []).append(r["key"])
-        for zone, keys in sorted(by_zone.items()):
+        for i, (zone, keys) in enumerate(sorted(by_zone.items())):
+            label = f"notifications {checkpoint} epoch {epoch} zone {i}"
+            if already_loaded(spark, config.target, label):
+                continue  # replayed after a restart: this load is done
             paths = [f"{zone}/{k}" for k in sorted(keys)]
-            res = load_files(spark, paths, config, zone, f"notifications epoch {epoch}")
+            res = load_files(spark, paths, config, zone, label)
             if res is not None:
                 results.append(res)
 

@@ -90,3 +90,20 @@ def test_stream_result_equals_batch_result(spark, zone, tmp_path):
     assert rows(tgt.current(spark, s_cfg.target), *cols) == \
         rows(tgt.current(spark, b_cfg.target), *cols)
     assert tgt.current(spark, b_cfg.target).count() == 3
+
+
+def test_replayed_epoch_is_not_loaded_twice(spark, zone, tmp_path):
+    """An epoch re-run after a failure before its commit is skipped."""
+    root, write = zone
+    write("a.csv", "id,v\n1,a\n")
+    cfg = LoadConfig(target=f"{root}/target", ts=TS)
+    ckpt = tmp_path / "ckpt"
+    first = run_stream(spark, f"{root}/raw", cfg, str(ckpt))
+    assert len(first) == 1 and tgt.batch_ids(spark, cfg.target) == [1]
+    # As if the driver died after the load, before committing epoch 0.
+    for name in ("0", ".0.crc"):
+        (ckpt / "commits" / name).unlink(missing_ok=True)
+    replay = run_stream(spark, f"{root}/raw", cfg, str(ckpt))
+    assert replay == []
+    assert tgt.batch_ids(spark, cfg.target) == [1]
+    assert rows(tgt.current(spark, cfg.target), "id", "v") == [("1", "a")]
