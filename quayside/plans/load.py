@@ -45,6 +45,7 @@ class LoadConfig:
     mappings: tuple | None = None
     escape: str = DEFAULT_ESCAPE
     multi_line: bool = True
+    same_header: bool = False
     write_partitions: int | None = None
     batch_id: int | None = None
     csv_options: dict = field(default_factory=dict)
@@ -159,7 +160,7 @@ def run_load(spark: SparkSession, path: str | Sequence[str], config: LoadConfig,
     if len(paths) == 1:
         df = read_csv(spark, paths, **options)
         return load_frame(spark, df, config, label, source=key, root=root)
-    df = read_csv_files(spark, paths, **options)
+    df = read_csv_files(spark, paths, same_header=config.same_header, **options)
     return load_frame(spark, df, config, label, source=key, root=root,
                       source_column=FILE_COLUMN)
 

@@ -46,7 +46,7 @@ def ensure_target(spark: SparkSession, target: str, key: str = KEY) -> bool:
     marker = _p(target, "_target")
     if files.exists(spark, marker):
         return False
-    spark.createDataFrame([], f"`{key}` string").write.mode("ignore").parquet(marker)
+    spark.createDataFrame([], f"`{key}` string").coalesce(1).write.mode("ignore").parquet(marker)
     return True
 
 
@@ -94,18 +94,22 @@ def _log(spark: SparkSession, target: str) -> DataFrame | None:
 
 def current(spark: SparkSession, target: str, key: str = KEY) -> DataFrame:
     """K5: one row per key, the one of the latest load."""
-    log = _log(spark, target)
     version = snapshot_version(spark, target)
     snap = None
     if version is not None:
         # The version folder is read as a leaf, so no partition column appears.
         snap = spark.read.parquet(_p(target, "snapshot", f"{VERSION}={version}"))
-    if log is None:
+    newer_ids = [b for b in batch_ids(spark, target) if version is None or b > version]
+    if not newer_ids:
         if snap is not None:
             return snap
         return spark.createDataFrame([], f"`{key}` string")
-    newer = log.where(F.col(BATCH) > version) if version is not None else log
-    latest = dedup(newer, [key], order_by=[BATCH]).drop(BATCH)
+    if len(newer_ids) == 1:
+        # One batch is unique by key already: no aggregate, no shuffle.
+        latest = spark.read.parquet(_p(target, "log", f"{BATCH}={newer_ids[0]}"))
+    else:
+        newer = _log(spark, target).where(F.col(BATCH) > (version or 0))
+        latest = dedup(newer, [key], order_by=[BATCH]).drop(BATCH)
     if snap is None:
         return latest
     kept = snap.join(latest.select(quoted(key).alias(key)), on=key, how="left_anti")

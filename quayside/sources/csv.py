@@ -55,28 +55,51 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], **options) -> Data
 FILE_COLUMN = "_file"
 
 
+HEADER_PEEK_THREADS = 32
+
+
 def header_groups(spark: SparkSession, paths: Sequence[str], **options
                   ) -> list[tuple[object, list[str]]]:
     """Group files by their header: ``[(schema, paths), ...]``.
 
     A multi-file CSV scan takes the first file's header for all files, by
     position, so files with different headers must be read apart. Each
-    file's header is peeked (the scan reads its first record only); only the
+    file's header is peeked by a scan that reads its first record only; the
+    peeks run concurrently (Spark takes jobs from many threads) and only the
     header names reach the driver.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
+    def peek(p):
+        return csv_reader(spark, **options).load(p).schema
+
+    paths = list(paths)
+    if len(paths) == 1:
+        schemas = [peek(paths[0])]
+    else:
+        with ThreadPoolExecutor(max_workers=min(HEADER_PEEK_THREADS, len(paths))) as pool:
+            schemas = list(pool.map(peek, paths))
     groups: dict[tuple, tuple[object, list[str]]] = {}
-    for p in paths:
-        schema = csv_reader(spark, **options).load(p).schema
+    for p, schema in zip(paths, schemas):
         groups.setdefault(tuple(schema.fieldNames()), (schema, []))[1].append(p)
     return list(groups.values())
 
 
-def read_csv_files(spark: SparkSession, paths: Sequence[str], **options) -> DataFrame:
+def read_csv_files(spark: SparkSession, paths: Sequence[str], same_header: bool = False,
+                   **options) -> DataFrame:
     """S1 over files that may differ in header: one scan per header group,
     stacked by name (absent columns null), each row tagged with its file in
-    ``_file``. One Spark plan, however many files."""
+    ``_file``. One Spark plan, however many files.
+
+    ``same_header=True`` promises that every file has the same header: the
+    files are then read as one scan without peeking at each.
+    """
+    if same_header:
+        groups = [(None, list(paths))]
+    else:
+        groups = header_groups(spark, paths, **options)
     frames = []
-    for schema, group in header_groups(spark, paths, **options):
+    for schema, group in groups:
         scan = csv_reader(spark, schema=schema, **options).load(group)
         frames.append(scan.select("*", F.col("_metadata.file_path").alias(FILE_COLUMN)))
     out = frames[0]
@@ -144,5 +167,5 @@ def inventory(spark: SparkSession, raw_dir: str, root: str | None = None) -> Dat
     )
 
 
-__all__ = ["csv_reader", "read_csv", "read_csv_files", "header_groups", "is_empty", "to_text", "land_csv", "inventory",
-           "CSV_GLOB"]
+__all__ = ["csv_reader", "read_csv", "read_csv_files", "header_groups", "is_empty",
+           "to_text", "land_csv", "inventory", "CSV_GLOB"]

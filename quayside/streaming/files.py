@@ -46,7 +46,7 @@ def load_files(spark: SparkSession, paths: list[str], config: LoadConfig,
     if not paths:
         return None
     options = dict(escape=config.escape, multi_line=config.multi_line, **config.csv_options)
-    df = read_csv_files(spark, sorted(paths), **options)
+    df = read_csv_files(spark, sorted(paths), same_header=config.same_header, **options)
     return load_frame(spark, df, config, label, root=root, source_column=FILE_COLUMN)
 
 
