@@ -13,11 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.hashing import row_hash
 from quayside.functions.paths import extension, is_csv
 from quayside.operators.audit import count_load, read_audit
 from quayside.operators.columns import add_metadata, apply_mapping, ensure_id, schema_profile
-from quayside.operators.quality import dedup, require_not_null
+from quayside.operators.quality import dedup, dedup_rows, require_not_null
 from quayside.plans import target as tgt
 from quayside.plans.load import LoadConfig, prepare, run_load
 from quayside.session import configure, scratch_dir
@@ -73,8 +72,8 @@ def q_required_rejects(spark, sf_dir):
 
 
 def q_dedup_exact(spark, sf_dir):
-    keyed = ensure_id(_t(spark, sf_dir, "documents").select("text", "lang", "source"))
-    return dedup(keyed, ["id"]).select("id", "text", "lang", "source")
+    docs = _t(spark, sf_dir, "documents").select("text", "lang", "source")
+    return dedup_rows(docs).select("id", "text", "lang", "source")
 
 
 def q_dedup_latest(spark, sf_dir):

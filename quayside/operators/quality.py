@@ -60,6 +60,25 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = N
     return out
 
 
+def dedup_rows(df: DataFrame, key: str = "id", with_copies: bool = False) -> DataFrame:
+    """F2 for content keys: one row per distinct row, keyed by its content
+    hash (profile ``content``) in ``key``; with ``with_copies`` also the
+    number of copies in ``_copies``.
+
+    Equal content keys are exactly equal rows (the encoding is injective),
+    so grouping by the columns themselves gives the same rows as a dedup by
+    key. Grouping keys are plain columns, which plans as a code-generated
+    hash aggregate with map-side combine, and the hash is computed once per
+    distinct row, after the shuffle.
+    """
+    from quayside.functions.hashing import row_hash
+
+    cols = df.columns
+    groups = df.groupBy(*[quoted(c) for c in cols]).agg(F.count(F.lit(1)).alias(COPIES))
+    out = [quoted(c) for c in cols] + [row_hash(cols, "content").alias(key)]
+    return groups.select(*out, *([COPIES] if with_copies else []))
+
+
 def dedup_counted(df: DataFrame, key: str, order_by: Sequence[str] | None = None,
                   keep: str = "last", valid: Column | None = None) -> DataFrame:
     """F2 for a load: one row per key plus ``_k`` (the group key, null for

@@ -20,11 +20,10 @@ from quayside.functions.hashing import quoted
 from quayside.functions.paths import check_format
 from quayside.operators.audit import (EMPTY, FAILED, SUCCESS, LoadCounts, audit_row,
                                       observe_load, write_audit)
-from quayside.functions.hashing import row_hash
 from quayside.operators.columns import (KEY, LOAD_TIME, SOURCE_FILE, TARGET_TIME, add_metadata,
                                         apply_mapping, ensure_id, find_column, load_time,
                                         resolve_collisions)
-from quayside.operators.quality import COPIES, GROUP, dedup_counted, spread
+from quayside.operators.quality import COPIES, GROUP, dedup_counted, dedup_rows, spread
 from quayside.plans import target as tgt
 from quayside.sources.csv import (DEFAULT_ESCAPE, FILE_COLUMN, is_empty, read_csv,
                                   read_csv_files)
@@ -106,13 +105,11 @@ def _content_fast_path(df: DataFrame, config: LoadConfig, source: str | None) ->
 def _dedup_by_content(df: DataFrame, config: LoadConfig, source: str) -> DataFrame:
     df = resolve_collisions(df, (LOAD_TIME, SOURCE_FILE, config.time_name),
                             config.on_collision)
-    cols = df.columns
-    groups = df.groupBy(*[quoted(c) for c in cols]).agg(F.count(F.lit(1)).alias(COPIES))
-    key = row_hash(cols, "content")
-    return groups.select(*[quoted(c) for c in cols],
-                         load_time(config.ts).alias(LOAD_TIME),
-                         F.lit(source).alias(SOURCE_FILE),
-                         key.alias(config.key), key.alias(GROUP), COPIES)
+    rows = dedup_rows(df, config.key, with_copies=True)
+    return rows.select(*[quoted(c) for c in df.columns],
+                       load_time(config.ts).alias(LOAD_TIME),
+                       F.lit(source).alias(SOURCE_FILE),
+                       F.col(config.key), F.col(config.key).alias(GROUP), COPIES)
 
 
 def load_frame(spark: SparkSession, df: DataFrame, config: LoadConfig, source_label: str,

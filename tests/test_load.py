@@ -1,7 +1,6 @@
 """P1 over the small raw-zone inputs (FIXTURES X1-X14)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from quayside.functions.paths import UnsupportedFormatError
 from quayside.operators.audit import EMPTY, SUCCESS, read_audit

@@ -1,6 +1,5 @@
 """The registered query set against its DuckDB oracles at sf0.001."""
 
-import pytest
 
 import __spark_entry__ as entry_mod
 from tests.oracle_check import compare
