@@ -102,6 +102,32 @@ def q_ingest_orders(spark, sf_dir):
     return mapped
 
 
+_LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+            "l_shipdate"]
+
+
+def hot_key_lineitem(lineitem: DataFrame) -> DataFrame:
+    """``lineitem`` as text with a file key where every open line shares the
+    key ``hot`` (about half of all rows) and the rest repeat now and then."""
+    li = to_text(lineitem, MONEY)
+    key = (F.when(F.col("l_linestatus") == "O", F.lit("hot"))
+            .otherwise(F.concat_ws("-", "l_orderkey", "l_linenumber")))
+    return li.select(key.alias("id"), *_LI_COLS)
+
+
+def q_ingest_hot_key(spark, sf_dir):
+    df = hot_key_lineitem(_t(spark, sf_dir, "lineitem"))
+    cfg = LoadConfig(target="unused", ts=TS, order_by=("l_orderkey", "l_linenumber"))
+    mapped, _obs = prepare(df, cfg, source="raw/lineitem.csv")
+    return mapped
+
+
+def q_dedup_conversations(spark, sf_dir):
+    conv = _t(spark, sf_dir, "conversations")
+    return dedup(conv, ["conv_id"], order_by=["turn"])
+
+
 def q_ingest_csv_roundtrip(spark, sf_dir):
     zone = scratch_dir(spark, "roundtrip")
     raw = land_csv(_t(spark, sf_dir, "customer"), f"{zone}/raw", "customer.csv",
@@ -247,6 +273,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "schema_profile": q_schema_profile,
         "load_audit": q_load_audit,
         "ingest_orders": q_ingest_orders,
+        "ingest_hot_key": q_ingest_hot_key,
+        "dedup_conversations": q_dedup_conversations,
         "ingest_csv_roundtrip": q_ingest_csv_roundtrip,
         "load_run_audit": q_load_run_audit,
         "upsert_two_loads": q_upsert_two_loads,
@@ -337,6 +365,24 @@ FROM k
 """
 
 
+_LI_TEXT = ", ".join(
+    _money(c) + f" AS {c}" if c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    else f"{_txt(c)} AS {c}" for c in _LI_COLS)
+_HOT_KEY = f"""
+WITH t AS (
+  SELECT CASE WHEN l_linestatus = 'O' THEN 'hot'
+              ELSE CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS id,
+         {_LI_TEXT}
+  FROM lineitem)
+SELECT id, '{TS}' AS timestamp, 'raw/lineitem.csv' AS source_file, {", ".join(_LI_COLS)}
+FROM t
+QUALIFY row_number() OVER (
+  PARTITION BY id
+  ORDER BY l_orderkey DESC, l_linenumber DESC, id DESC,
+           {", ".join(c + " DESC NULLS LAST" for c in _LI_COLS)}) = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "row_hash_content": f"SELECT {_DOC_ID} AS id, text, lang, source FROM documents",
@@ -373,6 +419,10 @@ def oracle_sql() -> dict[str, str]:
             "count(conv_id) - count(DISTINCT conv_id) AS duplicates, "
             "count(DISTINCT conv_id) AS written FROM conversations"),
         "ingest_orders": _ingested(_ORDERS_TEXT, _ORDER_COLS, "raw/orders.csv"),
+        "ingest_hot_key": _HOT_KEY,
+        "dedup_conversations": (
+            "SELECT * FROM conversations QUALIFY row_number() OVER "
+            "(PARTITION BY conv_id ORDER BY turn DESC) = 1"),
         "ingest_csv_roundtrip": _ingested(_CUSTOMER_TEXT, _CUSTOMER_COLS, "raw/customer.csv"),
         "load_run_audit": (
             "SELECT count(*) AS read, count(*) FILTER (WHERE event_type = 'error') "
