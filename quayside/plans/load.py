@@ -20,7 +20,8 @@ from quayside.functions.hashing import quoted
 from quayside.functions.paths import check_format
 from quayside.operators.audit import (EMPTY, FAILED, SUCCESS, LoadCounts, audit_row,
                                       observe_load, write_audit)
-from quayside.operators.columns import (KEY, LOAD_TIME, SOURCE_FILE, TARGET_TIME, add_metadata,
+from quayside.functions.hashing import check_profile
+from quayside.operators.columns import (COLLISION_POLICIES, KEY, LOAD_TIME, SOURCE_FILE, TARGET_TIME, add_metadata,
                                         apply_mapping, ensure_id, find_column, load_time,
                                         resolve_collisions)
 from quayside.operators.quality import COPIES, GROUP, dedup_counted, dedup_rows, spread
@@ -49,6 +50,20 @@ class LoadConfig:
     batch_id: int | None = None
     csv_options: dict = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        # A load refuses to start on a missing or unknown setting.
+        if not self.target:
+            raise ValueError("LoadConfig.target is required")
+        if not self.key:
+            raise ValueError("LoadConfig.key is required")
+        check_profile(self.profile)
+        if self.keep not in ("first", "last"):
+            raise ValueError("LoadConfig.keep must be 'first' or 'last'")
+        if self.on_collision not in COLLISION_POLICIES:
+            raise ValueError(f"LoadConfig.on_collision must be one of {COLLISION_POLICIES}")
+        if self.write_partitions is not None and self.write_partitions < 1:
+            raise ValueError("LoadConfig.write_partitions must be positive")
+
     def with_(self, **changes) -> "LoadConfig":
         return replace(self, **changes)
 

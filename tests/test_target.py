@@ -102,3 +102,12 @@ def test_permuted_input_same_result(spark, tmp_path):
     cols = ("id", "event_id", "event_type")
     assert rows(tgt.current(spark, cfg_a.target), *cols) == \
         rows(tgt.current(spark, cfg_b.target), *cols)
+
+
+@pytest.mark.parametrize("bad", [dict(target=""), dict(target="t", profile="x"),
+                                 dict(target="t", keep="middle"),
+                                 dict(target="t", on_collision="ignore"),
+                                 dict(target="t", write_partitions=0)])
+def test_config_refuses_bad_settings(bad):
+    with pytest.raises(ValueError):
+        LoadConfig(**bad)
