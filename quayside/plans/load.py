@@ -47,6 +47,7 @@ class LoadConfig:
     multi_line: bool = True
     same_header: bool = False
     write_partitions: int | None = None
+    compact_every: int | None = None
     batch_id: int | None = None
     csv_options: dict = field(default_factory=dict)
 
@@ -63,6 +64,8 @@ class LoadConfig:
             raise ValueError(f"LoadConfig.on_collision must be one of {COLLISION_POLICIES}")
         if self.write_partitions is not None and self.write_partitions < 1:
             raise ValueError("LoadConfig.write_partitions must be positive")
+        if self.compact_every is not None and self.compact_every < 1:
+            raise ValueError("LoadConfig.compact_every must be positive")
 
     def with_(self, **changes) -> "LoadConfig":
         return replace(self, **changes)
@@ -153,6 +156,8 @@ def load_frame(spark: SparkSession, df: DataFrame, config: LoadConfig, source_la
         raise
     result = LoadResult(batch_id, source_label, config.target, counts, SUCCESS)
     _store(spark, result)
+    if config.compact_every:
+        tgt.compact_if_due(spark, config.target, config.compact_every, config.key)
     return result
 
 

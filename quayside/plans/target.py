@@ -134,6 +134,16 @@ def compact(spark: SparkSession, target: str, key: str = KEY) -> int | None:
     return version
 
 
+def compact_if_due(spark: SparkSession, target: str, every: int, key: str = KEY) -> int | None:
+    """Compact once ``every`` batches have been loaded since the snapshot, so
+    reads never aggregate more than that many batches."""
+    version = snapshot_version(spark, target)
+    pending = [b for b in batch_ids(spark, target) if version is None or b > version]
+    if len(pending) >= every:
+        return compact(spark, target, key)
+    return None
+
+
 def merge_schemas(frames: Sequence[DataFrame]) -> DataFrame:
     """K6: stack frames with different columns by name; absent ones null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -111,3 +111,14 @@ def test_permuted_input_same_result(spark, tmp_path):
 def test_config_refuses_bad_settings(bad):
     with pytest.raises(ValueError):
         LoadConfig(**bad)
+
+
+def test_compact_every(spark, zone):
+    root, write = zone
+    cfg = LoadConfig(target=f"{root}/t", ts=TS, compact_every=2)
+    for i in range(3):
+        p = write(f"f{i}.csv", f"id,v\n{i},a\n1,v{i}\n")
+        run_load(spark, p, cfg, key=f"raw/f{i}.csv")
+    assert tgt.snapshot_version(spark, cfg.target) == 2
+    assert rows(tgt.current(spark, cfg.target), "id", "v") == \
+        [("0", "a"), ("1", "v2"), ("2", "a")]
