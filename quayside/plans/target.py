@@ -1,19 +1,26 @@
 """The keyed target table: K1-K6.
 
-Parquet has no keyed update, so the table is an append log plus snapshots::
+Parquet has no keyed update, so the table is an append log plus a bucketed
+snapshot::
 
-    <target>/_target/                 marker written by ensure_target (K1)
-    <target>/log/_batch_id=<n>/       one load, unique by key (K2)
-    <target>/snapshot/v=<n>/          current state as of batch n (compact)
-    <target>/snapshot_done/v=<n>/     commit marker, written after the snapshot
-    <target>/_audit/batch_id=<n>/     the load's audit row
+    <target>/_target/                        marker written by ensure_target (K1)
+    <target>/log/_batch_id=<n>/              one load, unique by key (K2)
+    <target>/snapshot/_v=<n>/_bucket=<k>/    rows of bucket k as of batch n
+    <target>/snapshot_done/v=<n>/            manifest: live version of each bucket
+    <target>/_audit/batch_id=<n>/            the load's audit row
 
 Each batch is written with ``overwrite`` into its own folder, so a retried
-batch replaces itself. The current state (K5) is the last snapshot, less the
-keys loaded since, plus the latest row per key of the newer batches: the last
-load wins and replaces the whole row (D18). Only batches after the snapshot
-are aggregated; the snapshot side is an anti-join, which AQE turns into a
+batch replaces itself. The current state (K5) is the snapshot, less the keys
+loaded since, plus the latest row per key of the newer batches: the last load
+wins and replaces the whole row (D18). Only batches after the snapshot are
+aggregated; the snapshot side is an anti-join, which AQE turns into a
 broadcast join at run time when the newer keys are small.
+
+Compaction is incremental. Keys are hashed into a fixed number of buckets;
+a compaction rewrites only the buckets the newer batches touch, into a new
+version folder, then writes the manifest that names, per bucket, the
+version to read. Readers follow the last manifest, so a compaction that
+fails half-way is invisible, and a retried one overwrites its own folder.
 """
 
 from __future__ import annotations
@@ -29,9 +36,14 @@ from quayside.operators.columns import KEY
 from quayside.operators.quality import dedup
 from quayside.plans import files
 
-# Partition column of the log; a name no loaded column may take.
+# Partition columns of the log and the snapshot: names no loaded column may take.
 BATCH = "_batch_id"
-VERSION = "v"
+SNAP_VERSION = "_v"
+BUCKET = "_bucket"
+RESERVED = (BATCH, SNAP_VERSION, BUCKET)
+VERSION = "v"  # folder name of a manifest version
+DEFAULT_BUCKETS = 64
+MANIFEST_SCHEMA = "bucket int, v long, buckets int"
 
 
 def _p(target: str, *parts: str) -> str:
@@ -73,8 +85,9 @@ def upsert(df: DataFrame, target: str, batch_id: int, key: str = KEY,
     """
     if key not in df.columns:
         raise ValueError(f"frame has no key column {key!r}")
-    if BATCH in df.columns:
-        raise ValueError(f"column {BATCH!r} is reserved for the load log")
+    taken = [c for c in df.columns if c in RESERVED]
+    if taken:
+        raise ValueError(f"columns {taken} are reserved for the table layout")
     path = _p(target, "log", f"{BATCH}={int(batch_id)}")
     out = df.coalesce(write_partitions) if write_partitions else df
     out.write.mode("overwrite").parquet(path)
@@ -86,51 +99,99 @@ def snapshot_version(spark: SparkSession, target: str) -> int | None:
     return done[-1] if done else None
 
 
+def _manifest(spark: SparkSession, target: str, version: int) -> list[tuple[int, int, int]]:
+    """``(bucket, version, buckets)`` rows of a committed snapshot (at most
+    one per bucket, so a bounded, small list)."""
+    rows = spark.read.parquet(_p(target, "snapshot_done", f"{VERSION}={version}")).collect()
+    return sorted((int(r["bucket"]), int(r["v"]), int(r["buckets"])) for r in rows)
+
+
+def _snapshot(spark: SparkSession, target: str, manifest) -> DataFrame | None:
+    """The live bucket folders of a manifest, read as one frame."""
+    if not manifest:
+        return None
+    base = _p(target, "snapshot")
+    paths = [f"{base}/{SNAP_VERSION}={v}/{BUCKET}={b}" for b, v, _n in manifest]
+    return (spark.read.option("basePath", base).option("mergeSchema", True)
+            .parquet(*paths).drop(SNAP_VERSION, BUCKET))
+
+
 def _log(spark: SparkSession, target: str) -> DataFrame | None:
     if not batch_ids(spark, target):
         return None
     return spark.read.option("mergeSchema", True).parquet(_p(target, "log"))
 
 
-def current(spark: SparkSession, target: str, key: str = KEY) -> DataFrame:
-    """K5: one row per key, the one of the latest load."""
-    version = snapshot_version(spark, target)
-    snap = None
-    if version is not None:
-        # The version folder is read as a leaf, so no partition column appears.
-        snap = spark.read.parquet(_p(target, "snapshot", f"{VERSION}={version}"))
+def _latest_since(spark: SparkSession, target: str, version: int | None,
+                  key: str) -> DataFrame | None:
+    """Latest row per key over the batches after ``version``."""
     newer_ids = [b for b in batch_ids(spark, target) if version is None or b > version]
     if not newer_ids:
-        if snap is not None:
-            return snap
-        return spark.createDataFrame([], f"`{key}` string")
+        return None
     if len(newer_ids) == 1:
         # One batch is unique by key already: no aggregate, no shuffle.
-        latest = spark.read.parquet(_p(target, "log", f"{BATCH}={newer_ids[0]}"))
-    else:
-        newer = _log(spark, target).where(F.col(BATCH) > (version or 0))
-        latest = dedup(newer, [key], order_by=[BATCH]).drop(BATCH)
-    if snap is None:
+        return spark.read.parquet(_p(target, "log", f"{BATCH}={newer_ids[0]}"))
+    newer = _log(spark, target).where(F.col(BATCH) > (version or 0))
+    return dedup(newer, [key], order_by=[BATCH]).drop(BATCH)
+
+
+def _replace_keys(old: DataFrame | None, latest: DataFrame, key: str) -> DataFrame:
+    if old is None:
         return latest
-    kept = snap.join(latest.select(quoted(key).alias(key)), on=key, how="left_anti")
+    kept = old.join(latest.select(quoted(key).alias(key)), on=key, how="left_anti")
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
-def compact(spark: SparkSession, target: str, key: str = KEY) -> int | None:
-    """Write the current state as a snapshot so later reads start there.
+def current(spark: SparkSession, target: str, key: str = KEY) -> DataFrame:
+    """K5: one row per key, the one of the latest load."""
+    version = snapshot_version(spark, target)
+    snap = _snapshot(spark, target, _manifest(spark, target, version)) \
+        if version is not None else None
+    latest = _latest_since(spark, target, version, key)
+    if latest is None:
+        return snap if snap is not None else spark.createDataFrame([], f"`{key}` string")
+    return _replace_keys(snap, latest, key)
+
+
+def bucket_of(key_col, buckets: int):
+    """The snapshot bucket of a key: a stable hash, modulo ``buckets``."""
+    return F.pmod(F.xxhash64(key_col), F.lit(buckets)).cast("int")
+
+
+def compact(spark: SparkSession, target: str, key: str = KEY,
+            buckets: int = DEFAULT_BUCKETS) -> int | None:
+    """Fold the batches loaded since the snapshot into it.
 
-    Returns the snapshot's batch version (None when nothing was loaded).
+    Only buckets that hold a key loaded since are rewritten; the others keep
+    their folders. Returns the new snapshot version (the last batch folded
+    in), or None when nothing was loaded.
     """
     ids = batch_ids(spark, target)
     if not ids:
         return None
-    version = ids[-1]
-    if snapshot_version(spark, target) == version:
+    version, previous = ids[-1], snapshot_version(spark, target)
+    if previous == version:
         return version
-    state = current(spark, target, key)
-    state.write.mode("overwrite").parquet(_p(target, "snapshot", f"{VERSION}={version}"))
-    spark.createDataFrame([(version,)], "version long").write.mode("overwrite") \
-        .parquet(_p(target, "snapshot_done", f"{VERSION}={version}"))
+    manifest = _manifest(spark, target, previous) if previous is not None else []
+    if manifest:
+        buckets = manifest[0][2]  # fixed for the table's life
+    latest = _latest_since(spark, target, previous, key)
+    # The buckets to rewrite: a small set of ints, read from the key column only.
+    touched = sorted(int(r[0]) for r in latest.select(
+        bucket_of(quoted(key), buckets).alias(BUCKET)).distinct().collect())
+    live = {b: v for b, v, _n in manifest}
+    old = _snapshot(spark, target, [(b, live[b], buckets) for b in touched if b in live])
+    merged = _replace_keys(old, latest, key)
+    # rebalance: AQE splits a large bucket over several tasks and merges small
+    # ones, so files come out near the advisory size whatever the bucket size.
+    (merged.withColumn(BUCKET, bucket_of(quoted(key), buckets))
+        .hint("rebalance", BUCKET)
+        .write.mode("overwrite").partitionBy(BUCKET)
+        .parquet(_p(target, "snapshot", f"{SNAP_VERSION}={version}")))
+    live.update({b: version for b in touched})
+    rows = [(b, v, buckets) for b, v in sorted(live.items())]
+    (spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite")
+        .parquet(_p(target, "snapshot_done", f"{VERSION}={version}")))
     return version
 
 

@@ -122,3 +122,39 @@ def test_compact_every(spark, zone):
     assert tgt.snapshot_version(spark, cfg.target) == 2
     assert rows(tgt.current(spark, cfg.target), "id", "v") == \
         [("0", "a"), ("1", "v2"), ("2", "a")]
+
+
+def test_compaction_rewrites_only_touched_buckets(spark, tmp_path):
+    t = str(tmp_path / "t")
+    base = spark.range(200).select(F.col("id").cast("string").alias("id"),
+                                   F.lit("a").alias("v"))
+    tgt.upsert(base, t, 1)
+    assert tgt.compact(spark, t, buckets=8) == 1
+    assert len(files.child_dirs(spark, f"{t}/snapshot/_v=1")) == 8
+    tgt.upsert(spark.createDataFrame([("7", "b")], "id string, v string"), t, 2)
+    assert tgt.compact(spark, t) == 2
+    assert len(files.child_dirs(spark, f"{t}/snapshot/_v=2")) == 1  # one bucket rewritten
+    manifest = {r["bucket"]: r["v"] for r in spark.read.parquet(f"{t}/snapshot_done/v=2").collect()}
+    assert sorted(manifest.values()).count(2) == 1 and len(manifest) == 8
+    cur = tgt.current(spark, t)
+    assert cur.count() == 200
+    assert cur.where("v = 'b'").select("id").collect() == [("7",)]
+
+
+def test_unfinished_compaction_is_invisible(spark, tmp_path):
+    t = str(tmp_path / "t")
+    tgt.upsert(spark.createDataFrame([("1", "a")], "id string, v string"), t, 1)
+    tgt.compact(spark, t)
+    tgt.upsert(spark.createDataFrame([("1", "b")], "id string, v string"), t, 2)
+    # Snapshot files of version 2 written, manifest not: as if compaction died.
+    spark.createDataFrame([("1", "zzz")], "id string, v string").write \
+        .parquet(f"{t}/snapshot/_v=2/_bucket=0")
+    assert [tuple(r) for r in tgt.current(spark, t).collect()] == [("1", "b")]
+    assert tgt.compact(spark, t) == 2  # the retry overwrites version 2
+    assert [tuple(r) for r in tgt.current(spark, t).collect()] == [("1", "b")]
+
+
+def test_layout_columns_are_reserved(spark, tmp_path):
+    df = spark.createDataFrame([("1", 1)], "id string, _bucket int")
+    with pytest.raises(ValueError):
+        tgt.upsert(df, str(tmp_path / "t"), 1)
