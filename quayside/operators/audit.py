@@ -44,6 +44,23 @@ class LoadCounts:
     duplicates: int = 0
     written: int = 0
 
+    # The stage counts the original job prints, derived (A1, A2).
+    @property
+    def after_null_filter(self) -> int:
+        return self.read - self.null_rejected
+
+    @property
+    def after_dedup(self) -> int:
+        return self.after_null_filter - self.duplicates
+
+    @property
+    def ready(self) -> int:
+        return self.after_dedup
+
+    @property
+    def mapped(self) -> int:
+        return self.written
+
     def check(self) -> "LoadCounts":
         if self.read != self.null_rejected + self.duplicates + self.written:
             raise AuditMismatchError(f"counts do not add up: {self}")

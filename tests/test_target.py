@@ -158,3 +158,8 @@ def test_layout_columns_are_reserved(spark, tmp_path):
     df = spark.createDataFrame([("1", 1)], "id string, _bucket int")
     with pytest.raises(ValueError):
         tgt.upsert(df, str(tmp_path / "t"), 1)
+
+
+def test_stage_counts_derive_from_the_audit():
+    c = LoadCounts(read=10, null_rejected=2, duplicates=3, written=5).check()
+    assert (c.after_null_filter, c.after_dedup, c.ready, c.mapped) == (8, 5, 5, 5)
