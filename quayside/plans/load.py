@@ -96,6 +96,9 @@ def prepare(df: DataFrame, config: LoadConfig, source: str | None = None,
     Otherwise the dedup picks a survivor per key (sort aggregate, also
     combined map-side).
     """
+    if source is not None and source_column in df.columns:
+        # One key names the whole load: the per-row file column is not data.
+        df, source_column = df.drop(source_column), None
     if _content_fast_path(df, config, source):
         counted = _dedup_by_content(df, config, source)
     else:

@@ -186,3 +186,14 @@ def test_write_partitions_bounds_files(spark, zone):
     files = spark.read.parquet(f"{root}/target/log").inputFiles()
     assert len(files) == 1
     assert tgt.current(spark, f"{root}/target").count() == 200
+
+
+def test_multi_file_load_under_one_key(spark, zone):
+    root, write = zone
+    p1 = write("k1.csv", "name,city\nann,x\nbob,y\n")
+    p2 = write("k2.csv", "name,city\nann,x\n")
+    r = run_load(spark, [p1, p2], cfg(root), key="raw/batch.csv")
+    assert (r.counts.read, r.counts.duplicates, r.counts.written) == (3, 1, 2)
+    cur = tgt.current(spark, f"{root}/target")
+    assert cur.columns == ["id", "timestamp", "source_file", "name", "city"]
+    assert {x[0] for x in cur.select("source_file").collect()} == {"raw/batch.csv"}
