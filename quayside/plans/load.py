@@ -135,7 +135,7 @@ def _dedup_by_content(df: DataFrame, config: LoadConfig, source: str) -> DataFra
 
 def load_frame(spark: SparkSession, df: DataFrame, config: LoadConfig, source_label: str,
                source: str | None = None, root: str | None = None,
-               source_column: str | None = None) -> LoadResult:
+               source_column: str | None = None, note: str | None = None) -> LoadResult:
     """Run the load of an already scanned frame into ``config.target``."""
     tgt.ensure_target(spark, config.target, config.key)
     batch_id = config.batch_id or tgt.next_batch_id(spark, config.target)
@@ -157,7 +157,7 @@ def load_frame(spark: SparkSession, df: DataFrame, config: LoadConfig, source_la
         _store(spark, LoadResult(batch_id, source_label, config.target, LoadCounts(),
                                  FAILED, f"{type(exc).__name__}: {exc}"[:2000]))
         raise
-    result = LoadResult(batch_id, source_label, config.target, counts, SUCCESS)
+    result = LoadResult(batch_id, source_label, config.target, counts, SUCCESS, note)
     _store(spark, result)
     if config.compact_every:
         tgt.compact_if_due(spark, config.target, config.compact_every, config.key)

@@ -41,13 +41,16 @@ def stream_new_files(spark: SparkSession, raw_dir: str, glob: str = CSV_GLOB,
 
 
 def load_files(spark: SparkSession, paths: list[str], config: LoadConfig,
-               root: str | None, label: str) -> LoadResult | None:
-    """One load over a set of files that may differ in header."""
+               root: str | None, label: str, missing: int = 0) -> LoadResult | None:
+    """One load over a set of files that may differ in header; ``missing``
+    counts notified files that were gone, noted in the audit message."""
     if not paths:
         return None
     options = dict(escape=config.escape, multi_line=config.multi_line, **config.csv_options)
     df = read_csv_files(spark, sorted(paths), same_header=config.same_header, **options)
-    return load_frame(spark, df, config, label, root=root, source_column=FILE_COLUMN)
+    note = f"{missing} notified file(s) missing" if missing else None
+    return load_frame(spark, df, config, label, root=root, source_column=FILE_COLUMN,
+                      note=note)
 
 
 def start_stream(spark: SparkSession, raw_dir: str, config: LoadConfig, checkpoint: str,

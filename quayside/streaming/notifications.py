@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators.audit import already_loaded
+from quayside.plans import files
 from quayside.plans.load import LoadConfig, LoadResult
 from quayside.sources.notify import LOAD, route_notifications
 from quayside.streaming.files import load_files
@@ -41,8 +42,7 @@ def start_notifications(spark: SparkSession, messages: DataFrame, config: LoadCo
     def on_batch(batch: DataFrame, epoch: int) -> None:
         routed = route_notifications(batch, json_col)
         if routing_dir:
-            routed.withColumn("epoch", F.lit(epoch)).write.mode("overwrite") \
-                .parquet(f"{routing_dir.rstrip('/')}/epoch={epoch}")
+            routed.write.mode("overwrite").parquet(f"{routing_dir.rstrip('/')}/epoch={epoch}")
         # Only keys of files to load come to the driver.
         todo = (routed.where(F.col("status") == LOAD)
                 .select("bucket", "key").distinct().collect())
@@ -54,7 +54,10 @@ def start_notifications(spark: SparkSession, messages: DataFrame, config: LoadCo
             if already_loaded(spark, config.target, label):
                 continue  # replayed after a restart: this load is done
             paths = [f"{zone}/{k}" for k in sorted(keys)]
-            res = load_files(spark, paths, config, zone, label)
+            # A file removed since its notification is skipped, not fatal.
+            present = [p for p in paths if files.exists(spark, p)]
+            res = load_files(spark, present, config, zone, label,
+                             missing=len(paths) - len(present))
             if res is not None:
                 results.append(res)
 

@@ -107,3 +107,19 @@ def test_replayed_epoch_is_not_loaded_twice(spark, zone, tmp_path):
     assert replay == []
     assert tgt.batch_ids(spark, cfg.target) == [1]
     assert rows(tgt.current(spark, cfg.target), "id", "v") == [("1", "a")]
+
+
+def test_missing_and_empty_files_in_a_batch(spark, zone, tmp_path):
+    root, write = zone
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    rec = '{"s3":{"bucket":{"name":"b"},"object":{"key":"%s"}}}'
+    write("full.csv", "id,v\n1,a\n")
+    write("empty.csv", "")
+    (inbox / "m.json").write_text('{"Records":[%s,%s,%s]}\n' % (
+        rec % "raw/full.csv", rec % "raw/empty.csv", rec % "raw/gone.csv"))
+    cfg = LoadConfig(target=f"{root}/target", ts=TS)
+    res = run_notifications(spark, stream_messages(spark, str(inbox)), cfg,
+                            str(tmp_path / "ckpt"), root)
+    assert [(r.counts.written, r.message) for r in res] == [(1, "1 notified file(s) missing")]
+    assert rows(tgt.current(spark, cfg.target), "id", "v") == [("1", "a")]
