@@ -197,3 +197,15 @@ def test_multi_file_load_under_one_key(spark, zone):
     cur = tgt.current(spark, f"{root}/target")
     assert cur.columns == ["id", "timestamp", "source_file", "name", "city"]
     assert {x[0] for x in cur.select("source_file").collect()} == {"raw/batch.csv"}
+
+
+def test_failed_write_is_audited_then_raised(spark, zone):
+    root, write = zone
+    p = write("bad.csv", "id,n\n1,x\n2,y\n")
+    bad = LoadConfig(target=f"{root}/target", ts=TS,
+                     mappings=(("id", "string", "id", "string"), ("n", "string", "n", "int")))
+    with pytest.raises(Exception):
+        run_load(spark, p, bad, key="raw/bad.csv")
+    audit = read_audit(spark, f"{root}/target").collect()
+    assert [a.status for a in audit] == ["FAILED"]
+    assert audit[0].message and "CAST" in audit[0].message.upper()
