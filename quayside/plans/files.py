@@ -58,3 +58,32 @@ def total_size(spark: SparkSession, uris: list[str]) -> int:
         p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
         total += int(p.getFileSystem(conf).getFileStatus(p).getLen())
     return total
+
+
+def try_lock(spark: SparkSession, path: str, owner: str, stale_after_s: float) -> bool:
+    """Create ``path`` exclusively; true when this caller now holds it.
+
+    A lock older than ``stale_after_s`` (its holder died) is taken over.
+    """
+    import time
+
+    fs, p = _fs(spark, path)
+    for _ in range(2):
+        try:
+            out = fs.create(p, False)  # fails if the file exists
+            out.write(owner.encode("utf-8"))
+            out.close()
+            return True
+        except Exception:
+            if not fs.exists(p):
+                continue
+            age = time.time() - fs.getFileStatus(p).getModificationTime() / 1000.0
+            if age < stale_after_s:
+                return False
+            fs.delete(p, False)
+    return False
+
+
+def unlock(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, False)

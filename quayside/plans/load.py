@@ -48,6 +48,7 @@ class LoadConfig:
     same_header: bool = False
     write_partitions: int | None = None
     compact_every: int | None = None
+    lock_wait_seconds: float = 0.0
     batch_id: int | None = None
     csv_options: dict = field(default_factory=dict)
 
@@ -136,8 +137,17 @@ def _dedup_by_content(df: DataFrame, config: LoadConfig, source: str) -> DataFra
 def load_frame(spark: SparkSession, df: DataFrame, config: LoadConfig, source_label: str,
                source: str | None = None, root: str | None = None,
                source_column: str | None = None, note: str | None = None) -> LoadResult:
-    """Run the load of an already scanned frame into ``config.target``."""
+    """Run the load of an already scanned frame into ``config.target``.
+
+    The target is held for the whole load (P5): batch id, write, audit.
+    """
     tgt.ensure_target(spark, config.target, config.key)
+    with tgt.load_lock(spark, config.target, config.lock_wait_seconds):
+        return _load_locked(spark, df, config, source_label, source, root, source_column,
+                            note)
+
+
+def _load_locked(spark, df, config, source_label, source, root, source_column, note):
     batch_id = config.batch_id or tgt.next_batch_id(spark, config.target)
     if is_empty(df):
         result = LoadResult(batch_id, source_label, config.target, LoadCounts(), EMPTY,

@@ -26,6 +26,7 @@ fails half-way is invisible, and a retried one overwrites its own folder.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,39 @@ def ensure_target(spark: SparkSession, target: str, key: str = KEY) -> bool:
     return True
 
 
+class LoadInProgressError(RuntimeError):
+    """Another load holds the target (the original refuses such a run)."""
+
+
+# Fixed value: a lock older than the original job's time limit is stale.
+LOCK_STALE_AFTER_S = 60 * 60
+
+
+@contextmanager
+def load_lock(spark: SparkSession, target: str, wait_s: float = 0.0,
+              stale_after_s: float = LOCK_STALE_AFTER_S):
+    """P5: one load at a time per target.
+
+    The lock is a file created exclusively through the cluster's file
+    system; a second load is refused (or waits up to ``wait_s``).
+    """
+    import os
+    import socket
+    import time
+
+    path = _p(target, "_lock")
+    owner = f"{socket.gethostname()}:{os.getpid()}:{time.time()}"
+    deadline = time.time() + wait_s
+    while not files.try_lock(spark, path, owner, stale_after_s):
+        if time.time() >= deadline:
+            raise LoadInProgressError(f"another load holds {path}")
+        time.sleep(min(1.0, max(0.05, deadline - time.time())))
+    try:
+        yield
+    finally:
+        files.unlock(spark, path)
+
+
 def drop_target(spark: SparkSession, target: str) -> bool:
     """K4: delete the table if it exists; no error when it does not."""
     return files.delete(spark, target)

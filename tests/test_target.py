@@ -163,3 +163,40 @@ def test_layout_columns_are_reserved(spark, tmp_path):
 def test_stage_counts_derive_from_the_audit():
     c = LoadCounts(read=10, null_rejected=2, duplicates=3, written=5).check()
     assert (c.after_null_filter, c.after_dedup, c.ready, c.mapped) == (8, 5, 5, 5)
+
+
+def test_second_load_is_refused_while_one_runs(spark, zone):
+    import threading
+
+    root, write = zone
+    p = write("a.csv", "id,v\n1,a\n")
+    cfg = LoadConfig(target=f"{root}/t", ts=TS)
+    with tgt.load_lock(spark, cfg.target):
+        with pytest.raises(tgt.LoadInProgressError):
+            run_load(spark, p, cfg, key="raw/a.csv")
+    assert tgt.batch_ids(spark, cfg.target) == []
+    # Waiting instead of refusing: the holder lets go after a moment.
+    held = threading.Event()
+
+    def hold():
+        with tgt.load_lock(spark, cfg.target):
+            held.set()
+            threading.Event().wait(1.5)
+
+    t = threading.Thread(target=hold)
+    t.start()
+    held.wait()
+    r = run_load(spark, p, cfg.with_(lock_wait_seconds=30), key="raw/a.csv")
+    t.join()
+    assert r.counts.written == 1 and not files.exists(spark, f"{cfg.target}/_lock")
+
+
+def test_stale_lock_is_taken_over(spark, tmp_path):
+    t = str(tmp_path / "t")
+    assert files.try_lock(spark, f"{t}/_lock", "dead holder", 3600)
+    with pytest.raises(tgt.LoadInProgressError):
+        with tgt.load_lock(spark, t):
+            pass
+    with tgt.load_lock(spark, t, stale_after_s=0):
+        pass
+    assert not files.exists(spark, f"{t}/_lock")
