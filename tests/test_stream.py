@@ -123,3 +123,26 @@ def test_missing_and_empty_files_in_a_batch(spark, zone, tmp_path):
                             str(tmp_path / "ckpt"), root)
     assert [(r.counts.written, r.message) for r in res] == [(1, "1 notified file(s) missing")]
     assert rows(tgt.current(spark, cfg.target), "id", "v") == [("1", "a")]
+
+
+def test_running_stream_picks_up_new_arrivals(spark, zone, tmp_path):
+    import time
+
+    from quayside.streaming.files import start_stream
+
+    root, write = zone
+    write("first.csv", "id,v\n1,a\n")
+    cfg = LoadConfig(target=f"{root}/target", ts=TS)
+    query, results = start_stream(spark, f"{root}/raw", cfg, str(tmp_path / "ckpt"),
+                                  available_now=False, processing_time="1 second")
+    try:
+        deadline = time.time() + 60
+        while len(results) < 1 and time.time() < deadline:
+            time.sleep(0.5)
+        write("second.csv", "id,v\n2,b\n")
+        while len(results) < 2 and time.time() < deadline:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert [r.counts.written for r in results] == [1, 1]
+    assert rows(tgt.current(spark, cfg.target), "id", "v") == [("1", "a"), ("2", "b")]
