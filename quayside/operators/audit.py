@@ -99,27 +99,42 @@ def count_load(df: DataFrame, key: str) -> DataFrame:
     return sizes.agg(*load_metrics())
 
 
+def audit_record(batch_id: int, source: str, target: str, counts: LoadCounts,
+                 status: str, message: str | None = None) -> dict:
+    """A3: the summary of a load as a record (A4 uses status ``FAILED``)."""
+    return {"batch_id": int(batch_id), "source_file": source, "target": target,
+            "read": counts.read, "null_rejected": counts.null_rejected,
+            "duplicates": counts.duplicates, "written": counts.written,
+            "status": status, "message": message}
+
+
 def audit_row(spark: SparkSession, batch_id: int, source: str, target: str,
               counts: LoadCounts, status: str, message: str | None = None) -> DataFrame:
-    """A3: the one-row summary of a load (A4 uses status ``FAILED``)."""
-    return spark.createDataFrame(
-        [(int(batch_id), source, target, counts.read, counts.null_rejected,
-          counts.duplicates, counts.written, status, message)], AUDIT_SCHEMA)
+    """A3 as a one-row DataFrame."""
+    rec = audit_record(batch_id, source, target, counts, status, message)
+    return spark.createDataFrame([tuple(rec.values())], AUDIT_SCHEMA)
 
 
 def audit_path(target: str) -> str:
     return f"{target.rstrip('/')}/_audit"
 
 
-def write_audit(row: DataFrame, target: str, batch_id: int) -> None:
-    """Store the audit row under its batch, replacing a retried batch's row."""
-    (row.drop("batch_id").coalesce(1).write.mode("overwrite")
-        .parquet(f"{audit_path(target)}/batch_id={int(batch_id)}"))
+def write_audit(spark: SparkSession, record: dict, target: str) -> None:
+    """Store the audit record of one batch, replacing a retried batch's.
+
+    One small JSON file per batch, written from the driver through the
+    cluster's file system: a control record, so no Spark job is started
+    for it.
+    """
+    import json
+
+    from quayside.plans.files import write_text
+    path = f"{audit_path(target)}/batch-{int(record['batch_id'])}.json"
+    write_text(spark, path, json.dumps(record) + "\n")
 
 
 def read_audit(spark: SparkSession, target: str) -> DataFrame:
-    cols = [c.split(" ")[0] for c in AUDIT_SCHEMA.split(", ")]
-    return spark.read.parquet(audit_path(target)).select(*cols)
+    return spark.read.schema(AUDIT_SCHEMA).json(audit_path(target))
 
 
 def already_loaded(spark: SparkSession, target: str, source_label: str) -> bool:

@@ -19,6 +19,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def mkdirs(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write (or replace) one small file; for control records only."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Remove ``path`` and everything under it; false if it was absent."""
     fs, p = _fs(spark, path)
@@ -71,7 +86,7 @@ def try_lock(spark: SparkSession, path: str, owner: str, stale_after_s: float) -
     for _ in range(2):
         try:
             out = fs.create(p, False)  # fails if the file exists
-            out.write(owner.encode("utf-8"))
+            out.write(bytearray(owner.encode("utf-8")))
             out.close()
             return True
         except Exception:

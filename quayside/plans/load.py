@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.hashing import quoted
 from quayside.functions.paths import check_format
-from quayside.operators.audit import (EMPTY, FAILED, SUCCESS, LoadCounts, audit_row,
+from quayside.operators.audit import (EMPTY, FAILED, SUCCESS, LoadCounts, audit_record,
                                       observe_load, write_audit)
 from quayside.functions.hashing import check_profile
 from quayside.operators.columns import (COLLISION_POLICIES, KEY, LOAD_TIME, SOURCE_FILE, TARGET_TIME, add_metadata,
@@ -196,5 +196,5 @@ def run_load(spark: SparkSession, path: str | Sequence[str], config: LoadConfig,
 
 
 def _store(spark: SparkSession, r: LoadResult) -> None:
-    write_audit(audit_row(spark, r.batch_id, r.source, r.target, r.counts, r.status,
-                          r.message), r.target, r.batch_id)
+    write_audit(spark, audit_record(r.batch_id, r.source, r.target, r.counts, r.status,
+                                    r.message), r.target)

@@ -3,11 +3,11 @@
 Parquet has no keyed update, so the table is an append log plus a bucketed
 snapshot::
 
-    <target>/_target/                        marker written by ensure_target (K1)
+    <target>/_target/key=<key>/              marker made by ensure_target (K1)
     <target>/log/_batch_id=<n>/              one load, unique by key (K2)
     <target>/snapshot/_v=<n>/_bucket=<k>/    rows of bucket k as of batch n
     <target>/snapshot_done/v=<n>/            manifest: live version of each bucket
-    <target>/_audit/batch_id=<n>/            the load's audit row
+    <target>/_audit/batch-<n>.json           the load's audit record
 
 Each batch is written with ``overwrite`` into its own folder, so a retried
 batch replaces itself. The current state (K5) is the snapshot, less the keys
@@ -59,7 +59,7 @@ def ensure_target(spark: SparkSession, target: str, key: str = KEY) -> bool:
     marker = _p(target, "_target")
     if files.exists(spark, marker):
         return False
-    spark.createDataFrame([], f"`{key}` string").coalesce(1).write.mode("ignore").parquet(marker)
+    files.mkdirs(spark, _p(marker, f"key={key}"))
     return True
 
 
