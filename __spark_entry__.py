@@ -137,6 +137,24 @@ def q_ingest_csv_roundtrip(spark, sf_dir):
     return tgt.current(spark, cfg.target)
 
 
+def _csv_round_trip(spark, sf_dir, table, label):
+    zone = scratch_dir(spark, label)
+    raw = land_csv(_t(spark, sf_dir, table), f"{zone}/raw", f"{table}.csv")
+    cfg = LoadConfig(target=f"{zone}/target", ts=TS)
+    run_load(spark, raw, cfg, key=f"raw/{table}.csv")
+    return tgt.current(spark, cfg.target)
+
+
+def q_ingest_documents_csv(spark, sf_dir):
+    """Whole texts with quotes and line breaks through CSV and a load."""
+    return _csv_round_trip(spark, sf_dir, "documents", "documents")
+
+
+def q_ingest_pages_csv(spark, sf_dir):
+    """Raw HTML pages through CSV and a load."""
+    return _csv_round_trip(spark, sf_dir, "pages", "pages")
+
+
 def q_load_run_audit(spark, sf_dir):
     zone = scratch_dir(spark, "audit")
     ev = _t(spark, sf_dir, "events").select(
@@ -276,6 +294,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_hot_key": q_ingest_hot_key,
         "dedup_conversations": q_dedup_conversations,
         "ingest_csv_roundtrip": q_ingest_csv_roundtrip,
+        "ingest_documents_csv": q_ingest_documents_csv,
+        "ingest_pages_csv": q_ingest_pages_csv,
         "load_run_audit": q_load_run_audit,
         "upsert_two_loads": q_upsert_two_loads,
         "upsert_compacted": q_upsert_compacted,
@@ -318,6 +338,9 @@ _CUSTOMER_TEXT = f"""SELECT {_txt('c_custkey')} AS c_custkey, c_name,
        c_mktsegment FROM customer"""
 _CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 _DOC_ID = _content_id(["text", "lang", "source"])
+_DOCS_TEXT = ("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, "
+              "CAST(n_chars AS VARCHAR) AS n_chars FROM documents")
+_PAGES_TEXT = "SELECT CAST(page_id AS VARCHAR) AS page_id, url, html FROM pages"
 
 
 def _ingested(text_sql: str, cols: list[str], source: str | None) -> str:
@@ -424,6 +447,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * FROM conversations QUALIFY row_number() OVER "
             "(PARTITION BY conv_id ORDER BY turn DESC) = 1"),
         "ingest_csv_roundtrip": _ingested(_CUSTOMER_TEXT, _CUSTOMER_COLS, "raw/customer.csv"),
+        "ingest_documents_csv": _ingested(
+            _DOCS_TEXT, ["doc_id", "text", "lang", "source", "n_chars"], "raw/documents.csv"),
+        "ingest_pages_csv": _ingested(_PAGES_TEXT, ["page_id", "url", "html"], "raw/pages.csv"),
         "load_run_audit": (
             "SELECT count(*) AS read, count(*) FILTER (WHERE event_type = 'error') "
             "AS null_rejected, count(*) FILTER (WHERE event_type <> 'error') - "
