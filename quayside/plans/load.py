@@ -16,12 +16,12 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.hashing import quoted
+from quayside.functions.hashing import check_profile, quoted, row_hash
 from quayside.functions.paths import check_format
 from quayside.operators.audit import (EMPTY, FAILED, SUCCESS, LoadCounts, audit_record,
                                       observe_load, write_audit)
-from quayside.functions.hashing import check_profile
-from quayside.operators.columns import (COLLISION_POLICIES, KEY, LOAD_TIME, SOURCE_FILE, TARGET_TIME, add_metadata,
+from quayside.operators.columns import (COLLISION_POLICIES, KEY, LOAD_TIME, SOURCE_FILE,
+                                        TARGET_TIME, add_metadata,
                                         apply_mapping, ensure_id, find_column, load_time,
                                         resolve_collisions)
 from quayside.operators.quality import COPIES, GROUP, dedup_counted, dedup_rows, spread
@@ -100,7 +100,7 @@ def prepare(df: DataFrame, config: LoadConfig, source: str | None = None,
     if source is not None and source_column in df.columns:
         # One key names the whole load: the per-row file column is not data.
         df, source_column = df.drop(source_column), None
-    if _content_fast_path(df, config, source):
+    if _content_key(df, config) and source is not None:
         counted = _dedup_by_content(df, config, source)
     else:
         df = add_metadata(df, source, config.ts, root=root, on_collision=config.on_collision,
@@ -118,9 +118,10 @@ def prepare(df: DataFrame, config: LoadConfig, source: str | None = None,
     return mapped, obs
 
 
-def _content_fast_path(df: DataFrame, config: LoadConfig, source: str | None) -> bool:
-    return (config.profile == "content" and source is not None
-            and find_column(df, config.key) is None
+def _content_key(df: DataFrame, config: LoadConfig) -> bool:
+    """True when the key will be the content hash and nothing else is
+    required: equal keys are then exactly equal rows."""
+    return (config.profile == "content" and find_column(df, config.key) is None
             and all(r.lower() == config.key.lower() for r in config.required))
 
 

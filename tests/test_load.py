@@ -209,3 +209,17 @@ def test_failed_write_is_audited_then_raised(spark, zone):
     audit = read_audit(spark, f"{root}/target").collect()
     assert [a.status for a in audit] == ["FAILED"]
     assert audit[0].message and "CAST" in audit[0].message.upper()
+
+
+def test_multi_file_content_load_survivor_is_last_file(spark, zone):
+    """A row held by several files is kept once, naming the last file in
+    key order (the survivor rule of the dedup)."""
+    root, write = zone
+    p1 = write("a b.csv", "v,n\nx,1\ny,2\n")
+    p2 = write("c+d.csv", "v,n\nx,1\nz,3\n")
+    p3 = write("sub/e%41.csv", "v,n\ny,2\n")
+    r = run_load(spark, [p1, p2, p3], cfg(root), root=root)
+    assert (r.counts.read, r.counts.duplicates, r.counts.written) == (5, 2, 3)
+    got = rows(tgt.current(spark, f"{root}/target"), "v", "n", "source_file")
+    assert got == [("x", "1", "raw/c+d.csv"), ("y", "2", "raw/sub/e%41.csv"),
+                   ("z", "3", "raw/c+d.csv")]
