@@ -26,7 +26,7 @@ from quayside.operators.quality import COPIES, GROUP
 
 AUDIT_SCHEMA = ("batch_id long, source_file string, target string, read long, "
                 "null_rejected long, duplicates long, written long, status string, "
-                "message string")
+                "message string, source_schema string")
 
 SUCCESS = "SUCCESS"
 EMPTY = "EMPTY"
@@ -100,18 +100,21 @@ def count_load(df: DataFrame, key: str) -> DataFrame:
 
 
 def audit_record(batch_id: int, source: str, target: str, counts: LoadCounts,
-                 status: str, message: str | None = None) -> dict:
-    """A3: the summary of a load as a record (A4 uses status ``FAILED``)."""
+                 status: str, message: str | None = None,
+                 source_schema: str | None = None) -> dict:
+    """A3: the summary of a load as a record (A4 uses status ``FAILED``);
+    ``source_schema`` is the scanned schema as ``name type`` pairs (T9)."""
     return {"batch_id": int(batch_id), "source_file": source, "target": target,
             "read": counts.read, "null_rejected": counts.null_rejected,
             "duplicates": counts.duplicates, "written": counts.written,
-            "status": status, "message": message}
+            "status": status, "message": message, "source_schema": source_schema}
 
 
 def audit_row(spark: SparkSession, batch_id: int, source: str, target: str,
-              counts: LoadCounts, status: str, message: str | None = None) -> DataFrame:
+              counts: LoadCounts, status: str, message: str | None = None,
+              source_schema: str | None = None) -> DataFrame:
     """A3 as a one-row DataFrame."""
-    rec = audit_record(batch_id, source, target, counts, status, message)
+    rec = audit_record(batch_id, source, target, counts, status, message, source_schema)
     return spark.createDataFrame([tuple(rec.values())], AUDIT_SCHEMA)
 
 

@@ -10,6 +10,7 @@ checked to add up before the audit row is stored.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
@@ -30,6 +31,9 @@ from quayside.sources.csv import (DEFAULT_ESCAPE, FILE_COLUMN, is_empty, read_cs
                                   read_csv_files)
 
 
+log = logging.getLogger("quayside.load")
+
+
 @dataclass(frozen=True)
 class LoadConfig:
     """Everything a load takes besides the input."""
@@ -80,6 +84,7 @@ class LoadResult:
     counts: LoadCounts
     status: str
     message: str | None = None
+    source_schema: str | None = None
 
 
 def prepare(df: DataFrame, config: LoadConfig, source: str | None = None,
@@ -150,9 +155,11 @@ def load_frame(spark: SparkSession, df: DataFrame, config: LoadConfig, source_la
 
 def _load_locked(spark, df, config, source_label, source, root, source_column, note):
     batch_id = config.batch_id or tgt.next_batch_id(spark, config.target)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields
+                       if f.name != source_column)
     if is_empty(df):
         result = LoadResult(batch_id, source_label, config.target, LoadCounts(), EMPTY,
-                            "no records in source")
+                            "no records in source", schema)
         _store(spark, result)
         return result
     if source is None and source_column is None:
@@ -165,10 +172,11 @@ def _load_locked(spark, df, config, source_label, source, root, source_column, n
         tgt.upsert(mapped, config.target, batch_id, config.key, config.write_partitions)
         counts = LoadCounts.from_metrics(obs.get).check()
     except Exception as exc:
-        _store(spark, LoadResult(batch_id, source_label, config.target, LoadCounts(),
-                                 FAILED, f"{type(exc).__name__}: {exc}"[:2000]))
+        failed = LoadResult(batch_id, source_label, config.target, LoadCounts(), FAILED,
+                            f"{type(exc).__name__}: {exc}"[:2000], schema)
+        _store(spark, failed)
         raise
-    result = LoadResult(batch_id, source_label, config.target, counts, SUCCESS, note)
+    result = LoadResult(batch_id, source_label, config.target, counts, SUCCESS, note, schema)
     _store(spark, result)
     if config.compact_every:
         tgt.compact_if_due(spark, config.target, config.compact_every, config.key)
@@ -198,4 +206,8 @@ def run_load(spark: SparkSession, path: str | Sequence[str], config: LoadConfig,
 
 def _store(spark: SparkSession, r: LoadResult) -> None:
     write_audit(spark, audit_record(r.batch_id, r.source, r.target, r.counts, r.status,
-                                    r.message), r.target)
+                                    r.message, r.source_schema), r.target)
+    log.info("load %s batch %s into %s: read %d, null rejected %d, duplicates %d, "
+             "written %d, status %s%s", r.source, r.batch_id, r.target, r.counts.read,
+             r.counts.null_rejected, r.counts.duplicates, r.counts.written, r.status,
+             f" ({r.message})" if r.message else "")

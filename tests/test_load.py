@@ -223,3 +223,10 @@ def test_multi_file_content_load_survivor_is_last_file(spark, zone):
     got = rows(tgt.current(spark, f"{root}/target"), "v", "n", "source_file")
     assert got == [("x", "1", "raw/c+d.csv"), ("y", "2", "raw/sub/e%41.csv"),
                    ("z", "3", "raw/c+d.csv")]
+
+
+def test_audit_records_the_source_schema(spark, zone):
+    root, write = zone
+    p = write("s.csv", "id,name\n1,a\n")
+    run_load(spark, p, cfg(root), key="raw/s.csv")
+    assert read_audit(spark, f"{root}/target").first().source_schema == "id string, name string"
