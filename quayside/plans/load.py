@@ -172,6 +172,8 @@ def _load_locked(spark, df, config, source_label, source, root, source_column, n
         tgt.upsert(mapped, config.target, batch_id, config.key, config.write_partitions)
         counts = LoadCounts.from_metrics(obs.get).check()
     except Exception as exc:
+        # Nothing of a failed load stays readable: its batch folder goes.
+        tgt.drop_batch(spark, config.target, batch_id)
         failed = LoadResult(batch_id, source_label, config.target, LoadCounts(), FAILED,
                             f"{type(exc).__name__}: {exc}"[:2000], schema)
         _store(spark, failed)

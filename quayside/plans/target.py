@@ -128,6 +128,11 @@ def upsert(df: DataFrame, target: str, batch_id: int, key: str = KEY,
     return path
 
 
+def drop_batch(spark: SparkSession, target: str, batch_id: int) -> bool:
+    """Remove one batch of the log (a failed load's partial output)."""
+    return files.delete(spark, _p(target, "log", f"{BATCH}={int(batch_id)}"))
+
+
 def snapshot_version(spark: SparkSession, target: str) -> int | None:
     done = files.partition_values(spark, _p(target, "snapshot_done"), VERSION)
     return done[-1] if done else None

@@ -209,6 +209,8 @@ def test_failed_write_is_audited_then_raised(spark, zone):
     audit = read_audit(spark, f"{root}/target").collect()
     assert [a.status for a in audit] == ["FAILED"]
     assert audit[0].message and "CAST" in audit[0].message.upper()
+    assert tgt.batch_ids(spark, f"{root}/target") == []
+    assert tgt.current(spark, f"{root}/target").count() == 0
 
 
 def test_multi_file_content_load_survivor_is_last_file(spark, zone):
@@ -230,3 +232,14 @@ def test_audit_records_the_source_schema(spark, zone):
     p = write("s.csv", "id,name\n1,a\n")
     run_load(spark, p, cfg(root), key="raw/s.csv")
     assert read_audit(spark, f"{root}/target").first().source_schema == "id string, name string"
+
+
+def test_all_rows_rejected_leaves_a_readable_target(spark, zone):
+    root, write = zone
+    p = write("allnull.csv", "id,v\n,a\n,b\n")
+    r = run_load(spark, p, cfg(root), key="raw/allnull.csv")
+    assert (r.counts.read, r.counts.null_rejected, r.counts.written) == (2, 2, 0)
+    assert tgt.current(spark, f"{root}/target").count() == 0
+    q = write("one.csv", "id,v\n1,a\n")
+    run_load(spark, q, cfg(root), key="raw/one.csv")
+    assert rows(tgt.current(spark, f"{root}/target"), "id", "v") == [("1", "a")]
