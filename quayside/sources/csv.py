@@ -15,6 +15,8 @@ SEPARATOR = ","
 QUOTE = '"'
 DEFAULT_ESCAPE = '"'   # a doubled quote inside a quoted field; "\\" on request
 MEGABYTE = 1024 * 1024
+# Column naming each row's file in multi-file scans.
+FILE_COLUMN = "_file"
 
 
 def csv_reader(spark: SparkSession, *, sep: str = SEPARATOR, quote: str = QUOTE,
@@ -52,9 +54,6 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], **options) -> Data
     return csv_reader(spark, **options).load(list(paths))
 
 
-FILE_COLUMN = "_file"
-
-
 HEADER_PEEK_THREADS = 32
 
 
