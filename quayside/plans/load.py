@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.hashing import check_profile, quoted, row_hash
-from quayside.functions.paths import check_format
+from quayside.functions.paths import CSV_GLOB, UnsupportedFormatError, check_format
 from quayside.operators.audit import (EMPTY, FAILED, SUCCESS, LoadCounts, audit_record,
                                       observe_load, write_audit)
 from quayside.operators.columns import (COLLISION_POLICIES, KEY, LOAD_TIME, SOURCE_FILE,
@@ -26,6 +26,7 @@ from quayside.operators.columns import (COLLISION_POLICIES, KEY, LOAD_TIME, SOUR
                                         apply_mapping, ensure_id, find_column, load_time,
                                         resolve_collisions)
 from quayside.operators.quality import COPIES, GROUP, dedup_counted, dedup_rows, spread
+from quayside.plans import files
 from quayside.plans import target as tgt
 from quayside.sources.csv import (DEFAULT_ESCAPE, FILE_COLUMN, is_empty, read_csv,
                                   read_csv_files)
@@ -189,19 +190,41 @@ def run_load(spark: SparkSession, path: str | Sequence[str], config: LoadConfig,
              key: str | None = None, root: str | None = None) -> LoadResult:
     """Load headered CSV at ``path`` into the keyed target.
 
-    ``key`` is the object key recorded as ``source_file`` (the reference
-    records the key, not the URI); without it each row records its own file,
-    less ``root``. The format gate runs before the target is touched (D12).
+    ``path`` is a file, a folder or a list of them. ``key`` is the object
+    key recorded as ``source_file`` (the reference records the key, not the
+    URI); without it each row records its own file, less ``root``. The
+    format gate runs before the target is touched (D12): a file must end in
+    ``.csv``; from a folder, the ``.csv`` files are taken (any case, not
+    recursive), and a folder without one is refused. Files whose headers
+    differ are read per header, unless ``same_header`` says they share one.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    for p in ([key] if key else paths):
-        check_format(p)
+    if key:
+        check_format(key)
     options = dict(escape=config.escape, multi_line=config.multi_line, **config.csv_options)
+    inputs: list[str] = []
+    for p in paths:
+        if files.is_dir(spark, p):
+            if config.same_header:
+                inputs.append(p)  # read as one scan; Spark lists it
+                continue
+            # Names only: the binary-file source lists without reading contents.
+            listed = (spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB)
+                      .load(p).inputFiles())
+            if not listed:
+                raise UnsupportedFormatError(f"no CSV files in {p}")
+            inputs.extend(sorted(listed))
+        else:
+            if not key:
+                check_format(p)
+            inputs.append(p)
+    if config.same_header:
+        options["glob"] = CSV_GLOB
     label = key or ",".join(paths)
-    if len(paths) == 1:
-        df = read_csv(spark, paths, **options)
+    if len(inputs) == 1 or config.same_header:
+        df = read_csv(spark, inputs, **options)
         return load_frame(spark, df, config, label, source=key, root=root)
-    df = read_csv_files(spark, paths, same_header=config.same_header, **options)
+    df = read_csv_files(spark, inputs, **options)
     return load_frame(spark, df, config, label, source=key, root=root,
                       source_column=FILE_COLUMN)
 

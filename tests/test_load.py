@@ -243,3 +243,13 @@ def test_all_rows_rejected_leaves_a_readable_target(spark, zone):
     q = write("one.csv", "id,v\n1,a\n")
     run_load(spark, q, cfg(root), key="raw/one.csv")
     assert rows(tgt.current(spark, f"{root}/target"), "id", "v") == [("1", "a")]
+
+
+def test_folder_with_mixed_headers_is_read_per_header(spark, zone):
+    root, write = zone
+    write("mixed/p1.csv", "id,a\n1,x\n")
+    write("mixed/p2.csv", "a,id\ny,2\n")
+    r = run_load(spark, f"{root}/raw/mixed", cfg(root), root=root)
+    assert r.counts.written == 2
+    assert rows(tgt.current(spark, f"{root}/target"), "id", "a", "source_file") == [
+        ("1", "x", "raw/mixed/p1.csv"), ("2", "y", "raw/mixed/p2.csv")]
