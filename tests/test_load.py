@@ -253,3 +253,25 @@ def test_folder_with_mixed_headers_is_read_per_header(spark, zone):
     assert r.counts.written == 2
     assert rows(tgt.current(spark, f"{root}/target"), "id", "a", "source_file") == [
         ("1", "x", "raw/mixed/p1.csv"), ("2", "y", "raw/mixed/p2.csv")]
+
+
+@pytest.mark.parametrize("header", ["name,city", "id,name"])
+def test_load_plan_combines_before_its_shuffle(spark, zone, header):
+    """Both dedup paths aggregate map-side, so a key or a row repeated a
+    third of the time reaches the shuffle once per task; the counts are
+    taken above the shuffle."""
+    from quayside.plans.load import prepare
+    from quayside.sources.csv import read_csv
+
+    root, write = zone
+    body = "".join(f"{'hot' if i % 3 == 0 else i},c{i % 3}\n" for i in range(300))
+    p = write("hot.csv", header + "\n" + body)
+    mapped, obs = prepare(read_csv(spark, p), cfg(root), source="raw/hot.csv")
+    plan = mapped._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange hashpartitioning")
+    assert "partial_" in plan[exchange:], "map-side aggregate below the shuffle"
+    assert plan.index("CollectMetrics") < exchange, "counts taken above the shuffle"
+    mapped.write.format("noop").mode("overwrite").save()
+    counts = obs.get
+    assert counts["read"] == 300
+    assert counts["read"] == counts["null_rejected"] + counts["duplicates"] + counts["written"]
