@@ -55,6 +55,10 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], **options) -> Data
 
 
 HEADER_PEEK_THREADS = 32
+# Files up to this size have their first line read in one shared job.
+HEADER_SCAN_MAX_BYTES = 64 * 1024 * 1024
+# Bytes of each file looked at for its first line.
+HEADER_PREFIX_BYTES = 64 * 1024
 
 
 def header_groups(spark: SparkSession, paths: Sequence[str], **options
@@ -62,24 +66,51 @@ def header_groups(spark: SparkSession, paths: Sequence[str], **options
     """Group files by their header: ``[(schema, paths), ...]``.
 
     A multi-file CSV scan takes the first file's header for all files, by
-    position, so files with different headers must be read apart. Each
-    file's header is peeked by a scan that reads its first record only; the
-    peeks run concurrently (Spark takes jobs from many threads) and only the
-    header names reach the driver.
+    position, so files with different headers must be read apart.
+
+    One job reads the first line of every file up to 64 MB (its first
+    64 KB, through the binary-file source, which checks the length before
+    reading contents); files are grouped by that exact line. One file of
+    each group is then read by the CSV reader for the schema, so header
+    handling (quotes, repeated names) is Spark's own. Larger files, and
+    first lines that may continue on the next line (an odd number of quote
+    characters), are peeked one by one, concurrently. Empty files hold no
+    rows and are left out, as Spark's file scans leave them out. Only paths
+    and header lines reach the driver.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     def peek(p):
         return csv_reader(spark, **options).load(p).schema
 
+    def peek_all(ps):
+        if len(ps) <= 1:
+            return [peek(p) for p in ps]
+        with ThreadPoolExecutor(max_workers=min(HEADER_PEEK_THREADS, len(ps))) as pool:
+            return list(pool.map(peek, ps))
+
     paths = list(paths)
     if len(paths) == 1:
-        schemas = [peek(paths[0])]
-    else:
-        with ThreadPoolExecutor(max_workers=min(HEADER_PEEK_THREADS, len(paths))) as pool:
-            schemas = list(pool.map(peek, paths))
+        return [(peek(paths[0]), paths)]
+    first_line = F.substring_index(
+        F.decode(F.substring("content", 1, HEADER_PREFIX_BYTES), "UTF-8"), "\n", 1)
+    small = F.col("length") <= F.lit(HEADER_SCAN_MAX_BYTES)
+    listing = spark.read.format("binaryFile").load(paths)
+    rows = listing.where(small).select("path", first_line.alias("line")).collect()
+    quote = options.get("quote", QUOTE)
+    by_line: dict[str, list[str]] = {}
+    single: list[str] = [r["path"] for r in rows if r["line"].count(quote) % 2 == 1]
+    for r in rows:
+        if r["line"].count(quote) % 2 == 0:
+            by_line.setdefault(r["line"], []).append(r["path"])
+    # Large files: listed without contents (the length filter reaches the reader).
+    single += [r["path"] for r in listing.where(~small).select("path").collect()]
     groups: dict[tuple, tuple[object, list[str]]] = {}
-    for p, schema in zip(paths, schemas):
+    line_groups = list(by_line.values())
+    schemas = peek_all([g[0] for g in line_groups])
+    for members, schema in zip(line_groups, schemas):
+        groups.setdefault(tuple(schema.fieldNames()), (schema, []))[1].extend(members)
+    for p, schema in zip(single, peek_all(single)):
         groups.setdefault(tuple(schema.fieldNames()), (schema, []))[1].append(p)
     return list(groups.values())
 
@@ -97,6 +128,8 @@ def read_csv_files(spark: SparkSession, paths: Sequence[str], same_header: bool
         groups = [(None, list(paths))]
     else:
         groups = header_groups(spark, paths, **options)
+    if not groups:  # only empty files: nothing to read
+        return spark.createDataFrame([], f"{FILE_COLUMN} string")
     frames = []
     for schema, group in groups:
         scan = csv_reader(spark, schema=schema, **options).load(group)

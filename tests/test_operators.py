@@ -220,3 +220,28 @@ def test_merge_schemas(spark):
     m = tgt.merge_schemas([a, b])
     assert m.columns == ["id", "a", "b"]
     assert sorted(tuple(r) for r in m.collect()) == [("1", "x", None), ("2", None, "y")]
+
+
+def test_header_groups(spark, zone, monkeypatch):
+    import quayside.sources.csv as csvmod
+
+    root, write = zone
+    a1 = write("a1.csv", "id,v\n1,x\n")
+    a2 = write("a2.csv", "id,v\n2,y\n")
+    b = write("b.csv", "v,id,w\nz,3,q\n")
+    ml = write("ml.csv", '"i\nd",v\n4,t\n')  # a header name with a line break
+    empty = write("empty.csv", "")
+
+    def names(groups):
+        return sorted((tuple(s.fieldNames()), len(ps)) for s, ps in groups)
+
+    got = names(csvmod.header_groups(spark, [a1, a2, b, ml, empty]))
+    # The empty file holds no rows; file scans leave it out.
+    assert got == [(("i\nd", "v"), 1), (("id", "v"), 2), (("v", "id", "w"), 1)]
+    # Files over the size limit are peeked one by one, with the same result.
+    monkeypatch.setattr(csvmod, "HEADER_SCAN_MAX_BYTES", 5)
+    assert names(csvmod.header_groups(spark, [a1, a2, b, ml, empty])) == got
+    df = csvmod.read_csv_files(spark, [a1, a2, b])
+    assert sorted(tuple(r) for r in df.select("id", "v", "w").collect()) == \
+        [("1", "x", None), ("2", "y", None), ("3", "z", "q")]
+    assert csvmod.read_csv_files(spark, [empty, write("e2.csv", "")]).isEmpty()
