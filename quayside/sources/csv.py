@@ -55,8 +55,10 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], **options) -> Data
 
 
 HEADER_PEEK_THREADS = 32
-# Files up to this size have their first line read in one shared job.
-HEADER_SCAN_MAX_BYTES = 64 * 1024 * 1024
+# Files up to this size have their first line read in one shared job (the
+# binary-file source reads such a file whole); larger files are peeked one
+# by one, each reading its first record only.
+HEADER_SCAN_MAX_BYTES = 16 * 1024 * 1024
 # Bytes of each file looked at for its first line.
 HEADER_PREFIX_BYTES = 64 * 1024
 
@@ -68,7 +70,7 @@ def header_groups(spark: SparkSession, paths: Sequence[str], **options
     A multi-file CSV scan takes the first file's header for all files, by
     position, so files with different headers must be read apart.
 
-    One job reads the first line of every file up to 64 MB (its first
+    One job reads the first line of every file up to 16 MB (its first
     64 KB, through the binary-file source, which checks the length before
     reading contents); files are grouped by that exact line. One file of
     each group is then read by the CSV reader for the schema, so header
