@@ -146,3 +146,14 @@ def test_running_stream_picks_up_new_arrivals(spark, zone, tmp_path):
         query.stop()
     assert [r.counts.written for r in results] == [1, 1]
     assert rows(tgt.current(spark, cfg.target), "id", "v") == [("1", "a"), ("2", "b")]
+
+
+def test_one_load_per_arrival(spark, zone, tmp_path):
+    """max_files_per_trigger=1 gives the original's one load per file."""
+    root, write = zone
+    write("a.csv", "id,v\n1,a\n")
+    write("b.csv", "id,v\n2,b\n")
+    cfg = LoadConfig(target=f"{root}/target", ts=TS)
+    res = run_stream(spark, f"{root}/raw", cfg, str(tmp_path / "ckpt"), max_files_per_trigger=1)
+    assert [r.counts.written for r in res] == [1, 1]
+    assert tgt.batch_ids(spark, cfg.target) == [1, 2]
