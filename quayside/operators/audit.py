@@ -122,31 +122,35 @@ def audit_path(target: str) -> str:
     return f"{target.rstrip('/')}/_audit"
 
 
+def _done_marker(target: str, source_label: str) -> str:
+    import hashlib
+    digest = hashlib.sha1(source_label.encode("utf-8")).hexdigest()
+    return f"{audit_path(target)}/done/{digest}"
+
+
 def write_audit(spark: SparkSession, record: dict, target: str) -> None:
     """Store the audit record of one batch, replacing a retried batch's.
 
     One small JSON file per batch, written from the driver through the
     cluster's file system: a control record, so no Spark job is started
-    for it.
+    for it. A successful load also leaves a marker named by its source
+    label, so :func:`already_loaded` is one lookup however long the audit.
     """
     import json
 
     from quayside.plans.files import write_text
     path = f"{audit_path(target)}/batch-{int(record['batch_id'])}.json"
     write_text(spark, path, json.dumps(record) + "\n")
+    if record["status"] == SUCCESS:
+        write_text(spark, _done_marker(target, record["source_file"]), path + "\n")
 
 
 def read_audit(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).json(audit_path(target))
+    return spark.read.schema(AUDIT_SCHEMA).json(f"{audit_path(target)}/batch-*.json")
 
 
 def already_loaded(spark: SparkSession, target: str, source_label: str) -> bool:
-    """True when the audit holds a successful load under ``source_label``
-    (a stream's epoch replayed after a restart is then skipped)."""
+    """True when a load under ``source_label`` succeeded (a stream's epoch
+    replayed after a restart is then skipped). One existence check."""
     from quayside.plans.files import exists
-    if not exists(spark, audit_path(target)):
-        return False
-    done = (read_audit(spark, target)
-            .where((F.col("source_file") == source_label) & (F.col("status") == SUCCESS))
-            .limit(1).count())
-    return done > 0
+    return exists(spark, _done_marker(target, source_label))
