@@ -145,6 +145,19 @@ def write_audit(spark: SparkSession, record: dict, target: str) -> None:
         write_text(spark, _done_marker(target, record["source_file"]), path + "\n")
 
 
+def audit_batch_ids(spark: SparkSession, target: str) -> list[int]:
+    """Batch ids that have an audit record (EMPTY and FAILED loads too)."""
+    import re
+
+    from quayside.plans.files import child_files
+    ids = []
+    for name in child_files(spark, audit_path(target)):
+        m = re.fullmatch(r"batch-(\d+)\.json", name)
+        if m:
+            ids.append(int(m.group(1)))
+    return sorted(ids)
+
+
 def read_audit(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.schema(AUDIT_SCHEMA).json(f"{audit_path(target)}/batch-*.json")
 

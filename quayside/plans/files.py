@@ -55,6 +55,14 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly under ``path`` (none if absent)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
     """Integer values of ``column=<n>`` folders under ``path``."""
     prefix = column + "="

@@ -106,8 +106,11 @@ def batch_ids(spark: SparkSession, target: str) -> list[int]:
 
 
 def next_batch_id(spark: SparkSession, target: str) -> int:
-    ids = batch_ids(spark, target)
-    return (ids[-1] + 1) if ids else 1
+    """One past every batch id in use, in the log or in the audit (an empty
+    or failed load keeps its id, so its audit record is never replaced)."""
+    from quayside.operators.audit import audit_batch_ids
+    ids = batch_ids(spark, target) + audit_batch_ids(spark, target)
+    return max(ids) + 1 if ids else 1
 
 
 def upsert(df: DataFrame, target: str, batch_id: int, key: str = KEY,

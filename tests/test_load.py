@@ -275,3 +275,15 @@ def test_load_plan_combines_before_its_shuffle(spark, zone, header):
     counts = obs.get
     assert counts["read"] == 300
     assert counts["read"] == counts["null_rejected"] + counts["duplicates"] + counts["written"]
+
+
+def test_empty_and_failed_loads_keep_their_audit_records(spark, zone):
+    root, write = zone
+    run_load(spark, write("e.csv", "id,v\n"), cfg(root), key="raw/e.csv")
+    bad = cfg(root).with_(mappings=(("id", "string", "id", "int"),))
+    with pytest.raises(Exception):
+        run_load(spark, write("b.csv", "id,v\nx,1\n"), bad, key="raw/b.csv")
+    r = run_load(spark, write("g.csv", "id,v\n1,a\n"), cfg(root), key="raw/g.csv")
+    assert r.batch_id == 3
+    audit = sorted((a.batch_id, a.status) for a in read_audit(spark, f"{root}/target").collect())
+    assert audit == [(1, "EMPTY"), (2, "FAILED"), (3, "SUCCESS")]
