@@ -54,20 +54,45 @@ def hash_columns(df: DataFrame, profile: str = "content",
     return [c for c in df.columns if c.lower() not in meta]
 
 
-def encode_field(c: Column) -> Column:
+def sql_name(name: str) -> str:
+    """A column name quoted for SQL text, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    """A SQL expression for the text ``value``, with each backslash spelled
+    ``char(92)`` so no escape rules are involved."""
+    if "'" in value:
+        raise ValueError("quote characters are not supported here")
+    pieces = value.split("\\")
+    if len(pieces) == 1:
+        return f"'{value}'"
+    return "concat(" + ", char(92), ".join(f"'{p}'" for p in pieces) + ")"
+
+
+def _encode_sql(name: str) -> str:
+    text = f"CAST({sql_name(name)} AS STRING)"
+    escaped = (f"replace(replace({text}, {sql_text(chr(92))}, {sql_text(chr(92) * 2)}), "
+               f"{sql_text(FIELD_SEPARATOR)}, {sql_text(chr(92) + FIELD_SEPARATOR)})")
+    return f"coalesce({escaped}, {sql_text(NULL_MARKER)})"
+
+
+def encode_field(name: str) -> Column:
     """Escape one value for the ``content`` profile; null becomes ``\\N``."""
-    text = c.cast("string")
-    escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")),
-                        F.lit(FIELD_SEPARATOR), F.lit("\\" + FIELD_SEPARATOR))
-    return F.coalesce(escaped, F.lit(NULL_MARKER))
+    return F.expr(_encode_sql(name))
 
 
 def row_hash(columns: Sequence[str], profile: str = "content") -> Column:
-    """The ``record-<md5>`` key over ``columns`` (T4)."""
+    """The ``record-<md5>`` key over ``columns`` (T4).
+
+    Built as one SQL expression: the same built-in functions
+    (``concat_ws``, ``md5``, ``replace``), made in a single call.
+    """
     check_profile(profile)
     if profile == "as_coded":
-        parts = [quoted(c) for c in columns]
+        parts = [sql_name(c) for c in columns]
     else:
-        parts = [encode_field(quoted(c)) for c in columns]
-    digest = F.md5(F.concat_ws(FIELD_SEPARATOR, *parts)).cast("string")
-    return F.concat_ws(KEY_SEPARATOR, F.lit(KEY_PREFIX), digest)
+        parts = [_encode_sql(c) for c in columns]
+    joined = f"concat_ws({sql_text(FIELD_SEPARATOR)}, {', '.join(parts)})"
+    return F.expr(f"concat_ws({sql_text(KEY_SEPARATOR)}, {sql_text(KEY_PREFIX)}, "
+                  f"CAST(md5({joined}) AS STRING))")

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.hashing import hash_columns, quoted, row_hash
+from quayside.functions.hashing import hash_columns, quoted, row_hash, sql_name
 from quayside.functions.paths import relative_key
 
 # Working and target names of the columns a load adds.
@@ -122,8 +122,9 @@ def apply_mapping(df: DataFrame, mappings: Sequence[tuple] | None = None, *,
     dupes = {t for t in targets if targets.count(t) > 1}
     if dupes:
         raise ColumnCollisionError(f"mapping writes {sorted(dupes)} more than once")
-    return df.select(*[quoted(src).cast(ttype).alias(tgt)
-                       for src, _stype, tgt, ttype in mappings if src in present])
+    # One projection of casts, given as SQL text in a single call.
+    return df.selectExpr(*[f"CAST({sql_name(src)} AS {ttype}) AS {sql_name(tgt)}"
+                           for src, _stype, tgt, ttype in mappings if src in present])
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
