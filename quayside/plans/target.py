@@ -218,8 +218,10 @@ def compact(spark: SparkSession, target: str, key: str = KEY,
     if manifest:
         buckets = manifest[0][2]  # fixed for the table's life
     latest = _latest_since(spark, target, previous, key)
-    # The buckets to rewrite: a small set of ints, read from the key column only.
-    touched = sorted(int(r[0]) for r in latest.select(
+    # The buckets to rewrite: a small set of ints. A key's bucket depends on
+    # the key alone, so only the key column of the newer batches is read.
+    newer_keys = _log(spark, target).where(F.col(BATCH) > (previous or 0)).select(quoted(key))
+    touched = sorted(int(r[0]) for r in newer_keys.select(
         bucket_of(quoted(key), buckets).alias(BUCKET)).distinct().collect())
     live = {b: v for b, v, _n in manifest}
     old = _snapshot(spark, target, [(b, live[b], buckets) for b in touched if b in live])
