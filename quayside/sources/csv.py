@@ -74,9 +74,10 @@ def header_groups(spark: SparkSession, paths: Sequence[str], **options
     64 KB, through the binary-file source, which checks the length before
     reading contents); files are grouped by that exact line. One file of
     each group is then read by the CSV reader for the schema, so header
-    handling (quotes, repeated names) is Spark's own. Larger files, and
-    first lines that may continue on the next line (an odd number of quote
-    characters), are peeked one by one, concurrently. Empty files hold no
+    handling (quotes, repeated names) is Spark's own. Larger files, first
+    lines that may continue on the next line (an odd number of quote
+    characters) and files with no line break in their first 64 KB are
+    peeked one by one, concurrently. Empty files hold no
     rows and are left out, as Spark's file scans leave them out. Only paths
     and header lines reach the driver.
     """
@@ -94,16 +95,21 @@ def header_groups(spark: SparkSession, paths: Sequence[str], **options
     paths = list(paths)
     if len(paths) == 1:
         return [(peek(paths[0]), paths)]
-    first_line = F.substring_index(
-        F.decode(F.substring("content", 1, HEADER_PREFIX_BYTES), "UTF-8"), "\n", 1)
+    prefix = F.decode(F.substring("content", 1, HEADER_PREFIX_BYTES), "UTF-8")
     small = F.col("length") <= F.lit(HEADER_SCAN_MAX_BYTES)
     listing = spark.read.format("binaryFile").load(paths)
-    rows = listing.where(small).select("path", first_line.alias("line")).collect()
+    rows = listing.where(small).select(
+        "path", F.substring_index(prefix, "\n", 1).alias("line"),
+        (F.instr(prefix, "\n") > 0).alias("whole")).collect()
     quote = options.get("quote", QUOTE)
+
+    def clear(r):  # the first line is complete and closes every quote it opens
+        return r["whole"] and r["line"].count(quote) % 2 == 0
+
     by_line: dict[str, list[str]] = {}
-    single: list[str] = [r["path"] for r in rows if r["line"].count(quote) % 2 == 1]
+    single: list[str] = [r["path"] for r in rows if not clear(r)]
     for r in rows:
-        if r["line"].count(quote) % 2 == 0:
+        if clear(r):
             by_line.setdefault(r["line"], []).append(r["path"])
     # Large files: listed without contents (the length filter reaches the reader).
     single += [r["path"] for r in listing.where(~small).select("path").collect()]

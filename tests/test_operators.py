@@ -245,3 +245,7 @@ def test_header_groups(spark, zone, monkeypatch):
     assert sorted(tuple(r) for r in df.select("id", "v", "w").collect()) == \
         [("1", "x", None), ("2", "y", None), ("3", "z", "q")]
     assert csvmod.read_csv_files(spark, [empty, write("e2.csv", "")]).isEmpty()
+    # No line break within the looked-at prefix: each such file is peeked.
+    monkeypatch.setattr(csvmod, "HEADER_SCAN_MAX_BYTES", 1 << 20)
+    monkeypatch.setattr(csvmod, "HEADER_PREFIX_BYTES", 4)
+    assert names(csvmod.header_groups(spark, [a1, b])) == [(("id", "v"), 1), (("v", "id", "w"), 1)]
