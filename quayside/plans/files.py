@@ -55,6 +55,14 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` (one summary call; 0 if absent)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return 0
+    return int(fs.getContentSummary(p).getLength())
+
+
 def child_files(spark: SparkSession, path: str) -> list[str]:
     """Names of the files directly under ``path`` (none if absent)."""
     fs, p = _fs(spark, path)

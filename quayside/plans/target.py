@@ -43,7 +43,10 @@ SNAP_VERSION = "_v"
 BUCKET = "_bucket"
 RESERVED = (BATCH, SNAP_VERSION, BUCKET)
 VERSION = "v"  # folder name of a manifest version
-DEFAULT_BUCKETS = 64
+# Snapshot buckets: about this many bytes each when the table is first
+# compacted, a power of two between 1 and MAX_BUCKETS, then fixed.
+BUCKET_TARGET_BYTES = 1 << 30
+MAX_BUCKETS = 1 << 16
 MANIFEST_SCHEMA = "bucket int, v long, buckets int"
 
 
@@ -195,17 +198,27 @@ def current(spark: SparkSession, target: str, key: str = KEY) -> DataFrame:
     return _replace_keys(snap, latest, key)
 
 
+def choose_buckets(table_bytes: int) -> int:
+    """Buckets for a table of ``table_bytes``: about 1 GB each, a power of
+    two, so that a compaction rewrites little when few keys change."""
+    buckets = 1
+    while buckets < MAX_BUCKETS and buckets * BUCKET_TARGET_BYTES < table_bytes:
+        buckets *= 2
+    return buckets
+
+
 def bucket_of(key_col, buckets: int):
     """The snapshot bucket of a key: a stable hash, modulo ``buckets``."""
     return F.pmod(F.xxhash64(key_col), F.lit(buckets)).cast("int")
 
 
 def compact(spark: SparkSession, target: str, key: str = KEY,
-            buckets: int = DEFAULT_BUCKETS) -> int | None:
+            buckets: int | None = None) -> int | None:
     """Fold the batches loaded since the snapshot into it.
 
     Only buckets that hold a key loaded since are rewritten; the others keep
-    their folders. Returns the new snapshot version (the last batch folded
+    their folders. The number of buckets is set at the first compaction
+    (``buckets``, or by the table's size) and kept for the table's life. Returns the new snapshot version (the last batch folded
     in), or None when nothing was loaded.
     """
     ids = batch_ids(spark, target)
@@ -217,6 +230,8 @@ def compact(spark: SparkSession, target: str, key: str = KEY,
     manifest = _manifest(spark, target, previous) if previous is not None else []
     if manifest:
         buckets = manifest[0][2]  # fixed for the table's life
+    elif buckets is None:
+        buckets = choose_buckets(files.size_of(spark, _p(target, "log")))
     latest = _latest_since(spark, target, previous, key)
     # The buckets to rewrite: a small set of ints. A key's bucket depends on
     # the key alone, so only the key column of the newer batches is read.

@@ -200,3 +200,10 @@ def test_stale_lock_is_taken_over(spark, tmp_path):
     with tgt.load_lock(spark, t, stale_after_s=0):
         pass
     assert not files.exists(spark, f"{t}/_lock")
+
+
+def test_bucket_count_follows_table_size():
+    assert tgt.choose_buckets(0) == 1
+    assert tgt.choose_buckets(tgt.BUCKET_TARGET_BYTES) == 1
+    assert tgt.choose_buckets(10 * tgt.BUCKET_TARGET_BYTES) == 16
+    assert tgt.choose_buckets(100 * 2 ** 40) == tgt.MAX_BUCKETS
