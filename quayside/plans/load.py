@@ -17,7 +17,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.hashing import check_profile, quoted, row_hash
+from quayside.functions.hashing import check_profile, quoted
 from quayside.functions.paths import CSV_GLOB, UnsupportedFormatError, check_format
 from quayside.operators.audit import (EMPTY, FAILED, SUCCESS, LoadCounts, audit_record,
                                       observe_load, write_audit)
