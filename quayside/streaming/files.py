@@ -26,10 +26,14 @@ from quayside.sources.csv import FILE_COLUMN, read_csv_files
 
 # Fixed value: the binary-file source's schema.
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+# Files per micro-batch by default: bounds the paths a batch brings to the
+# driver; a backlog drains over several batches.
+DEFAULT_MAX_FILES_PER_TRIGGER = 10_000
 
 
 def stream_new_files(spark: SparkSession, raw_dir: str, glob: str = CSV_GLOB,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
+                     max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER
+                     ) -> DataFrame:
     """A stream of ``(path, length, modificationTime)`` for each new
     CSV file anywhere under ``raw_dir`` (suffix matched without case)."""
     reader = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
@@ -56,7 +60,7 @@ def load_files(spark: SparkSession, paths: list[str], config: LoadConfig,
 def start_stream(spark: SparkSession, raw_dir: str, config: LoadConfig, checkpoint: str,
                  root: str | None = None, available_now: bool = True,
                  processing_time: str = "10 seconds",
-                 max_files_per_trigger: int | None = None):
+                 max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER):
     """Start the query that loads every new CSV under ``raw_dir``.
 
     Returns ``(query, results)``; ``results`` fills with one
@@ -87,7 +91,8 @@ def start_stream(spark: SparkSession, raw_dir: str, config: LoadConfig, checkpoi
 
 
 def run_stream(spark: SparkSession, raw_dir: str, config: LoadConfig, checkpoint: str,
-               root: str | None = None, max_files_per_trigger: int | None = None
+               root: str | None = None,
+               max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER
                ) -> list[LoadResult]:
     """P2 drained once: load what has arrived since the last run, then stop."""
     query, results = start_stream(spark, raw_dir, config, checkpoint, root,

@@ -20,10 +20,20 @@ from quayside.sources.notify import LOAD, route_notifications
 from quayside.streaming.files import load_files
 
 
-def stream_messages(spark: SparkSession, inbox: str) -> DataFrame:
+# Message files per micro-batch by default (bounds the keys a batch brings
+# to the driver; a backlog drains over several batches).
+DEFAULT_MESSAGE_FILES_PER_TRIGGER = 1_000
+
+
+def stream_messages(spark: SparkSession, inbox: str,
+                    max_files_per_trigger: int | None = DEFAULT_MESSAGE_FILES_PER_TRIGGER
+                    ) -> DataFrame:
     """Notification messages, one JSON document per line, from files
     dropped in ``inbox``; the message is in column ``value``."""
-    return spark.readStream.format("text").load(inbox)
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(inbox)
 
 
 def start_notifications(spark: SparkSession, messages: DataFrame, config: LoadConfig,

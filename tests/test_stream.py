@@ -157,3 +157,13 @@ def test_one_load_per_arrival(spark, zone, tmp_path):
     res = run_stream(spark, f"{root}/raw", cfg, str(tmp_path / "ckpt"), max_files_per_trigger=1)
     assert [r.counts.written for r in res] == [1, 1]
     assert tgt.batch_ids(spark, cfg.target) == [1, 2]
+
+
+def test_backlog_drains_in_bounded_batches(spark, zone, tmp_path):
+    root, write = zone
+    for i in range(5):
+        write(f"f{i}.csv", f"id,v\n{i},x\n")
+    cfg = LoadConfig(target=f"{root}/target", ts=TS)
+    res = run_stream(spark, f"{root}/raw", cfg, str(tmp_path / "ckpt"), max_files_per_trigger=2)
+    assert [r.counts.written for r in res] == [2, 2, 1]
+    assert tgt.current(spark, cfg.target).count() == 5
