@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quayside.functions.paths import CSV_GLOB
 from quayside.operators.audit import already_loaded
 from quayside.plans.load import LoadConfig, LoadResult, load_frame
+from quayside.plans.target import LOCK_STALE_AFTER_S
 from quayside.sources.csv import FILE_COLUMN, read_csv_files
 
 # Fixed value: the binary-file source's schema.
@@ -50,6 +51,10 @@ def load_files(spark: SparkSession, paths: list[str], config: LoadConfig,
     counts notified files that were gone, noted in the audit message."""
     if not paths:
         return None
+    if not config.lock_wait_seconds:
+        # A stream waits for a running load instead of failing: its files
+        # load as soon as the target is free (P5 without losing events).
+        config = config.with_(lock_wait_seconds=LOCK_STALE_AFTER_S)
     options = dict(escape=config.escape, multi_line=config.multi_line, **config.csv_options)
     df = read_csv_files(spark, sorted(paths), same_header=config.same_header, **options)
     note = f"{missing} notified file(s) missing" if missing else None

@@ -167,3 +167,24 @@ def test_backlog_drains_in_bounded_batches(spark, zone, tmp_path):
     res = run_stream(spark, f"{root}/raw", cfg, str(tmp_path / "ckpt"), max_files_per_trigger=2)
     assert [r.counts.written for r in res] == [2, 2, 1]
     assert tgt.current(spark, cfg.target).count() == 5
+
+
+def test_stream_waits_for_a_running_load(spark, zone, tmp_path):
+    import threading
+
+    root, write = zone
+    write("a.csv", "id,v\n1,a\n")
+    cfg = LoadConfig(target=f"{root}/target", ts=TS)
+    held = threading.Event()
+
+    def hold():
+        with tgt.load_lock(spark, cfg.target):
+            held.set()
+            threading.Event().wait(2)
+
+    t = threading.Thread(target=hold)
+    t.start()
+    held.wait()
+    res = run_stream(spark, f"{root}/raw", cfg, str(tmp_path / "ckpt"))
+    t.join()
+    assert [r.counts.written for r in res] == [1]
