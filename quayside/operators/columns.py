@@ -18,6 +18,8 @@ SOURCE_FILE = "source_file"
 TARGET_TIME = "timestamp"
 
 COLLISION_POLICIES = ("error", "suffix", "overwrite")
+# Working column while the source is attached; a name no file header uses.
+_SOURCE = "__qs_source"
 
 
 class ColumnCollisionError(ValueError):
@@ -77,10 +79,10 @@ def add_metadata(df: DataFrame, source: str | None = None, ts=None, *,
     else:
         path = F.col(source_column) if source_column else F.col("_metadata.file_path")
         source_col = relative_key(path, root) if root else path
-    df = df.select(*[quoted(c) for c in data], source_col.alias("__source"))
+    df = df.select(*[quoted(c) for c in data], source_col.alias(_SOURCE))
     df = resolve_collisions(df, (LOAD_TIME, SOURCE_FILE, time_name), on_collision)
-    return df.select(*[quoted(c) for c in df.columns if c != "__source"],
-                     load_time(ts).alias(LOAD_TIME), F.col("__source").alias(SOURCE_FILE))
+    return df.select(*[quoted(c) for c in df.columns if c != _SOURCE],
+                     load_time(ts).alias(LOAD_TIME), F.col(_SOURCE).alias(SOURCE_FILE))
 
 
 def ensure_id(df: DataFrame, profile: str = "content", key: str = KEY) -> DataFrame:

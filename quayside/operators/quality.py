@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from quayside.functions.hashing import quoted
 from quayside.operators.columns import find_column
 
-COPIES = "_copies"
-GROUP = "_k"
-_WINNER = "_winner"
+# Working columns of the dedup; names no file header uses.
+COPIES = "__qs_copies"
+GROUP = "__qs_key"
+_WINNER = "__qs_winner"
 
 
 def require_not_null(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -63,7 +64,7 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = N
 def dedup_rows(df: DataFrame, key: str = "id", with_copies: bool = False) -> DataFrame:
     """F2 for content keys: one row per distinct row, keyed by its content
     hash (profile ``content``) in ``key``; with ``with_copies`` also the
-    number of copies in ``_copies``.
+    number of copies in ``__qs_copies`` (``COPIES``).
 
     Equal content keys are exactly equal rows (the encoding is injective),
     so grouping by the columns themselves gives the same rows as a dedup by
@@ -81,8 +82,8 @@ def dedup_rows(df: DataFrame, key: str = "id", with_copies: bool = False) -> Dat
 
 def dedup_counted(df: DataFrame, key: str, order_by: Sequence[str] | None = None,
                   keep: str = "last", valid: Column | None = None) -> DataFrame:
-    """F2 for a load: one row per key plus ``_k`` (the group key, null for
-    rejected rows) and ``_copies`` (the group size).
+    """F2 for a load: one row per key plus ``GROUP`` (the group key, null for
+    rejected rows) and ``COPIES`` (the group size).
 
     Rows with a null key, or failing ``valid`` (the F1 test), form one
     group; the caller counts it as rejected and drops it. Counting inside

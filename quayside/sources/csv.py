@@ -15,8 +15,8 @@ SEPARATOR = ","
 QUOTE = '"'
 DEFAULT_ESCAPE = '"'   # a doubled quote inside a quoted field; "\\" on request
 MEGABYTE = 1024 * 1024
-# Column naming each row's file in multi-file scans.
-FILE_COLUMN = "_file"
+# Column naming each row's file in multi-file scans; a name no header uses.
+FILE_COLUMN = "__qs_file"
 
 
 def csv_reader(spark: SparkSession, *, sep: str = SEPARATOR, quote: str = QUOTE,
@@ -127,7 +127,7 @@ def read_csv_files(spark: SparkSession, paths: Sequence[str], same_header: bool
                    **options) -> DataFrame:
     """S1 over files that may differ in header: one scan per header group,
     stacked by name (absent columns null), each row tagged with its file in
-    ``_file``. One Spark plan, however many files.
+    ``FILE_COLUMN``. One Spark plan, however many files.
 
     ``same_header=True`` promises that every file has the same header: the
     files are then read as one scan without peeking at each.

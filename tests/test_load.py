@@ -287,3 +287,15 @@ def test_empty_and_failed_loads_keep_their_audit_records(spark, zone):
     assert r.batch_id == 3
     audit = sorted((a.batch_id, a.status) for a in read_audit(spark, f"{root}/target").collect())
     assert audit == [(1, "EMPTY"), (2, "FAILED"), (3, "SUCCESS")]
+
+
+def test_headers_with_working_column_names(spark, zone):
+    """Headers that look like internal names load as ordinary columns."""
+    root, write = zone
+    p1 = write("w1.csv", "_copies,_k,_file,_winner,__source\n1,2,3,4,5\n1,2,3,4,5\n")
+    p2 = write("w2.csv", "_copies,_k,_file,_winner,__source\n6,7,8,9,0\n")
+    r = run_load(spark, [p1, p2], cfg(root), root=root)
+    assert (r.counts.read, r.counts.duplicates, r.counts.written) == (3, 1, 2)
+    cur = tgt.current(spark, f"{root}/target")
+    assert rows(cur, "_copies", "_k", "_file", "_winner", "__source") == [
+        ("1", "2", "3", "4", "5"), ("6", "7", "8", "9", "0")]

@@ -47,7 +47,7 @@ def test_dedup_rows_equals_python_distinct(spark, rows):
     out = dedup_rows(df, with_copies=True).collect()
     assert sorted((tuple(r[:3]) for r in out), key=repr) == \
         sorted(set(rows), key=repr)
-    assert sum(r["_copies"] for r in out) == len(rows)
+    assert sum(r["__qs_copies"] for r in out) == len(rows)
     assert all(r["id"] == model_key(tuple(r[:3])) for r in out)
 
 
