@@ -204,7 +204,17 @@ def run_load(spark: SparkSession, path: str | Sequence[str], config: LoadConfig,
     options = dict(escape=config.escape, multi_line=config.multi_line, **config.csv_options)
     inputs: list[str] = []
     for p in paths:
-        if files.is_dir(spark, p):
+        if any(ch in p for ch in "*?[{"):
+            # A glob names several files: list them (names only) and read per header.
+            listed = spark.read.format("binaryFile").load(p).inputFiles()
+            if not key:
+                for f in listed:
+                    check_format(f)
+            if config.same_header:
+                inputs.append(p)
+            else:
+                inputs.extend(sorted(listed))
+        elif files.is_dir(spark, p):
             if config.same_header:
                 inputs.append(p)  # read as one scan; Spark lists it
                 continue

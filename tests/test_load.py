@@ -299,3 +299,12 @@ def test_headers_with_working_column_names(spark, zone):
     cur = tgt.current(spark, f"{root}/target")
     assert rows(cur, "_copies", "_k", "_file", "_winner", "__source") == [
         ("1", "2", "3", "4", "5"), ("6", "7", "8", "9", "0")]
+
+
+def test_glob_path_is_read_per_header(spark, zone):
+    root, write = zone
+    write("g1.csv", "id,a\n1,x\n")
+    write("g2.csv", "a,id\ny,2\n")
+    r = run_load(spark, f"{root}/raw/g*.csv", cfg(root), root=root)
+    assert r.counts.written == 2
+    assert rows(tgt.current(spark, f"{root}/target"), "id", "a") == [("1", "x"), ("2", "y")]
