@@ -249,3 +249,20 @@ def test_header_groups(spark, zone, monkeypatch):
     monkeypatch.setattr(csvmod, "HEADER_SCAN_MAX_BYTES", 1 << 20)
     monkeypatch.setattr(csvmod, "HEADER_PREFIX_BYTES", 4)
     assert names(csvmod.header_groups(spark, [a1, b])) == [(("id", "v"), 1), (("v", "id", "w"), 1)]
+
+
+def test_spread_only_large_single_task_scans(spark, zone):
+    from quayside.operators.quality import spread
+
+    root, write = zone
+    p = write("one.csv", "id,v\n" + "".join(f"{i},x\n" for i in range(2000)))
+    df = read_csv(spark, p)
+    assert df.rdd.getNumPartitions() == 1
+    # Small for the default threshold: left as it is.
+    assert spread(df, min_partitions=4) is df
+    spread_df = spread(df, min_partitions=4, min_bytes_per_partition=1)
+    plan = spread_df._jdf.queryExecution().executedPlan().toString()
+    assert "monotonically_increasing_id" in plan or "_nondeterministic" in plan
+    assert spread_df.rdd.getNumPartitions() >= 1
+    assert sorted(r[0] for r in spread_df.select("id").collect()) == \
+        sorted(str(i) for i in range(2000))
