@@ -243,9 +243,11 @@ def compact(spark: SparkSession, target: str, key: str = KEY,
     merged = _replace_keys(old, latest, key)
     # rebalance: AQE splits a large bucket over several tasks and merges small
     # ones, so files come out near the advisory size whatever the bucket size.
-    (merged.withColumn(BUCKET, bucket_of(quoted(key), buckets))
-        .hint("rebalance", BUCKET)
-        .write.mode("overwrite").partitionBy(BUCKET)
+    # With one bucket there is nothing to gather: each task writes its own file.
+    out = merged.withColumn(BUCKET, bucket_of(quoted(key), buckets))
+    if buckets > 1:
+        out = out.hint("rebalance", BUCKET)
+    (out.write.mode("overwrite").partitionBy(BUCKET)
         .parquet(_p(target, "snapshot", f"{SNAP_VERSION}={version}")))
     live.update({b: version for b in touched})
     rows = [(b, v, buckets) for b, v in sorted(live.items())]
