@@ -7,7 +7,6 @@ counts follow the data instead of a fixed number.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,8 +74,9 @@ def _runtime_conf(spark: SparkSession) -> str | None:
 
 def scratch_dir(spark: SparkSession, label: str = "run") -> str:
     """A fresh, unique folder under the shared checkpoint root."""
+    from quayside.plans.files import mkdirs
+
     root = checkpoint_root(spark)
     path = f"{root}/quayside-scratch/{label}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    mkdirs(spark, path)  # through the cluster's file system, whatever its scheme
     return path
