@@ -308,3 +308,23 @@ def test_glob_path_is_read_per_header(spark, zone):
     r = run_load(spark, f"{root}/raw/g*.csv", cfg(root), root=root)
     assert r.counts.written == 2
     assert rows(tgt.current(spark, f"{root}/target"), "id", "a") == [("1", "x"), ("2", "y")]
+
+
+def test_command_line_load(zone):
+    """P4 manual start: ``python -m quayside load`` in its own process."""
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root, write = zone
+    p = write("cli.csv", "name,city\nann,x\nann,x\nbob,y\n")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=repo)
+    out = subprocess.run([sys.executable, "-m", "quayside", "load", "--path", p,
+                          "--target", f"{root}/t", "--key", "raw/cli.csv", "--ts", TS],
+                         capture_output=True, text=True, timeout=300, env=env, cwd=repo)
+    assert out.returncode == 0, out.stderr[-2000:]
+    result = json.loads(out.stdout.strip().splitlines()[-1])
+    assert result["status"] == "SUCCESS"
+    assert result["counts"] == {"read": 3, "null_rejected": 0, "duplicates": 1, "written": 2}
