@@ -213,7 +213,15 @@ def bucket_of(key_col, buckets: int):
 
 
 def compact(spark: SparkSession, target: str, key: str = KEY,
-            buckets: int | None = None) -> int | None:
+            buckets: int | None = None, wait_s: float = 0.0) -> int | None:
+    """Fold the batches loaded since the snapshot into it, holding the
+    target's lock (P5), so no load or other compaction runs meanwhile."""
+    with load_lock(spark, target, wait_s):
+        return _compact(spark, target, key, buckets)
+
+
+def _compact(spark: SparkSession, target: str, key: str = KEY,
+             buckets: int | None = None) -> int | None:
     """Fold the batches loaded since the snapshot into it.
 
     Only buckets that hold a key loaded since are rewritten; the others keep
@@ -258,11 +266,12 @@ def compact(spark: SparkSession, target: str, key: str = KEY,
 
 def compact_if_due(spark: SparkSession, target: str, every: int, key: str = KEY) -> int | None:
     """Compact once ``every`` batches have been loaded since the snapshot, so
-    reads never aggregate more than that many batches."""
+    reads never aggregate more than that many batches. Called by a load,
+    under the lock that load holds."""
     version = snapshot_version(spark, target)
     pending = [b for b in batch_ids(spark, target) if version is None or b > version]
     if len(pending) >= every:
-        return compact(spark, target, key)
+        return _compact(spark, target, key)  # the caller's load holds the lock
     return None
 
 

@@ -207,3 +207,12 @@ def test_bucket_count_follows_table_size():
     assert tgt.choose_buckets(tgt.BUCKET_TARGET_BYTES) == 1
     assert tgt.choose_buckets(10 * tgt.BUCKET_TARGET_BYTES) == 16
     assert tgt.choose_buckets(100 * 2 ** 40) == tgt.MAX_BUCKETS
+
+
+def test_compaction_waits_its_turn(spark, tmp_path):
+    t = str(tmp_path / "t")
+    tgt.upsert(spark.createDataFrame([("1", "a")], "id string, v string"), t, 1)
+    with tgt.load_lock(spark, t):
+        with pytest.raises(tgt.LoadInProgressError):
+            tgt.compact(spark, t)
+    assert tgt.compact(spark, t) == 1
