@@ -99,9 +99,15 @@ def load_lock(spark: SparkSession, target: str, wait_s: float = 0.0,
         files.unlock(spark, path)
 
 
-def drop_target(spark: SparkSession, target: str) -> bool:
-    """K4: delete the table if it exists; no error when it does not."""
-    return files.delete(spark, target)
+def drop_target(spark: SparkSession, target: str, wait_s: float = 0.0) -> bool:
+    """K4: delete the table if it exists; no error when it does not.
+
+    Refused (``LoadInProgressError``) while a load holds the table.
+    """
+    if not files.exists(spark, target):
+        return False
+    with load_lock(spark, target, wait_s):
+        return files.delete(spark, target)
 
 
 def batch_ids(spark: SparkSession, target: str) -> list[int]:

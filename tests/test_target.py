@@ -209,6 +209,15 @@ def test_bucket_count_follows_table_size():
     assert tgt.choose_buckets(100 * 2 ** 40) == tgt.MAX_BUCKETS
 
 
+def test_drop_is_refused_during_a_load(spark, tmp_path):
+    t = str(tmp_path / "t")
+    tgt.ensure_target(spark, t)
+    with tgt.load_lock(spark, t):
+        with pytest.raises(tgt.LoadInProgressError):
+            tgt.drop_target(spark, t)
+    assert tgt.drop_target(spark, t) is True and not files.exists(spark, t)
+
+
 def test_compaction_waits_its_turn(spark, tmp_path):
     t = str(tmp_path / "t")
     tgt.upsert(spark.createDataFrame([("1", "a")], "id string, v string"), t, 1)
