@@ -281,6 +281,39 @@ def compact_if_due(spark: SparkSession, target: str, every: int, key: str = KEY)
     return None
 
 
+def vacuum(spark: SparkSession, target: str, wait_s: float = 0.0) -> dict:
+    """Remove what the last snapshot has made unreachable, so storage stays
+    near the size of the current state: bucket folders the last manifest no
+    longer names, older manifests, and log batches folded into the snapshot.
+    Audit records stay (batch numbering counts them). Runs under the
+    target's lock; readers still using an older manifest must be done.
+    """
+    removed = {"bucket_folders": 0, "manifests": 0, "batches": 0}
+    with load_lock(spark, target, wait_s):
+        version = snapshot_version(spark, target)
+        if version is None:
+            return removed
+        live = {(b, v) for b, v, _n in _manifest(spark, target, version)}
+        snap = _p(target, "snapshot")
+        for v in files.partition_values(spark, snap, SNAP_VERSION):
+            vdir = _p(snap, f"{SNAP_VERSION}={v}")
+            for b in files.partition_values(spark, vdir, BUCKET):
+                if (b, v) not in live:
+                    files.delete(spark, _p(vdir, f"{BUCKET}={b}"))
+                    removed["bucket_folders"] += 1
+            if not files.partition_values(spark, vdir, BUCKET):
+                files.delete(spark, vdir)
+        for v in files.partition_values(spark, _p(target, "snapshot_done"), VERSION):
+            if v < version:
+                files.delete(spark, _p(target, "snapshot_done", f"{VERSION}={v}"))
+                removed["manifests"] += 1
+        for b in batch_ids(spark, target):
+            if b <= version:
+                files.delete(spark, _p(target, "log", f"{BATCH}={b}"))
+                removed["batches"] += 1
+    return removed
+
+
 def merge_schemas(frames: Sequence[DataFrame]) -> DataFrame:
     """K6: stack frames with different columns by name; absent ones null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -225,3 +225,34 @@ def test_compaction_waits_its_turn(spark, tmp_path):
         with pytest.raises(tgt.LoadInProgressError):
             tgt.compact(spark, t)
     assert tgt.compact(spark, t) == 1
+
+
+def test_vacuum_keeps_the_current_state(spark, tmp_path):
+    t = str(tmp_path / "t")
+    base = spark.range(100).select(F.col("id").cast("string").alias("id"), F.lit("a").alias("v"))
+    tgt.upsert(base, t, 1)
+    tgt.compact(spark, t, buckets=8)
+    tgt.upsert(spark.createDataFrame([("7", "b")], "id string, v string"), t, 2)
+    tgt.compact(spark, t)
+    before = rows(tgt.current(spark, t), "id", "v")
+    removed = tgt.vacuum(spark, t)
+    assert removed == {"bucket_folders": 1, "manifests": 1, "batches": 2}
+    assert rows(tgt.current(spark, t), "id", "v") == before
+    assert tgt.batch_ids(spark, t) == []
+    # Loading goes on after a vacuum, numbering included.
+    tgt.upsert(spark.createDataFrame([("8", "c")], "id string, v string"), t, 3)
+    assert dict(rows(tgt.current(spark, t), "id", "v"))["8"] == "c"
+    assert tgt.compact(spark, t) == 3
+    assert rows(tgt.current(spark, t), "id", "v") == sorted(
+        [r for r in before if r[0] != "8"] + [("8", "c")])
+
+
+def test_vacuum_then_load_numbers_on(spark, zone):
+    root, write = zone
+    cfg = LoadConfig(target=f"{root}/t", ts=TS)
+    run_load(spark, write("a.csv", "id,v\n1,a\n"), cfg, key="raw/a.csv")
+    tgt.compact(spark, cfg.target)
+    tgt.vacuum(spark, cfg.target)
+    r = run_load(spark, write("b.csv", "id,v\n2,b\n"), cfg, key="raw/b.csv")
+    assert r.batch_id == 2
+    assert rows(tgt.current(spark, cfg.target), "id", "v") == [("1", "a"), ("2", "b")]
