@@ -72,3 +72,36 @@ def test_load_counts_add_up(spark, keys):
     assert (read, null_rejected, written) == (len(keys), len(keys) - len(present),
                                              len(set(present)))
     assert read == null_rejected + duplicates + written
+
+
+def _model_survivors(rows, keep):
+    """Per key, the last (or first) row by (order, then the row itself);
+    a null sorts before any value, as in Spark's ordering."""
+    def sort_key(r):
+        return tuple((v is not None, v if v is not None else "") for v in (r[1],) + r)
+    out = {}
+    for r in rows:
+        cur = out.get(r[0])
+        if cur is None:
+            out[r[0]] = r
+        elif keep == "last" and sort_key(r) > sort_key(cur):
+            out[r[0]] = r
+        elif keep == "first" and sort_key(r) < sort_key(cur):
+            out[r[0]] = r
+    return sorted(out.values(), key=repr)
+
+
+survivor_row = st.tuples(st.sampled_from(["k1", "k2", "k3"]),
+                         st.one_of(st.none(), st.sampled_from(["1", "2", "3"])),
+                         st.one_of(st.none(), st.text(alphabet=["a", "b"], max_size=2)))
+
+
+@SETTINGS
+@given(rows=st.lists(survivor_row, min_size=1, max_size=30),
+       keep=st.sampled_from(["first", "last"]))
+def test_dedup_survivor_matches_the_model(spark, rows, keep):
+    from quayside.operators.quality import dedup
+
+    df = spark.createDataFrame(rows, "k string, o string, v string")
+    got = sorted((tuple(r) for r in dedup(df, ["k"], ["o"], keep=keep).collect()), key=repr)
+    assert got == _model_survivors(rows, keep)
