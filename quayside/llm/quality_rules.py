@@ -2,8 +2,8 @@
 
 Method. Each rule votes good (1), votes bad (-1) or abstains (0) on a document.
 Expectation-maximisation over the vote patterns estimates, without labels, the
-share of good documents and each rule's accuracy on good and on bad ones; the
-posterior probability of good replaces the filter that asks all rules to pass.
+share of good documents and each rule's accuracy on good ones and on each kind
+of bad ones; the posterior probability of good replaces the filter that asks all rules to pass.
 
 At scale. Counts, votes and posterior are column expressions: one pass, no
 shuffle, no Python. The vote patterns are one aggregate of at most
@@ -20,7 +20,12 @@ from pyspark.sql import functions as F
 
 SPACE = r"[ \t-\r]+"
 WINDOW = 8
-RULES = ("words", "word_length", "symbols", "lines", "windows", "capitals", "variety")
+# Each rule's prior rate of bad votes on good documents. A fault that one rule
+# alone can see looks like that rule's error; the prior tells them apart, and it
+# weighs as much as the documents do.
+FALSE_ALARMS = {"words": 0.05, "word_length": 0.002, "symbols": 0.002, "lines": 0.05,
+                "windows": 0.002, "capitals": 0.002, "variety": 0.002}
+RULES = tuple(FALSE_ALARMS)
 
 
 def add_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -83,45 +88,64 @@ def votes() -> dict[str, Column]:
     }
 
 
-def learn(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100) -> dict:
+def learn(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> dict:
     """Expectation-maximisation over vote patterns and their counts.
 
-    A pattern begins as good unless a rule votes bad on it. The accuracies are
-    smoothed and never fall below chance, so a good vote never speaks against a
-    document. Returns the prior's log odds and, by rule, the log odds that a
-    good and a bad vote add."""
+    Bad documents are of several kinds, and most rules see one kind alone; so
+    beside the good class there is a bad class for each rule. A pattern begins
+    in the classes of the rules that vote bad on it, else as good. Estimated are
+    the classes' shares and each rule's rate of good votes in each (smoothed, in
+    the good class by ``FALSE_ALARMS``;
+    never higher in a bad class than in the good one, so that a good vote never
+    speaks against a document). Returned, with the good class as the zero: each
+    bad class's log odds, and what a good and a bad vote of each rule add."""
     rules = len(patterns[0][0]) if patterns else len(RULES)
-    good = [0.1 if -1 in votes_ else 0.95 for votes_, _ in patterns]
-    model = {"prior": 2.0, "good": [0.1] * rules, "bad": [-2.0] * rules}
-    if not any(n for _, n in patterns):
-        return model
+    total = sum(n for _, n in patterns)
+    alarms = list(FALSE_ALARMS.values())
+    if not total:
+        return {"share": [-3.0] * rules, "good": [[0.0] * rules] * rules,
+                "bad": [[3.0 * (r == k) for r in range(rules)] for k in range(rules)]}
+    held = []
+    for votes_, _ in patterns:
+        against = [r for r, v in enumerate(votes_) if v < 0]
+        good = 0.1 if against else 0.95
+        rest = against or range(rules)
+        held.append([good] + [(1 - good) / len(rest) * (r in rest) for r in range(rules)])
+    model = {}
     for _ in range(rounds):
-        total = sum(n for _, n in patterns)
-        share = (sum(g * n for g, (_, n) in zip(good, patterns)) + 1) / (total + 2)
-        share = min(max(share, 0.5), 0.999)
-        yes, no = [], []
-        for r in range(rules):
-            seen = {(v, y): 1.0 for v in (-1, 1) for y in (0, 1)}
-            for g, (votes_, n) in zip(good, patterns):
-                if votes_[r]:
-                    seen[votes_[r], 1] += g * n
-                    seen[votes_[r], 0] += (1 - g) * n
-            up1 = seen[1, 1] / (seen[1, 1] + seen[-1, 1])
-            up0 = seen[1, 0] / (seen[1, 0] + seen[-1, 0])
-            up0 = min(up0, up1)
-            yes.append(math.log(up1 / up0))
-            no.append(math.log((1 - up1) / (1 - up0)))
-        model = {"prior": math.log(share / (1 - share)), "good": yes, "bad": no}
-        before, good = good, [_posterior(model, votes_) for votes_, _ in patterns]
-        if max(abs(a - b) for a, b in zip(before, good)) < 1e-9:
+        share, rate = [], []
+        for y in range(rules + 1):
+            share.append((sum(h[y] * n for h, (_, n) in zip(held, patterns)) + 1)
+                         / (total + rules + 1))
+            rate.append([])
+            for r in range(rules):
+                up = sum(h[y] * n for h, (v, n) in zip(held, patterns) if v[r] > 0) + 1
+                down = sum(h[y] * n for h, (v, n) in zip(held, patterns) if v[r] < 0) + 1
+                if y == 0:
+                    up += total * (1 - alarms[r])
+                    down += total * alarms[r]
+                rate[y].append(up / (up + down) if y == 0 else min(up / (up + down), rate[0][r]))
+        model = {
+            "share": [math.log(s / share[0]) for s in share[1:]],
+            "good": [[math.log(k[r] / rate[0][r]) for r in range(rules)] for k in rate[1:]],
+            "bad": [[math.log((1 - k[r]) / (1 - rate[0][r])) for r in range(rules)]
+                    for k in rate[1:]]}
+        before, held = held, [_classes(model, votes_) for votes_, _ in patterns]
+        if max(abs(a[0] - b[0]) for a, b in zip(before, held)) < 1e-7:
             break
     return model
 
 
-def _posterior(model: dict, votes_: tuple[int, ...]) -> float:
-    z = model["prior"] + sum(a if v > 0 else b if v < 0 else 0.0 for v, a, b
-                             in zip(votes_, model["good"], model["bad"]))
-    return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
+def _odds(model: dict, kind: int, votes_: tuple[int, ...]) -> float:
+    return model["share"][kind] + sum(
+        a if v > 0 else b if v < 0 else 0.0
+        for v, a, b in zip(votes_, model["good"][kind], model["bad"][kind]))
+
+
+def _classes(model: dict, votes_: tuple[int, ...]) -> list[float]:
+    weights = [1.0] + [math.exp(min(50.0, _odds(model, k, votes_)))
+                       for k in range(len(model["share"]))]
+    return [w / sum(weights) for w in weights]
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> dict:
@@ -142,13 +166,16 @@ def judge(docs: DataFrame, model: dict, *, text_col: str = "text") -> DataFrame:
     gives an empty table."""
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     out = add_counts(docs, text_col).withColumns({f"_q_v_{r}": v for r, v in votes().items()})
-    z = F.lit(model["prior"])
-    for r, up, down in zip(RULES, model["good"], model["bad"]):
-        v = F.col(f"_q_v_{r}")
-        z = z + F.when(v > 0, F.lit(up)).when(v < 0, F.lit(down)).otherwise(0.0)
+    weight = F.lit(1.0)
+    for kind, start in enumerate(model["share"]):
+        z = F.lit(start)
+        for r, up, down in zip(RULES, model["good"][kind], model["bad"][kind]):
+            v = F.col(f"_q_v_{r}")
+            z = z + F.when(v > 0, F.lit(up)).when(v < 0, F.lit(down)).otherwise(0.0)
+        weight = weight + F.exp(F.least(z, F.lit(50.0)))
     failed = ((F.col("_q_n_words") < 20)
               | (F.col("_q_n_repeat_words") * 100 > F.col("_q_n_words") * 30))
-    out = out.withColumns({"_q_failed": failed, "_q_posterior": 1 / (1 + F.exp(-z))})
+    out = out.withColumns({"_q_failed": failed, "_q_posterior": 1 / weight})
     out = out.withColumns({n: F.col(f"_q_{n}") for n in names}
                           | {"base_failed": F.col("_q_failed"), "posterior": F.col("_q_posterior"),
                              "kept": ~F.col("_q_failed") & (F.col("_q_posterior") >= 0.5)})

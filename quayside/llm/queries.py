@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quayside.llm import (bin_slack, bpe, compress_quality, jaccard_join, license_scan,
-                          multi_index, page_text, quality_rules, suffix_dedup, url_filter)
+from quayside.llm import (bpe, compress_quality, license_scan, multi_index, quality_rules,
+                          url_filter)
 from quayside.llm.frames import table
 
 #: The public vocabulary's file; its path is a parameter of the operators.
@@ -47,28 +47,6 @@ def op3_nearest_neighbours(spark, sf_dir):
     return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-def op4_best_fit_packing(spark, sf_dir):
-    return bin_slack.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
-
-
-def op5_html_extraction(spark, sf_dir):
-    found = page_text.extract(table(spark, sf_dir, "pages"))
-    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
-
-
-def op6_ngram_jaccard_join(spark, sf_dir):
-    return jaccard_join.components(table(spark, sf_dir, "documents"), n=3, percent=90)
-
-
-def op7_suffix_dedup(spark, sf_dir):
-    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=50)
-    return found.select(
-        "doc_id", "n_bytes",
-        F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-        .alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"))
-
-
 def op8_bpe_automaton(spark, sf_dir):
     coded = bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary_path())
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -89,16 +67,9 @@ def op10_license_scans(spark, sf_dir):
                                           "base_labels", "labels", "score")
 
 
-def pipeline(spark, sf_dir):
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
-
-
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op2_url_filters, op3_nearest_neighbours, op4_best_fit_packing,
-    op5_html_extraction, op6_ngram_jaccard_join, op7_suffix_dedup, op8_bpe_automaton,
-    op9_quality_rules, op10_license_scans, pipeline)}
+    op1_quality_classifier, op2_url_filters, op3_nearest_neighbours, op8_bpe_automaton,
+    op9_quality_rules, op10_license_scans)}
 
 _URL_ORACLE = """
 WITH cut AS (
@@ -120,54 +91,4 @@ SELECT u.page_id, u.host, u.path, f.rule AS rule, coalesce(f.verdict, 'allow') A
 FROM urls u LEFT JOIN fits f ON u.host = f.host AND u.path = f.path AND f.k = 1
 """ % ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
-_SHINGLE_ORACLE = """
-WITH RECURSIVE words AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-         'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-sets AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-         ELSE list_distinct(list_transform(range(1, len(w) - 1),
-              lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words),
-members AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
-pairs AS (
-  SELECT a.doc_id AS a, b.doc_id AS b FROM members a JOIN members b
-    ON a.g = b.g AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
-  GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
-reach AS (
-  SELECT doc_id AS a, doc_id AS b FROM documents
-  UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
-least_id AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
-SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, l.c AS component_id
-FROM sets s JOIN least_id l ON s.doc_id = l.a
-"""
-
-_REPEAT_ORACLE = """
-WITH bytes AS (
-  SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h,
-         octet_length(encode(coalesce(text, ''))) AS n FROM documents),
-windows AS (
-  SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS w FROM bytes, unnest(range(0, n - 49)) t(p)
-  WHERE n >= 50),
-firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
-repeated AS (SELECT x.doc_id, x.p FROM windows x JOIN firsts f ON x.w = f.w AND f.first < x.doc_id),
-gaps AS (
-  SELECT doc_id, p, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM repeated),
-runs AS (
-  SELECT doc_id, p, sum(CASE WHEN gap IS NULL OR gap > 50 THEN 1 ELSE 0 END)
-         OVER (PARTITION BY doc_id ORDER BY p) AS run FROM gaps),
-spans AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM runs GROUP BY doc_id, run),
-edges AS (
-  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before
-  FROM spans),
-kept AS (
-  SELECT e.doc_id, sum(b - a) AS removed, count(*) AS spans, max(b) AS last,
-         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
-  FROM edges e JOIN bytes USING (doc_id) GROUP BY e.doc_id)
-SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
-       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
-       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
-FROM bytes LEFT JOIN kept USING (doc_id)
-"""
-
-ORACLES = {"op2_url_filters": _URL_ORACLE, "op6_ngram_jaccard_join": _SHINGLE_ORACLE,
-           "op7_suffix_dedup": _REPEAT_ORACLE}
+ORACLES = {"op2_url_filters": _URL_ORACLE}
