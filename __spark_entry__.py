@@ -25,6 +25,13 @@ from quayside.sources.notify import route_notifications
 from quayside.streaming.files import run_stream
 from quayside.streaming.notifications import run_notifications, stream_messages
 
+try:
+    from quayside.llm import queries as _llm
+except ModuleNotFoundError as e:
+    if not (e.name or "").startswith("quayside.llm"):
+        raise
+    _llm = None
+
 # Fixed load time and decimal text format used by the query set.
 TS = "2024-02-01 00:00:00"
 MONEY = "decimal(18,2)"
@@ -279,7 +286,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    own = {
         "row_hash_content": q_row_hash_content,
         "row_hash_as_coded": q_row_hash_as_coded,
         "metadata_columns": q_metadata_columns,
@@ -307,6 +314,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_notifications": q_stream_notifications,
         "raw_inventory": q_raw_inventory,
     }
+    return own | (_llm.QUERIES if _llm else {})
 
 
 # ---------------------------------------------------------------- oracle
@@ -407,7 +415,7 @@ QUALIFY row_number() OVER (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    own = {
         "row_hash_content": f"SELECT {_DOC_ID} AS id, text, lang, source FROM documents",
         "row_hash_as_coded": (
             "SELECT 'record-' || md5(concat_ws('_', n_nationkey, n_name, n_regionkey, "
@@ -469,3 +477,4 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest": _ingested(_ORDERS_TEXT, _ORDER_COLS, None),
         "stream_notifications": _ingested(_CUSTOMER_TEXT, _CUSTOMER_COLS, None),
     }
+    return own | (_llm.ORACLES if _llm else {})
