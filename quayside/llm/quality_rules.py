@@ -156,6 +156,17 @@ def fit(docs: DataFrame, text_col: str = "text") -> dict:
     return learn([(tuple(row[r] for r in RULES), row["count"]) for row in rows])
 
 
+def keep(docs: DataFrame, model: dict, *, text_col: str = "text") -> DataFrame:
+    """The rows that ``judge`` keeps, with their own columns."""
+    own = F.struct(*docs.columns).alias("_own")
+    judged = judge(docs.select(own, F.col(text_col).alias("text")), model)
+    # Always true, but not for the optimiser: a filter pushed below the counts
+    # would put each of them into the lambdas of the next.
+    here = F.monotonically_increasing_id() >= 0
+    return (judged.select("_own", (F.col("kept") & here).alias("_keep")).where("_keep")
+            .select("_own.*"))
+
+
 def judge(docs: DataFrame, model: dict, *, text_col: str = "text") -> DataFrame:
     """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, posterior, kept`` (earlier columns of these

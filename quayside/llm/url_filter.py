@@ -1,7 +1,7 @@
 """URL rules behind a blocked Bloom filter.
 
 Method. The listed keys (canonical host and path, no scheme) enter a blocked
-Bloom filter: a key's hash names one block of ``WORDS`` 32-bit words and one bit
+Bloom filter: a key's hash names one block of eight 32-bit words and one bit
 in each, so a test touches one cache line. Every url's candidate keys (each
 parent domain with each listed path length) are tested; possible hits go on to
 an exact hash join with the rules, which removes the false positives. The
@@ -21,38 +21,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.bloom import build_filter, may_hold
 from quayside.llm.frames import ascii_lower
 
-WORDS = 8
-BLOCK_BYTES = 4 * WORDS
-# Odd multipliers, one for each word of a block: any fixed odd numbers do.
-SALTS = np.array([2 * (0x9E3779B97F4A7C15 * (i + 1) >> 3) + 1 & 0xFFFFFFFFFFFFFFFF
-                  for i in range(WORDS)], dtype=np.uint64)
-
-
-def _places(hashes: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    h = hashes.astype(np.int64).view(np.uint64)
-    block = (h >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
-    bits = (h[:, None] * SALTS) >> np.uint64(59)
-    return block.astype(np.int64), np.uint32(1) << bits.astype(np.uint32)
-
-
-def build_filter(hashes, keys: int, bits_per_key: int, max_bytes: int) -> np.ndarray:
-    """``hashes`` yields arrays of 64-bit hashes of the listed keys."""
-    blocks = max(1, min(max_bytes, keys * bits_per_key // 8) // BLOCK_BYTES)
-    table = np.zeros((blocks, WORDS), dtype=np.uint32)
-    for part in hashes:
-        block, bits = _places(part, blocks)
-        for word in range(WORDS):
-            np.bitwise_or.at(table[:, word], block, bits[:, word])
-    return table
-
-
-def may_hold(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    block, bits = _places(hashes, len(table))
-    return ((table[block] & bits) == bits).all(axis=1)
-
-
 def host_and_path(url):
     """Canonical host and path columns of a url column. Null or no ``://``:
     both empty."""
