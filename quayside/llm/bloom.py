@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 WORDS = 8
 BLOCK_BYTES = 4 * WORDS
 ROW_BLOCKS = 2048
-# Odd multipliers, one for each word of a block: any fixed odd numbers do.
-SALTS = np.array([2 * (0x9E3779B97F4A7C15 * (i + 1) >> 3) + 1 & 0xFFFFFFFFFFFFFFFF
-                  for i in range(WORDS)], dtype=np.uint64)
+# One odd multiplier for each word of a block, unrelated to each other.
+SALTS = np.random.default_rng(20).integers(0, 2 ** 63, WORDS, dtype=np.uint64) * np.uint64(2) \
+    + np.uint64(1)
 
 
 def places(hashes: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:

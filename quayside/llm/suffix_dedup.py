@@ -89,7 +89,9 @@ def samples(data: np.ndarray, ends: np.ndarray, length: int):
     new = np.r_[True, (at[1:] != at[:-1]) | (text[1:] != text[:-1]) | (start[1:] != start[:-1] + 1)]
     first = np.flatnonzero(new)
     last = np.r_[first[1:], len(at)] - 1
-    return grams[at[first]], start[first], start[last], text[first]
+    # The smallest names crowd at one end; mixed again, they spread evenly.
+    key = grams[at[first]] * np.uint64(BASE[1])
+    return key ^ (key >> np.uint64(31)), start[first], start[last], text[first]
 
 
 def parts(docs, texts, length: int):
