@@ -134,17 +134,17 @@ def _chunks(batch: pd.DataFrame, length: int):
 
 
 def _repeated_samples(texts: DataFrame, length: int) -> DataFrame:
-    """``key`` of the samples that occur more than once in the corpus (copies of
-    one text in a batch count once)."""
+    """``key, n`` of the samples that occur ``n`` > 1 times in the corpus (copies
+    of one text in a batch count once)."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [samples(data, ends, length)[0] for _, _, data, ends in _chunks(batch, length)]
             if found:
                 key, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pd.DataFrame({"key": key.view(np.int64), "n": np.minimum(n, 2)})
+                yield pd.DataFrame({"key": key.view(np.int64), "n": n})
 
     return (texts.mapInPandas(count, "key long, n long").groupBy("key")
-            .agg(F.sum("n").alias("n")).where(F.col("n") > 1).select("key"))
+            .agg(F.sum("n").alias("n")).where(F.col("n") > 1))
 
 
 def _around(texts: DataFrame, bloom, length: int, turn: int, turns: int) -> DataFrame:
@@ -210,24 +210,29 @@ def find_repeats(texts: DataFrame, *, length: int, filter_bytes: int,
     overlapping; ``texts`` has ``doc, text binary, h`` (a digest of the text)."""
     spark = texts.sparkSession
     shared = written(_repeated_samples(texts, length), "repeat-samples")
-    count = shared.count()
+    count, rows = shared.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     turns = max(1, -(-count * 2 // filter_bytes))
+    buckets = max(1, -(-rows // (turns * bucket_rows)))
+
+    def sort(rows: pd.DataFrame) -> pd.DataFrame:
+        settled = rows["bytes"].isna()
+        found = repeated_in_bucket(*(rows.loc[~settled, c] for c in ("doc", "start", "bytes")),
+                                   length)
+        done = rows.loc[settled, ["doc", "start"]].assign(
+            end=rows.loc[settled, "start"] + rows.loc[settled, "size"])
+        return pd.concat([found, done])
+
     found = []
     for turn in range(turns):
         mine = shared.where(F.pmod(_unsigned_mod("key", turns), F.lit(turns)) == turn)
         bloom = spark.sparkContext.broadcast(key_filter(mine, count // turns, most=filter_bytes))
-        around = written(_around(texts, bloom, length, turn, turns), "repeat-suffixes")
-        whole = around.where(F.col("bytes").isNotNull())
-        buckets = max(1, -(-whole.count() // bucket_rows))
-
-        def sort(rows: pd.DataFrame) -> pd.DataFrame:
-            return repeated_in_bucket(rows["doc"], rows["start"], rows["bytes"], length)
-
-        found.append(whole.select("doc", "start", "bytes",
-                                  F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
+        # Settled rows go anywhere; the others to their sample's bucket.
+        place = F.when(F.col("bytes").isNull(), F.xxhash64("doc", "start")).otherwise(
+            F.xxhash64("key"))
+        found.append(_around(texts, bloom, length, turn, turns)
+                     .select("doc", "start", "bytes", "size",
+                             F.pmod(place, F.lit(buckets)).alias("bucket"))
                      .groupBy("bucket").applyInPandas(sort, "doc long, start long, end long"))
-        found.append(around.where(F.col("bytes").isNull())
-                     .select("doc", "start", (F.col("start") + F.col("size")).alias("end")))
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
