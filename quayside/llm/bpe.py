@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.frames import in_slices
 
-MAX_KEPT = 300_000
+MAX_KEPT = 100_000
 KEPT_CHARS = 40
 SLICE = 256
 # The pre-tokenizer's word pattern: a fixed value of byte-level BPE files.

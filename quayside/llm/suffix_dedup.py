@@ -37,7 +37,7 @@ from quayside.llm.frames import in_slices, written
 
 GRAM = 20
 SLICE = 256
-CHUNK = 4 << 20  # bytes looked at together; longer texts are taken in parts
+CHUNK = 1 << 20  # bytes looked at together; longer texts are taken in parts
 BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, hence invertible modulo 2 ** 64
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -257,7 +257,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
                    text_col: str = "text", filter_bytes: int = 64 << 20,
-                   bucket_rows: int = 100_000) -> DataFrame:
+                   bucket_rows: int = 40_000) -> DataFrame:
     """Remove every byte covered by a string of ``length`` bytes that also starts
     in a document with a smaller id; strings are judged on the input.
 
