@@ -79,7 +79,8 @@ class Automaton:
         self.known: dict[tuple[int, int], bool] = {}
         self.steps = len(vocabulary.merges)
         for step, (u, v, w) in enumerate(vocabulary.merges):
-            if w in self.made or not self._has(u, step - 1, v):
+            if (w in self.made or u not in self.made or v not in self.made
+                    or not self._has(u, step - 1, v)):
                 continue
             self.made[w], self.parts[w], self.lost[w] = step, (u, v), {}
             self.lost[u][v] = step

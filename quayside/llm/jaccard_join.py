@@ -20,9 +20,11 @@ At scale. Equal sets are one class, found by one aggregate. Within a column the
 documents are linked as stars, first within a batch, then across batches, so a
 column held by a third of all documents sends one row per batch to its task and
 makes as many pairs as documents. After the links of all stars are joined into
-components, only pairs of documents that share a column and still lie in
-different components are multiplied: no link between different texts is lost,
-and copies are never expanded into all pairs. What is reread is written to the
+components, only pairs of documents that share a column, still lie in different
+components and have room for the overlap from that column on are multiplied: no
+link between different texts is lost, and copies are never expanded into all
+pairs. A star's centre is the document where its column ranks lowest, the one
+with the fewest n-grams of its own. What is reread is written to the
 shared folder; nothing but the sketch and a few sums reaches the driver.
 """
 
@@ -148,15 +150,15 @@ def frequency_levels(texts: DataFrame, n: int, sketch_bits: int) -> np.ndarray:
 
 
 def _columns(texts: DataFrame, levels, n: int, percent: int) -> DataFrame:
-    """Two kinds of rows in one pass. For each document with an id: ``doc, n,
-    h1, h2`` (its set's size and digest). For each column that it opens: ``key,
-    doc``, and ``pivot``, the batch's first document of that column where that is
-    another one; ``more`` marks such a first. Later copies of a set in a task
-    open no columns."""
+    """Two kinds of rows in one pass. For each document: ``doc, n, h1, h2`` (its
+    set's size and digest). For each column that it opens: ``key, doc, place``
+    (the column's rank among the document's) and ``n``, and ``pivot``, the batch's
+    document of lowest place in that column where that is another one; ``more``
+    marks such a pivot. Later copies of a set in a task open no columns."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[bytes] = set()
         for batch in batches:
-            keys, owners = [], []
+            keys, owners, places, sizes = [], [], [], []
             for rows in in_slices(SLICE)([batch]):
                 base = []
                 for doc, text in zip(rows["doc"], rows["text"]):
@@ -168,24 +170,28 @@ def _columns(texts: DataFrame, levels, n: int, percent: int) -> DataFrame:
                         seen.add(digest)
                         keys.append(leading(grams, levels.value, percent).view(np.int64))
                         owners.append(np.full(len(keys[-1]), doc, dtype=np.int64))
+                        places.append(np.arange(len(keys[-1])))
+                        sizes.append(np.full(len(keys[-1]), len(grams)))
                 yield pd.DataFrame(base, columns=["doc", "n", "h1", "h2"]).assign(
-                    key=None, pivot=None, more=None)[_ORDER]
+                    key=None, pivot=None, more=None, place=None)[_ORDER]
             if keys:
                 key, doc = np.concatenate(keys), np.concatenate(owners)
-                order = np.lexsort((doc, key))
-                key, doc = key[order], doc[order]
+                place, n_of = np.concatenate(places), np.concatenate(sizes)
+                order = np.lexsort((doc, place, key))
+                key, doc, place, n_of = key[order], doc[order], place[order], n_of[order]
                 new = np.r_[True, key[1:] != key[:-1]]
                 first = doc[new][np.cumsum(new) - 1]
                 more = np.r_[~new[1:], False]
                 yield pd.DataFrame({
                     "key": key, "doc": doc, "pivot": pd.Series(first).astype("Int64").mask(new),
-                    "more": more & new, "n": None, "h1": None, "h2": None})[_ORDER]
+                    "more": more & new, "place": place, "n": n_of, "h1": None,
+                    "h2": None})[_ORDER]
 
-    return texts.mapInPandas(run, "key long, doc long, pivot long, more boolean, n long, "
-                                  "h1 long, h2 long")
+    return texts.mapInPandas(run, "key long, doc long, pivot long, more boolean, place int, "
+                                  "n long, h1 long, h2 long")
 
 
-_ORDER = ["key", "doc", "pivot", "more", "n", "h1", "h2"]
+_ORDER = ["key", "doc", "pivot", "more", "place", "n", "h1", "h2"]
 
 
 def _multiply(pairs: DataFrame, texts: DataFrame, n: int, percent: int,
@@ -235,16 +241,16 @@ def components(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str =
     class_of = classed.where(F.col("n") > 0).groupBy("doc").agg(
         F.min(F.struct("rep", "n")).alias("c")).select("doc", "c.rep", "c.n")
 
-    by_key = Window.partitionBy("key").orderBy("doc")
+    by_key = Window.partitionBy("key").orderBy("place", "doc")
     columns = rows.where(F.col("key").isNotNull())
     firsts = (columns.where(F.col("pivot").isNull())
-              .select("key", "doc", "more",
+              .select("key", "doc", "more", "place",
                       F.first("doc").over(by_key.rowsBetween(Window.unboundedPreceding, 0))
                       .alias("pivot"), F.lead("doc").over(by_key).alias("next"))
               .where(F.col("more") | F.col("next").isNotNull() | (F.col("pivot") != F.col("doc")))
-              .select("key", "doc", "pivot"))
+              .select("key", "doc", "pivot", "place"))
     shared = written(firsts.union(columns.where(F.col("pivot").isNotNull())
-                                  .select("key", "doc", "pivot")), "jaccard-shared")
+                                  .select("key", "doc", "pivot", "place")), "jaccard-shared")
     bound = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     one, two = (class_of.select(F.col("doc").alias(d), F.col("rep").alias(r), F.col("n").alias(m))
                 for d, r, m in (("pivot", "a", "na"), ("doc", "b", "nb")))
@@ -260,19 +266,31 @@ def components(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str =
     links = written(_multiply(stars, kept, n, percent), "jaccard-links")
     found = connected(links, "jaccard-components")
 
-    # Columns whose documents the stars have not joined into one component.
-    members = (shared.select("key", "doc").join(class_of, "doc")
+    # Columns whose documents the stars have not joined into one component. In the
+    # first column that a linked pair shares, either set has room for the needed
+    # overlap from that place on; other pairs are not formed.
+    members = (shared.select("key", "doc", "place").join(class_of, "doc")
                .join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-               .select("key", "rep", "n", F.coalesce("component", "rep").alias("component")))
+               .select("key", "rep", "n", "place",
+                       F.coalesce("component", "rep").alias("component")))
     members = written(members.distinct(), "jaccard-members")
     split = (members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-             .where(F.col("x") != F.col("y")).select("key"))
+             .where(F.col("x") != F.col("y")).select("key", "x"))
     apart = members.join(split, "key")
-    one, two = (apart.select("key", F.col("rep").alias(r), F.col("n").alias(m),
-                             F.col("component").alias(c))
-                for r, m, c in (("a", "na", "ca"), ("b", "nb", "cb")))
-    crossing = (one.join(two, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-                .where(bound).select("a", "na", "b", "nb").distinct())
+    one, two = (apart.select("key", "x", F.col("rep").alias(r), F.col("n").alias(m),
+                             F.col("place").alias(p), F.col("component").alias(c))
+                for r, m, p, c in (("a", "na", "pa", "ca"), ("b", "nb", "pb", "cb")))
+    least = percent * (F.col("na") + F.col("nb"))
+    room = (((100 + percent) * (F.col("na") - F.col("pa")) >= least)
+            & ((100 + percent) * (F.col("nb") - F.col("pb")) >= least))
+    # The column's first component, most often the large one, is on one side alone.
+    once = (F.col("cb") == F.col("x")) | (F.col("a") < F.col("b"))
+    crossing = (one.where(F.col("ca") != F.col("x")).join(two.drop("x"), "key")
+                .where((F.col("ca") != F.col("cb")) & once).where(bound).where(room)
+                .select(F.least("a", "b").alias("a"), F.when(F.col("a") < F.col("b"), F.col("na"))
+                        .otherwise(F.col("nb")).alias("na"), F.greatest("a", "b").alias("b"),
+                        F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na"))
+                        .alias("nb")).distinct())
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     crossing = written(crossing.join(tried, ["a", "b"], "left_anti"), "jaccard-crossing")
     if not crossing.isEmpty():

@@ -176,11 +176,14 @@ def scan(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     left = F.aggregate("_l_found", none, resolve)
     out = out.withColumn("_l_left", F.coalesce(left, none))
     joined = F.array_join(F.sort_array(F.array_union(F.col("_l_base"), F.col("_l_left")["labels"])), ",")
-    out = out.withColumns({
+    # Always true, but not for the optimiser: a later filter isn't pushed below.
+    here = F.monotonically_increasing_id() >= 0
+    results = {
         "n_words": F.col("_l_n_words"), "n_base": F.col("_l_n_base"),
         "first_word": F.col("_l_first"), "last_word": F.col("_l_last"),
         "base_labels": F.array_join(F.sort_array(F.array_distinct("_l_base")), ","),
         "labels": joined,
         "score": F.greatest(F.col("_l_left")["c"],
-                            F.when(F.size("_l_base") > 0, 0.9).otherwise(0.0))})
+                            F.when(F.size("_l_base") > 0, 0.9).otherwise(0.0))}
+    out = out.withColumns({c: F.when(here, x) for c, x in results.items()})
     return out.drop(*(c for c in out.columns if c.startswith("_l_")))

@@ -79,7 +79,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def search(vectors: DataFrame, queries, *, k: int = 10, id_col: str = "vec_id",
            vector_col: str = "embedding", centroids: int = 64, visit: float = 0.65,
-           least: int = 4000, sample_rows: int = 20_000, block_rows: int = 8192,
+           least: int = 4000, sample_rows: int = 20_000, block_rows: int = 2048,
            query_rows: int = 2048) -> DataFrame:
     """The ``k`` nearest found for each query row; ``queries`` is a condition on
     ``vec_id`` that names the query set.

@@ -52,7 +52,10 @@ def add_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     covered = F.aggregate("_q_at", start, lambda a, i: F.struct(
         (i + WINDOW).alias("end"),
         (a["n"] + WINDOW - F.greatest(F.lit(0), a["end"] - i)).alias("n")))["n"]
-    return docs.withColumns({
+    # Always true, but not for the optimiser: a later filter pushed below the
+    # counts would put each of them into the lambdas of the next.
+    here = F.monotonically_increasing_id() >= 0
+    counts = {
         "_q_n_words": F.size("_q_words").cast("long"),
         "_q_word_chars": F.length(F.array_join("_q_words", "")).cast("long"),
         "_q_n_symbols": F.regexp_count("_q_text", F.lit(r"[#*$%&|<>]")).cast("long"),
@@ -61,7 +64,8 @@ def add_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "_q_n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
         "_q_n_capitals": F.regexp_count("_q_text", F.lit(r"\p{Lu}")).cast("long"),
         "_q_n_distinct": F.size(F.array_distinct("_q_words")).cast("long"),
-    }).drop("_q_text", "_q_words", "_q_lines", "_q_hashes", "_q_sorted", "_q_at")
+    }
+    return docs.withColumns({c: F.when(here, x) for c, x in counts.items()}).drop("_q_text", "_q_words", "_q_lines", "_q_hashes", "_q_sorted", "_q_at")
 
 
 def votes() -> dict[str, Column]:
@@ -160,11 +164,7 @@ def keep(docs: DataFrame, model: dict, *, text_col: str = "text") -> DataFrame:
     """The rows that ``judge`` keeps, with their own columns."""
     own = F.struct(*docs.columns).alias("_own")
     judged = judge(docs.select(own, F.col(text_col).alias("text")), model)
-    # Always true, but not for the optimiser: a filter pushed below the counts
-    # would put each of them into the lambdas of the next.
-    here = F.monotonically_increasing_id() >= 0
-    return (judged.select("_own", (F.col("kept") & here).alias("_keep")).where("_keep")
-            .select("_own.*"))
+    return judged.where("kept").select("_own.*")
 
 
 def judge(docs: DataFrame, model: dict, *, text_col: str = "text") -> DataFrame:
