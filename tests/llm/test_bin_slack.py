@@ -1,0 +1,90 @@
+import random
+import zlib
+from array import array
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from quayside.llm import bin_slack
+from tests.llm import cases
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_cut():
+    assert bin_slack.cut(1, 10) == [(0, 1)]
+    assert bin_slack.cut(10, 10) == [(0, 10)]
+    assert bin_slack.cut(23, 10) == [(0, 3), (3, 10), (13, 10)]
+
+
+def test_fullest_is_the_best_subset_sum():
+    rng = random.Random(1)
+    for _ in range(300):
+        counts = {rng.randint(1, 40): rng.randint(1, 3) for _ in range(rng.randint(1, 7))}
+        room = rng.randint(0, 90)
+        sums = {0}
+        for size, n in counts.items():
+            sums = {s + size * k for s in sums for k in range(n + 1)}
+        got = bin_slack.fullest(counts, room)
+        assert all(n <= counts[s] for s, n in got.items())
+        assert sum(s * n for s, n in got.items()) == max(s for s in sums if s <= room)
+
+
+def test_plan_uses_every_piece_once_and_few_bins():
+    rng = random.Random(2)
+    counts = {}
+    for _ in range(20_000):
+        size = min(2048, int(rng.lognormvariate(6, 1)) + 1)
+        counts[size] = counts.get(size, 0) + 1
+    bins = bin_slack.plan(counts, 2048)
+    used = {}
+    for times, bin_ in bins:
+        assert sum(s * n for s, n in bin_.items()) <= 2048
+        for s, n in bin_.items():
+            used[s] = used.get(s, 0) + n * times
+    assert used == counts
+    least = -(-sum(s * n for s, n in counts.items()) // 2048)
+    assert sum(times for times, _ in bins) <= least + 2
+
+
+def _check(rows, capacity):
+    bins = {}
+    for r in rows:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in bins.values():
+        at = 0
+        for offset, n in sorted(places):
+            assert offset == at
+            at += n
+        assert at <= capacity
+    return len(bins)
+
+
+@pytest.mark.parametrize("capacity", [8, 2048])
+def test_documents(spark, capacity):
+    rows = bin_slack.pack_documents(cases.documents(spark), PATH, capacity=capacity).collect()
+    _check(rows, capacity)
+    library = Tokenizer.from_file(PATH)
+    want = []
+    for doc, text in cases.TEXTS:
+        ids = library.encode(text or "", add_special_tokens=False).ids + [0]
+        for k, (at, n) in enumerate(bin_slack.cut(len(ids), capacity)):
+            want.append((doc, k, at, n, zlib.crc32(array("I", ids[at:at + n]).tobytes())))
+    got = [(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_ranks_over_many_salts(spark):
+    rng = random.Random(3)
+    pieces = spark.createDataFrame([(i, rng.choice([5, 7, 7, 7, 16])) for i in range(500)] * 2,
+                                   "doc_id long, length long")
+    rows = bin_slack.pack(pieces, capacity=16, rank_rows=20).collect()
+    assert len(rows) == 1000
+    _check(rows, 16)
+
+
+def test_empty_table_and_bad_lengths(spark):
+    assert bin_slack.pack_documents(cases.empty(spark), PATH).count() == 0
+    with pytest.raises(ValueError):
+        bin_slack.pack(spark.createDataFrame([(1, 20)], "doc_id long, length long"), capacity=16)
