@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from quayside.functions.paths import extension, is_csv
 from quayside.operators.audit import count_load, read_audit
-from quayside.operators.columns import add_metadata, apply_mapping, ensure_id, schema_profile
-from quayside.operators.quality import dedup, dedup_rows, require_not_null
+from quayside.operators.columns import (ColumnCollisionError, add_metadata, apply_mapping,
+                                        ensure_id, schema_profile)
+from quayside.operators.quality import dedup, dedup_rows, redistribute, require_not_null
+from quayside.plans import files
 from quayside.plans import target as tgt
 from quayside.plans.load import LoadConfig, prepare, run_load
 from quayside.session import configure, scratch_dir
@@ -73,9 +75,9 @@ def q_required_not_null(spark, sf_dir):
 
 
 def q_required_rejects(spark, sf_dir):
-    ev = _events_with_id(spark, sf_dir)
-    return ev.agg(F.count_if(F.col("id").isNotNull()).cast("long").alias("kept"),
-                  F.count_if(F.col("id").isNull()).cast("long").alias("rejected"))
+    kept, rejected = require_not_null(_events_with_id(spark, sf_dir), ["id"])
+    one = kept.agg(F.count("*").alias("kept"))
+    return one.select("kept", rejected.agg(F.count("*")).scalar().alias("rejected"))
 
 
 def q_dedup_exact(spark, sf_dir):
@@ -178,7 +180,7 @@ def _load_events_slice(spark, df, target, batch_id):
     text = to_text(latest, MONEY).withColumnRenamed("user_id", "id")
     mapped = apply_mapping(add_metadata(text, f"raw/events_{batch_id}.csv", TS))
     tgt.ensure_target(spark, target)
-    tgt.upsert(mapped, target, batch_id)
+    tgt.upsert(mapped, target)
 
 
 def _two_loads(spark, sf_dir, compact_between: bool):
@@ -230,7 +232,7 @@ def notification_messages(events: DataFrame) -> DataFrame:
 def q_notification_routing(spark, sf_dir):
     msgs = notification_messages(_t(spark, sf_dir, "events"))
     return route_notifications(msgs, "body").select("event_id", "record", "bucket", "key",
-                                                    "status")
+                                                    "status", "message")
 
 
 def q_format_gate(spark, sf_dir):
@@ -252,29 +254,153 @@ def q_stream_ingest(spark, sf_dir):
              double_format=MONEY)
     cfg = LoadConfig(target=f"{zone}/target", ts=TS)
     run_stream(spark, f"{zone}/raw", cfg, f"{zone}/_checkpoint")
-    return tgt.current(spark, cfg.target).drop("source_file")
+    return _under(tgt.current(spark, cfg.target), "raw/orders/")
+
+
+def _under(df, prefix):
+    """Part files have random names: their key's fixed part is compared."""
+    return df.withColumn("source_file", F.when(F.startswith("source_file", F.lit(prefix)),
+                                               F.lit(prefix)))
 
 
 def q_stream_notifications(spark, sf_dir):
     zone = scratch_dir(spark, "notify")
     land_csv(_t(spark, sf_dir, "customer").repartition(3), f"{zone}/raw", "customer",
              double_format=MONEY)
-    files = inventory(spark, f"{zone}/raw", root=zone)
-    keys = files.select(F.col("key")).unionByName(
-        files.select(F.concat(F.col("key"), F.lit(".done")).alias("key")))
+    landed = inventory(spark, f"{zone}/raw", root=zone)
+    keys = landed.select(F.col("key")).unionByName(
+        landed.select(F.concat(F.col("key"), F.lit(".done")).alias("key")))
     msg = F.format_string('{"Records":[{"s3":{"bucket":{"name":"zone"},'
                           '"object":{"key":"%s"}}}]}', F.col("key"))
     keys.select(msg.alias("value")).write.mode("overwrite").text(f"{zone}/inbox")
     cfg = LoadConfig(target=f"{zone}/target", ts=TS)
     run_notifications(spark, stream_messages(spark, f"{zone}/inbox"), cfg,
                       f"{zone}/_checkpoint", zone_for=zone)
-    return tgt.current(spark, cfg.target).drop("source_file")
+    return _under(tgt.current(spark, cfg.target), "raw/customer/")
 
 
 def q_raw_inventory(spark, sf_dir):
     zone = scratch_dir(spark, "inventory")
-    land_csv(_t(spark, sf_dir, "events"), f"{zone}/raw", "events.csv")
-    return inventory(spark, f"{zone}/raw", root=zone).select("key", "ext", "bytes", "eligible")
+    for name in ("region", "nation"):
+        land_csv(_t(spark, sf_dir, name).coalesce(1), f"{zone}/raw", f"{name} 100%.csv")
+    files_ = inventory(spark, f"{zone}/raw", root=zone)
+    # The second part of a key is the landed folder, the third a part's random name.
+    return files_.groupBy("ext", "eligible",
+                          F.split("key", "/")[1].alias("folder")).agg(
+        F.count("*").alias("files"), F.sum("bytes").alias("bytes"),
+        F.sum("size_mb").alias("size_mb"), F.count("modified").alias("dated"))
+
+
+def _events_text(spark, sf_dir, *columns):
+    return to_text(_t(spark, sf_dir, "events").select(F.col("event_id").alias("id"), *columns))
+
+
+def q_load_malformed_audit(spark, sf_dir):
+    """Purchases carry a field more than the header."""
+    zone = scratch_dir(spark, "malformed")
+    ev = _events_text(spark, sf_dir, "event_type")
+    extra = F.when(F.col("event_type") == "purchase", F.lit(",EXTRA")).otherwise("")
+    lines = ev.select(F.concat("id", F.lit(","), "event_type", extra).alias("id,event_type"))
+    lines.write.option("header", True).option("sep", "|").csv(f"{zone}/raw/events.csv")
+    cfg = LoadConfig(target=f"{zone}/target", ts=TS)
+    run_load(spark, f"{zone}/raw/events.csv", cfg, key="raw/events.csv")
+    return read_audit(spark, cfg.target).select("read", "null_rejected", "duplicates", "written",
+                                                "malformed", "status")
+
+
+def q_replayed_stream(spark, sf_dir):
+    """An epoch run again after a crash between its load and its checkpoint."""
+    zone = scratch_dir(spark, "replay")
+    land_csv(_events_text(spark, sf_dir, "user_id", "event_type").drop("id"), f"{zone}/raw", "events")
+    cfg = LoadConfig(target=f"{zone}/target", ts=TS)
+    run_stream(spark, f"{zone}/raw", cfg, f"{zone}/_checkpoint")
+    for name in ("0", ".0.crc"):
+        files.delete(spark, f"{zone}/_checkpoint/commits/{name}")
+    run_stream(spark, f"{zone}/raw", cfg, f"{zone}/_checkpoint")
+    counted = F.lit(len(tgt.batch_ids(spark, cfg.target))).cast("long").alias("loads")
+    return _under(tgt.current(spark, cfg.target), "raw/events/").select("*", counted)
+
+
+def q_stream_mixed_headers(spark, sf_dir):
+    """One micro-batch of files with a key column and files without one."""
+    zone = scratch_dir(spark, "mixed")
+    cust = to_text(_t(spark, sf_dir, "customer").select("c_custkey", "c_name"))
+    land_csv(cust.withColumnRenamed("c_custkey", "id"), f"{zone}/raw", "customer")
+    land_csv(_t(spark, sf_dir, "supplier").select("s_name", "s_nationkey"), f"{zone}/raw", "supplier")
+    cfg = LoadConfig(target=f"{zone}/target", ts=TS)
+    run_stream(spark, f"{zone}/raw", cfg, f"{zone}/_checkpoint")
+    return tgt.current(spark, cfg.target).select("id", "c_name", "s_name", "s_nationkey")
+
+
+def q_stream_arrival_order(spark, sf_dir):
+    """Two files that share keys in one micro-batch: the later one wins."""
+    zone = scratch_dir(spark, "arrival")
+    ev = _t(spark, sf_dir, "events")
+    split = F.lit(SPLIT).cast("timestamp")
+    for name, part in (("z_first", ev.where(F.col("ts") < split)),
+                       ("a_second", ev.where(F.col("ts") >= split))):
+        latest = dedup(part, ["user_id"], order_by=["ts", "event_id"])
+        text = to_text(latest, MONEY).withColumnRenamed("user_id", "id")
+        land_csv(text.coalesce(1), f"{zone}/raw", name)
+    cfg = LoadConfig(target=f"{zone}/target", ts=TS)
+    run_stream(spark, f"{zone}/raw", cfg, f"{zone}/_checkpoint")
+    return tgt.current(spark, cfg.target).drop("source_file", "timestamp")
+
+
+def q_empty_load_audit(spark, sf_dir):
+    """A file with a header and no row (S3): none of the orders is chosen."""
+    zone = scratch_dir(spark, "empty")
+    none = to_text(_t(spark, sf_dir, "orders"), MONEY).where(F.col("o_orderkey").isNull())
+    land_csv(none, f"{zone}/raw", "orders.csv")
+    cfg = LoadConfig(target=f"{zone}/target", ts=TS)
+    run_load(spark, f"{zone}/raw/orders.csv", cfg, key="raw/orders.csv")
+    return read_audit(spark, cfg.target).select("read", "written", "status", "message")
+
+
+def q_failed_load_audit(spark, sf_dir):
+    """A load that can't run (A4) beside one that does, on a table kept (K1)."""
+    zone = scratch_dir(spark, "failed")
+    nation = to_text(_t(spark, sf_dir, "nation"))
+    cfg = LoadConfig(target=f"{zone}/target", ts=TS)
+    for name, df in (("nation", nation), ("bad", nation.withColumnRenamed("n_name", "timestamp"))):
+        raw = land_csv(df, f"{zone}/raw", f"{name}.csv")
+        try:
+            run_load(spark, raw, cfg, key=f"raw/{name}.csv")
+        except ColumnCollisionError:
+            pass  # its record is what is asked for
+    return read_audit(spark, cfg.target).select("source_file", "read", "written", "status")
+
+
+def q_bounded_write(spark, sf_dir):
+    """K3: the load's files are as many as asked for."""
+    zone = scratch_dir(spark, "bounded")
+    raw = land_csv(_t(spark, sf_dir, "customer").repartition(5), f"{zone}/raw", "customer.csv",
+                   double_format=MONEY)
+    cfg = LoadConfig(target=f"{zone}/target", ts=TS, write_partitions=3)
+    run_load(spark, raw, cfg, key="raw/customer.csv")
+    runs = files.child_dirs(spark, f"{cfg.target}/log")
+    parts = sum(n.endswith(".parquet") for r in runs
+                for n in files.child_files(spark, f"{cfg.target}/log/{r}"))
+    return tgt.current(spark, cfg.target).select("*", F.lit(parts).cast("long").alias("files"))
+
+
+def q_redistribute(spark, sf_dir):
+    """rows of one key share a partition, and none is lost."""
+    out = redistribute(_t(spark, sf_dir, "lineitem"), 7, "l_orderkey")
+    parts = out.select("l_orderkey", F.spark_partition_id().alias("p"))
+    return parts.groupBy("l_orderkey").agg(F.count("*").alias("rows"),
+                                           F.count_distinct("p").alias("partitions"))
+
+
+def q_drop_and_reload(spark, sf_dir):
+    """K4: a dropped table starts anew."""
+    zone = scratch_dir(spark, "drop")
+    cfg = LoadConfig(target=f"{zone}/target", ts=TS)
+    for name in ("nation", "region"):
+        tgt.drop_target(spark, cfg.target)
+        run_load(spark, land_csv(_t(spark, sf_dir, name), f"{zone}/raw", f"{name}.csv"), cfg,
+                 key=f"raw/{name}.csv")
+    return tgt.current(spark, cfg.target)
 
 
 # ------------------------------------------------------------ contract
@@ -313,6 +439,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ingest": q_stream_ingest,
         "stream_notifications": q_stream_notifications,
         "raw_inventory": q_raw_inventory,
+        "load_malformed_audit": q_load_malformed_audit,
+        "replayed_stream": q_replayed_stream,
+        "stream_mixed_headers": q_stream_mixed_headers,
+        "stream_arrival_order": q_stream_arrival_order,
+        "empty_load_audit": q_empty_load_audit,
+        "failed_load_audit": q_failed_load_audit,
+        "bounded_write": q_bounded_write,
+        "redistribute": q_redistribute,
+        "drop_and_reload": q_drop_and_reload,
     }
     return own | (_llm.QUERIES if _llm else {})
 
@@ -375,13 +510,14 @@ WITH e AS (
          CASE event_type WHEN 'click' THEN 'CSV' WHEN 'view' THEN 'txt' ELSE 'csv' END AS k
   FROM events)
 SELECT event_id, 0 AS record, 'zone' AS bucket, k AS key,
-       CASE WHEN lower(k) LIKE '%.csv' THEN 'LOAD' ELSE 'SKIPPED_FORMAT' END AS status
+       CASE WHEN lower(k) LIKE '%.csv' THEN 'LOAD' ELSE 'SKIPPED_FORMAT' END AS status,
+       CASE WHEN lower(k) LIKE '%.csv' THEN NULL ELSE 'not a csv key' END AS message
 FROM e WHERE event_type <> 'error'
 UNION ALL
-SELECT event_id, 1, 'zone', 'raw/' || event_id || '.json', 'SKIPPED_FORMAT'
+SELECT event_id, 1, 'zone', 'raw/' || event_id || '.json', 'SKIPPED_FORMAT', 'not a csv key'
 FROM e WHERE event_type = 'purchase'
 UNION ALL
-SELECT event_id, NULL, NULL, NULL, 'INVALID' FROM e WHERE event_type = 'error'
+SELECT event_id, NULL, NULL, NULL, 'INVALID', 'no records in message' FROM e WHERE event_type = 'error'
 """
 
 _FORMAT_GATE = """
@@ -414,6 +550,19 @@ QUALIFY row_number() OVER (
 """
 
 
+def _csv_bytes(table: str, columns: list[str]) -> str:
+    """Files, bytes and size of a table landed as one CSV file (no value of
+    these columns needs a quote)."""
+    size = (f"CAST({len(','.join(columns)) + 1} + sum("
+            + " + ".join(f"octet_length(encode({_txt(c)})) + 1" for c in columns) + ") AS BIGINT)")
+    return (f"SELECT 'csv' AS ext, true AS eligible, '{table} 100%.csv' AS folder, 1 AS files, "
+            f"{size} AS bytes, {size} / 1048576 AS size_mb, 1 AS dated FROM {table}")
+
+
+_INVENTORY = (_csv_bytes("region", ["r_regionkey", "r_name"]) + " UNION ALL "
+              + _csv_bytes("nation", ["n_nationkey", "n_name", "n_regionkey"]))
+
+
 def oracle_sql() -> dict[str, str]:
     own = {
         "row_hash_content": f"SELECT {_DOC_ID} AS id, text, lang, source FROM documents",
@@ -474,7 +623,38 @@ def oracle_sql() -> dict[str, str]:
             "INTO NAME attribute VALUE value"),
         "notification_routing": _ROUTING,
         "format_gate": _FORMAT_GATE,
-        "stream_ingest": _ingested(_ORDERS_TEXT, _ORDER_COLS, None),
-        "stream_notifications": _ingested(_CUSTOMER_TEXT, _CUSTOMER_COLS, None),
+        "stream_ingest": _ingested(_ORDERS_TEXT, _ORDER_COLS, "raw/orders/"),
+        "stream_notifications": _ingested(_CUSTOMER_TEXT, _CUSTOMER_COLS, "raw/customer/"),
+        "raw_inventory": _INVENTORY,
+        "load_malformed_audit": (
+            "SELECT count(*) AS read, 0 AS null_rejected, 0 AS duplicates, count(*) AS written, "
+            "count(*) FILTER (WHERE event_type = 'purchase') AS malformed, "
+            "'SUCCESS' AS status FROM events"),
+        "replayed_stream": (
+            _ingested("SELECT CAST(user_id AS VARCHAR) AS user_id, event_type FROM events",
+                      ["user_id", "event_type"], "raw/events/").replace(
+                          " FROM (", ", 1 AS loads FROM (", 1)),
+        "stream_mixed_headers": (
+            f"SELECT {_txt('c_custkey')} AS id, c_name, NULL AS s_name, NULL AS s_nationkey "
+            "FROM customer UNION ALL "
+            f"SELECT DISTINCT {_content_id(['s_name', 's_nationkey'])}, NULL, s_name, "
+            f"{_txt('s_nationkey')} FROM supplier"),
+        "stream_arrival_order": (
+            f"SELECT * EXCLUDE (timestamp, source_file) FROM ({_EVENTS_LOADED})"),
+        "empty_load_audit": (
+            "SELECT count(*) AS read, count(*) AS written, 'EMPTY' AS status, "
+            "'no records in source' AS message FROM orders WHERE o_orderkey IS NULL"),
+        "failed_load_audit": (
+            "SELECT 'raw/nation.csv' AS source_file, count(*) AS read, count(*) AS written, "
+            "'SUCCESS' AS status FROM nation "
+            "UNION ALL SELECT 'raw/bad.csv', 0, 0, 'FAILED'"),
+        "bounded_write": (
+            _ingested(_CUSTOMER_TEXT, _CUSTOMER_COLS, "raw/customer.csv").replace(
+                " FROM (", ", 3 AS files FROM (", 1)),
+        "redistribute": (
+            "SELECT l_orderkey, count(*) AS rows, 1 AS partitions FROM lineitem GROUP BY 1"),
+        "drop_and_reload": _ingested(
+            f"SELECT {_txt('r_regionkey')} AS r_regionkey, r_name FROM region",
+            ["r_regionkey", "r_name"], "raw/region.csv"),
     }
     return own | (_llm.ORACLES if _llm else {})

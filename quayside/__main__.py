@@ -3,7 +3,6 @@
     python -m quayside load   --path raw/companies.csv --target /zone/company --key raw/companies.csv
     python -m quayside stream --raw /zone/raw --target /zone/company --checkpoint /zone/_ck
     python -m quayside compact --target /zone/company
-    python -m quayside vacuum --target /zone/company
 
 Works under ``spark-submit`` too; the session is the one the submitter
 configured (master, checkpoint folder), with the load's defaults applied.
@@ -60,9 +59,6 @@ def main(argv: list[str] | None = None) -> int:
     compact = sub.add_parser("compact", help="fold loaded batches into the snapshot")
     compact.add_argument("--target", required=True)
 
-    vacuum = sub.add_parser("vacuum", help="remove what the last snapshot made unreachable")
-    vacuum.add_argument("--target", required=True)
-
     args = parser.parse_args(argv)
 
     from quayside.session import get_session
@@ -75,12 +71,9 @@ def main(argv: list[str] | None = None) -> int:
         from quayside.streaming.files import run_stream
         for result in run_stream(spark, args.raw, _config(args), args.checkpoint):
             _print(result)
-    elif args.command == "compact":
+    else:
         from quayside.plans.target import compact as do_compact
         print(json.dumps({"snapshot_version": do_compact(spark, args.target)}))
-    else:
-        from quayside.plans.target import vacuum as do_vacuum
-        print(json.dumps(do_vacuum(spark, args.target)))
     return 0
 
 

@@ -25,7 +25,7 @@ def check_format(key: str) -> str:
     """Driver-side gate for a single load."""
     ext = extension_of(key)
     if ext != ACCEPTED_EXTENSION:
-        raise UnsupportedFormatError(f"Unsupported file format: {ext}")
+        raise UnsupportedFormatError(f"not a CSV file: {key!r} ends in {ext!r}")
     return ext
 
 
@@ -69,9 +69,16 @@ def plain_path(path: str) -> str:
     return re.sub(_SCHEME, "", path).rstrip("/")
 
 
-def relative_key(path_col: Column, root: str) -> Column:
-    """A file URI less the zone root, as a key like ``raw/x.csv``."""
+def literal_path(path: str) -> str:
+    """A path as a pattern that matches itself alone: Spark's readers take
+    brackets, braces, stars and question marks for patterns."""
+    import re
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def relative_key(path_col: Column, root: str, uri: bool = True) -> Column:
+    """A file URI (or, without ``uri``, a plain path) less the zone root, as a
+    key like ``raw/x.csv``."""
     base = plain_path(root) + "/"
-    full = uri_path(path_col)
-    return F.when(full.startswith(base), F.substring(full, len(base) + 1, 1 << 30)) \
-            .otherwise(full)
+    full = uri_path(path_col) if uri else F.regexp_replace(path_col, _SCHEME, "")
+    return F.when(full.startswith(base), F.right(full, F.length(full) - F.lit(len(base)))).otherwise(full)

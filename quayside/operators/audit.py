@@ -22,11 +22,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.hashing import quoted
-from quayside.operators.quality import COPIES, GROUP
+from quayside.operators.quality import COPIES, GROUP, RAGGED
 
 AUDIT_SCHEMA = ("batch_id long, source_file string, target string, read long, "
-                "null_rejected long, duplicates long, written long, status string, "
-                "message string, source_schema string")
+                "null_rejected long, duplicates long, written long, malformed long, "
+                "status string, message string, source_schema string")
 
 SUCCESS = "SUCCESS"
 EMPTY = "EMPTY"
@@ -43,6 +43,7 @@ class LoadCounts:
     null_rejected: int = 0
     duplicates: int = 0
     written: int = 0
+    malformed: int = 0  # rows read whose number of fields isn't the header's
 
     # The stage counts the original job prints, derived (A1, A2).
     @property
@@ -71,14 +72,18 @@ class LoadCounts:
         return cls(**{k: int(metrics.get(k) or 0) for k in asdict(cls())})
 
 
-def load_metrics(group: str = GROUP, copies: str = COPIES) -> list[Column]:
-    """A1 + A2 as aggregate expressions over a ``dedup_counted`` frame."""
+def load_metrics(group: str = GROUP, copies: str = COPIES,
+                 ragged: str | None = None) -> list[Column]:
+    """A1 + A2 as aggregate expressions over a ``dedup_counted`` frame;
+    ``ragged`` names its count of malformed rows."""
     k, n = quoted(group), F.col(copies)
+    more = [F.coalesce(F.sum(ragged), F.lit(0)).cast("long").alias("malformed")] if ragged else []
     return [
         F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("read"),
         F.coalesce(F.sum(F.when(k.isNull(), n)), F.lit(0)).cast("long").alias("null_rejected"),
         F.coalesce(F.sum(F.when(k.isNotNull(), n - 1)), F.lit(0)).cast("long").alias("duplicates"),
         F.count_if(k.isNotNull()).cast("long").alias("written"),
+        *more,
     ]
 
 
@@ -88,8 +93,9 @@ def observe_load(counted: DataFrame, name: str | None = None
     rejected group and the helper columns. The counts fill in when the
     frame is written."""
     obs = Observation(name) if name else Observation()
-    observed = counted.observe(obs, *load_metrics())
-    kept = observed.filter(F.col(GROUP).isNotNull()).drop(GROUP, COPIES)
+    ragged = RAGGED if RAGGED in counted.columns else None
+    observed = counted.observe(obs, *load_metrics(ragged=ragged))
+    kept = observed.filter(F.col(GROUP).isNotNull()).drop(GROUP, COPIES, RAGGED)
     return kept, obs
 
 
@@ -107,63 +113,25 @@ def audit_record(batch_id: int, source: str, target: str, counts: LoadCounts,
     return {"batch_id": int(batch_id), "source_file": source, "target": target,
             "read": counts.read, "null_rejected": counts.null_rejected,
             "duplicates": counts.duplicates, "written": counts.written,
-            "status": status, "message": message, "source_schema": source_schema}
-
-
-def audit_row(spark: SparkSession, batch_id: int, source: str, target: str,
-              counts: LoadCounts, status: str, message: str | None = None,
-              source_schema: str | None = None) -> DataFrame:
-    """A3 as a one-row DataFrame."""
-    rec = audit_record(batch_id, source, target, counts, status, message, source_schema)
-    return spark.createDataFrame([tuple(rec.values())], AUDIT_SCHEMA)
+            "malformed": counts.malformed, "status": status, "message": message, "source_schema": source_schema}
 
 
 def audit_path(target: str) -> str:
     return f"{target.rstrip('/')}/_audit"
 
 
-def _done_marker(target: str, source_label: str) -> str:
-    import hashlib
-    digest = hashlib.sha1(source_label.encode("utf-8")).hexdigest()
-    return f"{audit_path(target)}/done/{digest}"
-
-
 def write_audit(spark: SparkSession, record: dict, target: str) -> None:
-    """Store the audit record of one batch, replacing a retried batch's.
+    """Store the audit record of one load.
 
-    One small JSON file per batch, written from the driver through the
-    cluster's file system: a control record, so no Spark job is started
-    for it. A successful load also leaves a marker named by its source
-    label, so :func:`already_loaded` is one lookup however long the audit.
+    One small JSON file, written from the driver through the cluster's file
+    system: a control record, so no Spark job is started for it.
     """
     import json
 
     from quayside.plans.files import write_text
     path = f"{audit_path(target)}/batch-{int(record['batch_id'])}.json"
     write_text(spark, path, json.dumps(record) + "\n")
-    if record["status"] == SUCCESS:
-        write_text(spark, _done_marker(target, record["source_file"]), path + "\n")
-
-
-def audit_batch_ids(spark: SparkSession, target: str) -> list[int]:
-    """Batch ids that have an audit record (EMPTY and FAILED loads too)."""
-    import re
-
-    from quayside.plans.files import child_files
-    ids = []
-    for name in child_files(spark, audit_path(target)):
-        m = re.fullmatch(r"batch-(\d+)\.json", name)
-        if m:
-            ids.append(int(m.group(1)))
-    return sorted(ids)
 
 
 def read_audit(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.schema(AUDIT_SCHEMA).json(f"{audit_path(target)}/batch-*.json")
-
-
-def already_loaded(spark: SparkSession, target: str, source_label: str) -> bool:
-    """True when a load under ``source_label`` succeeded (a stream's epoch
-    replayed after a restart is then skipped). One existence check."""
-    from quayside.plans.files import exists
-    return exists(spark, _done_marker(target, source_label))

@@ -85,22 +85,25 @@ def add_metadata(df: DataFrame, source: str | None = None, ts=None, *,
                      load_time(ts).alias(LOAD_TIME), F.col(_SOURCE).alias(SOURCE_FILE))
 
 
-def ensure_id(df: DataFrame, profile: str = "content", key: str = KEY) -> DataFrame:
+def ensure_id(df: DataFrame, profile: str = "content", key: str = KEY,
+              ignore: Sequence[str] = ()) -> DataFrame:
     """T3 + T4: keep the file's key column or derive a row-hash key.
 
     The key is looked up without case (D4): a header ``ID`` is the key and
     is renamed ``id``. Without one, ``id`` is the row hash of the profile's
-    columns (T5).
+    columns (T5), less working columns in ``ignore``.
     """
     existing = find_column(df, key)
     if existing is not None:
         return df if existing == key else df.withColumnRenamed(existing, key)
-    return df.withColumn(key, row_hash(hash_columns(df, profile), profile))
+    data = [c for c in hash_columns(df, profile) if c not in ignore]
+    return df.withColumn(key, row_hash(data, profile))
 
 
 def default_mappings(df: DataFrame, key: str = KEY,
                      time_name: str = TARGET_TIME) -> list[tuple[str, str, str, str]]:
     """Three fixed entries, then every other column string -> string."""
+    # The three entries every mapping begins with.
     fixed = [(key, "string", key, "string"),
              (LOAD_TIME, "timestamp", time_name, "string"),
              (SOURCE_FILE, "string", SOURCE_FILE, "string")]

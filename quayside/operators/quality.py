@@ -19,6 +19,7 @@ from quayside.operators.columns import find_column
 # Working columns of the dedup; names no file header uses.
 COPIES = "__qs_copies"
 GROUP = "__qs_key"
+RAGGED = "__qs_malformed"
 _WINNER = "__qs_winner"
 
 
@@ -37,13 +38,23 @@ def require_not_null(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame,
     return df.filter(cond), df.filter(~cond)
 
 
-def _winner(df: DataFrame, order_by: Sequence[str] | None, keep: str) -> Column:
+def _winner(columns: Sequence[str], order_by: Sequence, keep: str) -> Column:
+    """The surviving row: the order first, then its other values; a column is
+    carried once."""
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
-    row = F.struct(*[quoted(c) for c in df.columns]).alias("_row")
-    order = [quoted(c).alias(f"_o{i}") for i, c in enumerate(order_by or [])]
+    first = [c for c in order_by if isinstance(c, str) and c in columns]
+    order = [(c if isinstance(c, Column) else quoted(c)).alias(f"_o{i}")
+             for i, c in enumerate(order_by)]
+    rest = [quoted(c).alias(f"_c{i}") for i, c in enumerate(columns) if c not in first]
     pick = F.max if keep == "last" else F.min
-    return pick(F.struct(*order, row))
+    return pick(F.struct(*order, *rest, F.lit(0).alias("_end")))
+
+
+def _unpacked(columns: Sequence[str], order_by: Sequence) -> list[Column]:
+    """The columns of a ``_winner``, in order."""
+    at = {c: f"_o{i}" for i, c in reversed(list(enumerate(order_by))) if isinstance(c, str)}
+    return [F.col(f"{_WINNER}.{at.get(c, f'_c{i}')}").alias(c) for i, c in enumerate(columns)]
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None,
@@ -54,14 +65,16 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = N
     ties, and the case without an order, are settled by the row's own
     values, so the survivor never depends on input order (D7).
     """
-    keys = list(keys)
+    keys, order = list(keys), list(order_by or [])
+    others = [c for c in df.columns if c not in keys]
     out = (df.groupBy(*[quoted(k) for k in keys])
-             .agg(_winner(df, order_by, keep).alias(_WINNER))
-             .select(f"{_WINNER}._row.*"))
-    return out
+             .agg(_winner(others, order, keep).alias(_WINNER)))
+    by_name = dict(zip(others, _unpacked(others, order)))
+    return out.select(*[by_name.get(c, quoted(c)) for c in df.columns])
 
 
-def dedup_rows(df: DataFrame, key: str = "id", with_copies: bool = False) -> DataFrame:
+def dedup_rows(df: DataFrame, key: str = "id", with_copies: bool = False,
+               ragged: str | None = None) -> DataFrame:
     """F2 for content keys: one row per distinct row, keyed by its content
     hash (profile ``content``) in ``key``; with ``with_copies`` also the
     number of copies in ``__qs_copies`` (``COPIES``).
@@ -74,53 +87,65 @@ def dedup_rows(df: DataFrame, key: str = "id", with_copies: bool = False) -> Dat
     """
     from quayside.functions.hashing import row_hash
 
-    cols = df.columns
-    groups = df.groupBy(*[quoted(c) for c in cols]).agg(F.count(F.lit(1)).alias(COPIES))
+    cols = [c for c in df.columns if c != ragged]
+    counts = [F.count(F.lit(1)).alias(COPIES)] + _ragged(ragged)
+    groups = df.groupBy(*[quoted(c) for c in cols]).agg(*counts)
     out = [quoted(c) for c in cols] + [row_hash(cols, "content").alias(key)]
-    return groups.select(*out, *([COPIES] if with_copies else []))
+    return groups.select(*out, *([COPIES] if with_copies else []), *([RAGGED] if ragged else []))
+
+
+def _ragged(column: str | None) -> list[Column]:
+    """The group's number of rows with the wrong number of fields."""
+    return [F.count(F.col(column)).alias(RAGGED)] if column else []
 
 
 def dedup_counted(df: DataFrame, key: str, order_by: Sequence[str] | None = None,
-                  keep: str = "last", valid: Column | None = None) -> DataFrame:
+                  keep: str = "last", valid: Column | None = None,
+                  arrival: str | None = None, ragged: str | None = None) -> DataFrame:
     """F2 for a load: one row per key plus ``GROUP`` (the group key, null for
     rejected rows) and ``COPIES`` (the group size).
 
+    ``arrival`` names the time at which a row's file arrived: a later file's row
+    wins whatever ``keep`` says of rows of one file. ``ragged`` names the text of
+    malformed rows, counted in ``RAGGED``. Both columns are consumed.
+
     Rows with a null key, or failing ``valid`` (the F1 test), form one
     group; the caller counts it as rejected and drops it. Counting inside
     the aggregate puts every load count after the shuffle, where retried
     tasks are counted once.
     """
     group = quoted(key) if valid is None else F.when(valid, quoted(key))
+    columns = [c for c in df.columns if c not in (arrival, ragged)]
+    order = list(order_by or [])
+    if arrival:
+        time = F.unix_micros(quoted(arrival))
+        order.insert(0, time if keep == "last" else -time)
     return (df.groupBy(group.alias(GROUP))
-              .agg(_winner(df, order_by, keep).alias(_WINNER), F.count(F.lit(1)).alias(COPIES))
-              .select(f"{_WINNER}._row.*", GROUP, COPIES))
+              .agg(_winner(columns, order, keep).alias(_WINNER),
+                   F.count(F.lit(1)).alias(COPIES), *_ragged(ragged))
+              .select(*_unpacked(columns, order), GROUP, COPIES, *([RAGGED] if ragged else [])))
 
 
-SPREAD_MIN_BYTES = 32 * 1024 * 1024
+SPREAD_BYTES = 32 * 1024 * 1024
 
 
 def spread(df: DataFrame, min_partitions: int | None = None,
-           min_bytes_per_partition: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Spread a file scan with fewer, larger partitions than the cluster has cores.
+           bytes_per_partition: int = SPREAD_BYTES) -> DataFrame:
+    """Spread a file scan whose partitions are far larger than ``bytes_per_partition``.
 
     A multi-line CSV file is read by one task; without this the hashing and
     the map-side aggregation of a large file would stay in that task. Rows
     are hash-partitioned on their position in the scan, which spreads them
     evenly whatever their content (a hot value cannot land in one task) and
-    needs no sort, unlike a round-robin repartition. Scans with enough
-    partitions, or small ones, are left alone.
+    needs no sort, unlike a round-robin repartition. The number of partitions
+    follows the files' bytes. Scans with enough partitions are left alone.
     """
     from quayside.plans.files import total_size
 
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     have = df.rdd.getNumPartitions()
-    if have >= want:
-        return df
-    inputs = df.inputFiles()
-    # Many files packed into few partitions: spreading costs little, and
-    # sizing them one by one would cost a metadata call each.
-    if len(inputs) <= 4 * want and \
-            total_size(df.sparkSession, inputs) < have * min_bytes_per_partition:
+    want = min_partitions or -(-total_size(df.sparkSession, df.inputFiles())
+                               // bytes_per_partition)
+    if have >= want or not min_partitions and want < 2:
         return df
     return df.repartition(want, F.monotonically_increasing_id()).select(
         *[quoted(c) for c in df.columns])

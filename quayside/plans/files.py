@@ -96,30 +96,30 @@ def total_size(spark: SparkSession, uris: list[str]) -> int:
     return total
 
 
-def try_lock(spark: SparkSession, path: str, owner: str, stale_after_s: float) -> bool:
-    """Create ``path`` exclusively; true when this caller now holds it.
-
-    A lock older than ``stale_after_s`` (its holder died) is taken over.
-    """
-    import time
-
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write one small control file only if there is none of that name; false
+    when another writer was first."""
     fs, p = _fs(spark, path)
-    for _ in range(2):
-        try:
-            out = fs.create(p, False)  # fails if the file exists
-            out.write(bytearray(owner.encode("utf-8")))
-            out.close()
-            return True
-        except Exception:
-            if not fs.exists(p):
-                continue
-            age = time.time() - fs.getFileStatus(p).getModificationTime() / 1000.0
-            if age < stale_after_s:
-                return False
-            fs.delete(p, False)
-    return False
+    fs.mkdirs(p.getParent())
+    try:
+        out = fs.create(p, False)
+    except Exception:
+        if fs.exists(p):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
 
 
-def unlock(spark: SparkSession, path: str) -> None:
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small control file's text."""
     fs, p = _fs(spark, path)
-    fs.delete(p, False)
+    size = int(fs.getFileStatus(p).getLen())
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readNBytes(size)).decode("utf-8")
+    finally:
+        stream.close()

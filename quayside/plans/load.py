@@ -1,11 +1,11 @@
 """A whole load as one lazy plan with one write: P1 and P4.
 
-    check format -> ensure target -> scan -> (empty?) -> load time, source
-    -> key -> dedup with group sizes (the one shuffle) -> observe counts
-    -> drop rejected -> mapping -> write batch -> audit row
+    check format -> ensure target -> scan per header -> (empty?) -> load time,
+    source, key per header -> dedup with group sizes (the one shuffle)
+    -> observe counts -> drop rejected -> mapping -> write run -> commit -> audit
 
 The counts are read from the observation once the write has succeeded, and
-checked to add up before the audit row is stored.
+checked to add up before the run is committed.
 """
 
 from __future__ import annotations
@@ -18,19 +18,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.hashing import check_profile, quoted
-from quayside.functions.paths import CSV_GLOB, UnsupportedFormatError, check_format
+from quayside.functions.paths import (CSV_GLOB, UnsupportedFormatError, check_format,
+                                      literal_path)
 from quayside.operators.audit import (EMPTY, FAILED, SUCCESS, LoadCounts, audit_record,
                                       observe_load, write_audit)
 from quayside.operators.columns import (COLLISION_POLICIES, KEY, LOAD_TIME, SOURCE_FILE,
-                                        TARGET_TIME, add_metadata,
+                                        TARGET_TIME, ColumnCollisionError, add_metadata,
                                         apply_mapping, ensure_id, find_column, load_time,
                                         resolve_collisions)
-from quayside.operators.quality import COPIES, GROUP, dedup_counted, dedup_rows, spread
+from quayside.operators.quality import (COPIES, GROUP, RAGGED, dedup_counted, dedup_rows,
+                                        spread)
 from quayside.plans import files
 from quayside.plans import target as tgt
-from quayside.sources.csv import (DEFAULT_ESCAPE, FILE_COLUMN, is_empty, read_csv,
-                                  read_csv_files)
+from quayside.sources.csv import (ARRIVAL_COLUMN, DEFAULT_ESCAPE, FILE_COLUMN, RAGGED_COLUMN,
+                                  is_empty, list_csv, scan_groups)
 
+# Whether a row's own file gives it all that the load requires; consumed by the dedup.
+_VALID = "__qs_valid"
+_WORKING = (FILE_COLUMN, ARRIVAL_COLUMN, RAGGED_COLUMN, _VALID)
 
 log = logging.getLogger("quayside.load")
 
@@ -53,8 +58,6 @@ class LoadConfig:
     same_header: bool = False
     write_partitions: int | None = None
     compact_every: int | None = None
-    lock_wait_seconds: float = 0.0
-    batch_id: int | None = None
     csv_options: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -88,13 +91,18 @@ class LoadResult:
     source_schema: str | None = None
 
 
-def prepare(df: DataFrame, config: LoadConfig, source: str | None = None,
+def prepare(df: DataFrame | Sequence[DataFrame], config: LoadConfig, source: str | None = None,
             root: str | None = None, source_column: str | None = None):
-    """The lazy load plan over a scanned frame.
+    """The lazy load plan over a scanned frame, or over one frame per header.
 
     Returns ``(mapped_frame, observation)``; nothing runs until the frame
     is written.
 
+    Key, row hash, required columns and name collisions are settled for each
+    header by its own columns, as if each file were loaded alone; the frames are
+    then stacked by name. Of rows with one key that of the file that arrived
+    last stays; ``order_by`` decides within a file.
+
     When the key is the content hash of one file's rows (profile
     ``content``, no key column in the file, one literal source, nothing else
     required), rows with equal keys are exactly the rows with equal values,
@@ -103,27 +111,39 @@ def prepare(df: DataFrame, config: LoadConfig, source: str | None = None,
     Otherwise the dedup picks a survivor per key (sort aggregate, also
     combined map-side).
     """
-    if source is not None and source_column in df.columns:
-        # One key names the whole load: the per-row file column is not data.
-        df, source_column = df.drop(source_column), None
-    if _content_key(df, config) and source is not None:
-        counted = _dedup_by_content(df, config, source)
+    frames = [df] if isinstance(df, DataFrame) else list(df)
+    if source is not None:
+        # One key names the whole load: per-row file and arrival are not data.
+        frames = [f.drop(ARRIVAL_COLUMN, *([source_column] if source_column else []))
+                  for f in frames]
+        source_column = None
+    if len(frames) == 1 and _content_key(frames[0], config) and source is not None:
+        counted = _dedup_by_content(frames[0], config, source)
     else:
-        df = add_metadata(df, source, config.ts, root=root, on_collision=config.on_collision,
-                          time_name=config.time_name, source_column=source_column)
-        df = ensure_id(df, config.profile, config.key)
-        required = [c for c in (find_column(df, r) for r in config.required) if c]
-        valid = None
-        if required:
-            valid = F.lit(True)
-            for c in required:
-                valid = valid & quoted(c).isNotNull()
-        counted = dedup_counted(df, config.key, config.order_by, config.keep, valid)
+        keyed = [_keyed(f, config, source, root, source_column) for f in frames]
+        stacked = tgt.merge_schemas(keyed)
+        arrival, ragged = (c if c in stacked.columns else None
+                           for c in (ARRIVAL_COLUMN, RAGGED_COLUMN))
+        counted = dedup_counted(stacked, config.key, config.order_by, config.keep,
+                                quoted(_VALID), arrival, ragged).drop(_VALID)
     kept, obs = observe_load(counted)
     mapped = apply_mapping(kept, config.mappings, key=config.key, time_name=config.time_name)
     return mapped, obs
 
 
+def _keyed(df: DataFrame, config: LoadConfig, source: str | None, root: str | None,
+           source_column: str | None) -> DataFrame:
+    """One header's rows with load time, source and key."""
+    df = add_metadata(df, source, config.ts, root=root, on_collision=config.on_collision,
+                      time_name=config.time_name, source_column=source_column)
+    df = ensure_id(df, config.profile, config.key, ignore=_WORKING)
+    valid = F.lit(True)
+    for c in (find_column(df, r) for r in config.required):
+        if c:
+            valid = valid & quoted(c).isNotNull()
+    return df.withColumn(_VALID, valid)
+
+
 def _content_key(df: DataFrame, config: LoadConfig) -> bool:
     """True when the key will be the content hash and nothing else is
     required: equal keys are then exactly equal rows."""
@@ -134,58 +154,82 @@ def _content_key(df: DataFrame, config: LoadConfig) -> bool:
 def _dedup_by_content(df: DataFrame, config: LoadConfig, source: str) -> DataFrame:
     df = resolve_collisions(df, (LOAD_TIME, SOURCE_FILE, config.time_name),
                             config.on_collision)
-    rows = dedup_rows(df, config.key, with_copies=True)
-    return rows.select(*[quoted(c) for c in df.columns],
+    ragged = RAGGED_COLUMN if RAGGED_COLUMN in df.columns else None
+    rows = dedup_rows(df, config.key, with_copies=True, ragged=ragged)
+    return rows.select(*[quoted(c) for c in df.columns if c != ragged],
                        load_time(config.ts).alias(LOAD_TIME),
                        F.lit(source).alias(SOURCE_FILE),
-                       F.col(config.key), F.col(config.key).alias(GROUP), COPIES)
-
-
-def load_frame(spark: SparkSession, df: DataFrame, config: LoadConfig, source_label: str,
-               source: str | None = None, root: str | None = None,
-               source_column: str | None = None, note: str | None = None) -> LoadResult:
-    """Run the load of an already scanned frame into ``config.target``.
-
-    The target is held for the whole load (P5): batch id, write, audit.
-    """
+                       F.col(config.key), F.col(config.key).alias(GROUP), COPIES,
+                       *([RAGGED] if ragged else []))
+
+
+def load_frame(spark: SparkSession, df: DataFrame | Sequence[DataFrame], config: LoadConfig,
+               source_label: str, source: str | None = None, root: str | None = None,
+               source_column: str | None = None, note: str | None = None,
+               once: bool = False) -> LoadResult:
+    """Run the load of an already scanned frame (or one per header) into
+    ``config.target``. Loads may overlap (P5): each writes a folder of its own
+    and counts from its commit on. ``once`` notes the label before writing, so
+    that :func:`quayside.plans.target.already_loaded` knows a replay."""
     tgt.ensure_target(spark, config.target, config.key)
-    with tgt.load_lock(spark, config.target, config.lock_wait_seconds):
-        return _load_locked(spark, df, config, source_label, source, root, source_column,
-                            note)
-
-
-def _load_locked(spark, df, config, source_label, source, root, source_column, note):
-    batch_id = config.batch_id or tgt.next_batch_id(spark, config.target)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields
-                       if f.name != source_column)
-    if is_empty(df):
-        result = LoadResult(batch_id, source_label, config.target, LoadCounts(), EMPTY,
-                            "no records in source", schema)
+    frames = [df] if isinstance(df, DataFrame) else list(df)
+    run = tgt.new_run()
+    if once:
+        tgt.start_label(spark, config.target, source_label, run)
+    fields = {f.name: f.dataType.simpleString() for x in frames for f in x.schema.fields
+              if f.name not in (source_column, *_WORKING)}
+    schema = ", ".join(f"{n} {t}" for n, t in fields.items())
+
+    def done(counts, status, message, rows=False):
+        n = tgt.commit(spark, config.target, run, rows=rows)
+        result = LoadResult(n, source_label, config.target, counts, status, message, schema)
         _store(spark, result)
         return result
+
+    if all(is_empty(x) for x in frames):
+        return done(LoadCounts(), EMPTY, "no records in source")
     if source is None and source_column is None:
         # Name each row's file while the scan is still the frame's source.
-        df = df.select("*", F.col("_metadata.file_path").alias(FILE_COLUMN))
+        frames = [x.select("*", F.col("_metadata.file_path").alias(FILE_COLUMN)) for x in frames]
         source_column = FILE_COLUMN
-    df = spread(df)
     try:
-        mapped, obs = prepare(df, config, source, root, source_column)
-        tgt.upsert(mapped, config.target, batch_id, config.key, config.write_partitions)
+        mapped, obs = prepare([spread(x) for x in frames], config, source, root, source_column)
+        tgt.write_run(mapped, config.target, run, config.key, config.write_partitions)
         counts = LoadCounts.from_metrics(obs.get).check()
     except Exception as exc:
-        # Nothing of a failed load stays readable: its batch folder goes.
-        tgt.drop_batch(spark, config.target, batch_id)
-        failed = LoadResult(batch_id, source_label, config.target, LoadCounts(), FAILED,
-                            f"{type(exc).__name__}: {exc}"[:2000], schema)
-        _store(spark, failed)
+        # Nothing of a failed load is readable; its own folder goes.
+        tgt.drop_run(spark, config.target, run)
+        run = tgt.new_run()  # a label stays open for its next try
+        done(LoadCounts(), FAILED, f"{type(exc).__name__}: {exc}")
         raise
-    result = LoadResult(batch_id, source_label, config.target, counts, SUCCESS, note, schema)
-    _store(spark, result)
+    if counts.malformed:
+        said = f"{counts.malformed} rows whose number of fields isn't the header's"
+        note = f"{note}; {said}" if note else said
+    result = done(counts, SUCCESS, note, rows=True)
     if config.compact_every:
         tgt.compact_if_due(spark, config.target, config.compact_every, config.key)
     return result
 
 
+def refuse(spark: SparkSession, config: LoadConfig, source: str, message: str) -> LoadResult:
+    """Store that a source can't be loaded."""
+    tgt.ensure_target(spark, config.target, config.key)
+    n = tgt.commit(spark, config.target, tgt.new_run(), rows=False)
+    result = LoadResult(n, source, config.target, LoadCounts(), FAILED, message)
+    _store(spark, result)
+    return result
+
+
+def loadable(df: DataFrame, config: LoadConfig) -> str | None:
+    """Why a header can't be loaded, or None."""
+    try:
+        data = df.drop(*_WORKING)
+        resolve_collisions(data, (LOAD_TIME, SOURCE_FILE, config.time_name), config.on_collision)
+    except ColumnCollisionError as exc:
+        return f"{type(exc).__name__}: {exc}"
+    return None
+
+
 def run_load(spark: SparkSession, path: str | Sequence[str], config: LoadConfig,
              key: str | None = None, root: str | None = None) -> LoadResult:
     """Load headered CSV at ``path`` into the keyed target.
@@ -195,7 +239,8 @@ def run_load(spark: SparkSession, path: str | Sequence[str], config: LoadConfig,
     URI); without it each row records its own file, less ``root``. The
     format gate runs before the target is touched (D12): a file must end in
     ``.csv``; from a folder, the ``.csv`` files are taken (any case, not
-    recursive), and a folder without one is refused. Files whose headers
+    recursive), and a folder without one is refused. A path that exists is
+    taken literally, whatever characters it holds; another may be a glob. Files whose headers
     differ are read per header, unless ``same_header`` says they share one.
     """
     paths = [path] if isinstance(path, str) else list(path)
@@ -204,38 +249,24 @@ def run_load(spark: SparkSession, path: str | Sequence[str], config: LoadConfig,
     options = dict(escape=config.escape, multi_line=config.multi_line, **config.csv_options)
     inputs: list[str] = []
     for p in paths:
-        if any(ch in p for ch in "*?[{"):
-            # A glob names several files: list them (names only) and read per header.
-            listed = spark.read.format("binaryFile").load(p).inputFiles()
+        if files.is_dir(spark, p):
+            listed = list_csv(spark, literal_path(p), CSV_GLOB)
+            if not listed:
+                raise UnsupportedFormatError(f"no CSV files in {p}")
+            inputs.extend(listed)
+        elif any(ch in p for ch in "*?[{") and not files.exists(spark, p):
+            listed = list_csv(spark, p)
             if not key:
                 for f in listed:
                     check_format(f)
-            if config.same_header:
-                inputs.append(p)
-            else:
-                inputs.extend(sorted(listed))
-        elif files.is_dir(spark, p):
-            if config.same_header:
-                inputs.append(p)  # read as one scan; Spark lists it
-                continue
-            # Names only: the binary-file source lists without reading contents.
-            listed = (spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB)
-                      .load(p).inputFiles())
-            if not listed:
-                raise UnsupportedFormatError(f"no CSV files in {p}")
-            inputs.extend(sorted(listed))
+            inputs.extend(listed)
         else:
             if not key:
                 check_format(p)
             inputs.append(p)
-    if config.same_header:
-        options["glob"] = CSV_GLOB
-    label = key or ",".join(paths)
-    if len(inputs) == 1 or config.same_header:
-        df = read_csv(spark, inputs, **options)
-        return load_frame(spark, df, config, label, source=key, root=root)
-    df = read_csv_files(spark, inputs, **options)
-    return load_frame(spark, df, config, label, source=key, root=root,
+    groups = scan_groups(spark, inputs, same_header=config.same_header, **options)
+    frames = [df for df, _files in groups] or [spark.createDataFrame([], f"{FILE_COLUMN} string")]
+    return load_frame(spark, frames, config, key or ",".join(paths), source=key, root=root,
                       source_column=FILE_COLUMN)
 
 

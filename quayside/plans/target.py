@@ -3,30 +3,32 @@
 Parquet has no keyed update, so the table is an append log plus a bucketed
 snapshot::
 
-    <target>/_target/key=<key>/              marker made by ensure_target (K1)
-    <target>/log/_batch_id=<n>/              one load, unique by key (K2)
-    <target>/snapshot/_v=<n>/_bucket=<k>/    rows of bucket k as of batch n
-    <target>/snapshot_done/v=<n>/            manifest: live version of each bucket
-    <target>/_audit/batch-<n>.json           the load's audit record
-
-Each batch is written with ``overwrite`` into its own folder, so a retried
-batch replaces itself. The current state (K5) is the snapshot, less the keys
-loaded since, plus the latest row per key of the newer batches: the last load
-wins and replaces the whole row (D18). Only batches after the snapshot are
-aggregated; the snapshot side is an anti-join, which AQE turns into a
-broadcast join at run time when the newer keys are small.
-
-Compaction is incremental. Keys are hashed into a fixed number of buckets;
-a compaction rewrites only the buckets the newer batches touch, into a new
-version folder, then writes the manifest that names, per bucket, the
-version to read. Readers follow the last manifest, so a compaction that
-fails half-way is invisible, and a retried one overwrites its own folder.
+    <target>/_target/key=<key>/             marker made by ensure_target (K1)
+    <target>/log/_run=<run>/                one load's rows, unique by key (K2)
+    <target>/_commits/<n>.json              the n-th load that counts, and its run
+    <target>/snapshot/_run=<run>/_bucket=<k>/   rows of bucket k
+    <target>/_snapshots/<n>.json            live folder of each bucket as of load n
+    <target>/_audit/batch-<n>.json          the load's audit record
+
+Every write goes to a folder of its own, so loads never overwrite each other
+and need no lock: a load counts from the moment its commit file exists, and
+that file is created exclusively under the next free number. A load that fails
+before it leaves nothing readable. The current state (K5) is the snapshot, less
+the keys loaded since, plus the latest row per key of the newer loads: the last
+load wins and replaces the whole row (D18).
+
+Only buckets that hold a newer key are joined; the others are read as they
+are. Compaction rewrites the same buckets alone, and writes all of them anew
+with twice as many (or more) once the table has outgrown their number, so a
+bucket stays near ``BUCKET_TARGET_BYTES`` whatever the table grows to, and each
+byte is moved a bounded number of times by it.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
-from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,153 +39,191 @@ from quayside.operators.columns import KEY
 from quayside.operators.quality import dedup
 from quayside.plans import files
 
-# Partition columns of the log and the snapshot: names no loaded column may take.
-BATCH = "_batch_id"
-SNAP_VERSION = "_v"
+# Partition columns of the log and the snapshot, and the order of loads: names
+# that no loaded column may take.
+RUN = "_run"
+BATCH = "_batch"
 BUCKET = "_bucket"
-RESERVED = (BATCH, SNAP_VERSION, BUCKET)
-VERSION = "v"  # folder name of a manifest version
-# Snapshot buckets: about this many bytes each when the table is first
-# compacted, a power of two between 1 and MAX_BUCKETS, then fixed.
+RESERVED = (RUN, BATCH, BUCKET)
+# Snapshot buckets: about this many bytes each, a power of two.
 BUCKET_TARGET_BYTES = 1 << 30
 MAX_BUCKETS = 1 << 16
-MANIFEST_SCHEMA = "bucket int, v long, buckets int"
 
 
 def _p(target: str, *parts: str) -> str:
     return "/".join([target.rstrip("/"), *parts])
 
 
+class KeyMismatchError(ValueError):
+    """The table is keyed by another column."""
+
+
 def ensure_target(spark: SparkSession, target: str, key: str = KEY) -> bool:
     """K1: create the table keyed by ``key`` if absent; keep it if present.
 
-    Returns true when it was created.
+    Returns true when it was created. A table made with another key is refused.
     """
     marker = _p(target, "_target")
-    if files.exists(spark, marker):
+    names = [n for n in files.child_dirs(spark, marker) if n.startswith("key=")]
+    if names and f"key={key}" not in names:
+        raise KeyMismatchError(f"{target} is keyed by {names[0][4:]!r}, not {key!r}")
+    if names:
         return False
     files.mkdirs(spark, _p(marker, f"key={key}"))
     return True
 
 
-class LoadInProgressError(RuntimeError):
-    """Another load holds the target (the original refuses such a run)."""
+def drop_target(spark: SparkSession, target: str) -> bool:
+    """K4: delete the table if it exists; no error when it does not."""
+    return files.delete(spark, target)
 
 
-# Fixed value: a lock older than the original job's time limit is stale.
-LOCK_STALE_AFTER_S = 60 * 60
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    names = (n[:-5] for n in files.child_files(spark, folder) if n.endswith(".json"))
+    return sorted(int(n) for n in names if n.isdigit())
 
 
-@contextmanager
-def load_lock(spark: SparkSession, target: str, wait_s: float = 0.0,
-              stale_after_s: float = LOCK_STALE_AFTER_S):
-    """P5: one load at a time per target.
+def _record(spark: SparkSession, path: str) -> dict:
+    """A control record; empty where its writer died before filling it."""
+    text = files.read_text(spark, path)
+    return json.loads(text) if text else {}
+
+
+def commits(spark: SparkSession, target: str, after: int = 0) -> list[tuple[int, dict]]:
+    """Number and record of the loads after ``after``, in order."""
+    folder = _p(target, "_commits")
+    return [(n, _record(spark, _p(folder, f"{n}.json")))
+            for n in _numbers(spark, folder) if n > after]
+
+
+def batch_ids(spark: SparkSession, target: str, after: int = 0) -> list[int]:
+    """Numbers of the loads that hold rows."""
+    return [n for n, r in commits(spark, target, after) if r.get("rows")]
 
-    The lock is a file created exclusively through the cluster's file
-    system; a second load is refused (or waits up to ``wait_s``).
-    """
-    import os
-    import socket
-    import time
-
-    path = _p(target, "_lock")
-    owner = f"{socket.gethostname()}:{os.getpid()}:{time.time()}"
-    deadline = time.time() + wait_s
-    while not files.try_lock(spark, path, owner, stale_after_s):
-        if time.time() >= deadline:
-            raise LoadInProgressError(f"another load holds {path}")
-        time.sleep(min(1.0, max(0.05, deadline - time.time())))
-    try:
-        yield
-    finally:
-        files.unlock(spark, path)
-
-
-def drop_target(spark: SparkSession, target: str, wait_s: float = 0.0) -> bool:
-    """K4: delete the table if it exists; no error when it does not.
-
-    Refused (``LoadInProgressError``) while a load holds the table.
-    """
-    if not files.exists(spark, target):
-        return False
-    with load_lock(spark, target, wait_s):
-        return files.delete(spark, target)
 
+def new_run() -> str:
+    return "r" + uuid.uuid4().hex
 
-def batch_ids(spark: SparkSession, target: str) -> list[int]:
-    return files.partition_values(spark, _p(target, "log"), BATCH)
 
+def commit(spark: SparkSession, target: str, run: str, rows: bool = True) -> int:
+    """Make a run count: its record is created under the next free number."""
+    folder = _p(target, "_commits")
+    n = max(_numbers(spark, folder), default=0) + 1
+    text = json.dumps({"run": run, "rows": rows})
+    while not files.create_text(spark, _p(folder, f"{n}.json"), text):
+        n += 1
+    return n
 
-def next_batch_id(spark: SparkSession, target: str) -> int:
-    """One past every batch id in use, in the log or in the audit (an empty
-    or failed load keeps its id, so its audit record is never replaced)."""
-    from quayside.operators.audit import audit_batch_ids
-    ids = batch_ids(spark, target) + audit_batch_ids(spark, target)
-    return max(ids) + 1 if ids else 1
 
+def _label_path(target: str, label: str) -> str:
+    import hashlib
+    return _p(target, "_labels", hashlib.sha1(label.encode("utf-8")).hexdigest() + ".json")
 
-def upsert(df: DataFrame, target: str, batch_id: int, key: str = KEY,
-           write_partitions: int | None = None) -> str:
-    """K2 (+K3): write one load, unique by ``key``, as batch ``batch_id``.
 
-    ``write_partitions`` bounds the number of parallel write tasks (and
-    files) with a ``coalesce``; by default AQE sizes them.
+def start_label(spark: SparkSession, target: str, label: str, run: str) -> None:
+    """Note, before it writes, which run is about to load ``label``."""
+    last = max(_numbers(spark, _p(target, "_commits")), default=0)
+    files.mkdirs(spark, _p(target, "_labels"))
+    files.write_text(spark, _label_path(target, label), json.dumps({"run": run, "after": last}))
+
+
+def already_loaded(spark: SparkSession, target: str, label: str) -> bool:
+    """True when the run that last began ``label`` was committed: an epoch
+    replayed after a restart is then done, wherever the driver died."""
+    path = _label_path(target, label)
+    if not files.exists(spark, path):
+        return False
+    begun = _record(spark, path)
+    return bool(begun) and any(r.get("run") == begun["run"]
+                               for _n, r in commits(spark, target, begun["after"]))
+
+
+def write_run(df: DataFrame, target: str, run: str, key: str = KEY,
+              write_partitions: int | None = None) -> str:
+    """Write one load, unique by ``key``, to its own folder; it doesn't count yet.
+
+    ``write_partitions`` bounds the number of parallel write tasks (and files)
+    by a shuffle on the key after the load's own stages, which keep their
+    parallelism; by default AQE sizes them.
     """
     if key not in df.columns:
         raise ValueError(f"frame has no key column {key!r}")
     taken = [c for c in df.columns if c in RESERVED]
     if taken:
         raise ValueError(f"columns {taken} are reserved for the table layout")
-    path = _p(target, "log", f"{BATCH}={int(batch_id)}")
-    out = df.coalesce(write_partitions) if write_partitions else df
-    out.write.mode("overwrite").parquet(path)
+    path = _p(target, "log", f"{RUN}={run}")
+    out = df.repartition(write_partitions, quoted(key)) if write_partitions else df
+    out.write.parquet(path)
     return path
 
 
-def drop_batch(spark: SparkSession, target: str, batch_id: int) -> bool:
-    """Remove one batch of the log (a failed load's partial output)."""
-    return files.delete(spark, _p(target, "log", f"{BATCH}={int(batch_id)}"))
+def upsert(df: DataFrame, target: str, key: str = KEY,
+           write_partitions: int | None = None) -> int:
+    """K2 (+K3): write one load and make it count; returns its number."""
+    run = new_run()
+    write_run(df, target, run, key, write_partitions)
+    return commit(df.sparkSession, target, run)
 
 
-def snapshot_version(spark: SparkSession, target: str) -> int | None:
-    done = files.partition_values(spark, _p(target, "snapshot_done"), VERSION)
-    return done[-1] if done else None
+def drop_run(spark: SparkSession, target: str, run: str) -> bool:
+    """Remove what a failed load has written."""
+    return files.delete(spark, _p(target, "log", f"{RUN}={run}"))
+
 
+def _manifest(spark: SparkSession, target: str) -> dict | None:
+    """The last snapshot: ``version``, ``buckets``, and ``live``, the run and
+    bytes of each bucket (at most ``MAX_BUCKETS`` entries)."""
+    folder = _p(target, "_snapshots")
+    for n in reversed(_numbers(spark, folder)):
+        record = _record(spark, _p(folder, f"{n}.json"))
+        if record:
+            return record | {"live": {int(b): x for b, x in record["live"].items()}}
+    return None
 
-def _manifest(spark: SparkSession, target: str, version: int) -> list[tuple[int, int, int]]:
-    """``(bucket, version, buckets)`` rows of a committed snapshot (at most
-    one per bucket, so a bounded, small list)."""
-    rows = spark.read.parquet(_p(target, "snapshot_done", f"{VERSION}={version}")).collect()
-    return sorted((int(r["bucket"]), int(r["v"]), int(r["buckets"])) for r in rows)
 
+def snapshot_version(spark: SparkSession, target: str) -> int | None:
+    manifest = _manifest(spark, target)
+    return manifest["version"] if manifest else None
 
-def _snapshot(spark: SparkSession, target: str, manifest) -> DataFrame | None:
-    """The live bucket folders of a manifest, read as one frame."""
-    if not manifest:
-        return None
+
+def _snapshot(spark: SparkSession, target: str, manifest: dict | None,
+              buckets) -> DataFrame | None:
+    """The live folders of some buckets, read as one frame."""
     base = _p(target, "snapshot")
-    paths = [f"{base}/{SNAP_VERSION}={v}/{BUCKET}={b}" for b, v, _n in manifest]
+    live = manifest["live"] if manifest else {}
+    paths = [f"{base}/{RUN}={live[b][0]}/{BUCKET}={b}" for b in sorted(buckets) if b in live]
+    if not paths:
+        return None
     return (spark.read.option("basePath", base).option("mergeSchema", True)
-            .parquet(*paths).drop(SNAP_VERSION, BUCKET))
+            .parquet(*paths).drop(RUN, BUCKET))
 
 
-def _log(spark: SparkSession, target: str) -> DataFrame | None:
-    if not batch_ids(spark, target):
-        return None
-    return spark.read.option("mergeSchema", True).parquet(_p(target, "log"))
+def _runs(spark: SparkSession, target: str, after: int) -> list[tuple[int, str]]:
+    return [(n, r["run"]) for n, r in commits(spark, target, after) if r.get("rows")]
 
 
-def _latest_since(spark: SparkSession, target: str, version: int | None,
-                  key: str) -> DataFrame | None:
-    """Latest row per key over the batches after ``version``."""
-    newer_ids = [b for b in batch_ids(spark, target) if version is None or b > version]
-    if not newer_ids:
-        return None
-    if len(newer_ids) == 1:
-        # One batch is unique by key already: no aggregate, no shuffle.
-        return spark.read.parquet(_p(target, "log", f"{BATCH}={newer_ids[0]}"))
-    newer = _log(spark, target).where(F.col(BATCH) > (version or 0))
-    return dedup(newer, [key], order_by=[BATCH]).drop(BATCH)
+def _log(spark: SparkSession, target: str, runs) -> DataFrame:
+    """The rows of some loads, with each one's number; no other folder is
+    listed or read."""
+    base = _p(target, "log")
+    rows = (spark.read.option("basePath", base).option("mergeSchema", True)
+            .parquet(*[f"{base}/{RUN}={run}" for _n, run in runs]))
+    number = F.create_map(*[F.lit(x) for n, run in runs for x in (run, n)])
+    return rows.withColumn(BATCH, number[F.col(RUN)]).drop(RUN)
+
+
+def _latest(spark: SparkSession, target: str, runs, key: str) -> DataFrame:
+    """Latest row per key over some loads."""
+    rows = _log(spark, target, runs)
+    if len(runs) == 1:  # unique by key already: no aggregate, no shuffle
+        return rows.drop(BATCH)
+    return dedup(rows, [key], order_by=[BATCH]).drop(BATCH)
+
+
+def _touched(spark: SparkSession, target: str, runs, key: str, buckets: int) -> list[int]:
+    """Buckets that hold a key of these loads; only the key column is read."""
+    keys = _log(spark, target, runs).select(bucket_of(quoted(key), buckets).alias(BUCKET))
+    return sorted(int(r[0]) for r in keys.distinct().collect())
 
 
 def _replace_keys(old: DataFrame | None, latest: DataFrame, key: str) -> DataFrame:
@@ -194,14 +234,21 @@ def _replace_keys(old: DataFrame | None, latest: DataFrame, key: str) -> DataFra
 
 
 def current(spark: SparkSession, target: str, key: str = KEY) -> DataFrame:
-    """K5: one row per key, the one of the latest load."""
-    version = snapshot_version(spark, target)
-    snap = _snapshot(spark, target, _manifest(spark, target, version)) \
-        if version is not None else None
-    latest = _latest_since(spark, target, version, key)
-    if latest is None:
+    """K5: one row per key, the one of the latest load. Buckets without a newer
+    key are passed through; only the others meet the newer keys."""
+    manifest = _manifest(spark, target)
+    live = set(manifest["live"]) if manifest else set()
+    runs = _runs(spark, target, manifest["version"] if manifest else 0)
+    if not runs:
+        snap = _snapshot(spark, target, manifest, live)
         return snap if snap is not None else spark.createDataFrame([], f"`{key}` string")
-    return _replace_keys(snap, latest, key)
+    touched = live
+    if len(live) > 1:
+        touched = live & set(_touched(spark, target, runs, key, manifest["buckets"]))
+    changed = _replace_keys(_snapshot(spark, target, manifest, touched),
+                            _latest(spark, target, runs, key), key)
+    same = _snapshot(spark, target, manifest, live - touched)
+    return changed if same is None else same.unionByName(changed, allowMissingColumns=True)
 
 
 def choose_buckets(table_bytes: int) -> int:
@@ -219,101 +266,54 @@ def bucket_of(key_col, buckets: int):
 
 
 def compact(spark: SparkSession, target: str, key: str = KEY,
-            buckets: int | None = None, wait_s: float = 0.0) -> int | None:
-    """Fold the batches loaded since the snapshot into it, holding the
-    target's lock (P5), so no load or other compaction runs meanwhile."""
-    with load_lock(spark, target, wait_s):
-        return _compact(spark, target, key, buckets)
-
-
-def _compact(spark: SparkSession, target: str, key: str = KEY,
-             buckets: int | None = None) -> int | None:
-    """Fold the batches loaded since the snapshot into it.
+            buckets: int | None = None) -> int | None:
+    """Fold the loads since the snapshot into it.
 
-    Only buckets that hold a key loaded since are rewritten; the others keep
-    their folders. The number of buckets is set at the first compaction
-    (``buckets``, or by the table's size) and kept for the table's life. Returns the new snapshot version (the last batch folded
-    in), or None when nothing was loaded.
+    Only buckets that hold a key loaded since are rewritten, unless the table
+    has outgrown their number (or ``buckets`` asks for another): then all are.
+    Returns the new snapshot's version (the last load folded in), or None when
+    nothing was loaded. Of two compactions at once the first to finish counts.
     """
-    ids = batch_ids(spark, target)
-    if not ids:
-        return None
-    version, previous = ids[-1], snapshot_version(spark, target)
-    if previous == version:
-        return version
-    manifest = _manifest(spark, target, previous) if previous is not None else []
-    if manifest:
-        buckets = manifest[0][2]  # fixed for the table's life
-    elif buckets is None:
-        buckets = choose_buckets(files.size_of(spark, _p(target, "log")))
-    latest = _latest_since(spark, target, previous, key)
-    # The buckets to rewrite: a small set of ints. A key's bucket depends on
-    # the key alone, so only the key column of the newer batches is read.
-    newer_keys = _log(spark, target).where(F.col(BATCH) > (previous or 0)).select(quoted(key))
-    touched = sorted(int(r[0]) for r in newer_keys.select(
-        bucket_of(quoted(key), buckets).alias(BUCKET)).distinct().collect())
-    live = {b: v for b, v, _n in manifest}
-    old = _snapshot(spark, target, [(b, live[b], buckets) for b in touched if b in live])
-    merged = _replace_keys(old, latest, key)
+    manifest = _manifest(spark, target)
+    runs = _runs(spark, target, manifest["version"] if manifest else 0)
+    if not runs:
+        return manifest["version"] if manifest else None
+    version, live = runs[-1][0], dict(manifest["live"]) if manifest else {}
+    size = sum(x[1] for x in live.values()) + sum(
+        files.size_of(spark, _p(target, "log", f"{RUN}={run}")) for _n, run in runs)
+    had = manifest["buckets"] if manifest else None
+    count = buckets or max(had or 1, choose_buckets(size))
+    touched = list(live) if count != had else _touched(spark, target, runs, key, count)
+    merged = _replace_keys(_snapshot(spark, target, manifest, touched),
+                           _latest(spark, target, runs, key), key)
     # rebalance: AQE splits a large bucket over several tasks and merges small
     # ones, so files come out near the advisory size whatever the bucket size.
     # With one bucket there is nothing to gather: each task writes its own file.
-    out = merged.withColumn(BUCKET, bucket_of(quoted(key), buckets))
-    if buckets > 1:
+    out = merged.withColumn(BUCKET, bucket_of(quoted(key), count))
+    if count > 1:
         out = out.hint("rebalance", BUCKET)
-    (out.write.mode("overwrite").partitionBy(BUCKET)
-        .parquet(_p(target, "snapshot", f"{SNAP_VERSION}={version}")))
-    live.update({b: version for b in touched})
-    rows = [(b, v, buckets) for b, v in sorted(live.items())]
-    (spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite")
-        .parquet(_p(target, "snapshot_done", f"{VERSION}={version}")))
+    run = new_run()
+    folder = _p(target, "snapshot", f"{RUN}={run}")
+    out.write.partitionBy(BUCKET).parquet(folder)
+    if count != had:
+        live = {}
+    for b in files.partition_values(spark, folder, BUCKET):
+        live[b] = [run, files.size_of(spark, _p(folder, f"{BUCKET}={b}"))]
+    record = {"version": version, "buckets": count, "live": live}
+    if not files.create_text(spark, _p(target, "_snapshots", f"{version}.json"),
+                             json.dumps(record)):
+        files.delete(spark, folder)  # another compaction of the same loads was first
     return version
 
 
 def compact_if_due(spark: SparkSession, target: str, every: int, key: str = KEY) -> int | None:
-    """Compact once ``every`` batches have been loaded since the snapshot, so
-    reads never aggregate more than that many batches. Called by a load,
-    under the lock that load holds."""
-    version = snapshot_version(spark, target)
-    pending = [b for b in batch_ids(spark, target) if version is None or b > version]
-    if len(pending) >= every:
-        return _compact(spark, target, key)  # the caller's load holds the lock
+    """Compact once ``every`` loads have been made since the snapshot, so reads
+    never aggregate more than about that many."""
+    if len(_runs(spark, target, snapshot_version(spark, target) or 0)) >= every:
+        return compact(spark, target, key)
     return None
 
 
-def vacuum(spark: SparkSession, target: str, wait_s: float = 0.0) -> dict:
-    """Remove what the last snapshot has made unreachable, so storage stays
-    near the size of the current state: bucket folders the last manifest no
-    longer names, older manifests, and log batches folded into the snapshot.
-    Audit records stay (batch numbering counts them). Runs under the
-    target's lock; readers still using an older manifest must be done.
-    """
-    removed = {"bucket_folders": 0, "manifests": 0, "batches": 0}
-    with load_lock(spark, target, wait_s):
-        version = snapshot_version(spark, target)
-        if version is None:
-            return removed
-        live = {(b, v) for b, v, _n in _manifest(spark, target, version)}
-        snap = _p(target, "snapshot")
-        for v in files.partition_values(spark, snap, SNAP_VERSION):
-            vdir = _p(snap, f"{SNAP_VERSION}={v}")
-            for b in files.partition_values(spark, vdir, BUCKET):
-                if (b, v) not in live:
-                    files.delete(spark, _p(vdir, f"{BUCKET}={b}"))
-                    removed["bucket_folders"] += 1
-            if not files.partition_values(spark, vdir, BUCKET):
-                files.delete(spark, vdir)
-        for v in files.partition_values(spark, _p(target, "snapshot_done"), VERSION):
-            if v < version:
-                files.delete(spark, _p(target, "snapshot_done", f"{VERSION}={v}"))
-                removed["manifests"] += 1
-        for b in batch_ids(spark, target):
-            if b <= version:
-                files.delete(spark, _p(target, "log", f"{BATCH}={b}"))
-                removed["batches"] += 1
-    return removed
-
-
 def merge_schemas(frames: Sequence[DataFrame]) -> DataFrame:
     """K6: stack frames with different columns by name; absent ones null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -7,16 +7,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from quayside.functions.paths import ACCEPTED_EXTENSION, CSV_GLOB, extension, relative_key
+from quayside.functions.paths import (ACCEPTED_EXTENSION, CSV_GLOB, extension, literal_path,
+                                      relative_key)
 
 # The raw files' dialect.
 SEPARATOR = ","
 QUOTE = '"'
 DEFAULT_ESCAPE = '"'   # a doubled quote inside a quoted field; "\\" on request
 MEGABYTE = 1024 * 1024
-# Column naming each row's file in multi-file scans; a name no header uses.
+# Columns of multi-file scans, under names no header uses: each row's file, and
+# when that file arrived.
 FILE_COLUMN = "__qs_file"
+ARRIVAL_COLUMN = "__qs_arrival"
+# The raw text of a row whose number of fields isn't the header's.
+RAGGED_COLUMN = "__qs_ragged"
 
 
 def csv_reader(spark: SparkSession, *, sep: str = SEPARATOR, quote: str = QUOTE,
@@ -48,19 +54,29 @@ def csv_reader(spark: SparkSession, *, sep: str = SEPARATOR, quote: str = QUOTE,
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
-    """Scan one or more headered CSV files (all columns string)."""
+    """Scan one or more headered CSV files (all columns string). Paths are
+    taken literally, whatever characters they hold."""
     if isinstance(paths, str):
         paths = [paths]
-    return csv_reader(spark, **options).load(list(paths))
+    return csv_reader(spark, **options).load([literal_path(p) for p in paths])
+
+
+def with_ragged(schema):
+    """``schema`` and a column that keeps rows with too many or too few fields,
+    so that a load can count them."""
+    return type(schema)(list(schema.fields)).add(RAGGED_COLUMN, "string")
 
 
 HEADER_PEEK_THREADS = 32
-# Files up to this size have their first line read in one shared job (the
-# binary-file source reads such a file whole); larger files are peeked one
-# by one, each reading its first record only.
-HEADER_SCAN_MAX_BYTES = 16 * 1024 * 1024
-# Bytes of each file looked at for its first line.
-HEADER_PREFIX_BYTES = 64 * 1024
+
+
+def _header(spark: SparkSession, path: str, options: dict):
+    """A file's header as a schema. Where the name holds pattern characters, the
+    header is taken as one line: Spark's look at a header of several lines takes
+    the name for a pattern even when it is escaped."""
+    plain = literal_path(path) == path
+    return csv_reader(spark, **options if plain else options | {"multi_line": False}).load(
+        literal_path(path)).schema
 
 
 def header_groups(spark: SparkSession, paths: Sequence[str], **options
@@ -68,86 +84,58 @@ def header_groups(spark: SparkSession, paths: Sequence[str], **options
     """Group files by their header: ``[(schema, paths), ...]``.
 
     A multi-file CSV scan takes the first file's header for all files, by
-    position, so files with different headers must be read apart.
-
-    One job reads the first line of every file up to 16 MB (its first
-    64 KB, through the binary-file source, which checks the length before
-    reading contents); files are grouped by that exact line. One file of
-    each group is then read by the CSV reader for the schema, so header
-    handling (quotes, repeated names) is Spark's own. Larger files, first
-    lines that may continue on the next line (an odd number of quote
-    characters) and files with no line break in their first 64 KB are
-    peeked one by one, concurrently. Empty files hold no
-    rows and are left out, as Spark's file scans leave them out. Only paths
-    and header lines reach the driver.
+    position, so files with different headers must be read apart. Each file's
+    header is read by Spark's own CSV reader, which reads as far as the first
+    record, whatever its length, encoding or line breaks; many files are looked
+    at concurrently. Empty files hold no rows and are left out, as Spark's file
+    scans leave them out. Only paths and headers reach the driver.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     def peek(p):
-        return csv_reader(spark, **options).load(p).schema
-
-    def peek_all(ps):
-        if len(ps) <= 1:
-            return [peek(p) for p in ps]
-        with ThreadPoolExecutor(max_workers=min(HEADER_PEEK_THREADS, len(ps))) as pool:
-            return list(pool.map(peek, ps))
+        return _header(spark, p, options)
 
     paths = list(paths)
-    if len(paths) == 1:
-        return [(peek(paths[0]), paths)]
-    prefix = F.decode(F.substring("content", 1, HEADER_PREFIX_BYTES), "UTF-8")
-    small = F.col("length") <= F.lit(HEADER_SCAN_MAX_BYTES)
-    listing = spark.read.format("binaryFile").load(paths)
-    rows = listing.where(small).select(
-        "path", F.substring_index(prefix, "\n", 1).alias("line"),
-        (F.instr(prefix, "\n") > 0).alias("whole")).collect()
-    quote = options.get("quote", QUOTE)
-
-    def clear(r):  # the first line is complete and closes every quote it opens
-        return r["whole"] and r["line"].count(quote) % 2 == 0
-
-    by_line: dict[str, list[str]] = {}
-    single: list[str] = [r["path"] for r in rows if not clear(r)]
-    for r in rows:
-        if clear(r):
-            by_line.setdefault(r["line"], []).append(r["path"])
-    # Large files: listed without contents (the length filter reaches the reader).
-    single += [r["path"] for r in listing.where(~small).select("path").collect()]
+    with ThreadPoolExecutor(max_workers=min(HEADER_PEEK_THREADS, len(paths) or 1)) as pool:
+        schemas = list(pool.map(peek, paths))
     groups: dict[tuple, tuple[object, list[str]]] = {}
-    line_groups = list(by_line.values())
-    schemas = peek_all([g[0] for g in line_groups])
-    for members, schema in zip(line_groups, schemas):
-        groups.setdefault(tuple(schema.fieldNames()), (schema, []))[1].extend(members)
-    for p, schema in zip(single, peek_all(single)):
-        groups.setdefault(tuple(schema.fieldNames()), (schema, []))[1].append(p)
+    for p, schema in zip(paths, schemas):
+        if schema.fields:
+            groups.setdefault(tuple(schema.fieldNames()), (schema, []))[1].append(p)
     return list(groups.values())
 
 
-def read_csv_files(spark: SparkSession, paths: Sequence[str], same_header: bool = False,
-                   **options) -> DataFrame:
-    """S1 over files that may differ in header: one scan per header group,
-    stacked by name (absent columns null), each row tagged with its file in
-    ``FILE_COLUMN``. One Spark plan, however many files.
-
-    ``same_header=True`` promises that every file has the same header: the
-    files are then read as one scan without peeking at each.
-    """
+def scan_groups(spark: SparkSession, paths: Sequence[str], same_header: bool = False,
+                **options) -> list[tuple[DataFrame, list[str]]]:
+    """S1 over files that may differ in header: one scan per header, each row
+    with its file, that file's arrival time and, where its number of fields isn't
+    the header's, its text. ``same_header=True`` promises one header and saves
+    looking at each file."""
     if same_header:
-        groups = [(None, list(paths))]
+        head = next((h for h in (_header(spark, p, options) for p in paths) if h.fields),
+                    StructType())
+        groups = [(head, list(paths))] if head.fields else []
     else:
         groups = header_groups(spark, paths, **options)
-    if not groups:  # only empty files: nothing to read
-        return spark.createDataFrame([], f"{FILE_COLUMN} string")
-    frames = []
+    out = []
     for schema, group in groups:
-        scan = csv_reader(spark, schema=schema, **options).load(group)
-        frames.append(scan.select("*", F.col("_metadata.file_path").alias(FILE_COLUMN)))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
+        scan = csv_reader(spark, schema=with_ragged(schema), **options).option(
+            "columnNameOfCorruptRecord", RAGGED_COLUMN).load([literal_path(p) for p in group])
+        out.append((scan.select("*", F.col("_metadata.file_path").alias(FILE_COLUMN),
+                                F.col("_metadata.file_modification_time").alias(ARRIVAL_COLUMN)),
+                    group))
     return out
 
 
+def list_csv(spark: SparkSession, folder: str, glob: str | None = None) -> list[str]:
+    """Plain paths of the files in ``folder`` or of a glob pattern; contents are
+    not read."""
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return sorted(r["path"] for r in reader.load(folder).select("path").collect())
+
+
 def is_empty(df: DataFrame) -> bool:
     """S3: true when the frame has no row (reads at most one)."""
     return df.isEmpty()
@@ -196,7 +184,7 @@ def inventory(spark: SparkSession, raw_dir: str, root: str | None = None) -> Dat
              .option("recursiveFileLookup", True)
              .load(raw_dir)
              .select("path", "length", "modificationTime"))
-    key = relative_key(F.col("path"), root)
+    key = relative_key(F.col("path"), root, uri=False)
     return files.select(
         key.alias("key"),
         extension(key).alias("ext"),
@@ -207,5 +195,5 @@ def inventory(spark: SparkSession, raw_dir: str, root: str | None = None) -> Dat
     )
 
 
-__all__ = ["csv_reader", "read_csv", "read_csv_files", "header_groups", "is_empty",
+__all__ = ["csv_reader", "read_csv", "scan_groups", "header_groups", "list_csv", "is_empty",
            "to_text", "land_csv", "inventory", "CSV_GLOB"]

@@ -4,12 +4,15 @@ New files are found by a Structured Streaming file source over the raw
 zone. The source is the binary-file format with only ``path`` and ``length``
 selected, so discovery never reads file contents; the streaming checkpoint
 remembers which files were seen, so a restart neither loses nor repeats a
-file. Each micro-batch is one load (``foreachBatch``): its files are grouped
-by header and read in one plan, and ``source_file`` records each row's own
-file.
+file. Each micro-batch is one load (``foreachBatch``): its files are read per
+header, and key, row hash and required columns follow each file's own header,
+as in a load of its own. Of rows with one key the one that arrived last stays,
+however many files share a micro-batch. ``source_file`` records each row's own
+file; a header that can't be loaded is a ``FAILED`` record of its files alone.
 
 Overlap (P5): one query per checkpoint; files that arrive while a batch
-runs wait for the next micro-batch instead of being refused.
+runs wait for the next micro-batch instead of being refused, and loads of other
+queries may run at the same time.
 
 A path overwritten in place is not seen again by the file source (D17);
 :mod:`quayside.streaming.notifications` loads on every notification instead.
@@ -20,10 +23,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.functions.paths import CSV_GLOB
-from quayside.operators.audit import already_loaded
-from quayside.plans.load import LoadConfig, LoadResult, load_frame
-from quayside.plans.target import LOCK_STALE_AFTER_S
-from quayside.sources.csv import FILE_COLUMN, read_csv_files
+from quayside.plans.load import LoadConfig, LoadResult, load_frame, loadable, refuse
+from quayside.plans.target import already_loaded
+from quayside.sources.csv import FILE_COLUMN, scan_groups
 
 # Fixed value: the binary-file source's schema.
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -46,20 +48,27 @@ def stream_new_files(spark: SparkSession, raw_dir: str, glob: str = CSV_GLOB,
 
 
 def load_files(spark: SparkSession, paths: list[str], config: LoadConfig,
-               root: str | None, label: str, missing: int = 0) -> LoadResult | None:
-    """One load over a set of files that may differ in header; ``missing``
-    counts notified files that were gone, noted in the audit message."""
+               root: str | None, label: str, missing: list[str] = ()) -> LoadResult | None:
+    """One load over a set of files that may differ in header; notified files
+    that were gone (``missing``) and headers that can't be loaded leave a
+    ``FAILED`` record each and don't stop the others."""
+    for p in missing:
+        refuse(spark, config, p, "notified file is missing")
     if not paths:
         return None
-    if not config.lock_wait_seconds:
-        # A stream waits for a running load instead of failing: its files
-        # load as soon as the target is free (P5 without losing events).
-        config = config.with_(lock_wait_seconds=LOCK_STALE_AFTER_S)
     options = dict(escape=config.escape, multi_line=config.multi_line, **config.csv_options)
-    df = read_csv_files(spark, sorted(paths), same_header=config.same_header, **options)
-    note = f"{missing} notified file(s) missing" if missing else None
-    return load_frame(spark, df, config, label, root=root, source_column=FILE_COLUMN,
-                      note=note)
+    frames = []
+    for df, group in scan_groups(spark, sorted(paths), same_header=config.same_header, **options):
+        why = loadable(df, config)
+        if why is None:
+            frames.append(df)
+        for p in group if why else ():
+            refuse(spark, config, p, why)
+    if not frames:
+        return None
+    note = f"{len(missing)} notified file(s) missing" if missing else None
+    return load_frame(spark, frames, config, label, root=root, source_column=FILE_COLUMN,
+                      note=note, once=True)
 
 
 def start_stream(spark: SparkSession, raw_dir: str, config: LoadConfig, checkpoint: str,

@@ -9,13 +9,15 @@ Routing rows for every record, whatever the status, can be kept in
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.audit import already_loaded
 from quayside.plans import files
 from quayside.plans.load import LoadConfig, LoadResult
+from quayside.plans.target import already_loaded
+from quayside.sources.csv import HEADER_PEEK_THREADS
 from quayside.sources.notify import LOAD, route_notifications
 from quayside.streaming.files import load_files
 
@@ -65,9 +67,10 @@ def start_notifications(spark: SparkSession, messages: DataFrame, config: LoadCo
                 continue  # replayed after a restart: this load is done
             paths = [f"{zone}/{k}" for k in sorted(keys)]
             # A file removed since its notification is skipped, not fatal.
-            present = [p for p in paths if files.exists(spark, p)]
-            res = load_files(spark, present, config, zone, label,
-                             missing=len(paths) - len(present))
+            with ThreadPoolExecutor(HEADER_PEEK_THREADS) as pool:
+                there = list(pool.map(lambda p: files.exists(spark, p), paths))
+            res = load_files(spark, [p for p, t in zip(paths, there) if t], config, zone, label,
+                             missing=[p for p, t in zip(paths, there) if not t])
             if res is not None:
                 results.append(res)
 

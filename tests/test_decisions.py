@@ -148,8 +148,8 @@ def test_d17_reupload_seen_by_notifications_not_by_discovery(spark):
 
 def test_d18_last_load_replaces_whole_row(spark, tmp_path):
     t = str(tmp_path / "t")
-    tgt.upsert(spark.createDataFrame([("1", "a", "x")], "id string, p string, q string"), t, 1)
-    tgt.upsert(spark.createDataFrame([("1", "b")], "id string, p string"), t, 2)
+    tgt.upsert(spark.createDataFrame([("1", "a", "x")], "id string, p string, q string"), t)
+    tgt.upsert(spark.createDataFrame([("1", "b")], "id string, p string"), t)
     assert [tuple(r) for r in tgt.current(spark, t).select("id", "p", "q").collect()] == \
         [("1", "b", None)]
 

@@ -143,11 +143,60 @@ def test_ragged_rows_are_kept(spark, zone):
     root, write = zone
     p = write("ragged.csv", "id,a,b\n1,x\n2,y,z,extra\n")
     r = run_load(spark, p, cfg(root), key="raw/ragged.csv")
-    assert r.counts.written == 2
+    assert r.counts.written == 2 and r.counts.malformed == 2
+    assert r.message == "2 rows whose number of fields isn't the header's"
     assert rows(tgt.current(spark, f"{root}/target"), "id", "a", "b") == \
         [("1", "x", None), ("2", "y", "z")]
 
 
+def test_names_are_taken_literally(spark, zone):
+    """Brackets, spaces, percent and plus signs, from every route."""
+    from quayside.sources.csv import inventory
+    from quayside.streaming.files import run_stream
+    from quayside.streaming.notifications import run_notifications, stream_messages
+
+    root, write = zone
+    names = ["a[1].csv", "a1.csv", "b c.csv", "100%.csv", "a%20b.csv", "x+y.csv", "{z}.csv"]
+    paths = [write(n, f"id,v\n{i},{i}\n") for i, n in enumerate(names)]
+    want = sorted((str(i), f"raw/{n}") for i, n in enumerate(names))
+
+    def got(name):
+        return rows(tgt.current(spark, f"{root}/{name}"), "id", "source_file")
+
+    for p, n in zip(paths, names):
+        run_load(spark, p, LoadConfig(target=f"{root}/one", ts=TS), key=f"raw/{n}")
+    run_load(spark, paths, LoadConfig(target=f"{root}/list", ts=TS), root=root)
+    run_load(spark, f"{root}/raw", LoadConfig(target=f"{root}/folder", ts=TS), root=root)
+    run_load(spark, f"{root}/raw/*.csv", LoadConfig(target=f"{root}/glob", ts=TS), root=root)
+    run_stream(spark, f"{root}/raw", LoadConfig(target=f"{root}/stream", ts=TS), f"{root}/ck1")
+    import json
+    from pathlib import Path
+    from urllib.parse import quote_plus
+    Path(root, "inbox").mkdir()
+    Path(root, "inbox", "m.json").write_text(json.dumps({"Records": [
+        {"s3": {"bucket": {"name": "b"}, "object": {"key": quote_plus(f"raw/{n}")}}}
+        for n in names]}) + "\n")
+    run_notifications(spark, stream_messages(spark, f"{root}/inbox"),
+                      LoadConfig(target=f"{root}/notify", ts=TS), f"{root}/ck2", root)
+    for name in ("one", "list", "folder", "glob", "stream", "notify"):
+        assert got(name) == want, name
+    assert rows(inventory(spark, f"{root}/raw", root=root), "key") == sorted(
+        (f"raw/{n}",) for n in names)
+
+
+def test_headers_of_any_length_encoding_and_line_breaks(spark, zone):
+    root, write = zone
+    files_ = [write("long.csv", "id," + ",".join(f"c{'x' * 60}{i}" for i in range(1200))
+                    + "\n1" + ",v" * 1200 + "\n"),
+              write("cut.csv", "id,v\n2," + "a" * 65528 + "é\n"),
+              write("latin.csv", "id,v\n3,caf\xe9\n", "latin-1"),
+              write("blank1.csv", "\nid,a\n4,x\n"), write("blank2.csv", "\nid,b\n5,y\n")]
+    r = run_load(spark, files_, cfg(root), root=root)
+    assert r.counts.written == 5
+    cur = tgt.current(spark, f"{root}/target")
+    assert rows(cur.where("id > '3'"), "id", "a", "b") == [("4", "x", None), ("5", None, "y")]
+
+
 def test_duplicate_headers_are_renamed(spark, zone):
     root, write = zone
     p = write("samehdr.csv", "a,a,A,b\n1,2,3,4\n")
@@ -327,4 +376,5 @@ def test_command_line_load(zone):
     assert out.returncode == 0, out.stderr[-2000:]
     result = json.loads(out.stdout.strip().splitlines()[-1])
     assert result["status"] == "SUCCESS"
-    assert result["counts"] == {"read": 3, "null_rejected": 0, "duplicates": 1, "written": 2}
+    assert result["counts"] == {"read": 3, "null_rejected": 0, "duplicates": 1, "written": 2,
+                                "malformed": 0}

@@ -238,17 +238,11 @@ def test_header_groups(spark, zone, monkeypatch):
     got = names(csvmod.header_groups(spark, [a1, a2, b, ml, empty]))
     # The empty file holds no rows; file scans leave it out.
     assert got == [(("i\nd", "v"), 1), (("id", "v"), 2), (("v", "id", "w"), 1)]
-    # Files over the size limit are peeked one by one, with the same result.
-    monkeypatch.setattr(csvmod, "HEADER_SCAN_MAX_BYTES", 5)
-    assert names(csvmod.header_groups(spark, [a1, a2, b, ml, empty])) == got
-    df = csvmod.read_csv_files(spark, [a1, a2, b])
-    assert sorted(tuple(r) for r in df.select("id", "v", "w").collect()) == \
-        [("1", "x", None), ("2", "y", None), ("3", "z", "q")]
-    assert csvmod.read_csv_files(spark, [empty, write("e2.csv", "")]).isEmpty()
-    # No line break within the looked-at prefix: each such file is peeked.
-    monkeypatch.setattr(csvmod, "HEADER_SCAN_MAX_BYTES", 1 << 20)
-    monkeypatch.setattr(csvmod, "HEADER_PREFIX_BYTES", 4)
-    assert names(csvmod.header_groups(spark, [a1, b])) == [(("id", "v"), 1), (("v", "id", "w"), 1)]
+    groups = csvmod.scan_groups(spark, [a1, a2, b])
+    got = [tuple(r[c] if c in df.columns else None for c in ("id", "v", "w"))
+           for df, _files in groups for r in df.collect()]
+    assert sorted(got) == [("1", "x", None), ("2", "y", None), ("3", "z", "q")]
+    assert csvmod.scan_groups(spark, [empty, write("e2.csv", "")]) == []
 
 
 def test_spread_only_large_single_task_scans(spark, zone):
@@ -258,9 +252,9 @@ def test_spread_only_large_single_task_scans(spark, zone):
     p = write("one.csv", "id,v\n" + "".join(f"{i},x\n" for i in range(2000)))
     df = read_csv(spark, p)
     assert df.rdd.getNumPartitions() == 1
-    # Small for the default threshold: left as it is.
-    assert spread(df, min_partitions=4) is df
-    spread_df = spread(df, min_partitions=4, min_bytes_per_partition=1)
+    # Small for the default bytes of a partition: left as it is.
+    assert spread(df) is df
+    spread_df = spread(df, bytes_per_partition=4000)
     plan = spread_df._jdf.queryExecution().executedPlan().toString()
     assert "monotonically_increasing_id" in plan or "_nondeterministic" in plan
     assert spread_df.rdd.getNumPartitions() >= 1

@@ -1,6 +1,8 @@
 """The registered query set against its DuckDB oracles at sf0.001."""
 
 
+import re
+
 import __spark_entry__ as entry_mod
 from tests.oracle_check import compare
 
@@ -13,13 +15,16 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_or_is_rows_only(spark):
-    qs, sqls = entry_mod.queries(), entry_mod.oracle_sql()
-    assert set(sqls) <= set(qs)
-    assert set(qs) - set(sqls) == {"raw_inventory"}
+def own(names):
+    """The library's own queries (the training-data ones have their tests)."""
+    return {n for n in names if not re.match(r"op\d+_|pipeline$", n)}
+
+
+def test_every_query_has_an_oracle():
+    assert own(entry_mod.queries()) == own(entry_mod.oracle_sql())
 
 
 def test_queries_match_oracle(spark):
-    res = compare(spark, SF, verbose=False)
-    bad = {k: v for k, v in res.items() if v[0] not in ("OK", "ROWS_ONLY")}
+    res = compare(spark, SF, names=sorted(own(entry_mod.queries())), verbose=False)
+    bad = {k: v for k, v in res.items() if v[0] != "OK"}
     assert not bad, bad

@@ -122,6 +122,9 @@ def test_missing_and_empty_files_in_a_batch(spark, zone, tmp_path):
     res = run_notifications(spark, stream_messages(spark, str(inbox)), cfg,
                             str(tmp_path / "ckpt"), root)
     assert [(r.counts.written, r.message) for r in res] == [(1, "1 notified file(s) missing")]
+    from quayside.operators.audit import read_audit
+    failed = read_audit(spark, cfg.target).where("status = 'FAILED'").collect()
+    assert [r["source_file"].endswith("raw/gone.csv") for r in failed] == [True]
     assert rows(tgt.current(spark, cfg.target), "id", "v") == [("1", "a")]
 
 
@@ -169,22 +172,77 @@ def test_backlog_drains_in_bounded_batches(spark, zone, tmp_path):
     assert tgt.current(spark, cfg.target).count() == 5
 
 
-def test_stream_waits_for_a_running_load(spark, zone, tmp_path):
-    import threading
+def test_crash_between_write_and_audit_is_replayed_once(spark, zone, tmp_path):
+    """Committed but not audited: the replay adds nothing, even where the row
+    hash holds the load time."""
+    import glob
 
+    root, write = zone
+    write("a.csv", "name\nann\nbob\n")
+    cfg = LoadConfig(target=f"{root}/target", profile="as_coded")
+    ckpt = tmp_path / "ckpt"
+    run_stream(spark, f"{root}/raw", cfg, str(ckpt))
+    for name in glob.glob(f"{root}/target/_audit/*") + glob.glob(f"{ckpt}/commits/*") + \
+            glob.glob(f"{ckpt}/commits/.*"):
+        os.remove(name)
+    assert run_stream(spark, f"{root}/raw", cfg, str(ckpt)) == []
+    assert tgt.current(spark, cfg.target).count() == 2
+
+
+def test_crash_before_commit_is_replayed(spark, zone, tmp_path):
     root, write = zone
     write("a.csv", "id,v\n1,a\n")
     cfg = LoadConfig(target=f"{root}/target", ts=TS)
-    held = threading.Event()
+    ckpt = tmp_path / "ckpt"
+    run_stream(spark, f"{root}/raw", cfg, str(ckpt))
+    for name in (f"{root}/target/_commits/1.json", f"{root}/target/_commits/.1.json.crc",
+                 ckpt / "commits" / "0", ckpt / "commits" / ".0.crc"):
+        os.remove(name)
+    assert len(run_stream(spark, f"{root}/raw", cfg, str(ckpt))) == 1
+    assert rows(tgt.current(spark, cfg.target), "id", "v") == [("1", "a")]
 
-    def hold():
-        with tgt.load_lock(spark, cfg.target):
-            held.set()
-            threading.Event().wait(2)
 
-    t = threading.Thread(target=hold)
-    t.start()
-    held.wait()
-    res = run_stream(spark, f"{root}/raw", cfg, str(tmp_path / "ckpt"))
-    t.join()
-    assert [r.counts.written for r in res] == [1]
+def test_each_file_keeps_its_own_header_rules(spark, zone, tmp_path):
+    """Files with and without a key column in one batch load as they do alone."""
+    root, write = zone
+    write("a.csv", "id,name\n1,ann\n2,bob\n")
+    write("b.csv", "name,city\ncid,x\ndee,y\n")
+    for n in (None, 1):
+        cfg = LoadConfig(target=f"{root}/target{n}", ts=TS)
+        run_stream(spark, f"{root}/raw", cfg, str(tmp_path / f"ckpt{n}"), max_files_per_trigger=n)
+    alone = LoadConfig(target=f"{root}/alone", ts=TS)
+    for name in ("a.csv", "b.csv"):
+        run_load(spark, f"{root}/raw/{name}", alone, key=f"raw/{name}")
+    want = rows(tgt.current(spark, alone.target), "id", "name", "city", "source_file")
+    assert len(want) == 4 and all(r[0] for r in want)
+    for n in (None, 1):
+        assert sorted(want, key=str) == sorted(
+            rows(tgt.current(spark, f"{root}/target{n}"), "id", "name", "city", "source_file"),
+            key=str)
+
+
+def test_the_later_file_wins_whatever_the_batch(spark, zone, tmp_path):
+    root, write = zone
+    old, new = write("z.csv", "id,v\n1,zzz\n"), write("a.csv", "id,v\n1,aaa\n")
+    os.utime(old, (1_700_000_000, 1_700_000_000))
+    os.utime(new, (1_700_000_100, 1_700_000_100))
+    for n in (None, 1):
+        for keep in ("last", "first"):
+            cfg = LoadConfig(target=f"{root}/t{n}{keep}", ts=TS, keep=keep)
+            run_stream(spark, f"{root}/raw", cfg, str(tmp_path / f"ck{n}{keep}"),
+                       max_files_per_trigger=n)
+            assert rows(tgt.current(spark, cfg.target), "v") == [("aaa",)]
+
+
+def test_a_bad_header_fails_alone(spark, zone, tmp_path):
+    from quayside.operators.audit import read_audit
+
+    root, write = zone
+    write("good.csv", "id,v\n1,a\n")
+    write("bad.csv", "id,timestamp\n2,b\n")
+    cfg = LoadConfig(target=f"{root}/target", ts=TS)
+    run_stream(spark, f"{root}/raw", cfg, str(tmp_path / "ckpt"))
+    assert rows(tgt.current(spark, cfg.target), "id", "v") == [("1", "a")]
+    audit = [(r["status"], r["source_file"]) for r in read_audit(spark, cfg.target).collect()]
+    failed = [x for x in audit if x[0] == "FAILED"]
+    assert len(audit) == 2 and len(failed) == 1 and failed[0][1].endswith("bad.csv")

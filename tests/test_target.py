@@ -29,24 +29,68 @@ def test_ensure_and_drop(spark, tmp_path):
     assert not files.exists(spark, t)
 
 
-def test_retried_batch_replaces_itself(spark, tmp_path):
+def test_loads_never_overwrite_each_other(spark, tmp_path):
     t = str(tmp_path / "t")
     df = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, v string")
-    tgt.upsert(df, t, 1)
-    tgt.upsert(df, t, 1)
+    assert [tgt.upsert(df, t), tgt.upsert(df, t)] == [1, 2]
     assert tgt.current(spark, t).count() == 2
-    assert tgt.batch_ids(spark, t) == [1]
+    assert tgt.batch_ids(spark, t) == [1, 2]
+
+
+def test_overlapping_loads_both_count(spark, tmp_path):
+    """Two loads that write at the same time, the first to begin ending last."""
+    t = str(tmp_path / "t")
+    one, two = tgt.new_run(), tgt.new_run()
+    tgt.write_run(spark.createDataFrame([("1", "a")], "id string, v string"), t, one)
+    tgt.write_run(spark.createDataFrame([("1", "b"), ("2", "b")], "id string, v string"), t, two)
+    assert tgt.current(spark, t).count() == 0  # nothing counts before its commit
+    assert tgt.commit(spark, t, two) == 1 and tgt.compact(spark, t) == 1
+    assert tgt.commit(spark, t, one) == 2
+    assert rows(tgt.current(spark, t), "id", "v") == [("1", "a"), ("2", "b")]
+
+
+def test_commit_numbers_are_taken_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    t = str(tmp_path / "t")
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda _: tgt.commit(spark, t, tgt.new_run(), rows=False), range(24)))
+    assert sorted(got) == list(range(1, 25))
+
+
+def test_failed_load_leaves_the_others(spark, zone):
+    root, write = zone
+    cfg = LoadConfig(target=f"{root}/t", ts=TS)
+    run_load(spark, write("a.csv", "id,v\n1,a\n"), cfg, key="raw/a.csv")
+    with pytest.raises(Exception):
+        run_load(spark, write("b.csv", "id,timestamp\n2,b\n"), cfg, key="raw/b.csv")
+    assert rows(tgt.current(spark, cfg.target), "id", "v") == [("1", "a")]
+    assert len(files.child_dirs(spark, f"{cfg.target}/log")) == 1
+
+
+def test_another_key_is_refused(spark, tmp_path):
+    t = str(tmp_path / "t")
+    tgt.ensure_target(spark, t, "id")
+    with pytest.raises(tgt.KeyMismatchError):
+        tgt.ensure_target(spark, t, "other")
+
+
+def test_write_partitions_bound_the_write_alone(spark, tmp_path):
+    t = str(tmp_path / "t")
+    df = spark.range(1000, numPartitions=8).select(F.col("id").cast("string").alias("id"))
+    path = tgt.write_run(df.distinct(), t, tgt.new_run(), write_partitions=2)
+    assert len([n for n in files.child_files(spark, path) if n.endswith(".parquet")]) == 2
 
 
 def test_compaction_and_later_loads(spark, tmp_path):
     t = str(tmp_path / "t")
-    tgt.upsert(spark.createDataFrame([("1", "a"), ("2", "b")], "id string, v string"), t, 1)
-    tgt.upsert(spark.createDataFrame([("2", "c")], "id string, v string"), t, 2)
+    tgt.upsert(spark.createDataFrame([("1", "a"), ("2", "b")], "id string, v string"), t)
+    tgt.upsert(spark.createDataFrame([("2", "c")], "id string, v string"), t)
     before = rows(tgt.current(spark, t), "id", "v")
     assert tgt.compact(spark, t) == 2
     assert tgt.snapshot_version(spark, t) == 2
     assert rows(tgt.current(spark, t), "id", "v") == before == [("1", "a"), ("2", "c")]
-    tgt.upsert(spark.createDataFrame([("1", "z", "new")], "id string, v string, w string"), t, 3)
+    tgt.upsert(spark.createDataFrame([("1", "z", "new")], "id string, v string, w string"), t)
     assert rows(tgt.current(spark, t), "id", "v", "w") == [("1", "z", "new"), ("2", "c", None)]
 
 
@@ -128,36 +172,76 @@ def test_compaction_rewrites_only_touched_buckets(spark, tmp_path):
     t = str(tmp_path / "t")
     base = spark.range(200).select(F.col("id").cast("string").alias("id"),
                                    F.lit("a").alias("v"))
-    tgt.upsert(base, t, 1)
+    tgt.upsert(base, t)
     assert tgt.compact(spark, t, buckets=8) == 1
-    assert len(files.child_dirs(spark, f"{t}/snapshot/_v=1")) == 8
-    tgt.upsert(spark.createDataFrame([("7", "b")], "id string, v string"), t, 2)
+    first = tgt._manifest(spark, t)["live"]
+    assert len(first) == 8
+    tgt.upsert(spark.createDataFrame([("7", "b")], "id string, v string"), t)
+    plan = tgt.current(spark, t)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan  # seven buckets pass by the join
     assert tgt.compact(spark, t) == 2
-    assert len(files.child_dirs(spark, f"{t}/snapshot/_v=2")) == 1  # one bucket rewritten
-    manifest = {r["bucket"]: r["v"] for r in spark.read.parquet(f"{t}/snapshot_done/v=2").collect()}
-    assert sorted(manifest.values()).count(2) == 1 and len(manifest) == 8
+    second = tgt._manifest(spark, t)["live"]
+    assert sum(first[b] != second[b] for b in first) == 1  # one bucket rewritten
     cur = tgt.current(spark, t)
     assert cur.count() == 200
     assert cur.where("v = 'b'").select("id").collect() == [("7",)]
 
 
+def test_untouched_buckets_are_not_shuffled(spark, tmp_path):
+    t = str(tmp_path / "t")
+    base = spark.range(400).select(F.col("id").cast("string").alias("id"), F.lit("a").alias("v"))
+    tgt.upsert(base, t)
+    tgt.compact(spark, t, buckets=16)
+    tgt.upsert(spark.createDataFrame([("7", "b")], "id string, v string"), t)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        cur = tgt.current(spark, t)
+        cur.collect()
+        plan = cur._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The join's two sides are shuffled; the other branch is a bare scan.
+    assert plan.count("Exchange hashpartitioning") <= 4 and cur.count() == 400
+    last = plan.split("Union")[1].split("\n")
+    scans = [i for i, x in enumerate(last) if "FileScan" in x]
+    shuffles = [i for i, x in enumerate(last) if "Exchange" in x]
+    assert scans[0] < min(shuffles)
+
+
+def test_buckets_grow_with_the_table(spark, tmp_path, monkeypatch):
+    t = str(tmp_path / "t")
+    monkeypatch.setattr(tgt, "BUCKET_TARGET_BYTES", 1000)
+    tgt.upsert(spark.createDataFrame([("1", "a")], "id string, v string"), t)
+    assert tgt.compact(spark, t) == 1
+    few = tgt._manifest(spark, t)["buckets"]
+    many = spark.range(5000).select(F.col("id").cast("string").alias("id"),
+                                    F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    tgt.upsert(many, t)
+    before = rows(tgt.current(spark, t), "id", "v")
+    assert tgt.compact(spark, t) == 2
+    manifest = tgt._manifest(spark, t)
+    assert manifest["buckets"] >= 64 > few
+    assert all(x[1] < 20 * tgt.BUCKET_TARGET_BYTES for x in manifest["live"].values())
+    assert rows(tgt.current(spark, t), "id", "v") == before
+
+
 def test_unfinished_compaction_is_invisible(spark, tmp_path):
     t = str(tmp_path / "t")
-    tgt.upsert(spark.createDataFrame([("1", "a")], "id string, v string"), t, 1)
+    tgt.upsert(spark.createDataFrame([("1", "a")], "id string, v string"), t)
     tgt.compact(spark, t)
-    tgt.upsert(spark.createDataFrame([("1", "b")], "id string, v string"), t, 2)
-    # Snapshot files of version 2 written, manifest not: as if compaction died.
+    tgt.upsert(spark.createDataFrame([("1", "b")], "id string, v string"), t)
+    # A snapshot folder written, its record not: as if a compaction died.
     spark.createDataFrame([("1", "zzz")], "id string, v string").write \
-        .parquet(f"{t}/snapshot/_v=2/_bucket=0")
+        .parquet(f"{t}/snapshot/_run=dead/_bucket=0")
     assert [tuple(r) for r in tgt.current(spark, t).collect()] == [("1", "b")]
-    assert tgt.compact(spark, t) == 2  # the retry overwrites version 2
+    assert tgt.compact(spark, t) == 2
     assert [tuple(r) for r in tgt.current(spark, t).collect()] == [("1", "b")]
 
 
 def test_layout_columns_are_reserved(spark, tmp_path):
     df = spark.createDataFrame([("1", 1)], "id string, _bucket int")
     with pytest.raises(ValueError):
-        tgt.upsert(df, str(tmp_path / "t"), 1)
+        tgt.upsert(df, str(tmp_path / "t"))
 
 
 def test_stage_counts_derive_from_the_audit():
@@ -165,94 +249,8 @@ def test_stage_counts_derive_from_the_audit():
     assert (c.after_null_filter, c.after_dedup, c.ready, c.mapped) == (8, 5, 5, 5)
 
 
-def test_second_load_is_refused_while_one_runs(spark, zone):
-    import threading
-
-    root, write = zone
-    p = write("a.csv", "id,v\n1,a\n")
-    cfg = LoadConfig(target=f"{root}/t", ts=TS)
-    with tgt.load_lock(spark, cfg.target):
-        with pytest.raises(tgt.LoadInProgressError):
-            run_load(spark, p, cfg, key="raw/a.csv")
-    assert tgt.batch_ids(spark, cfg.target) == []
-    # Waiting instead of refusing: the holder lets go after a moment.
-    held = threading.Event()
-
-    def hold():
-        with tgt.load_lock(spark, cfg.target):
-            held.set()
-            threading.Event().wait(1.5)
-
-    t = threading.Thread(target=hold)
-    t.start()
-    held.wait()
-    r = run_load(spark, p, cfg.with_(lock_wait_seconds=30), key="raw/a.csv")
-    t.join()
-    assert r.counts.written == 1 and not files.exists(spark, f"{cfg.target}/_lock")
-
-
-def test_stale_lock_is_taken_over(spark, tmp_path):
-    t = str(tmp_path / "t")
-    assert files.try_lock(spark, f"{t}/_lock", "dead holder", 3600)
-    with pytest.raises(tgt.LoadInProgressError):
-        with tgt.load_lock(spark, t):
-            pass
-    with tgt.load_lock(spark, t, stale_after_s=0):
-        pass
-    assert not files.exists(spark, f"{t}/_lock")
-
-
 def test_bucket_count_follows_table_size():
     assert tgt.choose_buckets(0) == 1
     assert tgt.choose_buckets(tgt.BUCKET_TARGET_BYTES) == 1
     assert tgt.choose_buckets(10 * tgt.BUCKET_TARGET_BYTES) == 16
     assert tgt.choose_buckets(100 * 2 ** 40) == tgt.MAX_BUCKETS
-
-
-def test_drop_is_refused_during_a_load(spark, tmp_path):
-    t = str(tmp_path / "t")
-    tgt.ensure_target(spark, t)
-    with tgt.load_lock(spark, t):
-        with pytest.raises(tgt.LoadInProgressError):
-            tgt.drop_target(spark, t)
-    assert tgt.drop_target(spark, t) is True and not files.exists(spark, t)
-
-
-def test_compaction_waits_its_turn(spark, tmp_path):
-    t = str(tmp_path / "t")
-    tgt.upsert(spark.createDataFrame([("1", "a")], "id string, v string"), t, 1)
-    with tgt.load_lock(spark, t):
-        with pytest.raises(tgt.LoadInProgressError):
-            tgt.compact(spark, t)
-    assert tgt.compact(spark, t) == 1
-
-
-def test_vacuum_keeps_the_current_state(spark, tmp_path):
-    t = str(tmp_path / "t")
-    base = spark.range(100).select(F.col("id").cast("string").alias("id"), F.lit("a").alias("v"))
-    tgt.upsert(base, t, 1)
-    tgt.compact(spark, t, buckets=8)
-    tgt.upsert(spark.createDataFrame([("7", "b")], "id string, v string"), t, 2)
-    tgt.compact(spark, t)
-    before = rows(tgt.current(spark, t), "id", "v")
-    removed = tgt.vacuum(spark, t)
-    assert removed == {"bucket_folders": 1, "manifests": 1, "batches": 2}
-    assert rows(tgt.current(spark, t), "id", "v") == before
-    assert tgt.batch_ids(spark, t) == []
-    # Loading goes on after a vacuum, numbering included.
-    tgt.upsert(spark.createDataFrame([("8", "c")], "id string, v string"), t, 3)
-    assert dict(rows(tgt.current(spark, t), "id", "v"))["8"] == "c"
-    assert tgt.compact(spark, t) == 3
-    assert rows(tgt.current(spark, t), "id", "v") == sorted(
-        [r for r in before if r[0] != "8"] + [("8", "c")])
-
-
-def test_vacuum_then_load_numbers_on(spark, zone):
-    root, write = zone
-    cfg = LoadConfig(target=f"{root}/t", ts=TS)
-    run_load(spark, write("a.csv", "id,v\n1,a\n"), cfg, key="raw/a.csv")
-    tgt.compact(spark, cfg.target)
-    tgt.vacuum(spark, cfg.target)
-    r = run_load(spark, write("b.csv", "id,v\n2,b\n"), cfg, key="raw/b.csv")
-    assert r.batch_id == 2
-    assert rows(tgt.current(spark, cfg.target), "id", "v") == [("1", "a"), ("2", "b")]
