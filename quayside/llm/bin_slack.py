@@ -16,41 +16,58 @@ spread over as many parts as it needs.
 
 from __future__ import annotations
 
+import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.bpe import SLICE, Encoder, Vocabulary, read_vocabulary
+from quayside.llm.bpe import SLICE, WORDS, Vocabulary, read_vocabulary
 from quayside.llm.frames import in_slices, written
 
-_WORKER: dict[int, Encoder] = {}
+_WORKER: dict[int, Callable[[str], bytes]] = {}
 
 
-def _encoder(text: str) -> Encoder:
-    """The tokenizers library behind the kept words; one per worker."""
+def _encoder(text: str) -> Callable[[str], bytes]:
+    """One encoder per Python worker, over all its tasks."""
     key = hash(text)
     if key not in _WORKER:
-        _WORKER[key] = LibraryEncoder(text)
+        _WORKER[key] = library_encoder(text)
     return _WORKER[key]
 
 
-class LibraryEncoder(Encoder):
-    """``Encoder`` whose unknown parts go to the library's own encoder."""
+def library_encoder(text: str) -> Callable[[str], bytes]:
+    """Texts to ids as the tokenizers library gives them for this vocabulary.
 
-    def __init__(self, text: str):
+    Where a token's id tells its merge's rank, tiktoken's merge loop gives the
+    same ids several times faster; else the library itself encodes."""
+    vocabulary = Vocabulary(text)
+    made = [w for _, _, w in vocabulary.merges]
+    if made != sorted(made) or min(made, default=0) <= max(vocabulary.bytes.values()):
         from tokenizers import Tokenizer
 
-        super().__init__(Vocabulary(text), None)
-        self.library = Tokenizer.from_str(text)
-        self.library.no_truncation()
-        self.library.no_padding()
+        library = Tokenizer.from_str(text)
+        library.no_truncation()
+        library.no_padding()
+        return lambda x: array("I", library.encode(x, add_special_tokens=False).ids).tobytes()
+    import tiktoken
 
-    def part(self, text: str) -> bytes:
-        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+    ranks = {label: i for i, label in vocabulary.labels.items()
+             if i not in vocabulary.added.values()}
+    loop = tiktoken.Encoding("packing", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+    added = vocabulary.added
+    parts = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
+
+    def encode(x: str) -> bytes:
+        out = array("I")
+        for k, part in enumerate(parts.split(x) if parts else [x]):
+            out.extend([added[part]] if k % 2 else loop.encode_ordinary(part))
+        return out.tobytes()
+
+    return encode
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -69,11 +86,11 @@ def token_pieces(docs: DataFrame, vocabulary: str, *, capacity: int = 2048, end_
     end = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(shared.value)
+        encode = _encoder(shared.value)
         for rows in in_slices(SLICE)(batches):
             out = []
             for doc_id, text in zip(rows["doc_id"], rows["text"]):
-                ids = encoder.encode(text) + end
+                ids = encode(text) + end
                 for k, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
                     out.append((doc_id, k, start, n, ids[4 * start:4 * (start + n)]))
             yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids"])
