@@ -38,11 +38,11 @@ def rows_of(df):
              bytes(r["kept"])) for r in df.collect()}
 
 
-@pytest.mark.parametrize("length,options", [
-    (50, {}), (30, {"bucket_rows": 20}), (50, {"filter_bytes": 1000})])
-def test_equals_brute_force(spark, length, options):
-    rows = cases.prose(length, 150)
-    docs = cases.documents(spark, rows).repartition(6)
+@pytest.mark.parametrize("length,n,options", [
+    (50, 150, {}), (30, 150, {"bucket_rows": 20}), (50, 25, {"filter_bytes": 200})])
+def test_equals_brute_force(spark, length, n, options):
+    rows = cases.prose(length, n)
+    docs = cases.documents(spark, rows).repartition(3)
     got = sd.remove_repeats(docs, length=length, **options)
     assert got.count() == len(rows)
     assert rows_of(got) == brute(rows, length)
