@@ -194,12 +194,28 @@ def _columns(texts: DataFrame, levels, n: int, percent: int) -> DataFrame:
 _ORDER = ["key", "doc", "pivot", "more", "place", "n", "h1", "h2"]
 
 
-def _multiply(pairs: DataFrame, texts: DataFrame, n: int, percent: int,
+def _may_be_in(ids: DataFrame, count: int, most: int):
+    """A test of a ``doc`` column against ``ids`` (``doc``, written) by a Bloom
+    filter of at most ``most`` bytes: rows that are surely not in a join stay
+    out of its shuffle."""
+    bloom = ids.sparkSession.sparkContext.broadcast(
+        key_filter(ids.select(F.xxhash64("doc").alias("key")), count, most=most))
+
+    @F.pandas_udf("boolean")
+    def maybe(key: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(bloom.value, key.to_numpy()))
+
+    return maybe(F.xxhash64("doc"))
+
+
+def _multiply(pairs: DataFrame, texts: DataFrame, n: int, percent: int, filter_bytes: int,
               block_grams: int = 2_000_000) -> DataFrame:
     """``a, b`` of the ``pairs`` (``a, na, b, nb``, written) that are linked. A
     block takes pairs by ``b``, so a document that is ``a`` in many pairs is sent
     to each block once."""
-    grams = pairs.agg(F.sum("nb")).first()[0] or 0
+    grams, count = pairs.agg(F.coalesce(F.sum("nb"), F.lit(0)), F.count("*")).first()
+    docs = pairs.select(F.col("a").alias("doc")).union(pairs.select("b"))
+    texts = texts.where(_may_be_in(docs, 2 * count, filter_bytes))
     blocks = max(1, -(-2 * grams // block_grams))
     pairs = pairs.withColumn("block", F.pmod(F.xxhash64("b"), F.lit(blocks)))
     wanted = (pairs.select(F.col("block").alias("of"), F.col("a").alias("doc"))
@@ -217,7 +233,8 @@ def _multiply(pairs: DataFrame, texts: DataFrame, n: int, percent: int,
 
 
 def components(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_id",
-               text_col: str = "text", sketch_bits: int = 22) -> DataFrame:
+               text_col: str = "text", sketch_bits: int = 22,
+               filter_bytes: int = 64 << 20) -> DataFrame:
     """Link documents whose sets of ``n``-word n-grams have a Jaccard similarity
     of at least ``percent`` hundredths.
 
@@ -260,10 +277,13 @@ def components(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str =
     stars = written(stars, "jaccard-stars")
 
     near = shared.select("doc").union(shared.select(F.col("pivot"))).distinct()
-    near = near.join(class_of, "doc").select(F.col("rep").alias("doc")).distinct()
-    kept = written(texts.join(near, "doc").groupBy("doc").agg(F.min("text").alias("text")),
+    near = written(near.join(class_of, "doc").select(F.col("rep").alias("doc")).distinct(),
+                   "jaccard-near")
+    some = texts.where(F.col("doc").isNotNull()).where(
+        _may_be_in(near, near.count(), filter_bytes))
+    kept = written(some.join(near, "doc").groupBy("doc").agg(F.min("text").alias("text")),
                    "jaccard-texts")
-    links = written(_multiply(stars, kept, n, percent), "jaccard-links")
+    links = written(_multiply(stars, kept, n, percent, filter_bytes), "jaccard-links")
     found = connected(links, "jaccard-components")
 
     # Columns whose documents the stars have not joined into one component. In the
@@ -294,7 +314,7 @@ def components(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str =
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     crossing = written(crossing.join(tried, ["a", "b"], "left_anti"), "jaccard-crossing")
     if not crossing.isEmpty():
-        more = _multiply(crossing, kept, n, percent)
+        more = _multiply(crossing, kept, n, percent, filter_bytes)
         links = written(links.union(more), "jaccard-links")
         found = connected(links, "jaccard-components")
     return (classed.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
@@ -307,22 +327,17 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` with one row of each component, that of the smallest id; rows
     without an id all stay. Only rows whose id may be one to drop (a Bloom filter
     of at most ``filter_bytes`` tells) are shuffled to the exact check."""
-    spark = docs.sparkSession
-    found = components(docs, id_col=id_col, text_col=text_col, **how)
-    kind = (found.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_doc"))
+    found = components(docs, id_col=id_col, text_col=text_col, filter_bytes=filter_bytes, **how)
+    kind = (found.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("doc"))
             .agg(F.min("component_id").alias("_least"), F.count("*").alias("_rows"))
-            .where((F.col("_least") != F.col("_doc")) | (F.col("_rows") > 1)))
+            .where((F.col("_least") != F.col("doc")) | (F.col("_rows") > 1)))
     kind = written(kind, "jaccard-later")
-    bloom = spark.sparkContext.broadcast(key_filter(
-        kind.select(F.xxhash64("_doc").alias("key")), kind.count(), most=filter_bytes))
-
-    @F.pandas_udf("boolean")
-    def maybe(key: pd.Series) -> pd.Series:
-        return pd.Series(may_hold(bloom.value, key.to_numpy()))
-
+    maybe = _may_be_in(kind, kind.count(), filter_bytes)
+    kind = kind.withColumnRenamed("doc", "_doc")
     doc = F.col(id_col).cast("long")
-    flagged = docs.withColumns({"_doc": doc, "_maybe": doc.isNotNull() & maybe(F.xxhash64(doc))})
+    own = docs.columns
+    flagged = docs.select(F.struct(*own).alias("_row"), doc.alias("doc")).select(
+        "_row", F.col("doc").alias("_doc"), (F.col("doc").isNotNull() & maybe).alias("_maybe"))
     checked = (flagged.where("_maybe").join(kind, "_doc", "left")
                .where(F.coalesce("_least", "_doc") == F.col("_doc")).dropDuplicates(["_doc"]))
-    return checked.select(*docs.columns).union(
-        flagged.where(~F.col("_maybe")).select(*docs.columns))
+    return checked.select("_row.*").union(flagged.where(~F.col("_maybe")).select("_row.*"))
