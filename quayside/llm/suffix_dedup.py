@@ -37,6 +37,7 @@ from quayside.llm.frames import in_slices, written
 
 GRAM = 20
 SLICE = 256
+SETTLED = 2048  # rows whose copies are settled together
 CHUNK = 1 << 20  # bytes looked at together; longer texts are taken in parts
 BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, hence invertible modulo 2 ** 64
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -152,7 +153,7 @@ def _around(texts: DataFrame, bloom, length: int, turn: int, turns: int) -> Data
     that a smaller id of the batch has in the same way, ``bytes`` is null and
     ``size`` tells its extent."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in in_slices(SETTLED)(batches):
             out = []
             for ids, begins, data, ends in _chunks(batch, length):
                 key, first, last, text = samples(data, ends, length)
