@@ -13,6 +13,11 @@ Method. Blockwise suffix sorting to depth ``length`` with a cover sample:
   ``bucket_rows`` samples. Suffixes are compared by the 128-bit names of their
   first ``length`` bytes, computed once from prefix sums, so long ties cost no
   more than short ones. Equal neighbours of a larger id are removed.
+* A hot sample (more than ``bucket_rows`` occurrences: a short line that many
+  documents hold between texts of their own, a long run of one byte) would fill a
+  bucket alone. Its strings go one by one to the bucket of their 128-bit name.
+  Before, equal strings of a document that overlap become one row, and of equal
+  strings met together only the smallest id's goes on; the others are settled.
 
 At scale. Texts are not shuffled to find matches: only sample counts (one number
 each, combined per batch) and the text around repeated samples are. The repeated
@@ -38,7 +43,7 @@ from quayside.llm.frames import in_slices, written
 GRAM = 20
 SLICE = 256
 SETTLED = 2048  # rows whose copies are settled together
-CHUNK = 1 << 20  # bytes looked at together; longer texts are taken in parts
+CHUNK = 1 << 18  # bytes looked at together; longer texts are taken in parts
 BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, hence invertible modulo 2 ** 64
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -148,13 +153,68 @@ def _repeated_samples(texts: DataFrame, length: int) -> DataFrame:
             .agg(F.sum("n").alias("n")).where(F.col("n") > 1))
 
 
-def _around(texts: DataFrame, bloom, length: int, turn: int, turns: int) -> DataFrame:
-    """The bytes around each repeated sample: ``key, doc, start, bytes``; for one
-    that a smaller id of the batch has in the same way, ``bytes`` is null and
-    ``size`` tells its extent."""
+def _single(data: np.ndarray, first: np.ndarray, last: np.ndarray, doc: np.ndarray,
+            shift: np.ndarray, length: int) -> np.ndarray:
+    """The strings that start at ``first`` to ``last`` of each run, as columns
+    ``one, two, doc, start, end``. Equal strings of a document that touch are one
+    row: they stay or go together. ``shift`` turns a place into one of the text."""
+    count = last - first + 1
+    run = np.repeat(np.arange(len(first)), count)
+    at = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count) + first[run]
+    one, two = (names(data, length, b)[at].view(np.int64) for b in BASE)
+    doc, start = doc[run], at + shift[run]
+    order = np.lexsort((start, doc, two, one))
+    one, two, doc, start = one[order], two[order], doc[order], start[order]
+    new = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]) | (doc[1:] != doc[:-1])
+                | (start[1:] - start[:-1] > length)]
+    a = np.flatnonzero(new)
+    b = np.r_[a[1:], len(new)] - 1
+    return np.stack([one[a], two[a], doc[a], start[a], start[b] + length])
+
+
+def _later(one: np.ndarray, two: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether a string (by its names) has a smaller id among the others."""
+    order = np.lexsort((doc, two, one))
+    a, b = one[order], two[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][:len(order)]
+    out = np.zeros(len(order), dtype=bool)
+    if len(order):
+        out[order] = doc[order] > doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    return out
+
+
+def _settle(found: list[np.ndarray]) -> pd.DataFrame:
+    """Rows of single strings, for each name those of the smallest id; the spans
+    of the others, joined, are settled."""
+    one, two, doc, start, end = np.concatenate(found, axis=1)
+    later = _later(one, two, doc)
+    keep = ~later
+    rows = [pd.DataFrame({"key": one[keep], "two": two[keep], "doc": doc[keep],
+                          "start": start[keep], "size": start[keep] - end[keep]})]
+    if later.any():
+        doc, start, end = doc[later], start[later], end[later]
+        order = np.lexsort((start, doc))
+        doc, start, end = doc[order], start[order], end[order]
+        base = np.cumsum(np.r_[True, doc[1:] != doc[:-1]]) << 44  # over any text's size
+        reach = np.maximum.accumulate(base + end)
+        a = np.flatnonzero(np.r_[True, (base + start)[1:] > reach[:-1]])
+        b = np.r_[a[1:], len(doc)] - 1
+        rows.append(pd.DataFrame({"key": 0, "two": 0, "doc": doc[a], "start": start[a],
+                                  "size": (reach - base)[b] - start[a]}))
+    return pd.concat(rows, ignore_index=True).assign(bytes=None)[COLUMNS]
+
+
+COLUMNS = ["key", "two", "doc", "start", "bytes", "size"]
+
+
+def _around(texts: DataFrame, bloom, hot, length: int, turn: int, turns: int) -> DataFrame:
+    """Three kinds of rows, ``key, two, doc, start, bytes, size``. The bytes around
+    each repeated sample; for one that a smaller id of the batch has in the same
+    way, ``bytes`` is null and ``size`` tells its extent. For a hot sample, single
+    strings: ``key, two`` are the string's names and ``size`` is negative."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in in_slices(SETTLED)(batches):
-            out = []
+            out, single, held = [], [], 0
             for ids, begins, data, ends in _chunks(batch, length):
                 key, first, last, text = samples(data, ends, length)
                 keep = may_hold(bloom.value, key.view(np.int64))
@@ -162,19 +222,33 @@ def _around(texts: DataFrame, bloom, length: int, turn: int, turns: int) -> Data
                     keep &= key % np.uint64(turns) == np.uint64(turn)
                 key, first, last, text = key[keep], first[keep], last[keep], text[keep]
                 starts = np.r_[0, ends[:-1]]
+                if hot is not None:
+                    split = may_hold(hot.value, key.view(np.int64))
+                    if split.any():
+                        t = text[split]
+                        single.append(_single(data, first[split], last[split], ids[t],
+                                              begins[t] - starts[t], length))
+                        held += single[-1].shape[1]
+                        if held > CHUNK:
+                            yield _settle(single)
+                            single, held = [], 0
+                        key, first, last, text = (x[~split] for x in (key, first, last, text))
                 raw = data.tobytes()
                 out.append(pd.DataFrame({
-                    "key": key.view(np.int64), "doc": ids[text],
+                    "key": key.view(np.int64), "two": 0, "doc": ids[text],
                     "start": first - starts[text] + begins[text],
                     "bytes": [raw[a:b + length] for a, b in zip(first, last)],
                     "size": last - first + length}))
+            if single:
+                yield _settle(single)
             if out:
                 rows = pd.concat(out, ignore_index=True)
                 least = rows.groupby("bytes")["doc"].transform("min")
                 rows["bytes"] = rows["bytes"].mask(rows["doc"] > least, None)
                 yield rows
 
-    return texts.mapInPandas(run, "key long, doc long, start long, bytes binary, size long")
+    return texts.mapInPandas(
+        run, "key long, two long, doc long, start long, bytes binary, size long")
 
 
 def repeated_in_bucket(docs, starts, texts, length: int) -> pd.DataFrame:
@@ -211,27 +285,37 @@ def find_repeats(texts: DataFrame, *, length: int, filter_bytes: int,
     overlapping; ``texts`` has ``doc, text binary, h`` (a digest of the text)."""
     spark = texts.sparkSession
     shared = written(_repeated_samples(texts, length), "repeat-samples")
-    count, rows = shared.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    count, rows, many = shared.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)),
+                                   F.count_if(F.col("n") > bucket_rows)).first()
     turns = max(1, -(-count * 2 // filter_bytes))
     buckets = max(1, -(-rows // (turns * bucket_rows)))
 
+    # What a filter takes for hot too is whole all the same: a key is hot everywhere or nowhere.
+    hot = spark.sparkContext.broadcast(key_filter(
+        shared.where(F.col("n") > bucket_rows), many, most=filter_bytes)) if many else None
+
     def sort(rows: pd.DataFrame) -> pd.DataFrame:
-        settled = rows["bytes"].isna()
-        found = repeated_in_bucket(*(rows.loc[~settled, c] for c in ("doc", "start", "bytes")),
+        around, single = rows["bytes"].notna(), rows["size"] < 0
+        found = repeated_in_bucket(*(rows.loc[around, c] for c in ("doc", "start", "bytes")),
                                    length)
-        done = rows.loc[settled, ["doc", "start"]].assign(
-            end=rows.loc[settled, "start"] + rows.loc[settled, "size"])
-        return pd.concat([found, done])
+        done = rows[~around & ~single]
+        apart = rows[single]
+        done = pd.concat([done, apart[_later(*(apart[c].to_numpy()
+                                               for c in ("key", "two", "doc")))]])
+        return pd.concat([found, done[["doc", "start"]].assign(
+            end=done["start"] + done["size"].abs())])
 
     found = []
     for turn in range(turns):
         mine = shared.where(F.pmod(_unsigned_mod("key", turns), F.lit(turns)) == turn)
         bloom = spark.sparkContext.broadcast(key_filter(mine, count // turns, most=filter_bytes))
-        # Settled rows go anywhere; the others to their sample's bucket.
-        place = F.when(F.col("bytes").isNull(), F.xxhash64("doc", "start")).otherwise(
-            F.xxhash64("key"))
-        found.append(_around(texts, bloom, length, turn, turns)
-                     .select("doc", "start", "bytes", "size",
+        # Settled rows go anywhere; the others to their sample's or string's bucket.
+        single = F.col("size") < 0
+        place = F.when(single, F.xxhash64("key", "two")).when(
+            F.col("bytes").isNull(), F.xxhash64("doc", "start")).otherwise(F.xxhash64("key"))
+        found.append(_around(texts, bloom, hot, length, turn, turns)
+                     .select(F.when(single, F.col("key")).otherwise(F.lit(0)).alias("key"), "two",
+                             "doc", "start", "bytes", "size",
                              F.pmod(place, F.lit(buckets)).alias("bucket"))
                      .groupBy("bucket").applyInPandas(sort, "doc long, start long, end long"))
     out = found[0]

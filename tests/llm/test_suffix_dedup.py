@@ -1,4 +1,7 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from quayside.llm import suffix_dedup as sd
 from tests.llm import cases
@@ -92,5 +95,42 @@ def test_text_stays_readable(spark):
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: "a" + text, 2: "bbc", 3: ""}
 
 
+def most_in_a_bucket(spark, monkeypatch, rows, **options):
+    """Strings in the fullest bucket that is sorted, and the result."""
+    docs, seen = cases.documents(spark, rows).repartition(3), []
+    kind = type(docs)
+    group = kind.groupBy
+
+    def spy(self, *cols):
+        if len(cols) == 1 and isinstance(cols[0], str) and cols[0] == "bucket":
+            seen.append(self)
+        return group(self, *cols)
+
+    with monkeypatch.context() as m:
+        m.setattr(kind, "groupBy", spy)
+        got = rows_of(sd.remove_repeats(docs, length=50, **options))
+    size = F.when(F.col("bytes").isNull(), 1).otherwise(F.octet_length("bytes") - 49)
+    return max(df.groupBy("bucket").agg(F.sum(size).alias("n")).agg(F.max("n")).first()[0]
+               for df in seen), got
+
+
+def test_a_short_line_in_every_document_is_spread(spark, monkeypatch):
+    rng = random.Random(4)
+    own = lambda: "".join(rng.choices("abcdefgh ", k=60))
+    rows = [(i, f"{own()}Share this page with all of your friends now{own() if i % 5 else ''}")
+            for i in range(600)]
+    most, got = most_in_a_bucket(spark, monkeypatch, rows, bucket_rows=20)
+    assert got == brute(rows, 50)
+    assert most <= 4 * 20 * 31
+
+
+def test_a_long_run_of_one_byte_is_few_rows(spark, monkeypatch):
+    rows = [(1, "x" + "a" * 30_000), (2, "b" + "a" * 9_000 + "c"), (3, "ab" * 5_000),
+            (4, "cab" * 40 + "ab" * 400 + "a" * 70), (5, "d" * 3_000)]
+    most, got = most_in_a_bucket(spark, monkeypatch, rows, bucket_rows=20)
+    assert got == brute(rows, 50)
+    assert most <= 4 * 20 * 31
+
+
 def test_empty_table(spark):
     assert sd.remove_repeats(cases.empty(spark)).count() == 0
