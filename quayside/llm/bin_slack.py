@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,10 @@ from quayside.llm.bpe import SLICE, WORDS, Vocabulary, read_vocabulary
 from quayside.llm.frames import in_slices, written
 
 _WORKER: dict[int, Callable[[str], bytes]] = {}
+# tiktoken's word split fails on white space of about a million characters.
+GAP = 10_000
+_GAPS = regex.compile(r"\p{White_Space}{%d,}" % GAP)
+_SOME = re.compile(r"\s{9}")  # in every 1000th character, where there is a gap
 
 
 def _encoder(text: str) -> Callable[[str], bytes]:
@@ -43,7 +48,8 @@ def library_encoder(text: str) -> Callable[[str], bytes]:
     """Texts to ids as the tokenizers library gives them for this vocabulary.
 
     Where a token's id tells its merge's rank, tiktoken's merge loop gives the
-    same ids several times faster; else the library itself encodes."""
+    same ids several times faster; else the library itself encodes. White space of
+    ``GAP`` characters or more is split off before tiktoken sees the text."""
     vocabulary = Vocabulary(text)
     made = [w for _, _, w in vocabulary.merges]
     if made != sorted(made) or min(made, default=0) <= max(vocabulary.bytes.values()):
@@ -61,10 +67,22 @@ def library_encoder(text: str) -> Callable[[str], bytes]:
     added = vocabulary.added
     parts = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
 
+    def plain(x: str) -> list[int]:
+        if len(x) < GAP or not _SOME.search(x[::GAP // 10]):
+            return loop.encode_ordinary(x)
+        out, at = [], 0
+        for gap in _GAPS.finditer(x):
+            # One word, but for its last character if a visible one follows.
+            end = gap.end() - (gap.end() < len(x))
+            out += loop.encode_ordinary(x[at:gap.start()])
+            out += loop._encode_single_piece(x[gap.start():end])
+            at = end
+        return out + loop.encode_ordinary(x[at:])
+
     def encode(x: str) -> bytes:
         out = array("I")
         for k, part in enumerate(parts.split(x) if parts else [x]):
-            out.extend([added[part]] if k % 2 else loop.encode_ordinary(part))
+            out.extend([added[part]] if k % 2 else plain(part))
         return out.tobytes()
 
     return encode

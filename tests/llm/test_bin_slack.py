@@ -84,6 +84,17 @@ def test_ranks_over_many_salts(spark):
     _check(rows, 16)
 
 
+def test_long_white_space_encodes_as_the_library_does():
+    with open(PATH, encoding="utf-8") as f:
+        text = f.read()
+    library, encode = Tokenizer.from_str(text), bin_slack.library_encoder(text)
+    for x in ("a" + " " * 2_000_000 + "b", "a b" + "\n" * 2_000_000, " \n\t" * 5_000 + "b's c",
+              "x" * 500 + " " * 9_999 + "y <|endoftext|>" + " " * 10_000 + "<|endoftext|>z"
+              + "\u3000" * 10_001 + "\x1c" + "\n" * 9_000):
+        ids = library.encode(x, add_special_tokens=False).ids
+        assert encode(x) == array("I", ids).tobytes()
+
+
 def test_empty_table_and_bad_lengths(spark):
     assert bin_slack.pack_documents(cases.empty(spark), PATH).count() == 0
     with pytest.raises(ValueError):
