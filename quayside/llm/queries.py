@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quayside.llm import (bin_slack, bpe, compress_quality, jaccard_join, license_scan,
-                          multi_index, page_text, quality_rules, suffix_dedup, url_filter)
+from quayside.llm import (bin_slack, bpe, compress_quality, exact_dedup, jaccard_join,
+                          license_scan, multi_index, page_text, quality_rules, suffix_dedup,
+                          text_tries, url_filter, whitening)
 from quayside.llm.frames import table
 
 #: The public vocabulary's file; its path is a parameter of the operators.
@@ -89,6 +90,22 @@ def op10_license_scans(spark, sf_dir):
                                           "base_labels", "labels", "score")
 
 
+def op11_filter_audit(spark, sf_dir):
+    counts = text_tries.masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return text_tries.audit(counts)
+
+
+def op12_embedding_whitening(spark, sf_dir):
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op13_exact_dedup(spark, sf_dir):
+    found = exact_dedup.deduplicate(exact_dedup.halves(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "keep_id", "group_size", "kept",
+                        F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -98,7 +115,8 @@ def pipeline(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_url_filters, op3_nearest_neighbours, op4_best_fit_packing,
     op5_html_extraction, op6_ngram_jaccard_join, op7_suffix_dedup, op8_bpe_automaton,
-    op9_quality_rules, op10_license_scans, pipeline)}
+    op9_quality_rules, op10_license_scans, op11_filter_audit, op12_embedding_whitening,
+    op13_exact_dedup, pipeline)}
 
 _URL_ORACLE = """
 WITH cut AS (
@@ -169,5 +187,57 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT
 FROM bytes LEFT JOIN kept USING (doc_id)
 """
 
+_AUDIT_ORACLE = """
+WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+words AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM texts),
+marks AS (SELECT doc_id, max(coalesce(quality, 0) = 1) AS good, max(coalesce(toxic, 0) = 1) AS bad
+          FROM labels GROUP BY doc_id),
+facts AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad,
+         [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+          100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t),
+          regexp_matches(t, '[#$%&*|]'),
+          coalesce(min(w_.doc_id) OVER (PARTITION BY t) < w_.doc_id, false)] AS fails
+  FROM words w_ LEFT JOIN marks m ON w_.doc_id = m.doc_id),
+counts AS (SELECT part, good, bad, fails, count(*) AS n FROM facts GROUP BY ALL),
+f(i) AS (VALUES (1), (2), (3), (4), (5)),
+orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+steps AS (
+  SELECT array_to_string(list_transform(o, lambda i: 'ABCDE'[i]), '') AS filter_order,
+         o[s] AS f, s AS step, o[1:s - 1] AS before FROM orders, range(1, 6) r(s)),
+marked AS (
+  SELECT part, filter_order, step, f, n, good, bad, fails[f] AS failing,
+         len(list_filter(before, lambda i: fails[i])) > 0 AS gone,
+         len(list_filter(fails, lambda x: x)) = 1 AS single
+  FROM counts, steps),
+summed AS (
+  SELECT part, filter_order, step, f,
+         sum(CASE WHEN NOT failing AND NOT gone THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN failing AND NOT gone THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN failing AND gone THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN failing AND single THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN failing AND NOT gone AND good THEN n ELSE 0 END) AS good_lost,
+         sum(CASE WHEN failing AND NOT gone AND bad THEN n ELSE 0 END) AS toxic_lost
+  FROM marked GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM summed
+"""
+
+_EXACT_ORACLE = """
+WITH texts AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t
+  FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id IS NOT DISTINCT FROM min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY t)
+"""
+
 ORACLES = {"op2_url_filters": _URL_ORACLE, "op6_ngram_jaccard_join": _SHINGLE_ORACLE,
-           "op7_suffix_dedup": _REPEAT_ORACLE}
+           "op7_suffix_dedup": _REPEAT_ORACLE, "op11_filter_audit": _AUDIT_ORACLE,
+           "op13_exact_dedup": _EXACT_ORACLE}

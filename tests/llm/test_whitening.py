@@ -1,0 +1,103 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quayside.llm import whitening as wh
+from quayside.llm.frames import table
+
+SF = "/root/testdata/sf0.001"
+
+
+def vectors(spark, rows, kind="float"):
+    return spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").withColumns(
+        {c: F.lit("own") for c in ("x", "y", "n", "weight", "copies", "component", "deviation")})
+
+
+def check(found, rows, components=8, once=False):
+    """Against numpy and Python integers over the (id, entries) rows."""
+    x = [[math.floor(1024 * float(np.float32(c))) + 100_000 for c in v] for _, v in rows]
+    fit = [list(t) for t in sorted({tuple(v) for v in x})] if once else x
+    n, dims = len(fit), len(x[0])
+    sums = [sum(v[d] for v in fit) for d in range(dims)]
+    centred = np.array([[(v[d] * n - sums[d]) / n for d in range(dims)] for v in fit])
+    cov = centred.T @ centred / n
+    values = np.linalg.eigvalsh(cov)[::-1][:components]
+    got = {}
+    for r in found:
+        got.setdefault(r["component"], []).append(r)
+    assert sorted(got) == list(range(1, min(components, dims) + 1))
+    deviation = sorted((i, sum((v[d] * n - sums[d]) ** 2 for d in range(dims)))
+                       for (i, _), v in zip(rows, x))
+    for k, part in got.items():
+        assert sorted((r["vec_id"], int(r["deviation"])) for r in part) == deviation
+        assert {r["n"] for r in part} == {n}
+        assert [r["explained"] for r in part] == pytest.approx(
+            [values[k - 1] / np.trace(cov)] * len(part))
+        assert max(r["identity_error"] for r in part) < 1e-9
+    return x, np.array(sums) / n, cov, values, got
+
+
+def test_matches_numpy(spark):
+    rng = random.Random(1)
+    same = [rng.gauss(0, 1) for _ in range(12)]
+    rows = [(i, [rng.gauss(0, 1 + d) for d in range(12)]) for i in range(200)]
+    rows += [(300 + i, same) for i in range(150)]
+    found = wh.whiten(vectors(spark, rows)).collect()
+    x, mean, cov, values, got = check(found, rows)
+    _, axes = np.linalg.eigh(cov)
+    axes = axes[:, ::-1]
+    place = {i: k for k, (i, _) in enumerate(rows)}
+    for k, part in got.items():
+        want = (np.array(x) - mean) @ axes[:, k - 1] / np.sqrt(values[k - 1])
+        have = np.zeros(len(rows))
+        for r in part:
+            have[place[r["vec_id"]]] = r["whitened"]
+        assert min(np.abs(have - want).max(), np.abs(have + want).max()) < 1e-8
+
+
+def test_odd_rows(spark):
+    good = [(1, [0.5, -0.25, 2.0]), (1, [0.5, -0.25, 2.0]), (2, [1.0, 0.1, -3.0]),
+            (None, [0.0, 0.0, 0.0]), (4, [1e6, 0.3, -1e6]), (5, [-0.0, 7.0, 0.001])]
+    odd = [(6, None), (7, []), (8, [1.0, None, 2.0]), (9, [math.nan, 1.0, 1.0]),
+           (10, [math.inf, 0.0, 0.0]), (11, [1.0, 2.0])]
+    found = wh.whiten(vectors(spark, good + odd)).collect()
+    assert len(found) == 3 * len(good)
+    ids = {r["vec_id"] for r in found}
+    assert ids == {1, 2, None, 4, 5}
+
+
+def test_few_rows(spark):
+    assert wh.whiten(vectors(spark, [])).count() == 0
+    assert wh.whiten(vectors(spark, [(1, None), (2, [])])).count() == 0
+    found = wh.whiten(vectors(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])])).collect()
+    assert {(r["whitened"], r["explained"], r["identity_error"], int(r["deviation"]))
+            for r in found} == {(0.0, 0.0, 0.0, 0)}
+
+
+def test_weight_of_one(spark):
+    rng = random.Random(9)
+    rows = [(i, [float(rng.randint(0, 3)) for _ in range(4)]) for i in range(300)]
+    check(wh.whiten(vectors(spark, rows), 3, weights="one").collect(), rows, 3, once=True)
+    with pytest.raises(ValueError):
+        wh.whiten(vectors(spark, rows), weights="half")
+
+
+def test_large_entries_are_exact(spark):
+    rows = [(i, [float(2 ** 40 + 7 * i), -float(2 ** 38) * i, float(i)]) for i in range(20)]
+    found = wh.whiten(vectors(spark, rows, "double"), 1).collect()
+    x = [[math.floor(1024 * c) + 100_000 for c in v] for _, v in rows]
+    sums = [sum(v[d] for v in x) for d in range(3)]
+    for r in found:
+        v = x[r["vec_id"]]
+        assert int(r["deviation"]) == sum((20 * v[d] - sums[d]) ** 2 for d in range(3))
+    # Beyond a long: the nearest one; no crash.
+    assert wh.whiten(vectors(spark, [(1, [1e300]), (2, [-1e300]), (3, [0.0])], "double")).count() == 3
+
+
+def test_given_table(spark):
+    rows = [(r[0], r[1]) for r in table(spark, SF, "embeddings").select(
+        "vec_id", "embedding").collect()]
+    check(wh.whiten(table(spark, SF, "embeddings")).collect(), rows)
