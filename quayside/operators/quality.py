@@ -138,11 +138,14 @@ def spread(df: DataFrame, min_partitions: int | None = None,
     are hash-partitioned on their position in the scan, which spreads them
     evenly whatever their content (a hot value cannot land in one task) and
     needs no sort, unlike a round-robin repartition. The number of partitions
-    follows the files' bytes. Scans with enough partitions are left alone.
+    follows the files' bytes. Scans with enough partitions, or with one for
+    every core, are left alone.
     """
     from quayside.plans.files import total_size
 
     have = df.rdd.getNumPartitions()
+    if not min_partitions and have >= df.sparkSession.sparkContext.defaultParallelism:
+        return df  # every core has work; files' sizes needn't be asked for
     want = min_partitions or -(-total_size(df.sparkSession, df.inputFiles())
                                // bytes_per_partition)
     if have >= want or not min_partitions and want < 2:

@@ -31,7 +31,7 @@ from quayside.operators.quality import (COPIES, GROUP, RAGGED, dedup_counted, de
 from quayside.plans import files
 from quayside.plans import target as tgt
 from quayside.sources.csv import (ARRIVAL_COLUMN, DEFAULT_ESCAPE, FILE_COLUMN, RAGGED_COLUMN,
-                                  is_empty, list_csv, scan_groups)
+                                  is_empty, list_files, scan_groups)
 
 # Whether a row's own file gives it all that the load requires; consumed by the dedup.
 _VALID = "__qs_valid"
@@ -56,6 +56,8 @@ class LoadConfig:
     escape: str = DEFAULT_ESCAPE
     multi_line: bool = True
     same_header: bool = False
+    split_over: int | None = None    # bytes beyond which a multi-line file is read in splits
+    split_bytes: int | None = None   # and the size of those, by default the session's
     write_partitions: int | None = None
     compact_every: int | None = None
     csv_options: dict = field(default_factory=dict)
@@ -230,6 +232,14 @@ def loadable(df: DataFrame, config: LoadConfig) -> str | None:
     return None
 
 
+def scan(spark: SparkSession, paths: Sequence[str], config: LoadConfig,
+         sizes: dict[str, int] | None = None):
+    """S1 as ``config`` says: one frame per header, with its files."""
+    return scan_groups(spark, paths, config.same_header, sizes, config.split_over,
+                       config.split_bytes, escape=config.escape, multi_line=config.multi_line,
+                       **config.csv_options)
+
+
 def run_load(spark: SparkSession, path: str | Sequence[str], config: LoadConfig,
              key: str | None = None, root: str | None = None) -> LoadResult:
     """Load headered CSV at ``path`` into the keyed target.
@@ -246,25 +256,24 @@ def run_load(spark: SparkSession, path: str | Sequence[str], config: LoadConfig,
     paths = [path] if isinstance(path, str) else list(path)
     if key:
         check_format(key)
-    options = dict(escape=config.escape, multi_line=config.multi_line, **config.csv_options)
-    inputs: list[str] = []
+    inputs: dict[str, int] = {}
     for p in paths:
         if files.is_dir(spark, p):
-            listed = list_csv(spark, literal_path(p), CSV_GLOB)
+            listed = list_files(spark, literal_path(p), CSV_GLOB)
             if not listed:
                 raise UnsupportedFormatError(f"no CSV files in {p}")
-            inputs.extend(listed)
+            inputs |= listed
         elif any(ch in p for ch in "*?[{") and not files.exists(spark, p):
-            listed = list_csv(spark, p)
+            listed = list_files(spark, p)
             if not key:
                 for f in listed:
                     check_format(f)
-            inputs.extend(listed)
+            inputs |= listed
         else:
             if not key:
                 check_format(p)
-            inputs.append(p)
-    groups = scan_groups(spark, inputs, same_header=config.same_header, **options)
+            inputs[p] = files.size_of(spark, p)
+    groups = scan(spark, list(inputs), config, inputs)
     frames = [df for df, _files in groups] or [spark.createDataFrame([], f"{FILE_COLUMN} string")]
     return load_frame(spark, frames, config, key or ",".join(paths), source=key, root=root,
                       source_column=FILE_COLUMN)

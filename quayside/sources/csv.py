@@ -3,14 +3,18 @@ inventory (S7)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quayside.functions.paths import (ACCEPTED_EXTENSION, CSV_GLOB, extension, literal_path,
-                                      relative_key)
+                                      plain_path, relative_key)
+from quayside.plans.files import size_of
+from quayside.sources.lines import first_records
+from quayside.sources.split_scan import SPLIT_BYTES, can_split, split_scan
 
 # The raw files' dialect.
 SEPARATOR = ","
@@ -33,8 +37,8 @@ def csv_reader(spark: SparkSession, *, sep: str = SEPARATOR, quote: str = QUOTE,
 
     No ``inferSchema``: names come from the header, types are all string.
     ``multi_line`` keeps quoted line breaks inside one field; its price is
-    that a file is read by one task, so large single-line files should be
-    loaded with ``multi_line=False`` to be split.
+    that this reader gives a file to one task. Loads read large files in
+    splits instead (:mod:`quayside.sources.split_scan`).
     """
     reader = (spark.read.format("csv")
               .option("header", True)
@@ -67,73 +71,120 @@ def with_ragged(schema):
     return type(schema)(list(schema.fields)).add(RAGGED_COLUMN, "string")
 
 
-HEADER_PEEK_THREADS = 32
+HEADER_CACHE = 1024
+_headers: dict[tuple, StructType] = {}
 
 
-def _header(spark: SparkSession, path: str, options: dict):
-    """A file's header as a schema. Where the name holds pattern characters, the
-    header is taken as one line: Spark's look at a header of several lines takes
-    the name for a pattern even when it is escaped."""
-    plain = literal_path(path) == path
-    return csv_reader(spark, **options if plain else options | {"multi_line": False}).load(
-        literal_path(path)).schema
+def _header(spark: SparkSession, path: str, options: dict) -> StructType:
+    """One file's header as a schema, by Spark's own reader."""
+    return csv_reader(spark, **options).load(literal_path(path)).schema
 
 
-def header_groups(spark: SparkSession, paths: Sequence[str], **options
+def _schema_of(spark: SparkSession, header: str, options: dict) -> StructType:
+    """The schema that Spark's reader gives a file with this first record. Headers seen
+    lately are kept."""
+    seen = (header, tuple(sorted((k, str(v)) for k, v in options.items())))
+    if seen not in _headers:
+        if len(_headers) >= HEADER_CACHE:
+            _headers.clear()
+        text = spark.sparkContext.parallelize([header], 1)
+        plain = {k: v for k, v in options.items() if k not in ("recursive", "glob")}
+        _headers[seen] = csv_reader(spark, **plain).csv(text).schema
+    return _headers[seen]
+
+
+def _named(uris: Iterable[str], paths: Sequence[str]) -> dict[str, str]:
+    """The given path behind each file URI of a scan."""
+    by_name: dict[str, list[str]] = {}
+    for p in paths:
+        by_name.setdefault(plain_path(p), []).append(p)
+    out = {}
+    for uri in uris:
+        same = by_name.get(plain_path(unquote(uri)), [])
+        # Equal paths of two stores differ in scheme or authority.
+        out[uri] = next((p for p in same if len(same) == 1 or p == unquote(uri)), unquote(uri))
+    return out
+
+
+def header_groups(spark: SparkSession, paths: Sequence[str],
+                  sizes: dict[str, int] | None = None, **options
                   ) -> list[tuple[object, list[str]]]:
     """Group files by their header: ``[(schema, paths), ...]``.
 
     A multi-file CSV scan takes the first file's header for all files, by
-    position, so files with different headers must be read apart. Each file's
-    header is read by Spark's own CSV reader, which reads as far as the first
-    record, whatever its length, encoding or line breaks; many files are looked
-    at concurrently. Empty files hold no rows and are left out, as Spark's file
-    scans leave them out. Only paths and headers reach the driver.
+    position, so files with different headers must be read apart. One Spark job
+    finds the first record of every file, whatever their number; Spark's own
+    reader then names the columns of each different header. Files with another
+    encoding or record separator are looked at one by one. Empty files hold no
+    rows and are left out, as Spark's file scans leave them out. Only paths and
+    headers reach the driver. ``sizes`` are the files' bytes, where known.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    def peek(p):
-        return _header(spark, p, options)
-
     paths = list(paths)
-    with ThreadPoolExecutor(max_workers=min(HEADER_PEEK_THREADS, len(paths) or 1)) as pool:
-        schemas = list(pool.map(peek, paths))
+    sep, quote = options.get("sep", SEPARATOR), options.get("quote", QUOTE)
+    alone = len(paths) == 1 and literal_path(paths[0]) == paths[0]
+    if alone or not (len(sep) == len(quote) == 1 and (sep + quote).isascii()):
+        found = [(p, _header(spark, p, options)) for p in paths]
+    else:
+        known = {p: sizes[p] if sizes and p in sizes else size_of(spark, p) for p in paths}
+        doubled = options.get("escape", DEFAULT_ESCAPE) == quote and options.get(
+            "multi_line", True)
+        records = first_records(spark, known, sep, quote, doubled)
+        names = _named(records, paths)
+        found = [(names[uri], _schema_of(spark, record, options))
+                 for uri, record in sorted(records.items())]
     groups: dict[tuple, tuple[object, list[str]]] = {}
-    for p, schema in zip(paths, schemas):
+    for p, schema in found:
         if schema.fields:
             groups.setdefault(tuple(schema.fieldNames()), (schema, []))[1].append(p)
     return list(groups.values())
 
 
 def scan_groups(spark: SparkSession, paths: Sequence[str], same_header: bool = False,
-                **options) -> list[tuple[DataFrame, list[str]]]:
+                sizes: dict[str, int] | None = None, split_over: int | None = None,
+                split_bytes: int | None = None, **options
+                ) -> list[tuple[DataFrame, list[str]]]:
     """S1 over files that may differ in header: one scan per header, each row
     with its file, that file's arrival time and, where its number of fields isn't
     the header's, its text. ``same_header=True`` promises one header and saves
-    looking at each file."""
+    looking at each file. Multi-line files of more than ``split_over`` bytes are read in
+    splits of ``split_bytes``."""
+    split_over = SPLIT_BYTES if split_over is None else split_over
     if same_header:
         head = next((h for h in (_header(spark, p, options) for p in paths) if h.fields),
                     StructType())
         groups = [(head, list(paths))] if head.fields else []
     else:
-        groups = header_groups(spark, paths, **options)
+        groups = header_groups(spark, paths, sizes, **options)
     out = []
     for schema, group in groups:
-        scan = csv_reader(spark, schema=with_ragged(schema), **options).option(
-            "columnNameOfCorruptRecord", RAGGED_COLUMN).load([literal_path(p) for p in group])
-        out.append((scan.select("*", F.col("_metadata.file_path").alias(FILE_COLUMN),
-                                F.col("_metadata.file_modification_time").alias(ARRIVAL_COLUMN)),
-                    group))
+        full = with_ragged(schema)
+        large = [p for p in group if can_split(options) and split_over
+                 < (sizes[p] if sizes and p in sizes else size_of(spark, p))]
+        rest = [p for p in group if p not in set(large)]
+        if large:
+            scan, left = split_scan(spark, large, full, options, RAGGED_COLUMN, FILE_COLUMN,
+                                    ARRIVAL_COLUMN, split_bytes=split_bytes)
+            back = set(_named(left, large).values())
+            rest += [p for p in large if p in back]
+            if scan is not None:
+                out.append((scan, [p for p in large if p not in back]))
+        if rest:
+            scan = csv_reader(spark, schema=full, **options).option(
+                "columnNameOfCorruptRecord", RAGGED_COLUMN).load([literal_path(p) for p in rest])
+            out.append((scan.select(
+                "*", F.col("_metadata.file_path").alias(FILE_COLUMN),
+                F.col("_metadata.file_modification_time").alias(ARRIVAL_COLUMN)), rest))
     return out
 
 
-def list_csv(spark: SparkSession, folder: str, glob: str | None = None) -> list[str]:
-    """Plain paths of the files in ``folder`` or of a glob pattern; contents are
-    not read."""
+def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> dict[str, int]:
+    """Plain paths and bytes of the files in ``folder`` or of a glob pattern; contents
+    are not read."""
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return sorted(r["path"] for r in reader.load(folder).select("path").collect())
+    listed = reader.load(folder).select("path", "length").collect()
+    return {r["path"]: r["length"] for r in sorted(listed)}
 
 
 def is_empty(df: DataFrame) -> bool:
@@ -195,5 +246,5 @@ def inventory(spark: SparkSession, raw_dir: str, root: str | None = None) -> Dat
     )
 
 
-__all__ = ["csv_reader", "read_csv", "scan_groups", "header_groups", "list_csv", "is_empty",
+__all__ = ["csv_reader", "read_csv", "scan_groups", "header_groups", "list_files", "is_empty",
            "to_text", "land_csv", "inventory", "CSV_GLOB"]

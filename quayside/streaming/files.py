@@ -23,9 +23,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.functions.paths import CSV_GLOB
-from quayside.plans.load import LoadConfig, LoadResult, load_frame, loadable, refuse
+from quayside.plans.load import LoadConfig, LoadResult, load_frame, loadable, refuse, scan
 from quayside.plans.target import already_loaded
-from quayside.sources.csv import FILE_COLUMN, scan_groups
+from quayside.sources.csv import FILE_COLUMN
 
 # Fixed value: the binary-file source's schema.
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -48,7 +48,8 @@ def stream_new_files(spark: SparkSession, raw_dir: str, glob: str = CSV_GLOB,
 
 
 def load_files(spark: SparkSession, paths: list[str], config: LoadConfig,
-               root: str | None, label: str, missing: list[str] = ()) -> LoadResult | None:
+               root: str | None, label: str, missing: list[str] = (),
+               sizes: dict[str, int] | None = None) -> LoadResult | None:
     """One load over a set of files that may differ in header; notified files
     that were gone (``missing``) and headers that can't be loaded leave a
     ``FAILED`` record each and don't stop the others."""
@@ -56,9 +57,8 @@ def load_files(spark: SparkSession, paths: list[str], config: LoadConfig,
         refuse(spark, config, p, "notified file is missing")
     if not paths:
         return None
-    options = dict(escape=config.escape, multi_line=config.multi_line, **config.csv_options)
     frames = []
-    for df, group in scan_groups(spark, sorted(paths), same_header=config.same_header, **options):
+    for df, group in scan(spark, sorted(paths), config, sizes):
         why = loadable(df, config)
         if why is None:
             frames.append(df)
@@ -88,9 +88,9 @@ def start_stream(spark: SparkSession, raw_dir: str, config: LoadConfig, checkpoi
         label = f"stream {checkpoint} epoch {epoch}"
         if already_loaded(spark, config.target, label):
             return  # an epoch replayed after a restart: its load is done
-        # Only the new files' paths come to the driver.
-        paths = [r["path"] for r in batch.select("path").collect()]
-        res = load_files(spark, paths, config, root, label)
+        # Only the new files' paths and lengths come to the driver.
+        sizes = {r["path"]: r["length"] for r in batch.select("path", "length").collect()}
+        res = load_files(spark, list(sizes), config, root, label, sizes=sizes)
         if res is not None:
             results.append(res)
 

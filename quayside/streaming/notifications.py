@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 from quayside.plans import files
 from quayside.plans.load import LoadConfig, LoadResult
 from quayside.plans.target import already_loaded
-from quayside.sources.csv import HEADER_PEEK_THREADS
 from quayside.sources.notify import LOAD, route_notifications
 from quayside.streaming.files import load_files
 
 
+# Files whose existence is asked for at a time.
+CHECK_THREADS = 32
 # Message files per micro-batch by default (bounds the keys a batch brings
 # to the driver; a backlog drains over several batches).
 DEFAULT_MESSAGE_FILES_PER_TRIGGER = 1_000
@@ -67,7 +68,7 @@ def start_notifications(spark: SparkSession, messages: DataFrame, config: LoadCo
                 continue  # replayed after a restart: this load is done
             paths = [f"{zone}/{k}" for k in sorted(keys)]
             # A file removed since its notification is skipped, not fatal.
-            with ThreadPoolExecutor(HEADER_PEEK_THREADS) as pool:
+            with ThreadPoolExecutor(CHECK_THREADS) as pool:
                 there = list(pool.map(lambda p: files.exists(spark, p), paths))
             res = load_files(spark, [p for p, t in zip(paths, there) if t], config, zone, label,
                              missing=[p for p, t in zip(paths, there) if not t])
