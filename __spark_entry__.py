@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.paths import extension, is_csv
-from quayside.operators.audit import count_load, read_audit
+from quayside.operators.audit import count_load, read_audit, read_file_audit
 from quayside.operators.columns import (ColumnCollisionError, add_metadata, apply_mapping,
                                         ensure_id, schema_profile)
 from quayside.operators.quality import dedup, dedup_rows, redistribute, require_not_null
@@ -356,6 +356,73 @@ def q_stream_arrival_order(spark, sf_dir):
     return tgt.current(spark, cfg.target).drop("source_file", "timestamp")
 
 
+def _by_folder(audit):
+    """Counts per arrived file, added up over each landed folder's part files."""
+    counts = ("read", "null_rejected", "duplicates", "written", "malformed")
+    return audit.where("status <> 'EMPTY'").groupBy(
+        F.split("source_file", "/")[1].alias("folder"), "status").agg(
+        *[F.sum(c).alias(c) for c in counts])
+
+
+def q_stream_file_audit(spark, sf_dir):
+    """Counts per arrived file: files that share keys, within and between them."""
+    zone = scratch_dir(spark, "files")
+    ev = _t(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 10 != 0, F.col("user_id")).alias("id"), "event_id", "value")
+    for k in range(3):  # a later folder's rows win
+        land_csv(ev.where(F.col("event_id") % 3 == k), f"{zone}/raw", f"part{k}")
+    cfg = LoadConfig(target=f"{zone}/target", ts=TS)
+    run_stream(spark, f"{zone}/raw", cfg, f"{zone}/_checkpoint")
+    return _by_folder(read_file_audit(spark, cfg.target))
+
+
+def q_stream_quarantine(spark, sf_dir):
+    """Purchases arrive in files with a row of more fields than Spark's reader takes;
+    the other events' files load all the same."""
+    zone = scratch_dir(spark, "quarantine")
+    ev = _events_text(spark, sf_dir, "event_type")
+    broken = ev.where(F.col("event_type") == "purchase")
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0  # of each file
+    extra = F.when(first, F.repeat(F.lit(","), 25_000)).otherwise("")
+    (broken.select(F.concat("id", F.lit(","), "event_type", extra).alias("id,event_type"))
+     .write.option("header", True).option("sep", "|").csv(f"{zone}/raw/broken"))
+    land_csv(ev.where(F.col("event_type") != "purchase"), f"{zone}/raw", "good")
+    cfg = LoadConfig(target=f"{zone}/target", ts=TS)
+    run_stream(spark, f"{zone}/raw", cfg, f"{zone}/_checkpoint")
+    audit = _by_folder(read_file_audit(spark, cfg.target))
+    return audit.select("folder", "status", "read", "written")
+
+
+def q_overlapping_loads(spark, sf_dir):
+    """P5: two loads of one target at the same time; both count."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    zone = scratch_dir(spark, "overlap")
+    ev = _events_text(spark, sf_dir, "user_id", "event_type")
+    cfg = LoadConfig(target=f"{zone}/target", ts=TS)
+    raw = [land_csv(ev.where(F.col("id").cast("long") % 2 == k), f"{zone}/raw", f"half{k}.csv")
+           for k in range(2)]
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda k: run_load(spark, raw[k], cfg, key=f"raw/half{k}.csv"), range(2)))
+    loads = F.lit(len(tgt.batch_ids(spark, cfg.target))).cast("long")
+    return tgt.current(spark, cfg.target).select("*", loads.alias("loads"))
+
+
+def q_load_time(spark, sf_dir):
+    """T1 by the clock: one time for all rows, between the load's begin and end."""
+    zone = scratch_dir(spark, "time")
+    raw = land_csv(_t(spark, sf_dir, "customer"), f"{zone}/raw", "customer.csv",
+                   double_format=MONEY)
+    begin = spark.sql("SELECT current_timestamp() AS t").first()["t"]
+    cfg = LoadConfig(target=f"{zone}/target")
+    run_load(spark, raw, cfg, key="raw/customer.csv")
+    end = spark.sql("SELECT current_timestamp() AS t").first()["t"]
+    at = F.col("timestamp").cast("timestamp")
+    return tgt.current(spark, cfg.target).agg(
+        F.count("*").alias("rows"), F.count_distinct("timestamp").alias("load_times"),
+        F.count_if(at.between(F.lit(begin), F.lit(end))).alias("within"))
+
+
 def q_empty_load_audit(spark, sf_dir):
     """A file with a header and no row (S3): none of the orders is chosen."""
     zone = scratch_dir(spark, "empty")
@@ -453,6 +520,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replayed_stream": q_replayed_stream,
         "stream_mixed_headers": q_stream_mixed_headers,
         "stream_arrival_order": q_stream_arrival_order,
+        "stream_file_audit": q_stream_file_audit,
+        "stream_quarantine": q_stream_quarantine,
+        "overlapping_loads": q_overlapping_loads,
+        "load_time": q_load_time,
         "empty_load_audit": q_empty_load_audit,
         "failed_load_audit": q_failed_load_audit,
         "bounded_write": q_bounded_write,
@@ -653,6 +724,25 @@ def oracle_sql() -> dict[str, str]:
             f"{_txt('s_nationkey')} FROM supplier"),
         "stream_arrival_order": (
             f"SELECT * EXCLUDE (timestamp, source_file) FROM ({_EVENTS_LOADED})"),
+        "stream_file_audit": (
+            "WITH e AS (SELECT event_id % 3 AS f, CASE WHEN event_id % 10 <> 0 THEN user_id END "
+            "AS id FROM events), "
+            "last AS (SELECT id, max(f) AS f FROM e WHERE id IS NOT NULL GROUP BY id), "
+            "kept AS (SELECT f, count(*) AS n FROM last GROUP BY f) "
+            "SELECT 'part' || e.f AS folder, 'SUCCESS' AS status, count(*) AS read, "
+            "count(*) - count(id) AS null_rejected, count(id) - coalesce(any_value(n), 0) "
+            "AS duplicates, coalesce(any_value(n), 0) AS written, 0 AS malformed "
+            "FROM e LEFT JOIN kept ON e.f = kept.f GROUP BY e.f"),
+        "stream_quarantine": (
+            "SELECT 'good' AS folder, 'SUCCESS' AS status, count(*) AS read, count(*) AS written "
+            "FROM events WHERE event_type <> 'purchase' UNION ALL "
+            "SELECT DISTINCT 'broken', 'FAILED', 0, 0 FROM events WHERE event_type = 'purchase'"),
+        "overlapping_loads": (
+            f"SELECT {_txt('event_id')} AS id, '{TS}' AS timestamp, "
+            "'raw/half' || event_id % 2 || '.csv' AS source_file, "
+            f"{_txt('user_id')} AS user_id, event_type, 2 AS loads FROM events"),
+        "load_time": ("SELECT count(*) AS rows, 1 AS load_times, count(*) AS within "
+                      "FROM (SELECT DISTINCT * FROM customer)"),
         "empty_load_audit": (
             "SELECT count(*) AS read, count(*) AS written, 'EMPTY' AS status, "
             "'no records in source' AS message FROM orders WHERE o_orderkey IS NULL"),

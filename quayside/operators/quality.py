@@ -20,7 +20,11 @@ from quayside.operators.columns import find_column
 COPIES = "__qs_copies"
 GROUP = "__qs_key"
 RAGGED = "__qs_malformed"
+# Groups that count one file's rows, and their number of rejected rows.
+FILE_GROUP = "__qs_file_group"
+REJECTED = "__qs_rejected"
 _WINNER = "__qs_winner"
+_COUNTS_FILE = "__qs_counts_file"
 
 
 def require_not_null(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -38,21 +42,29 @@ def require_not_null(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame,
     return df.filter(cond), df.filter(~cond)
 
 
-def _winner(columns: Sequence[str], order_by: Sequence, keep: str) -> Column:
-    """The surviving row: the order first, then its other values; a column is
-    carried once."""
+def _pick(keep: str):
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
+    return F.max if keep == "last" else F.min
+
+
+def _packed(columns: Sequence[str], order_by: Sequence) -> Column:
+    """A row as one value: the order first, then its other values; a column is
+    carried once."""
     first = [c for c in order_by if isinstance(c, str) and c in columns]
     order = [(c if isinstance(c, Column) else quoted(c)).alias(f"_o{i}")
              for i, c in enumerate(order_by)]
     rest = [quoted(c).alias(f"_c{i}") for i, c in enumerate(columns) if c not in first]
-    pick = F.max if keep == "last" else F.min
-    return pick(F.struct(*order, *rest, F.lit(0).alias("_end")))
+    return F.struct(*order, *rest, F.lit(0).alias("_end"))
+
+
+def _winner(columns: Sequence[str], order_by: Sequence, keep: str) -> Column:
+    """The surviving row of a group."""
+    return _pick(keep)(_packed(columns, order_by))
 
 
 def _unpacked(columns: Sequence[str], order_by: Sequence) -> list[Column]:
-    """The columns of a ``_winner``, in order."""
+    """The columns of a ``_packed`` row, in order."""
     at = {c: f"_o{i}" for i, c in reversed(list(enumerate(order_by))) if isinstance(c, str)}
     return [F.col(f"{_WINNER}.{at.get(c, f'_c{i}')}").alias(c) for i, c in enumerate(columns)]
 
@@ -101,7 +113,8 @@ def _ragged(column: str | None) -> list[Column]:
 
 def dedup_counted(df: DataFrame, key: str, order_by: Sequence[str] | None = None,
                   keep: str = "last", valid: Column | None = None,
-                  arrival: str | None = None, ragged: str | None = None) -> DataFrame:
+                  arrival: str | None = None, ragged: str | None = None,
+                  per_file: str | None = None) -> DataFrame:
     """F2 for a load: one row per key plus ``GROUP`` (the group key, null for
     rejected rows) and ``COPIES`` (the group size).
 
@@ -113,6 +126,11 @@ def dedup_counted(df: DataFrame, key: str, order_by: Sequence[str] | None = None
     group; the caller counts it as rejected and drops it. Counting inside
     the aggregate puts every load count after the shuffle, where retried
     tasks are counted once.
+
+    ``per_file`` names the file column of a load of several files. The same
+    aggregate then has one more group for each file, named in ``FILE_GROUP`` (null
+    for the keys' groups), with the file's rows in ``COPIES``, ``RAGGED`` and
+    ``REJECTED``. A map task sends one narrow row for each file it reads.
     """
     group = quoted(key) if valid is None else F.when(valid, quoted(key))
     columns = [c for c in df.columns if c not in (arrival, ragged)]
@@ -120,10 +138,26 @@ def dedup_counted(df: DataFrame, key: str, order_by: Sequence[str] | None = None
     if arrival:
         time = F.unix_micros(quoted(arrival))
         order.insert(0, time if keep == "last" else -time)
-    return (df.groupBy(group.alias(GROUP))
-              .agg(_winner(columns, order, keep).alias(_WINNER),
-                   F.count(F.lit(1)).alias(COPIES), *_ragged(ragged))
-              .select(*_unpacked(columns, order), GROUP, COPIES, *([RAGGED] if ragged else [])))
+    if per_file is None:
+        return (df.groupBy(group.alias(GROUP))
+                  .agg(_winner(columns, order, keep).alias(_WINNER),
+                       F.count(F.lit(1)).alias(COPIES), *_ragged(ragged))
+                  .select(*_unpacked(columns, order), GROUP, COPIES,
+                          *([RAGGED] if ragged else [])))
+    # Every row counts twice: for its key, with its values, and for its file, without.
+    counts_file = F.col(_COUNTS_FILE)
+    twice = df.withColumn(_COUNTS_FILE, F.explode(F.array(F.lit(False), F.lit(True))))
+    slim = twice.select(
+        F.when(~counts_file, group).alias(GROUP),
+        F.when(counts_file, quoted(per_file)).alias(FILE_GROUP),
+        F.when(~counts_file, _packed(columns, order)).alias(_WINNER),
+        (counts_file & group.isNull()).alias(REJECTED),
+        *([quoted(ragged)] if ragged else []))
+    return (slim.groupBy(GROUP, FILE_GROUP)
+                .agg(_pick(keep)(_WINNER).alias(_WINNER), F.count(F.lit(1)).alias(COPIES),
+                     F.count_if(REJECTED).alias(REJECTED), *_ragged(ragged))
+                .select(*_unpacked(columns, order), GROUP, FILE_GROUP, COPIES, REJECTED,
+                        *([RAGGED] if ragged else [])))
 
 
 SPREAD_BYTES = 32 * 1024 * 1024

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from quayside.functions.hashing import check_profile, quoted
 from quayside.functions.paths import (CSV_GLOB, UnsupportedFormatError, check_format,
                                       literal_path)
-from quayside.operators.audit import (EMPTY, FAILED, SUCCESS, LoadCounts, audit_record,
-                                      observe_load, write_audit)
+from quayside.operators.audit import (EMPTY, FAILED, SUCCESS, FileCounts, LoadCounts,
+                                      audit_record, file_counts, observe_load, write_audit,
+                                      write_file_audit)
 from quayside.operators.columns import (COLLISION_POLICIES, KEY, LOAD_TIME, SOURCE_FILE,
                                         TARGET_TIME, ColumnCollisionError, add_metadata,
                                         apply_mapping, ensure_id, find_column, load_time,
@@ -94,7 +95,8 @@ class LoadResult:
 
 
 def prepare(df: DataFrame | Sequence[DataFrame], config: LoadConfig, source: str | None = None,
-            root: str | None = None, source_column: str | None = None):
+            root: str | None = None, source_column: str | None = None,
+            per_file: bool = False):
     """The lazy load plan over a scanned frame, or over one frame per header.
 
     Returns ``(mapped_frame, observation)``; nothing runs until the frame
@@ -111,7 +113,7 @@ def prepare(df: DataFrame | Sequence[DataFrame], config: LoadConfig, source: str
     so the dedup groups by the source columns themselves: a hash aggregate
     with map-side combine, the key computed once per distinct row after it.
     Otherwise the dedup picks a survivor per key (sort aggregate, also
-    combined map-side).
+    combined map-side). ``per_file`` also counts each file's rows in it.
     """
     frames = [df] if isinstance(df, DataFrame) else list(df)
     if source is not None:
@@ -127,7 +129,8 @@ def prepare(df: DataFrame | Sequence[DataFrame], config: LoadConfig, source: str
         arrival, ragged = (c if c in stacked.columns else None
                            for c in (ARRIVAL_COLUMN, RAGGED_COLUMN))
         counted = dedup_counted(stacked, config.key, config.order_by, config.keep,
-                                quoted(_VALID), arrival, ragged).drop(_VALID)
+                                quoted(_VALID), arrival, ragged,
+                                SOURCE_FILE if per_file else None).drop(_VALID)
     kept, obs = observe_load(counted)
     mapped = apply_mapping(kept, config.mappings, key=config.key, time_name=config.time_name)
     return mapped, obs
@@ -168,11 +171,14 @@ def _dedup_by_content(df: DataFrame, config: LoadConfig, source: str) -> DataFra
 def load_frame(spark: SparkSession, df: DataFrame | Sequence[DataFrame], config: LoadConfig,
                source_label: str, source: str | None = None, root: str | None = None,
                source_column: str | None = None, note: str | None = None,
-               once: bool = False) -> LoadResult:
+               once: bool = False, arrived: Sequence[str] | None = None,
+               keep_failure: bool = True) -> LoadResult:
     """Run the load of an already scanned frame (or one per header) into
     ``config.target``. Loads may overlap (P5): each writes a folder of its own
     and counts from its commit on. ``once`` notes the label before writing, so
-    that :func:`quayside.plans.target.already_loaded` knows a replay."""
+    that :func:`quayside.plans.target.already_loaded` knows a replay. ``arrived``
+    names the files that arrived, for an audit row of each. Without ``keep_failure``
+    a failure leaves no record; the caller sees to it."""
     tgt.ensure_target(spark, config.target, config.key)
     frames = [df] if isinstance(df, DataFrame) else list(df)
     run = tgt.new_run()
@@ -182,10 +188,15 @@ def load_frame(spark: SparkSession, df: DataFrame | Sequence[DataFrame], config:
               if f.name not in (source_column, *_WORKING)}
     schema = ", ".join(f"{n} {t}" for n, t in fields.items())
 
-    def done(counts, status, message, rows=False):
+    def done(counts, status, message, rows=False, per_file=()):
         n = tgt.commit(spark, config.target, run, rows=rows)
         result = LoadResult(n, source_label, config.target, counts, status, message, schema)
         _store(spark, result)
+        if arrived is not None:
+            seen = {f.source_file for f in per_file}
+            none = [FileCounts(name, LoadCounts(), EMPTY, "no records in source")
+                    for name in sorted(set(arrived) - seen)]
+            write_file_audit(spark, n, [*per_file, *none], config.target)
         return result
 
     if all(is_empty(x) for x in frames):
@@ -195,33 +206,59 @@ def load_frame(spark: SparkSession, df: DataFrame | Sequence[DataFrame], config:
         frames = [x.select("*", F.col("_metadata.file_path").alias(FILE_COLUMN)) for x in frames]
         source_column = FILE_COLUMN
     try:
-        mapped, obs = prepare([spread(x) for x in frames], config, source, root, source_column)
-        tgt.write_run(mapped, config.target, run, config.key, config.write_partitions)
+        mapped, obs = prepare([spread(x) for x in frames], config, source, root, source_column,
+                              arrived is not None)
+        folder = tgt.write_run(mapped, config.target, run, config.key, config.write_partitions)
         counts = LoadCounts.from_metrics(obs.get).check()
+        per_file = [] if arrived is None else file_counts(
+            obs.get["files"], _written_by_file(spark, folder, mapped, config), counts)
     except Exception as exc:
         # Nothing of a failed load is readable; its own folder goes.
         tgt.drop_run(spark, config.target, run)
+        if not keep_failure:
+            raise
         run = tgt.new_run()  # a label stays open for its next try
         done(LoadCounts(), FAILED, f"{type(exc).__name__}: {exc}")
         raise
     if counts.malformed:
         said = f"{counts.malformed} rows whose number of fields isn't the header's"
         note = f"{note}; {said}" if note else said
-    result = done(counts, SUCCESS, note, rows=True)
+    result = done(counts, SUCCESS, note, rows=True, per_file=per_file)
     if config.compact_every:
         tgt.compact_if_due(spark, config.target, config.compact_every, config.key)
     return result
 
 
-def refuse(spark: SparkSession, config: LoadConfig, source: str, message: str) -> LoadResult:
-    """Store that a source can't be loaded."""
+def _written_by_file(spark: SparkSession, folder: str, mapped: DataFrame,
+                     config: LoadConfig) -> dict[str, int]:
+    """Rows of a written run by their file: one dictionary-coded column is read back."""
+    named = {m[0]: m[2] for m in config.mappings or ()}
+    column = named.get(SOURCE_FILE, SOURCE_FILE)
+    if column not in mapped.columns:
+        raise ValueError(f"counts per file need the target column of {SOURCE_FILE!r}")
+    rows = spark.read.parquet(folder).groupBy(quoted(column).alias("f")).agg(
+        F.count("*").alias("n")).collect()
+    return {r["f"]: r["n"] for r in rows}
+
+
+def refuse(spark: SparkSession, config: LoadConfig, source: str, message: str,
+           name: str | None = None) -> LoadResult:
+    """Store that a source can't be loaded; ``name`` is an arrived file's key."""
     tgt.ensure_target(spark, config.target, config.key)
     n = tgt.commit(spark, config.target, tgt.new_run(), rows=False)
     result = LoadResult(n, source, config.target, LoadCounts(), FAILED, message)
     _store(spark, result)
+    if name:
+        write_file_audit(spark, n, [FileCounts(name, LoadCounts(), FAILED, message)],
+                         config.target)
     return result
 
 
+def counts_files(config: LoadConfig) -> bool:
+    """Whether the target keeps each row's file, which counts per file need."""
+    return config.mappings is None or any(m[0] == SOURCE_FILE for m in config.mappings)
+
+
 def loadable(df: DataFrame, config: LoadConfig) -> str | None:
     """Why a header can't be loaded, or None."""
     try:

@@ -22,8 +22,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.functions.paths import CSV_GLOB
-from quayside.plans.load import LoadConfig, LoadResult, load_frame, loadable, refuse, scan
+from quayside.functions.paths import CSV_GLOB, plain_path
+from quayside.plans import target as tgt
+from quayside.plans.load import (LoadConfig, LoadResult, counts_files, load_frame, loadable,
+                                 refuse, scan)
+from quayside.plans.quarantine import is_read_error, unreadable
 from quayside.plans.target import already_loaded
 from quayside.sources.csv import FILE_COLUMN
 
@@ -50,25 +53,66 @@ def stream_new_files(spark: SparkSession, raw_dir: str, glob: str = CSV_GLOB,
 def load_files(spark: SparkSession, paths: list[str], config: LoadConfig,
                root: str | None, label: str, missing: list[str] = (),
                sizes: dict[str, int] | None = None) -> LoadResult | None:
-    """One load over a set of files that may differ in header; notified files
-    that were gone (``missing``) and headers that can't be loaded leave a
-    ``FAILED`` record each and don't stop the others."""
+    """One load over a set of files that may differ in header, with an audit row for
+    each of them. Notified files that were gone (``missing``), files that can't be read
+    and headers that can't be loaded leave a ``FAILED`` record each and don't stop the
+    others. The label is noted even where nothing could be loaded, so that a replay
+    doesn't refuse the same files again."""
+    def stop(p, why):
+        refuse(spark, config, p, why, _key(p, root) if root else None)
+
     for p in missing:
-        refuse(spark, config, p, "notified file is missing")
-    if not paths:
-        return None
-    frames = []
-    for df, group in scan(spark, sorted(paths), config, sizes):
-        why = loadable(df, config)
-        if why is None:
-            frames.append(df)
-        for p in group if why else ():
-            refuse(spark, config, p, why)
-    if not frames:
-        return None
-    note = f"{len(missing)} notified file(s) missing" if missing else None
-    return load_frame(spark, frames, config, label, root=root, source_column=FILE_COLUMN,
-                      note=note, once=True)
+        stop(p, "notified file is missing")
+    result, paths, refused = None, sorted(paths), len(missing)
+    while paths and result is None:
+        try:
+            frames, group = [], []
+            for df, some in scan(spark, paths, config, sizes):
+                why = loadable(df, config)
+                if why is None:
+                    frames.append(df)
+                    group += some
+                else:
+                    paths = [p for p in paths if p not in set(some)]
+                    refused += len(some)
+                for p in some if why else ():
+                    stop(p, why)
+            if not frames:
+                if not refused and root and counts_files(config):
+                    frames = [spark.createDataFrame([], f"{FILE_COLUMN} string")]
+                else:
+                    break
+            note = f"{len(missing)} notified file(s) missing" if missing else None
+            arrived = [_key(p, root) for p in paths] if root and counts_files(config) else None
+            result = load_frame(spark, frames, config, label, root=root, note=note, once=True,
+                                source_column=FILE_COLUMN, arrived=arrived, keep_failure=False)
+        except Exception as exc:
+            bad = unreadable(paths, lambda some: _read(spark, some, config, sizes)
+                             ) if is_read_error(exc) else {}
+            if not bad:
+                refuse(spark, config, label, f"{type(exc).__name__}: {exc}")
+                raise
+            for p, why in sorted(bad.items()):
+                stop(p, why)
+            refused += len(bad)
+            paths = [p for p in paths if p not in bad]
+    if result is None and refused:
+        run = tgt.new_run()
+        tgt.start_label(spark, config.target, label, run)
+        tgt.commit(spark, config.target, run, rows=False)
+    return result
+
+
+def _read(spark: SparkSession, paths, config: LoadConfig, sizes) -> None:
+    """Read every row of the files, and drop it."""
+    for df, _files in scan(spark, paths, config, sizes):
+        df.write.format("noop").mode("overwrite").save()
+
+
+def _key(path: str, root: str) -> str:
+    """A file's key below ``root``, as its rows name it."""
+    path, base = plain_path(path), plain_path(root) + "/"
+    return path.removeprefix(base)
 
 
 def start_stream(spark: SparkSession, raw_dir: str, config: LoadConfig, checkpoint: str,
