@@ -98,9 +98,20 @@ def total_size(spark: SparkSession, uris: list[str]) -> int:
 
 def create_text(spark: SparkSession, path: str, text: str) -> bool:
     """Write one small control file only if there is none of that name; false
-    when another writer was first."""
+    when another writer was first.
+
+    A distributed file system creates exclusively by itself. Hadoop's local one looks
+    first and creates then, so there the operating system's exclusive create is used."""
     fs, p = _fs(spark, path)
     fs.mkdirs(p.getParent())
+    real = fs.resolvePath(p.getParent()).toUri()
+    if real.getScheme() == "file":
+        try:
+            with open(f"{real.getPath()}/{p.getName()}", "x", encoding="utf-8") as out:
+                out.write(text)
+            return True
+        except FileExistsError:
+            return False
     try:
         out = fs.create(p, False)
     except Exception:
