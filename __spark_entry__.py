@@ -210,6 +210,18 @@ def q_upsert_compacted(spark, sf_dir):
     return _two_loads(spark, sf_dir, compact_between=True)
 
 
+def q_read_by_key(spark, sf_dir):
+    """K5 for the keys of some users, of a compacted table with a newer load."""
+    target = scratch_dir(spark, "by-key") + "/target"
+    ev = _t(spark, sf_dir, "events")
+    split = F.lit(SPLIT).cast("timestamp")
+    _load_events_slice(spark, ev.where(F.col("ts") < split), target, 1)
+    tgt.compact(spark, target, buckets=16)
+    _load_events_slice(spark, ev.where(F.col("ts") >= split), target, 2)
+    asked = ev.where(F.col("user_id") % 7 == 0).select(F.col("user_id").cast("string").alias("id"))
+    return tgt.read_keys(spark, target, asked)
+
+
 def q_schema_drift(spark, sf_dir):
     return tgt.merge_schemas([_t(spark, sf_dir, "customer"), _t(spark, sf_dir, "supplier")])
 
@@ -509,6 +521,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_run_audit": q_load_run_audit,
         "upsert_two_loads": q_upsert_two_loads,
         "upsert_compacted": q_upsert_compacted,
+        "read_by_key": q_read_by_key,
         "schema_drift": q_schema_drift,
         "items_long": q_items_long,
         "notification_routing": q_notification_routing,
@@ -698,6 +711,7 @@ def oracle_sql() -> dict[str, str]:
             "'SUCCESS' AS status FROM events"),
         "upsert_two_loads": _EVENTS_LOADED,
         "upsert_compacted": _EVENTS_LOADED,
+        "read_by_key": f"SELECT * FROM ({_EVENTS_LOADED}) WHERE CAST(id AS BIGINT) % 7 = 0",
         "schema_drift": "SELECT * FROM customer UNION ALL BY NAME SELECT * FROM supplier",
         "items_long": (
             f"UNPIVOT (SELECT {_txt('s_suppkey')} AS id, s_name, "

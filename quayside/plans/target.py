@@ -48,6 +48,7 @@ RESERVED = (RUN, BATCH, BUCKET)
 # Snapshot buckets: about this many bytes each, a power of two.
 BUCKET_TARGET_BYTES = 1 << 30
 MAX_BUCKETS = 1 << 16
+BLOOM_BYTES = 1 << 20
 
 
 def _p(target: str, *parts: str) -> str:
@@ -212,9 +213,10 @@ def _log(spark: SparkSession, target: str, runs) -> DataFrame:
     return rows.withColumn(BATCH, number[F.col(RUN)]).drop(RUN)
 
 
-def _latest(spark: SparkSession, target: str, runs, key: str) -> DataFrame:
-    """Latest row per key over some loads."""
+def _latest(spark: SparkSession, target: str, runs, key: str, only=None) -> DataFrame:
+    """Latest row per key over some loads; ``only`` filters their rows by key."""
     rows = _log(spark, target, runs)
+    rows = only(rows) if only else rows
     if len(runs) == 1:  # unique by key already: no aggregate, no shuffle
         return rows.drop(BATCH)
     return dedup(rows, [key], order_by=[BATCH]).drop(BATCH)
@@ -251,6 +253,45 @@ def current(spark: SparkSession, target: str, key: str = KEY) -> DataFrame:
     return changed if same is None else same.unionByName(changed, allowMissingColumns=True)
 
 
+def read_keys(spark: SparkSession, target: str, keys: DataFrame | Sequence[str],
+              key: str = KEY) -> DataFrame:
+    """K5 for some keys: their rows of :func:`current`, from the buckets that hold them.
+
+    ``keys`` is a list, or a frame with the key column of any size. Only the folders of
+    the keys' buckets are read, and of their files only row groups whose Bloom filter
+    or range admits a key: a list is a pushed-down predicate, and from a frame Spark
+    makes one where it's small. Keys that the table doesn't hold give no row.
+    """
+    if isinstance(keys, DataFrame):
+        asked = keys.select(quoted(key).cast("string").alias(key)).where(
+            quoted(key).isNotNull()).distinct()
+
+        def only(df):
+            return df.join(asked, key, "left_semi")
+    else:
+        listed = sorted({str(k) for k in keys if k is not None})
+        asked = spark.createDataFrame([(k,) for k in listed], f"`{key}` string")
+
+        def only(df):
+            return df.where(quoted(key).isin(listed))
+
+    manifest = _manifest(spark, target)
+    runs = _runs(spark, target, manifest["version"] if manifest else 0)
+    live = set(manifest["live"]) if manifest else set()
+    if len(live) > 1:
+        at = bucket_of(quoted(key), manifest["buckets"]).alias(BUCKET)
+        live &= {int(r[0]) for r in asked.select(at).distinct().collect()}
+    old = _snapshot(spark, target, manifest, live)
+    old = old if old is None else only(old)
+    if runs:
+        return _replace_keys(old, _latest(spark, target, runs, key, only), key)
+    if old is not None:
+        return old
+    some = _snapshot(spark, target, manifest, list(manifest["live"])[:1]) if manifest else None
+    empty = some if some is not None else spark.createDataFrame([], f"`{key}` string")
+    return empty.where(F.lit(False))
+
+
 def choose_buckets(table_bytes: int) -> int:
     """Buckets for a table of ``table_bytes``: about 1 GB each, a power of
     two, so that a compaction rewrites little when few keys change."""
@@ -294,7 +335,12 @@ def compact(spark: SparkSession, target: str, key: str = KEY,
         out = out.hint("rebalance", BUCKET)
     run = new_run()
     folder = _p(target, "snapshot", f"{RUN}={run}")
-    out.write.partitionBy(BUCKET).parquet(folder)
+    # Bloom filters on the key let reads by key pass over row groups; each takes a small
+    # share of its bucket's bytes.
+    share = min(BLOOM_BYTES, max(1 << 10, size // count // 16))
+    (out.write.partitionBy(BUCKET).option(f"parquet.bloom.filter.enabled#{key}", "true")
+     .option("parquet.bloom.filter.adaptive.enabled", "true")
+     .option("parquet.bloom.filter.max.bytes", share).parquet(folder))
     if count != had:
         live = {}
     for b in files.partition_values(spark, folder, BUCKET):

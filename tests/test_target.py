@@ -254,3 +254,59 @@ def test_bucket_count_follows_table_size():
     assert tgt.choose_buckets(tgt.BUCKET_TARGET_BYTES) == 1
     assert tgt.choose_buckets(10 * tgt.BUCKET_TARGET_BYTES) == 16
     assert tgt.choose_buckets(100 * 2 ** 40) == tgt.MAX_BUCKETS
+
+
+def keyed_table(spark, t, n=400, buckets=16):
+    base = spark.range(n).select(F.col("id").cast("string").alias("id"), F.lit("a").alias("v"))
+    tgt.upsert(base, t)
+    tgt.compact(spark, t, buckets=buckets)
+
+
+def test_read_keys_reads_only_their_buckets(spark, tmp_path):
+    t = str(tmp_path / "t")
+    keyed_table(spark, t)
+    got = tgt.read_keys(spark, t, ["7", "13", "absent", None])
+    assert rows(got, "id", "v") == [("13", "a"), ("7", "a")]
+    folders = {f.split("_bucket=")[1].split("/")[0] for f in got.inputFiles()}
+    assert 1 <= len(folders) <= 3
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(id" in plan and "Exchange" not in plan
+
+
+def test_read_keys_of_a_frame_and_of_newer_loads(spark, tmp_path):
+    t = str(tmp_path / "t")
+    keyed_table(spark, t)
+    newer = [("7", "b", "x"), ("900", "b", None)]
+    tgt.upsert(spark.createDataFrame(newer, "id string, v string, w string"), t)
+    tgt.upsert(spark.createDataFrame([("7", "c")], "id string, v string"), t)
+    asked = spark.createDataFrame([(k, 1) for k in ("7", "900", "8", "7", None)],
+                                  "id string, n int")
+    for keys in (asked, ["7", "900", "8", "7"]):
+        assert rows(tgt.read_keys(spark, t, keys), "id", "v") == [
+            ("7", "c"), ("8", "a"), ("900", "b")]
+    everything = spark.range(1000).select(F.col("id").cast("string").alias("id"))
+    assert rows(tgt.read_keys(spark, t, everything), "id", "v") == rows(
+        tgt.current(spark, t), "id", "v")
+
+
+def test_read_keys_of_nothing(spark, tmp_path):
+    t = str(tmp_path / "t")
+    assert tgt.read_keys(spark, t, ["1"]).count() == 0
+    tgt.upsert(spark.createDataFrame([("1", "a")], "id string, v string"), t)
+    assert tgt.read_keys(spark, t, []).count() == 0
+    tgt.compact(spark, t)
+    assert tgt.read_keys(spark, t, []).columns == ["id", "v"]
+    assert tgt.read_keys(spark, t, ["2"]).count() == 0
+
+
+def test_snapshot_files_have_bloom_filters_on_the_key(spark, tmp_path):
+    t = str(tmp_path / "t")
+    keyed_table(spark, t, buckets=1)
+    base = spark.range(400).select(F.col("id").cast("string").alias("id"), F.lit("a").alias("v"))
+    base.coalesce(1).write.parquet(str(tmp_path / "plain"))
+
+    def filter_bytes(folder):
+        import pathlib
+        return sum(p.stat().st_size for p in pathlib.Path(folder).rglob("*.parquet"))
+
+    assert filter_bytes(f"{t}/snapshot") > filter_bytes(tmp_path / "plain") + 300
