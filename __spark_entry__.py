@@ -300,6 +300,23 @@ def q_stream_notifications(spark, sf_dir):
     return _under(tgt.current(spark, cfg.target), "raw/customer/")
 
 
+def q_stream_redelivery(spark, sf_dir):
+    """Events delivered twice load once, events of a file put again load again."""
+    zone = scratch_dir(spark, "redelivery")
+    land_csv(_t(spark, sf_dir, "customer"), f"{zone}/raw", "customer", double_format=MONEY)
+    keys = inventory(spark, f"{zone}/raw", root=zone).select("key")
+    cfg = LoadConfig(target=f"{zone}/target", ts=TS)
+    for time in ("01:00:00", "01:00:00", "02:00:00", "01:00:00"):
+        msg = F.format_string('{"Records":[{"eventTime":"2024-01-01T' + time + 'Z","s3":{'
+                              '"bucket":{"name":"zone"},"object":{"key":"%s"}}}]}', F.col("key"))
+        keys.select(msg.alias("value")).write.mode("append").text(f"{zone}/inbox")
+        run_notifications(spark, stream_messages(spark, f"{zone}/inbox"), cfg,
+                          f"{zone}/_checkpoint", zone_for=zone)
+    loads = F.lit(len(tgt.batch_ids(spark, cfg.target))).cast("long")
+    return _under(tgt.current(spark, cfg.target), "raw/customer/").select(
+        "*", loads.alias("loads"))
+
+
 def q_raw_inventory(spark, sf_dir):
     zone = scratch_dir(spark, "inventory")
     for name in ("region", "nation"):
@@ -528,6 +545,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "format_gate": q_format_gate,
         "stream_ingest": q_stream_ingest,
         "stream_notifications": q_stream_notifications,
+        "stream_redelivery": q_stream_redelivery,
         "raw_inventory": q_raw_inventory,
         "load_malformed_audit": q_load_malformed_audit,
         "replayed_stream": q_replayed_stream,
@@ -722,6 +740,9 @@ def oracle_sql() -> dict[str, str]:
         "format_gate": _FORMAT_GATE,
         "stream_ingest": _ingested(_ORDERS_TEXT, _ORDER_COLS, "raw/orders/"),
         "stream_notifications": _ingested(_CUSTOMER_TEXT, _CUSTOMER_COLS, "raw/customer/"),
+        "stream_redelivery": (
+            _ingested(_CUSTOMER_TEXT, _CUSTOMER_COLS, "raw/customer/").replace(
+                " FROM (", ", 2 AS loads FROM (", 1)),
         "raw_inventory": _INVENTORY,
         "load_malformed_audit": (
             "SELECT count(*) AS read, 0 AS null_rejected, 0 AS duplicates, count(*) AS written, "

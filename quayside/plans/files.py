@@ -107,11 +107,11 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
     real = fs.resolvePath(p.getParent()).toUri()
     if real.getScheme() == "file":
         try:
-            with open(f"{real.getPath()}/{p.getName()}", "x", encoding="utf-8") as out:
-                out.write(text)
-            return True
+            open(f"{real.getPath()}/{p.getName()}", "x").close()
         except FileExistsError:
             return False
+        write_text(spark, path, text)  # the name is ours
+        return True
     try:
         out = fs.create(p, False)
     except Exception:

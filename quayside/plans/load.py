@@ -242,14 +242,14 @@ def _written_by_file(spark: SparkSession, folder: str, mapped: DataFrame,
 
 
 def refuse(spark: SparkSession, config: LoadConfig, source: str, message: str,
-           name: str | None = None) -> LoadResult:
-    """Store that a source can't be loaded; ``name`` is an arrived file's key."""
+           name: str | None = None, status: str = FAILED) -> LoadResult:
+    """Store that a source isn't loaded; ``name`` is an arrived file's key."""
     tgt.ensure_target(spark, config.target, config.key)
     n = tgt.commit(spark, config.target, tgt.new_run(), rows=False)
-    result = LoadResult(n, source, config.target, LoadCounts(), FAILED, message)
+    result = LoadResult(n, source, config.target, LoadCounts(), status, message)
     _store(spark, result)
     if name:
-        write_file_audit(spark, n, [FileCounts(name, LoadCounts(), FAILED, message)],
+        write_file_audit(spark, n, [FileCounts(name, LoadCounts(), status, message)],
                          config.target)
     return result
 

@@ -160,3 +160,49 @@ def test_notified_files_have_a_row_each(spark, zone, tmp_path):
     run_notifications(spark, stream_messages(spark, str(inbox)), cfg, str(tmp_path / "c"), root)
     assert audit_rows(spark, cfg.target, "source_file", "status") == [
         ("raw/a.csv", "SUCCESS"), ("raw/bad.csv", "FAILED"), ("raw/gone.csv", "FAILED")]
+
+
+def put(inbox, name, *events):
+    rec = ('{"eventTime":"%s","s3":{"bucket":{"name":"b"},"object":{"key":"raw/%s"}}}')
+    (inbox / name).write_text('{"Records":[%s]}\n' % ",".join(rec % (t, k) for k, t in events))
+
+
+def test_redelivered_events_load_once(spark, zone, tmp_path):
+    root, write = zone
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    cfg = LoadConfig(target=f"{root}/target", ts=TS)
+
+    def run():
+        return [r.counts.written for r in run_notifications(
+            spark, stream_messages(spark, str(inbox)), cfg, str(tmp_path / "c"), root,
+            routing_dir=str(tmp_path / "routing"))]
+
+    write("a.csv", "id,v\n1,x\n")
+    put(inbox, "1.json", ("a.csv", "2024-01-01T10:00:00.000Z"))
+    put(inbox, "2.json", ("a.csv", "2024-01-01T10:00:00.000Z"))
+    assert run() == [1]
+    put(inbox, "3.json", ("a.csv", "2024-01-01T10:00:00Z"))  # delivered again
+    assert run() == []
+    write("a.csv", "id,v\n1,y\n2,z\n")
+    # Put again twice, and an older event that comes late: the file is loaded once.
+    put(inbox, "4.json", ("a.csv", "2024-01-01T12:00:00Z"), ("a.csv", "2024-01-01T11:00:00Z"))
+    assert run() == [2]
+    assert audit_rows(spark, cfg.target, "source_file", "status", "written") == [
+        ("raw/a.csv", "SUCCESS", 1), ("raw/a.csv", "SUCCESS", 2), ("raw/a.csv", "SUPERSEDED", 0)]
+    assert sorted((r["id"], r["v"]) for r in tgt.current(spark, cfg.target).collect()) == [
+        ("1", "y"), ("2", "z")]
+    assert spark.read.parquet(str(tmp_path / "routing")).count() == 3
+
+
+def test_events_without_a_time_are_never_redeliveries(spark, zone, tmp_path):
+    root, write = zone
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    write("a.csv", "id,v\n1,x\n")
+    cfg = LoadConfig(target=f"{root}/target", ts=TS)
+    for i, time in enumerate(("", "no time")):
+        put(inbox, f"{i}.json", ("a.csv", time), ("b.txt", time))
+        loads = run_notifications(spark, stream_messages(spark, str(inbox)), cfg,
+                                  str(tmp_path / "c"), root)
+        assert [r.counts.written for r in loads] == [1]
