@@ -26,6 +26,7 @@ from quayside.sources.csv import inventory, land_csv, list_files, to_text
 from quayside.sources.notify import route_notifications
 from quayside.streaming.files import run_stream
 from quayside.streaming.notifications import run_notifications, stream_messages
+from quayside.streaming.progress import LiveCounts
 
 try:
     from quayside.llm import queries as _llm
@@ -405,6 +406,22 @@ def q_stream_file_audit(spark, sf_dir):
     return _by_folder(read_file_audit(spark, cfg.target))
 
 
+def q_stream_live_counts(spark, sf_dir):
+    """A1, A2 of a running stream: sums of its progress rows, a file a micro-batch."""
+    zone = scratch_dir(spark, "live")
+    ev = _t(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 10 != 0, F.col("user_id")).alias("id"), "event_id")
+    land_csv(ev.repartition(3, "id"), f"{zone}/raw", "events")
+    live = LiveCounts(spark)
+    try:
+        run_stream(spark, f"{zone}/raw", LoadConfig(target=f"{zone}/target", ts=TS),
+                   f"{zone}/_checkpoint", max_files_per_trigger=1, live=live)
+    finally:
+        live.close()
+    return live.frame().agg(*[F.sum(c).alias(c) for c in (
+        "files", "read", "null_rejected", "duplicates", "written", "malformed")])
+
+
 def q_stream_quarantine(spark, sf_dir):
     """Purchases arrive in files with a row of more fields than Spark's reader takes;
     the other events' files load all the same."""
@@ -552,6 +569,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_mixed_headers": q_stream_mixed_headers,
         "stream_arrival_order": q_stream_arrival_order,
         "stream_file_audit": q_stream_file_audit,
+        "stream_live_counts": q_stream_live_counts,
         "stream_quarantine": q_stream_quarantine,
         "overlapping_loads": q_overlapping_loads,
         "load_time": q_load_time,
@@ -768,6 +786,11 @@ def oracle_sql() -> dict[str, str]:
             "count(*) - count(id) AS null_rejected, count(id) - coalesce(any_value(n), 0) "
             "AS duplicates, coalesce(any_value(n), 0) AS written, 0 AS malformed "
             "FROM e LEFT JOIN kept ON e.f = kept.f GROUP BY e.f"),
+        "stream_live_counts": (
+            "WITH e AS (SELECT CASE WHEN event_id % 10 <> 0 THEN user_id END AS id FROM events) "
+            "SELECT 3 AS files, count(*) AS read, count(*) - count(id) AS null_rejected, "
+            "count(id) - count(DISTINCT id) AS duplicates, count(DISTINCT id) AS written, "
+            "0 AS malformed FROM e"),
         "stream_quarantine": (
             "SELECT 'good' AS folder, 'SUCCESS' AS status, count(*) AS read, count(*) AS written "
             "FROM events WHERE event_type <> 'purchase' UNION ALL "

@@ -29,6 +29,7 @@ from quayside.plans.load import (LoadConfig, LoadResult, counts_files, load_fram
 from quayside.plans.quarantine import is_read_error, unreadable
 from quayside.plans.target import already_loaded
 from quayside.sources.csv import FILE_COLUMN
+from quayside.streaming.progress import LiveCounts, observe_arrivals
 
 # Fixed value: the binary-file source's schema.
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -118,12 +119,14 @@ def _key(path: str, root: str) -> str:
 def start_stream(spark: SparkSession, raw_dir: str, config: LoadConfig, checkpoint: str,
                  root: str | None = None, available_now: bool = True,
                  processing_time: str = "10 seconds",
-                 max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER):
+                 max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+                 live: LiveCounts | None = None):
     """Start the query that loads every new CSV under ``raw_dir``.
 
     Returns ``(query, results)``; ``results`` fills with one
     :class:`LoadResult` per micro-batch. ``root`` (default: the parent of
     ``raw_dir``) is cut from file paths to give keys such as ``raw/x.csv``.
+    ``live`` receives the counts of each micro-batch as the query reports it.
     """
     root = root or raw_dir.rstrip("/").rsplit("/", 1)[0]
     results: list[LoadResult] = []
@@ -137,9 +140,11 @@ def start_stream(spark: SparkSession, raw_dir: str, config: LoadConfig, checkpoi
         res = load_files(spark, list(sizes), config, root, label, sizes=sizes)
         if res is not None:
             results.append(res)
+            if live:
+                live.loaded(epoch, res.counts)
 
-    writer = (stream_new_files(spark, raw_dir, max_files_per_trigger=max_files_per_trigger)
-              .writeStream.foreachBatch(on_batch)
+    new_files = stream_new_files(spark, raw_dir, max_files_per_trigger=max_files_per_trigger)
+    writer = (observe_arrivals(new_files).writeStream.foreachBatch(on_batch)
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -150,12 +155,14 @@ def start_stream(spark: SparkSession, raw_dir: str, config: LoadConfig, checkpoi
 
 def run_stream(spark: SparkSession, raw_dir: str, config: LoadConfig, checkpoint: str,
                root: str | None = None,
-               max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER
-               ) -> list[LoadResult]:
+               max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+               live: LiveCounts | None = None) -> list[LoadResult]:
     """P2 drained once: load what has arrived since the last run, then stop."""
     query, results = start_stream(spark, raw_dir, config, checkpoint, root,
-                                  max_files_per_trigger=max_files_per_trigger)
+                                  max_files_per_trigger=max_files_per_trigger, live=live)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+    if live:
+        live.wait()
     return results

@@ -11,6 +11,7 @@ from quayside.plans.load import LoadConfig, run_load
 from quayside.plans.quarantine import is_read_error, reason, unreadable
 from quayside.streaming.files import run_stream
 from quayside.streaming.notifications import run_notifications, stream_messages
+from quayside.streaming.progress import LiveCounts
 
 TS = "2024-03-01 12:00:00"
 TOO_WIDE = "id,v\n1,x\n2" + "," * 25_000 + "\n"
@@ -206,3 +207,26 @@ def test_events_without_a_time_are_never_redeliveries(spark, zone, tmp_path):
         loads = run_notifications(spark, stream_messages(spark, str(inbox)), cfg,
                                   str(tmp_path / "c"), root)
         assert [r.counts.written for r in loads] == [1]
+
+
+def test_live_counts_add_up_to_the_audit(spark, zone, tmp_path):
+    root, write = zone
+    for i in range(3):
+        write(f"f{i}.csv", f"id,v\n{i},x\n{i},y\n,no\n1,z\n")
+    cfg = LoadConfig(target=f"{root}/target", ts=TS)
+    seen = []
+    live = LiveCounts(spark, on_row=seen.append, keep=2)
+    try:
+        run_stream(spark, f"{root}/raw", cfg, str(tmp_path / "c"), max_files_per_trigger=1,
+                   live=live)
+        # Another query's progress isn't counted.
+        run_stream(spark, f"{root}/raw", cfg.with_(target=f"{root}/other"), str(tmp_path / "d"))
+    finally:
+        live.close()
+    rows = [r for r in seen if r["files"]]
+    assert [r["files"] for r in rows] == [1, 1, 1] and len(live.rows) == 2
+    audit = read_audit(spark, cfg.target).collect()
+    for name in ("read", "null_rejected", "duplicates", "written", "malformed"):
+        assert sum(r[name] for r in rows) == sum(a[name] for a in audit) == live.totals[name]
+    assert live.totals["bytes"] == sum(os.path.getsize(f"{root}/raw/f{i}.csv") for i in range(3))
+    assert live.frame().count() == 2
