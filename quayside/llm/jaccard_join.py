@@ -4,8 +4,9 @@ Method. The join is a product of the sparse matrix of documents by n-grams with
 its transpose, of which only entries that can reach the threshold are formed:
 
 * A row's n-grams are ordered from rare to frequent. A pair above the threshold
-  must share one of the first ``size - needed + 1`` of either row, so only these
-  columns open a pair; frequent n-grams come last and open none.
+  must share ``SHARED`` of the first ``size - needed + SHARED`` of either row (all it
+  needs, if that is less), so only these columns open pairs, and a pair that meets in
+  fewer of them is dropped; frequent n-grams come last and open none.
 * Sizes bound the overlap: a pair whose smaller set is below the threshold's
   share of the larger is dropped unseen.
 * Pairs left are multiplied in blocks of pairs, and each pair in blocks of
@@ -43,6 +44,7 @@ from quayside.llm.components import connected
 from quayside.llm.frames import in_slices, written
 
 SLICE = 256
+SHARED = 2
 CELL_ROWS = 64
 COLUMN_BLOCK = 2048
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -75,8 +77,8 @@ def needed(size: int, percent: int) -> int:
 
 
 def leading(grams: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
-    """The n-grams that open pairs: the rarest ``size - needed + 1``."""
-    first = len(grams) - needed(len(grams), percent) + 1
+    """The n-grams that open pairs: the rarest ``size - needed + SHARED``."""
+    first = len(grams) - needed(len(grams), percent) + SHARED
     shift = np.uint64(64 - (len(levels).bit_length() - 1))
     order = np.lexsort((grams, levels[(grams >> shift).astype(np.int64)]))
     return grams[order[:first]]
@@ -153,8 +155,8 @@ def _columns(texts: DataFrame, levels, n: int, percent: int) -> DataFrame:
     """Two kinds of rows in one pass. For each document: ``doc, n, h1, h2`` (its
     set's size and digest). For each column that it opens: ``key, doc, place``
     (the column's rank among the document's) and ``n``, and ``pivot``, the batch's
-    document of lowest place in that column where that is another one; ``more``
-    marks such a pivot. Later copies of a set in a task open no columns."""
+    document of lowest place in that column (``pivot_place``) where that is another
+    one; ``more`` marks such a pivot. Later copies of a set in a task open no columns."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[bytes] = set()
         for batch in batches:
@@ -173,25 +175,26 @@ def _columns(texts: DataFrame, levels, n: int, percent: int) -> DataFrame:
                         places.append(np.arange(len(keys[-1])))
                         sizes.append(np.full(len(keys[-1]), len(grams)))
                 yield pd.DataFrame(base, columns=["doc", "n", "h1", "h2"]).assign(
-                    key=None, pivot=None, more=None, place=None)[_ORDER]
+                    key=None, pivot=None, pivot_place=None, more=None, place=None)[_ORDER]
             if keys:
                 key, doc = np.concatenate(keys), np.concatenate(owners)
                 place, n_of = np.concatenate(places), np.concatenate(sizes)
                 order = np.lexsort((doc, place, key))
                 key, doc, place, n_of = key[order], doc[order], place[order], n_of[order]
                 new = np.r_[True, key[1:] != key[:-1]]
-                first = doc[new][np.cumsum(new) - 1]
+                first, lowest = (x[new][np.cumsum(new) - 1] for x in (doc, place))
                 more = np.r_[~new[1:], False]
                 yield pd.DataFrame({
                     "key": key, "doc": doc, "pivot": pd.Series(first).astype("Int64").mask(new),
+                    "pivot_place": pd.Series(lowest).astype("Int64").mask(new),
                     "more": more & new, "place": place, "n": n_of, "h1": None,
                     "h2": None})[_ORDER]
 
-    return texts.mapInPandas(run, "key long, doc long, pivot long, more boolean, place int, "
-                                  "n long, h1 long, h2 long")
+    return texts.mapInPandas(run, "key long, doc long, pivot long, pivot_place int, more boolean, "
+                                  "place int, n long, h1 long, h2 long")
 
 
-_ORDER = ["key", "doc", "pivot", "more", "place", "n", "h1", "h2"]
+_ORDER = ["key", "doc", "pivot", "pivot_place", "more", "place", "n", "h1", "h2"]
 
 
 def _may_be_in(ids: DataFrame, count: int, most: int):
@@ -223,7 +226,9 @@ def _multiply(pairs: DataFrame, texts: DataFrame, n: int, percent: int, filter_b
     members = wanted.join(texts, "doc").select("of", "doc", "text")
 
     def product(pairs: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        sets = {d: shingles(t, n) for d, t in zip(members["doc"], members["text"])}
+        # Where rows share an id, the one text that stands for them all.
+        one = members.groupby("doc")["text"].min()
+        sets = {d: shingles(t, n) for d, t in one.items()}
         keep = [a in sets and b in sets and linked(sets[a], sets[b], percent)
                 for a, b in zip(pairs["a"], pairs["b"])]
         return pairs.loc[keep, ["a", "b"]]
@@ -260,35 +265,46 @@ def components(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str =
 
     by_key = Window.partitionBy("key").orderBy("place", "doc")
     columns = rows.where(F.col("key").isNotNull())
+    so_far = by_key.rowsBetween(Window.unboundedPreceding, 0)
     firsts = (columns.where(F.col("pivot").isNull())
-              .select("key", "doc", "more", "place",
-                      F.first("doc").over(by_key.rowsBetween(Window.unboundedPreceding, 0))
-                      .alias("pivot"), F.lead("doc").over(by_key).alias("next"))
+              .select("key", "doc", "more", "place", F.first("doc").over(so_far).alias("pivot"),
+                      F.first("place").over(so_far).alias("pivot_place"),
+                      F.lead("doc").over(by_key).alias("next"))
               .where(F.col("more") | F.col("next").isNotNull() | (F.col("pivot") != F.col("doc")))
-              .select("key", "doc", "pivot", "place"))
-    shared = written(firsts.union(columns.where(F.col("pivot").isNotNull())
-                                  .select("key", "doc", "pivot", "place")), "jaccard-shared")
+              .select("key", "doc", "pivot", "place", "pivot_place"))
+    shared = written(firsts.union(columns.where(F.col("pivot").isNotNull()).select(
+        "key", "doc", "pivot", "place", "pivot_place")), "jaccard-shared")
     bound = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    least = percent * (F.col("na") + F.col("nb"))
+    # In the first column that a linked pair shares either set has room for the needed
+    # overlap from that place on, and in the SHARED-th for all of it but SHARED - 1.
+    room, rest = (((100 + percent) * (F.col("na") - F.col("pa") + spare) >= least)
+                  & ((100 + percent) * (F.col("nb") - F.col("pb") + spare) >= least)
+                  for spare in (0, SHARED - 1))
+    # Columns that a pair must meet in: as many as it needs in common, SHARED at most.
+    meets = (F.col("columns") >= SHARED) | ((100 + percent) * F.col("columns") >= least)
     one, two = (class_of.select(F.col("doc").alias(d), F.col("rep").alias(r), F.col("n").alias(m))
                 for d, r, m in (("pivot", "a", "na"), ("doc", "b", "nb")))
-    stars = (shared.select("pivot", "doc").where(F.col("pivot") != F.col("doc")).distinct()
-             .join(one, "pivot").join(two, "doc").where(F.col("a") != F.col("b")).where(bound)
-             .select("a", "na", "b", "nb").distinct())
-    stars = written(stars, "jaccard-stars")
-
-    near = shared.select("doc").union(shared.select(F.col("pivot"))).distinct()
-    near = written(near.join(class_of, "doc").select(F.col("rep").alias("doc")).distinct(),
-                   "jaccard-near")
-    some = texts.where(F.col("doc").isNotNull()).where(
-        _may_be_in(near, near.count(), filter_bytes))
-    kept = written(some.join(near, "doc").groupBy("doc").agg(F.min("text").alias("text")),
-                   "jaccard-texts")
-    links = written(_multiply(stars, kept, n, percent, filter_bytes), "jaccard-links")
+
+    def pairs_of(met: DataFrame) -> DataFrame:
+        """The pairs ``a < b`` that may be linked, of rows for each column they share."""
+        swap = F.col("a") > F.col("b")
+        return (met.where(bound).where(rest).groupBy(F.least("a", "b").alias("a"),
+                                         F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"),
+                                         F.greatest("a", "b").alias("b"),
+                                         F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb"))
+                .agg(F.count_distinct("key").alias("columns"), F.max(room).alias("room"))
+                .where(F.col("room") & meets).select("a", "na", "b", "nb"))
+
+    stars = (shared.where(F.col("pivot") != F.col("doc"))
+             .select("key", "pivot", F.col("pivot_place").alias("pa"), "doc",
+                     F.col("place").alias("pb"))
+             .join(one, "pivot").join(two, "doc").where(F.col("a") != F.col("b")))
+    stars = written(pairs_of(stars), "jaccard-stars")
+    links = written(_multiply(stars, texts, n, percent, filter_bytes), "jaccard-links")
     found = connected(links, "jaccard-components")
 
-    # Columns whose documents the stars have not joined into one component. In the
-    # first column that a linked pair shares, either set has room for the needed
-    # overlap from that place on; other pairs are not formed.
+    # Columns whose documents the stars have not joined into one component.
     members = (shared.select("key", "doc", "place").join(class_of, "doc")
                .join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
                .select("key", "rep", "n", "place",
@@ -300,21 +316,14 @@ def components(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str =
     one, two = (apart.select("key", "x", F.col("rep").alias(r), F.col("n").alias(m),
                              F.col("place").alias(p), F.col("component").alias(c))
                 for r, m, p, c in (("a", "na", "pa", "ca"), ("b", "nb", "pb", "cb")))
-    least = percent * (F.col("na") + F.col("nb"))
-    room = (((100 + percent) * (F.col("na") - F.col("pa")) >= least)
-            & ((100 + percent) * (F.col("nb") - F.col("pb")) >= least))
     # The column's first component, most often the large one, is on one side alone.
     once = (F.col("cb") == F.col("x")) | (F.col("a") < F.col("b"))
-    crossing = (one.where(F.col("ca") != F.col("x")).join(two.drop("x"), "key")
-                .where((F.col("ca") != F.col("cb")) & once).where(bound).where(room)
-                .select(F.least("a", "b").alias("a"), F.when(F.col("a") < F.col("b"), F.col("na"))
-                        .otherwise(F.col("nb")).alias("na"), F.greatest("a", "b").alias("b"),
-                        F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na"))
-                        .alias("nb")).distinct())
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    crossing = pairs_of(one.where(F.col("ca") != F.col("x")).join(two.drop("x"), "key")
+                        .where((F.col("ca") != F.col("cb")) & once))
+    tried = stars.select("a", "b")
     crossing = written(crossing.join(tried, ["a", "b"], "left_anti"), "jaccard-crossing")
     if not crossing.isEmpty():
-        more = _multiply(crossing, kept, n, percent, filter_bytes)
+        more = _multiply(crossing, texts, n, percent, filter_bytes)
         links = written(links.union(more), "jaccard-links")
         found = connected(links, "jaccard-components")
     return (classed.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
@@ -325,7 +334,9 @@ def components(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str =
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 filter_bytes: int = 64 << 20, **how) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest id; rows
-    without an id all stay. Only rows whose id may be one to drop (a Bloom filter
+    without an id all stay. Rows that share this id but not a text all stay too, as
+    only equal rows are copies of each other. A null text counts as empty, texts of any
+    length are compared whole, and an empty table stays empty. Only rows whose id may be one to drop (a Bloom filter
     of at most ``filter_bytes`` tells) are shuffled to the exact check."""
     found = components(docs, id_col=id_col, text_col=text_col, filter_bytes=filter_bytes, **how)
     kind = (found.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("doc"))
@@ -339,5 +350,8 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     flagged = docs.select(F.struct(*own).alias("_row"), doc.alias("doc")).select(
         "_row", F.col("doc").alias("_doc"), (F.col("doc").isNotNull() & maybe).alias("_maybe"))
     checked = (flagged.where("_maybe").join(kind, "_doc", "left")
-               .where(F.coalesce("_least", "_doc") == F.col("_doc")).dropDuplicates(["_doc"]))
+               .where(F.coalesce("_least", "_doc") == F.col("_doc"))
+               .withColumn("_text", F.sha2(F.coalesce(
+                   F.col("_row").getField(text_col).cast("string"), F.lit("")), 256))
+               .dropDuplicates(["_doc", "_text"]))
     return checked.select("_row.*").union(flagged.where(~F.col("_maybe")).select("_row.*"))

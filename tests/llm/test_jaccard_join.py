@@ -91,3 +91,20 @@ def test_components(spark):
                                   "a long, b long")
     got = {r["node"]: r["component"] for r in connected(links).collect()}
     assert got == {i: 1 for i in range(1, 61)} | {90: 90, 95: 90, 100: 90}
+
+
+def test_rows_of_one_id_with_two_texts_both_stay(spark):
+    rows = [(1, "alpha beta gamma delta epsilon"), (1, "one two three four five six"),
+            (1, "alpha beta gamma delta epsilon"), (2, "one two three four five six")]
+    kept = jj.one_of_each(cases.documents(spark, rows), n=3, percent=90, sketch_bits=8).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [rows[0], rows[1]]
+
+
+def test_hot_columns_of_unlinked_texts(spark):
+    """Texts of common lines, none linked to another: columns are hot, links are none."""
+    import random
+    rng = random.Random(1)
+    lines = [" ".join(f"l{i}w{j}" for j in range(12)) for i in range(40)]
+    rows = [(i, " ".join(rng.sample(lines, 6))) for i in range(300)]
+    got = jj.components(cases.documents(spark, rows), n=3, percent=80, sketch_bits=8).collect()
+    assert {tuple(r) for r in got} == brute(rows, 3, 80)
