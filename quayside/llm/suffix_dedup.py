@@ -43,6 +43,7 @@ from quayside.llm.frames import in_slices, written
 GRAM = 20
 SLICE = 256
 SETTLED = 2048  # rows whose copies are settled together
+AROUND = 1 << 15  # rows around samples held by a task, each at most 2 * length bytes
 CHUNK = 1 << 18  # bytes looked at together; longer texts are taken in parts
 BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, hence invertible modulo 2 ** 64
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -204,6 +205,14 @@ def _settle(found: list[np.ndarray]) -> pd.DataFrame:
     return pd.concat(rows, ignore_index=True).assign(bytes=None)[COLUMNS]
 
 
+def _settle_around(found: list[pd.DataFrame]) -> pd.DataFrame:
+    """Of equal bytes around a sample those of the smallest id; the others are settled."""
+    rows = pd.concat(found, ignore_index=True)
+    least = rows.groupby("bytes")["doc"].transform("min")
+    rows["bytes"] = rows["bytes"].mask(rows["doc"] > least, None)
+    return rows
+
+
 COLUMNS = ["key", "two", "doc", "start", "bytes", "size"]
 
 
@@ -214,7 +223,7 @@ def _around(texts: DataFrame, bloom, hot, length: int, turn: int, turns: int) ->
     strings: ``key, two`` are the string's names and ``size`` is negative."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in in_slices(SETTLED)(batches):
-            out, single, held = [], [], 0
+            out, around, single, held = [], 0, [], 0
             for ids, begins, data, ends in _chunks(batch, length):
                 key, first, last, text = samples(data, ends, length)
                 keep = may_hold(bloom.value, key.view(np.int64))
@@ -239,13 +248,14 @@ def _around(texts: DataFrame, bloom, hot, length: int, turn: int, turns: int) ->
                     "start": first - starts[text] + begins[text],
                     "bytes": [raw[a:b + length] for a, b in zip(first, last)],
                     "size": last - first + length}))
+                around += len(out[-1])
+                if around > AROUND:
+                    yield _settle_around(out)
+                    out, around = [], 0
             if single:
                 yield _settle(single)
             if out:
-                rows = pd.concat(out, ignore_index=True)
-                least = rows.groupby("bytes")["doc"].transform("min")
-                rows["bytes"] = rows["bytes"].mask(rows["doc"] > least, None)
-                yield rows
+                yield _settle_around(out)
 
     return texts.mapInPandas(
         run, "key long, two long, doc long, start long, bytes binary, size long")
@@ -342,7 +352,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
                    text_col: str = "text", filter_bytes: int = 64 << 20,
-                   bucket_rows: int = 40_000) -> DataFrame:
+                   bucket_rows: int = 10_000) -> DataFrame:
     """Remove every byte covered by a string of ``length`` bytes that also starts
     in a document with a smaller id; strings are judged on the input.
 

@@ -134,3 +134,34 @@ def test_a_long_run_of_one_byte_is_few_rows(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert sd.remove_repeats(cases.empty(spark)).count() == 0
+
+
+def test_rows_held_do_not_follow_the_text_length(spark, monkeypatch):
+    """What is settled together is bounded, in texts of any length."""
+    sizes = []
+    settle = sd._settle_around
+
+    def noted(found):
+        sizes.append(sum(map(len, found)))
+        return settle(found)
+
+    monkeypatch.setattr(sd, "_settle_around", noted)
+    monkeypatch.setattr(sd, "AROUND", 500)
+    monkeypatch.setattr(sd, "CHUNK", 4000)
+    import random
+
+    import numpy as np
+    rng = random.Random(1)
+    text = " ".join("".join(rng.choices("abcdef", k=5)) for _ in range(30_000)).encode()
+
+    class Everything:
+        value = np.full((1, 8), 0xFFFFFFFF, np.uint32)
+
+    class Rows:  # a frame whose mapInPandas runs here
+        def mapInPandas(self, run, _schema):
+            import pandas as pd
+            return list(run([pd.DataFrame({"doc": [1], "text": [text], "h": ["x"]})]))
+
+    out = sd._around(Rows(), Everything, None, 50, 0, 1)
+    assert len(sizes) > 10 and max(sizes) < 500 + 4000
+    assert sum(map(len, out)) == sum(sizes)
