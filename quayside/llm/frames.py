@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +37,27 @@ def in_slices(rows: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataF
     return cut
 
 
+def hand_back() -> None:
+    """Give memory that a worker has freed back to the system: Spark keeps workers for
+    later stages, and what their allocators hold on to counts against the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: its allocator decides
+
+
+def handing_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a task's batches, with ``hand_back`` after the last."""
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            hand_back()
+    return task
+
+
 def ascii_lower(col):
     """Lower-case A-Z alone; other letters stay as they are."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

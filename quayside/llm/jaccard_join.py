@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.bloom import key_filter, may_hold
 from quayside.llm.components import connected
-from quayside.llm.frames import in_slices, written
+from quayside.llm.frames import hand_back, handing_back, in_slices, written
 
 SLICE = 256
 SHARED = 2
@@ -122,11 +122,11 @@ def frequency_levels(texts: DataFrame, n: int, sketch_bits: int) -> np.ndarray:
             for text in rows["text"]:
                 held.append((shingles(text, n) >> shift).astype(np.int64))
                 size += len(held[-1])
-            if size > cells:
-                total += np.bincount(np.concatenate(held), minlength=cells).astype(np.uint32)
+            if size > cells // 4:
+                np.add.at(total, np.concatenate(held), 1)
                 held, size = [], 0
         if held:
-            total += np.bincount(np.concatenate(held), minlength=cells).astype(np.uint32)
+            np.add.at(total, np.concatenate(held), 1)
         if total.any():
             cut = np.minimum(total, 255).astype(np.uint8).reshape(-1, width)
             yield pd.DataFrame({"row": range(len(cut)), "cells": [x.tobytes() for x in cut]})
@@ -143,7 +143,7 @@ def frequency_levels(texts: DataFrame, n: int, sketch_bits: int) -> np.ndarray:
                 for x in sums.values()]})
 
     kind = "row int, cells binary"
-    added = (texts.select("text").mapInPandas(count, kind)
+    added = (texts.select("text").mapInPandas(handing_back(count), kind)
              .repartition(CELL_ROWS, "row").mapInPandas(add, kind))
     levels = np.zeros((cells // width, width), dtype=np.uint8)
     for r in added.toLocalIterator():
@@ -190,7 +190,7 @@ def _columns(texts: DataFrame, levels, n: int, percent: int) -> DataFrame:
                     "more": more & new, "place": place, "n": n_of, "h1": None,
                     "h2": None})[_ORDER]
 
-    return texts.mapInPandas(run, "key long, doc long, pivot long, pivot_place int, more boolean, "
+    return texts.mapInPandas(handing_back(run), "key long, doc long, pivot long, pivot_place int, more boolean, "
                                   "place int, n long, h1 long, h2 long")
 
 
@@ -231,6 +231,8 @@ def _multiply(pairs: DataFrame, texts: DataFrame, n: int, percent: int, filter_b
         sets = {d: shingles(t, n) for d, t in one.items()}
         keep = [a in sets and b in sets and linked(sets[a], sets[b], percent)
                 for a, b in zip(pairs["a"], pairs["b"])]
+        del one, sets
+        hand_back()
         return pairs.loc[keep, ["a", "b"]]
 
     return (pairs.select("block", "a", "b").groupBy("block").cogroup(members.groupBy("of"))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.bloom import key_filter, may_hold
-from quayside.llm.frames import in_slices, written
+from quayside.llm.frames import hand_back, handing_back, in_slices, written
 
 GRAM = 20
 SLICE = 256
@@ -150,7 +150,7 @@ def _repeated_samples(texts: DataFrame, length: int) -> DataFrame:
                 key, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pd.DataFrame({"key": key.view(np.int64), "n": n})
 
-    return (texts.mapInPandas(count, "key long, n long").groupBy("key")
+    return (texts.mapInPandas(handing_back(count), "key long, n long").groupBy("key")
             .agg(F.sum("n").alias("n")).where(F.col("n") > 1))
 
 
@@ -258,7 +258,7 @@ def _around(texts: DataFrame, bloom, hot, length: int, turn: int, turns: int) ->
                 yield _settle_around(out)
 
     return texts.mapInPandas(
-        run, "key long, two long, doc long, start long, bytes binary, size long")
+        handing_back(run), "key long, two long, doc long, start long, bytes binary, size long")
 
 
 def repeated_in_bucket(docs, starts, texts, length: int) -> pd.DataFrame:
@@ -312,8 +312,11 @@ def find_repeats(texts: DataFrame, *, length: int, filter_bytes: int,
         apart = rows[single]
         done = pd.concat([done, apart[_later(*(apart[c].to_numpy()
                                                for c in ("key", "two", "doc")))]])
-        return pd.concat([found, done[["doc", "start"]].assign(
+        out = pd.concat([found, done[["doc", "start"]].assign(
             end=done["start"] + done["size"].abs())])
+        del rows, done, apart
+        hand_back()
+        return out
 
     found = []
     for turn in range(turns):
@@ -352,7 +355,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
                    text_col: str = "text", filter_bytes: int = 64 << 20,
-                   bucket_rows: int = 10_000) -> DataFrame:
+                   bucket_rows: int = 10_000, as_text: bool = False) -> DataFrame:
     """Remove every byte covered by a string of ``length`` bytes that also starts
     in a document with a smaller id; strings are judged on the input.
 
@@ -362,7 +365,8 @@ def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
     without an id loses nothing and takes nothing from others. Repeated rows are
     one document, each returned; rows that share an id but not a text lose
     nothing, though others lose what they hold. Texts are taken whole, whatever
-    their length; other columns stay; an empty table gives an empty table."""
+    their length; other columns stay; an empty table gives an empty table. With
+    ``as_text`` ``kept`` is text: bytes of a character that is cut in two go too."""
     spark = docs.sparkSession
     docs = docs.drop("n_bytes", "spans", "kept")
     text = F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "utf-8")
@@ -389,7 +393,9 @@ def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
     def maybe(key: pd.Series) -> pd.Series:
         return pd.Series(may_hold(bloom.value, key.to_numpy()))
 
-    @F.pandas_udf("spans array<struct<start:long,end:long>>, kept binary")
+    kind = "string" if as_text else "binary"
+
+    @F.pandas_udf(f"spans array<struct<start:long,end:long>>, kept {kind}")
     def cut(texts: pd.Series, copies: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
         spans, kept = [], []
         for data, copy, a, b in zip(texts, copies, starts, ends):
@@ -400,7 +406,8 @@ def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
                 left.append(data[at:start])
                 at = end
             spans.append([{"start": start, "end": end} for start, end in mine])
-            kept.append(b"".join(left) + data[at:])
+            rest = b"".join(left) + data[at:]
+            kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
         return pd.DataFrame({"spans": spans, "kept": kept})
 
     columns = docs.columns
@@ -413,7 +420,8 @@ def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
                    "_cut.kept"))
     clean = flagged.where(~F.col("_maybe")).select(
         *columns, F.octet_length(text).cast("long").alias("n_bytes"),
-        F.array().cast("array<struct<start:long,end:long>>").alias("spans"), text.alias("kept"))
+        F.array().cast("array<struct<start:long,end:long>>").alias("spans"),
+        text.cast(kind).alias("kept"))
     return hit.union(clean)
 
 
@@ -422,9 +430,5 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """``docs`` with the repeats taken out of the text. Bytes of a character that
     is cut in two go with the removed part. Rows and other columns stay; a null
     text comes back empty."""
-    @F.pandas_udf("string")
-    def readable(kept: pd.Series) -> pd.Series:
-        return pd.Series([bytes(x).decode("utf-8", "ignore") for x in kept], dtype="object")
-
-    out = remove_repeats(docs, id_col=id_col, text_col=text_col, **how)
-    return out.withColumn(text_col, readable("kept")).select(*docs.columns)
+    out = remove_repeats(docs, id_col=id_col, text_col=text_col, as_text=True, **how)
+    return out.withColumn(text_col, F.col("kept")).select(*docs.columns)
