@@ -60,6 +60,28 @@ TERMS = (("attribution", "by"), ("attribution share ?alike", "by sa"),
          ("attribution non ?commercial", "by nc"), ("attribution no ?deriv(?:ative|ativ)e?s", "by nd"),
          ("attribution non ?commercial share ?alike", "by nc sa"),
          ("attribution non ?commercial no ?deriv(?:ative|ativ)e?s", "by nc nd"))
+# Signatures, each written for itself: sentences that open license texts, and names in
+# which version and license stand otherwise. Keyword, pattern, label.
+SIGNATURES = (
+    ("hereby", "permission is hereby granted free of charge to any person obtaining a copy", "mit"),
+    ("hereby", "permission is hereby granted free of charge to any person or organization",
+     "bsl-1.0"),
+    ("redistribution", "redistribution and use in source and binary forms", "bsd"),
+    ("permission", "permission to use copy modify and or distribute this software for any purpose",
+     "isc"),
+    ("redistribute", "this program is free software you can redistribute it and or modify it "
+     "under the terms of the gnu general public license", "gpl"),
+    ("redistribute", "this library is free software you can redistribute it and or modify it "
+     "under the terms of the gnu (?:lesser|library) general public license", "lgpl"),
+    ("mozilla", "this source code form is subject to the terms of the mozilla public license",
+     "mpl"),
+    ("unencumbered", "this is free and unencumbered software released into the public domain",
+     "unlicense"),
+    ("apache", "apache 2(?: 0)? licen[cs]e", "apache-2"),
+    ("gplv2", "gplv2(?: or later)?", "gpl"), ("gplv3", "gplv3(?: or later)?", "gpl"),
+    ("lgplv2", "lgplv2(?: 1)?(?: or later)?", "lgpl"),
+    ("lgplv3", "lgplv3(?: or later)?", "lgpl"), ("agplv3", "agplv3(?: or later)?", "agpl"),
+)
 # Ways to name a license, with the confidence of a detection; earlier is stronger.
 FORMS = (
     ("spdx license identifier (?:{name})(?P<v>)", 1.0),
@@ -74,15 +96,17 @@ NO_WORDS = "array<struct<s:int,e:int>>"
 
 
 def rules() -> list[tuple[str, str, str, int, float]]:
-    """``keyword, pattern, label, priority, confidence``: every name in every
-    form; a lower priority number wins."""
+    """``keyword, pattern, label, priority, confidence``: the signatures, then every
+    name in every form; a lower priority number wins. Every match of a rule holds its
+    keyword."""
     named = list(NAMES)
     for spelt, short in TERMS:
         label = "cc-" + short.replace(" ", "-")
         named.append((f"creative commons {spelt}", "creative", label))
         named.append((f"cc {short}", "cc", label))
-    named += [("cc0|cc zero", "cc0", "cc0"), ("creative commons zero", "creative", "cc0")]
-    out = []
+    named += [("cc0", "cc0", "cc0"), ("cc zero", "zero", "cc0"),
+              ("creative commons zero", "creative", "cc0")]
+    out = [(keyword, pattern, label, -1, 0.97) for keyword, pattern, label in SIGNATURES]
     for rank, (form, confidence) in enumerate(FORMS):
         for name, keyword, label in named:
             pattern = form.replace("{name}", name).replace("(?P<v>)", VERSION)
@@ -90,7 +114,7 @@ def rules() -> list[tuple[str, str, str, int, float]]:
     for spelt, short in TERMS:
         label = "cc-" + short.replace(" ", "-")
         out.append(("cc", f"cc {short}{VERSION}", label, len(FORMS), 0.7))
-    out.append(("copyright", "all rights reserved", "proprietary", len(FORMS) + 1, 0.5))
+    out.append(("reserved", "all rights reserved", "proprietary", len(FORMS) + 1, 0.5))
     out.append(("public", "(?:in|into|to) the public domain", "public-domain", len(FORMS), 0.6))
     return out
 
@@ -132,7 +156,7 @@ def scan(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     labels, score`` (earlier columns of these names are replaced).
 
     A null text counts as empty: no words, no places, null ``first_word`` and
-    ``last_word``, empty labels, score 0. ``score`` is the highest confidence of
+    ``last_word``, empty labels, score 0. Texts of any length are scanned whole. ``score`` is the highest confidence of
     a detection left (a base phrase counts 0.9). Every row, repeated ones too,
     and every other column stays; an empty table gives an empty table."""
     out = docs.withColumn("_l_text", normal(F.col(text_col)))
@@ -141,12 +165,13 @@ def scan(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
         there = F.contains("_l_text", F.lit(f" {phrase} "))
         counts.append(F.when(there, F.regexp_count("_l_text", F.lit(f" {phrase}(?= )"))).otherwise(0))
         first.append(F.when(there, _spaces(F.substring_index("_l_text", f" {phrase} ", 1))))
-        last.append(F.when(there, _spaces(F.regexp_extract("_l_text", f"^(.*) {phrase}(?= )", 1))))
+        last.append(F.when(there, _spaces(F.regexp_extract("_l_text", f"(?s)^(.*) {phrase}(?= )", 1))))
         has.append(F.when(there, F.lit(label)))
     all_rules = rules()
     keywords = sorted({r[0] for r in all_rules})
     gate = F.rlike("_l_text", F.lit(" (?:licen[cs]ed?|released|distributed|published|terms"
-                                    "|spdx|cc|copyright|domain|unlicense) "))
+                                    "|spdx|cc|copyright|domain|unlicense|hereby|redistribut(?:e|ion)"
+                                    "|permission|mozilla|reserved|[al]?gplv[23]) "))
     hits = F.filter(F.array(*map(F.lit, keywords)),
                     lambda k: F.contains("_l_text", F.concat(F.lit(" "), k, F.lit(" "))))
     out = out.withColumns({

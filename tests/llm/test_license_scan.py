@@ -26,6 +26,9 @@ ROWS = [
     (27, "cc by cc by nc cc by nc sa 4.0"), (28, "all rights reserved copyright"),
     (29, "mit wir gehen"), (30, "released into the public domain"), (31, "cc by nc " * 2000),
     (32, "cc by ncx, xcc by nc"), (33, "\x01 under the mit license \x02"),
+    # Line ends of Unicode are letters of a word here.
+    (34, "a\u0085b under the mit license"), (35, "x\u2028y z under the mit license cc by nc\u2029"),
+    (36, "under the mit license \u2029 cc by nc \u0085"),
 ]
 
 
@@ -66,3 +69,29 @@ def test_rules_are_ordered_and_gated():
 
 def test_empty_table(spark):
     assert ls.scan(cases.empty(spark)).count() == 0
+
+
+SIGNED = {
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this": "mit",
+    "Permission is hereby granted, free of charge, to any person or organization": "bsl-1.0",
+    "Redistribution and use in source and binary forms, with or without": "bsd",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose": "isc",
+    "This program is free software: you can redistribute it and/or modify it under the terms "
+    "of the GNU General Public License as published": "gpl",
+    "This library is free software; you can redistribute it and/or modify it under the terms "
+    "of the GNU Lesser General Public License": "lgpl",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0": "mpl",
+    "This is free and unencumbered software released into the public domain.": "unlicense",
+    "the Apache 2.0 license": "apache-2", "licensed under GPLv3": "gpl", "GPLv2 or later": "gpl",
+    "LGPLv2.1": "lgpl", "(LGPLv3)": "lgpl", "AGPLv3": "agpl", "the cc zero license": "cc0",
+    "CC0 license": "cc0", "(c) 2024. All rights reserved.": "proprietary"}
+
+
+def test_each_signature_is_found(spark):
+    rows = list(enumerate(SIGNED))
+    found = {r["doc_id"]: r["labels"] for r in ls.scan(cases.documents(spark, rows)).collect()}
+    assert found == {i: SIGNED[t] for i, t in rows}
+    near = ["permission is granted to any person", "redistribution in binary forms only",
+            "all rights were reserved", "gpl v", "a mozilla browser", "zero license fees"]
+    assert {r["labels"] for r in ls.scan(cases.documents(spark, list(enumerate(near)))).collect()
+            } == {""}
