@@ -37,10 +37,12 @@ def in_slices(rows: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataF
     return cut
 
 
-def hand_back() -> None:
+def hand_back(collect: bool = True) -> None:
     """Give memory that a worker has freed back to the system: Spark keeps workers for
-    later stages, and what their allocators hold on to counts against the executor."""
-    gc.collect()
+    later stages, and what their allocators hold on to counts against the executor.
+    Without ``collect`` (after each of many groups) only what is free already."""
+    if collect:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

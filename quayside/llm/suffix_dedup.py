@@ -315,7 +315,7 @@ def find_repeats(texts: DataFrame, *, length: int, filter_bytes: int,
         out = pd.concat([found, done[["doc", "start"]].assign(
             end=done["start"] + done["size"].abs())])
         del rows, done, apart
-        hand_back()
+        hand_back(collect=False)
         return out
 
     found = []
