@@ -11,9 +11,16 @@ table stays linear in the number of merges, where listed arcs would be
 quadratic. ``arc`` follows that table.
 
 Encoding splits a text into words as the vocabulary's pre-tokenizer does and
-runs each word through the automaton, which accepts exactly one path for it.
+runs each word through two tables in one pass, byte by byte, without stepping
+back. Each prefix of a word has one accepted path, so each place has one state,
+kept as the label that led to it. The first table, a matching automaton over the
+labels' bytes, gives the labels that end at a place; the second tells which of
+them is an arc from the state at the place where it begins. Exactly one is. A
+word takes time in proportion to its length. Rows of both tables are filled in
+as they are first met, up to ``MAX_ROWS`` entries; beyond that entries are
+worked out again.
 Decoding emits the arcs' labels. A worker keeps the ids of the words it has met, up to
-``MAX_KEPT`` of them; that bound changes time alone.
+``MAX_KEPT`` of them; both bounds change time alone.
 
 The vocabulary's file is a parameter; it is read on the driver and broadcast
 (its size doesn't follow the corpus).
@@ -34,6 +41,7 @@ from pyspark.sql import functions as F
 from quayside.llm.frames import in_slices
 
 MAX_KEPT = 100_000
+MAX_ROWS = 500_000
 KEPT_CHARS = 40
 SLICE = 256
 # The pre-tokenizer's word pattern: a fixed value of byte-level BPE files.
@@ -76,7 +84,7 @@ class Automaton:
         self.made = dict.fromkeys(base, -1)
         self.parts: dict[int, tuple[int, int]] = {}
         self.lost: dict[int, dict[int, int]] = {i: {} for i in base}
-        self.known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}
         self.steps = len(vocabulary.merges)
         for step, (u, v, w) in enumerate(vocabulary.merges):
             if (w in self.made or u not in self.made or v not in self.made
@@ -84,17 +92,41 @@ class Automaton:
                 continue
             self.made[w], self.parts[w], self.lost[w] = step, (u, v), {}
             self.lost[u][v] = step
-        # For the way through a word: labels by byte, and each label's longest
-        # proper prefix that is a label too.
-        self.trie: dict = {}
-        self.shorter: dict[int, int] = {}
+        # The matching automaton: a node's row by byte, the longest label that
+        # ends at a node, and each label's longest proper end that is a label.
         self.sizes = {i: len(self.labels[i]) for i in self.made}
-        for i in sorted(self.made, key=self.sizes.get):
-            node, before = self.trie, -1
+        self.rows: list[dict[int, int]] = [{}]
+        self.ends = [-1]
+        self.shorter: dict[int, int] = {}
+        for i in self.made:
+            node = 0
             for byte in self.labels[i]:
-                before = node.get(-1, before)
-                node = node.setdefault(byte, {})
-            node[-1], self.shorter[i] = i, before
+                after = self.rows[node].get(byte)
+                if after is None:
+                    after = self.rows[node][byte] = len(self.rows)
+                    self.rows.append({})
+                    self.ends.append(-1)
+                node = after
+            self.ends[node] = i
+        self.back, self.filled = [0] * len(self.rows), 0
+        level = list(self.rows[0].values())
+        for node in level:
+            self.shorter[self.ends[node]] = -1
+        while level:
+            below = []
+            for node in level:
+                for byte, after in self.rows[node].items():
+                    back = self.back[node]
+                    while back and byte not in self.rows[back]:
+                        back = self.back[back]
+                    self.back[after] = back = self.rows[back].get(byte, 0)
+                    if self.ends[after] < 0:
+                        self.ends[after] = self.ends[back]
+                    else:
+                        self.shorter[self.ends[after]] = self.ends[back]
+                    below.append(after)
+            level = below
+        self.width = max(self.labels) + 1
 
     def _has(self, at: int, step: int, label: int) -> bool:
         """Whether the state that ``at`` led to after ``step`` has an arc."""
@@ -110,51 +142,45 @@ class Automaton:
                 at, step = self.parts[at][1], self.made[at] - 1
 
     def arc(self, at: int, label: int) -> bool:
-        key = (at, label)
-        found = self.known.get(key)
-        if found is None:
-            if len(self.known) > 2 * MAX_KEPT:
-                self.known.clear()
-            found = self.known[key] = self._has(at, self.steps, label)
+        found = self._has(at, self.steps, label)
+        if len(self.known) < MAX_ROWS:
+            self.known[at * self.width + label] = found
         return found
 
+    def _move(self, node: int, byte: int) -> int:
+        """The node after ``byte``, where ``node`` has no entry for it yet."""
+        back = node
+        while back and byte not in self.rows[back]:
+            back = self.back[back]
+        after = self.rows[back][byte]
+        if self.filled < MAX_ROWS:
+            self.filled += 1
+            self.rows[node][byte] = after
+        return after
+
     def run(self, word: bytes) -> list[int]:
-        """The ids along the accepted path of one pre-split word.
-
-        From each state the longest label comes first, then its shorter ones;
-        exactly one path ends at the word's end, and a place from which none
-        does is not tried twice."""
-        n, root, shorter, sizes = len(word), self.trie, self.shorter, self.sizes
-        known, dead = self.known, None
-        out: list[int] = []
-        at, last, token = 0, -1, -2
-        while at < n:
-            if token == -2:
-                token, node = -1, root
-                for byte in word[at:] if at else word:
-                    node = node.get(byte)
-                    if node is None:
-                        break
-                    token = node.get(-1, token)
-            while token >= 0:
-                end = at + sizes[token]
-                if dead is None or end not in dead:
-                    if last < 0:
-                        break
-                    ok = known.get((last, token))
-                    if self.arc(last, token) if ok is None else ok:
-                        break
-                token = shorter[token]
-            if token >= 0:
-                out.append(token)
-                at, last, token = at + sizes[token], token, -2
-            else:
-                dead = dead or set()
-                dead.add(at)
-                token = out.pop()
-                at -= sizes[token]
-                last = out[-1] if out else -1
-                token = shorter[token]
+        """The ids along the accepted path of one pre-split word."""
+        rows, ends, shorter, sizes = self.rows, self.ends, self.shorter, self.sizes
+        known, width = self.known.get, self.width
+        lead, node = [-1], 0
+        for place, byte in enumerate(word, 1):
+            after = rows[node].get(byte)
+            node = self._move(node, byte) if after is None else after
+            label = ends[node]
+            while True:
+                at = lead[place - sizes[label]]
+                if at < 0:
+                    break
+                ok = known(at * width + label)
+                if self.arc(at, label) if ok is None else ok:
+                    break
+                label = shorter[label]
+            lead.append(label)
+        out, place = [], len(word)
+        while place:
+            out.append(lead[place])
+            place -= sizes[lead[place]]
+        out.reverse()
         return out
 
 

@@ -44,6 +44,32 @@ def test_random_texts_encode_and_decode_as_the_library_does(encoder, library):
         assert bpe.decode(labels, got) == library.decode(want.ids, skip_special_tokens=False)
 
 
+class OnePass:
+    """A word that can be read once, from its first byte to its last."""
+
+    def __init__(self, word: bytes):
+        self.word, self.passes = word, 0
+
+    def __len__(self):
+        return len(self.word)
+
+    def __iter__(self):
+        self.passes += 1
+        return iter(self.word)
+
+
+def test_long_words_take_one_pass(encoder, library, monkeypatch):
+    own, _ = encoder
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(rng.choices(letters, k=100_000)), "ab" * 50_000 + "c", "z" * 65_537]
+    monkeypatch.setattr(bpe, "MAX_ROWS", 1000)  # rows beyond the bound are worked out again
+    for word in words:
+        once = OnePass(word.encode())
+        assert own.words(once) == library.encode(word, add_special_tokens=False).ids
+        assert once.passes == 1
+
+
 def test_automaton_follows_merge_order():
     """A word's path is what merging by rank gives, on a small vocabulary."""
     rng = random.Random(7)
