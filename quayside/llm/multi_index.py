@@ -3,15 +3,22 @@
 Method. Each half of a vector is quantised by its own ``centroids`` k-means
 centroids, so a cell is a pair of centroids. A query walks the pairs in order
 of summed squared distance with a heap (the multi-sequence traversal) until the
-cells it has met hold at least ``visit`` of all entries and ``least`` entries;
-these entries are reranked by the exact double-precision distance.
-
-At scale. The centroids are fitted on at most ``sample_rows`` vectors, chosen by
-a hash of the whole table; every row is indexed. The cell counts are one
+cells it has met hold at least ``visit`` of all entries and the query's ``k``;
+these entries are reranked by the exact double-precision distance. ``visit`` is
+measured, not set: it is the share at which walks over the sample meet
+``recall`` of the true neighbours there, found by brute force for ``PROBES`` of
+its vectors. In the whole table neighbours are nearer than in a sample of it, so
+the share errs on the careful side.
+
+At scale. The centroids and that share are fitted on at most ``sample_rows``
+vectors, chosen by a hash of the whole table; every row is indexed. The cell
+counts are one
 aggregate of at most ``centroids ** 2`` rows; from them each cell gets a block
 of about ``block_rows`` entries, and a cell with more is split over several.
-Queries go to the blocks that hold their cells, in groups of ``query_rows``, so
-a task holds one block of entries and one group of queries whatever the sizes.
+Queries go to the blocks that hold their cells, in as many groups of about
+``query_rows`` as the block is asked by, and entries to the groups of their block
+alone, so a task holds one block of entries and one group of queries whatever the
+sizes, and a block that no query walks goes nowhere.
 Copies of one vector are cut to the ``k + 1`` smallest ids before the shuffle:
 no more can be among a query's neighbours.
 """
@@ -19,6 +26,7 @@ no more can be among a query's neighbours.
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pandas as pd
@@ -27,6 +35,8 @@ from pyspark.sql import functions as F
 
 from quayside.llm.frames import written
 
+PROBES = 512
+
 
 def kmeans(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     """Lloyd's algorithm from evenly spaced rows of the (hash-ordered) sample."""
@@ -67,6 +77,31 @@ def walk(first: np.ndarray, second: np.ndarray, counts: np.ndarray, wanted: int)
     return out
 
 
+def visited_share(rows: np.ndarray, halves: list[np.ndarray], centres: list[np.ndarray],
+                  k: int, recall: float) -> float:
+    """The share of ``rows`` that walks have to visit to meet ``recall`` of the
+    ``k`` nearest of ``PROBES`` evenly spaced ones; 1 where there are no others.
+    ``halves`` are the rows' two parts."""
+    width, n = len(centres[1]), len(rows)
+    if n < 2:
+        return 1.0
+    cells = (squared(halves[0], centres[0]).argmin(1) * width
+             + squared(halves[1], centres[1]).argmin(1))
+    counts = np.bincount(cells, minlength=len(centres[0]) * width)
+    need = []
+    for at in np.unique(np.linspace(0, n - 1, PROBES).astype(int)):
+        gap = ((rows - rows[at]) ** 2).sum(1)
+        gap[at] = np.inf
+        near = np.argpartition(gap, min(k, n - 1) - 1)[:min(k, n - 1)]
+        sums = (squared(halves[0][at:at + 1], centres[0])[0][:, None]
+                + squared(halves[1][at:at + 1], centres[1])[0]).ravel()
+        order = np.argsort(sums, kind="stable")
+        before = np.empty(len(order), dtype=np.int64)
+        before[order] = np.cumsum(counts[order]) - counts[order]
+        need.append(before[cells[near]] + 1)
+    return float(np.quantile(np.concatenate(need), recall, method="higher")) / n
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """``vec_id, v`` of the rows that take part: no null id, and a vector that
     is not null, not empty, not zero and has only finite components."""
@@ -78,11 +113,12 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def search(vectors: DataFrame, queries, *, k: int = 10, id_col: str = "vec_id",
-           vector_col: str = "embedding", centroids: int = 64, visit: float = 0.65,
-           least: int = 4000, sample_rows: int = 20_000, block_rows: int = 2048,
+           vector_col: str = "embedding", centroids: int = 128, visit: float | None = None,
+           recall: float = 0.95, sample_rows: int = 20_000, block_rows: int = 2048,
            query_rows: int = 2048) -> DataFrame:
     """The ``k`` nearest found for each query row; ``queries`` is a condition on
-    ``vec_id`` that names the query set.
+    ``vec_id`` that names the query set. ``visit`` sets the visited share by hand;
+    1 makes the search exact.
 
     Returns ``query_id, rank, vec_id, score``. Every row but the query's own is a
     candidate. Vectors that are null, zero, or hold a null or non-finite
@@ -104,7 +140,11 @@ def search(vectors: DataFrame, queries, *, k: int = 10, id_col: str = "vec_id",
     half = max(1, dim // 2)
     # A single component has no second half: a constant stands in for it.
     cut = (lambda x: (x[:, :half], x[:, half:] if dim > 1 else np.zeros((len(x), 1))))
-    centres = spark.sparkContext.broadcast([kmeans(x, centroids) for x in cut(fit)])
+    fitted = [kmeans(x, centroids) for x in cut(fit)]
+    centres = spark.sparkContext.broadcast(fitted)
+    if visit is None:
+        distinct = np.unique(fit, axis=0)  # copies would be found for nothing
+        visit = visited_share(distinct, cut(distinct), fitted, k, recall)
 
     def place(batches):
         for batch in batches:
@@ -122,7 +162,7 @@ def search(vectors: DataFrame, queries, *, k: int = 10, id_col: str = "vec_id",
         .mapInPandas(place, "vec_id long, v array<double>, cell int"), "multi-index")
     counts = {r["cell"]: r["count"] for r in entries.groupBy("cell").count().collect()}
     total = sum(counts.values())
-    wanted = max(least, int(visit * total))
+    wanted = max(k + 1, math.ceil(visit * total))
 
     first_block, parts, block, held = {}, {}, 0, 0
     for cell in sorted(counts):
@@ -135,7 +175,6 @@ def search(vectors: DataFrame, queries, *, k: int = 10, id_col: str = "vec_id",
         else:
             held += n
     asked = rows.where(queries)
-    groups = -(-asked.count() // query_rows) or 1
     index = spark.sparkContext.broadcast((counts, first_block, parts))
 
     def route(batches):
@@ -179,13 +218,19 @@ def search(vectors: DataFrame, queries, *, k: int = 10, id_col: str = "vec_id",
         return (pd.concat(found) if found
                 else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}))
 
-    asked = asked.mapInPandas(
-        route, "query_id long, qv array<double>, block int, cells array<int>")
-    spread = F.pmod(F.xxhash64("query_id"), F.lit(groups))
-    asked = asked.withColumn("part", spread)
+    asked = written(asked.mapInPandas(
+        route, "query_id long, qv array<double>, block int, cells array<int>"),
+        "multi-index-asked")
+    groups = asked.groupBy("block").agg(
+        F.ceil(F.count("*") / F.lit(query_rows)).cast("int").alias("groups"))
+    asked = (asked.join(groups, "block")
+             .withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("groups")).cast("int"))
+             .drop("groups"))
     entries = (entries.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)).cast("int"))
                .mapInPandas(block_of, "vec_id long, v array<double>, cell int, block int")
-               .withColumn("part", F.explode(F.expr(f"sequence(0L, {groups - 1}L)"))))
+               .join(groups, "block")
+               .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+               .drop("groups"))
     found = (entries.groupBy("block", "part").cogroup(asked.groupBy("block", "part"))
              .applyInPandas(rerank, "query_id long, vec_id long, score double"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")

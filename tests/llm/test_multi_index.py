@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quayside.llm import multi_index as mi
@@ -60,12 +61,49 @@ def test_exact_where_all_cells_are_walked(spark):
 def test_recall(spark):
     rng = np.random.default_rng(5)
     rows = [(i, rng.normal(size=32).tolist(), 0) for i in range(4000)]
-    got = result(mi.search(vectors(spark, rows), F.col("vec_id") % 100 == 0, least=0))
+    got = result(mi.search(vectors(spark, rows), F.col("vec_id") % 100 == 0))
     want = brute(rows, 10, lambda i: i % 100 == 0)
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     assert hits / (10 * len(want)) >= 0.9
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_on_the_given_vectors(spark, sf):
+    table = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    rows = [tuple(r) for r in table.select("vec_id", "embedding", "label").collect()]
+    got = result(mi.search(table, F.col("vec_id") % 100 == 0))
+    want = brute(rows, 10, lambda i: i % 100 == 0)
+    assert got.keys() == want.keys() and all(len(x) == 10 for x in got.values())
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits / (10 * len(want)) >= 0.9
+
+
+def test_visited_share_is_measured():
+    """Clustered vectors need few entries, shapeless ones most; each share meets
+    its recall."""
+    rng = np.random.default_rng(8)
+    shapeless = rng.normal(size=(3000, 32))
+    clustered = rng.normal(size=(60, 32))[rng.integers(60, size=3000)] + shapeless / 20
+    share = {}
+    for name, rows in (("shapeless", shapeless), ("clustered", clustered)):
+        halves = [rows[:, :16], rows[:, 16:]]
+        centres = [mi.kmeans(x, 32) for x in halves]
+        share[name] = [mi.visited_share(rows, halves, centres, 10, r) for r in (0.8, 0.95, 1.0)]
+        assert share[name] == sorted(share[name])
+    assert share["clustered"][1] < 0.1 < share["shapeless"][1] < 0.9
+    assert mi.visited_share(rows[:1], [x[:1] for x in halves], centres, 10, 0.9) == 1.0
+
+
+def test_no_query_group_takes_blocks_it_did_not_ask_for(spark):
+    """Two far clusters and queries in one: exact results from that one's blocks,
+    in several groups of queries."""
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(0, 1) + 1000 * (i % 2) for _ in range(4)], 0) for i in range(400)]
+    got = result(mi.search(vectors(spark, rows), F.col("vec_id") % 10 == 0, centroids=4,
+                           visit=0.5, block_rows=30, query_rows=3))
+    assert got == brute(rows, 10, lambda i: i % 10 == 0)
+
+
 def test_few_and_no_rows(spark):
     rows = [(0, [1.0], 0), (1, [2.0], 0), (2, [4.0], 0)]
     assert result(mi.search(vectors(spark, rows), F.col("vec_id") == 0)) == {0: [(1, 1.0), (2, 3.0)]}
