@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.frames import in_slices
 
-MAX_KEPT = 100_000
+MAX_KEPT = 300_000
 MAX_ROWS = 500_000
 KEPT_CHARS = 40
 SLICE = 256
@@ -94,10 +94,11 @@ class Automaton:
             self.lost[u][v] = step
         # The matching automaton: a node's row by byte, the longest label that
         # ends at a node, and each label's longest proper end that is a label.
-        self.sizes = {i: len(self.labels[i]) for i in self.made}
+        self.width = max(self.labels) + 1
+        self.sizes = [len(self.labels.get(i, b"")) for i in range(self.width)]
         self.rows: list[dict[int, int]] = [{}]
         self.ends = [-1]
-        self.shorter: dict[int, int] = {}
+        self.shorter = [-1] * self.width
         for i in self.made:
             node = 0
             for byte in self.labels[i]:
@@ -110,8 +111,6 @@ class Automaton:
             self.ends[node] = i
         self.back, self.filled = [0] * len(self.rows), 0
         level = list(self.rows[0].values())
-        for node in level:
-            self.shorter[self.ends[node]] = -1
         while level:
             below = []
             for node in level:
@@ -126,7 +125,7 @@ class Automaton:
                         self.shorter[self.ends[after]] = self.ends[back]
                     below.append(after)
             level = below
-        self.width = max(self.labels) + 1
+        self.whole = {self.labels[i]: [i] for i in self.made}
 
     def _has(self, at: int, step: int, label: int) -> bool:
         """Whether the state that ``at`` led to after ``step`` has an arc."""
@@ -159,21 +158,27 @@ class Automaton:
         return after
 
     def run(self, word: bytes) -> list[int]:
-        """The ids along the accepted path of one pre-split word."""
+        """The ids along the accepted path of one pre-split word; where an arc
+        leads from the start over the whole word, that is the path."""
+        found = self.whole.get(word)
+        if found is not None:
+            return found
         rows, ends, shorter, sizes = self.rows, self.ends, self.shorter, self.sizes
-        known, width = self.known.get, self.width
+        known, width = self.known, self.width
         lead, node = [-1], 0
         for place, byte in enumerate(word, 1):
-            after = rows[node].get(byte)
-            node = self._move(node, byte) if after is None else after
+            try:
+                node = rows[node][byte]
+            except KeyError:
+                node = self._move(node, byte)
             label = ends[node]
-            while True:
-                at = lead[place - sizes[label]]
-                if at < 0:
-                    break
-                ok = known(at * width + label)
-                if self.arc(at, label) if ok is None else ok:
-                    break
+            while (at := lead[place - sizes[label]]) >= 0:
+                try:
+                    if known[at * width + label]:
+                        break
+                except KeyError:
+                    if self.arc(at, label):
+                        break
                 label = shorter[label]
             lead.append(label)
         out, place = [], len(word)
