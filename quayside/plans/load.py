@@ -58,7 +58,7 @@ class LoadConfig:
     multi_line: bool = True
     same_header: bool = False
     split_over: int | None = None    # bytes beyond which a multi-line file is read in splits
-    split_bytes: int | None = None   # and the size of those, by default the session's
+    split_bytes: int | None = None   # and the size of those; default: the session's, 16 MB at most
     write_partitions: int | None = None
     compact_every: int | None = None
     csv_options: dict = field(default_factory=dict)

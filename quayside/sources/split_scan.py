@@ -19,6 +19,7 @@ rather than guess.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
@@ -35,6 +36,9 @@ from quayside.sources.lines import (ARRIVAL, LINE, PATH, START, Quoting, Records
 
 # Files beyond this are worth reading in splits.
 SPLIT_BYTES = 64 * 1024 * 1024
+# A split's size at most, unless the caller names one: the dedup sorts a split's rows in
+# one task, and narrow rows take about 40 times their bytes in the file.
+MOST_SPLIT_BYTES = 16 * 1024 * 1024
 PIECE_BYTES = 4 * 1024 * 1024
 # Reader settings that don't move a record's borders.
 _HARMLESS = {"sep", "quote", "escape", "multi_line", "nullvalue", "emptyvalue", "nanvalue",
@@ -222,18 +226,26 @@ def _cut_records(spark: SparkSession, edges: DataFrame, states: dict) -> DataFra
                     .otherwise(F.col("record")).alias("record")))
 
 
+def _session_split(spark: SparkSession) -> int:
+    """The session's bytes of a scan partition."""
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", spark.conf.get(
+        "spark.sql.files.maxPartitionBytes").strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def split_scan(spark: SparkSession, paths: Sequence[str], schema: StructType, options: dict,
                ragged: str, file_column: str, arrival_column: str, limit: int = PIECE_BYTES,
                split_bytes: int | None = None) -> tuple[DataFrame | None, list[str]]:
     """The rows of files with this header, read in splits: the columns of ``schema``
     (``ragged`` among them: the text of rows with another number of fields), each row's
     file and its arrival. Also returns the files to be read by one task, as URIs.
-    ``split_bytes`` is the size of a split, by default the session's."""
+    ``split_bytes`` is the size of a split, by default the session's, at most
+    ``MOST_SPLIT_BYTES``."""
     quoting = Quoting(options.get("sep", ","), options.get("quote", '"'))
     folder = f"{scratch_dir(spark, 'split-scan')}/edges"
     fixed = {"minPartitionNum": spark.sparkContext.defaultParallelism}
-    if split_bytes:
-        fixed |= {"maxPartitionBytes": split_bytes, "openCostInBytes": split_bytes // 8}
+    split_bytes = split_bytes or min(MOST_SPLIT_BYTES, _session_split(spark))
+    fixed |= {"maxPartitionBytes": split_bytes, "openCostInBytes": split_bytes // 8}
     lines = text_lines(scan_session(spark, **fixed), paths)
     lines.mapInArrow(_edges(quoting, limit), _EDGES_DDL).write.parquet(folder)
     edges = spark.read.schema(_EDGES_DDL).parquet(folder)

@@ -260,3 +260,16 @@ def test_spread_only_large_single_task_scans(spark, zone):
     assert spread_df.rdd.getNumPartitions() >= 1
     assert sorted(r[0] for r in spread_df.select("id").collect()) == \
         sorted(str(i) for i in range(2000))
+
+
+def test_a_file_read_by_one_task_is_spread_by_its_bytes(spark, zone):
+    from quayside.operators.quality import spread
+
+    root, write = zone
+    p = write("narrow.csv", "id,v\n" + "".join(f"{i % 997},{i:07}\n" for i in range(1_500_000)))
+    df = read_csv(spark, p)
+    assert df.rdd.getNumPartitions() == 1
+    sizes = spread(df).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1 and sum(r["count"] for r in sizes) == 1_500_000
+    # The dedup sorts a task's rows: about 8 MB of the file.
+    assert max(r["count"] for r in sizes) < 1_000_000

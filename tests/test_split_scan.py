@@ -152,3 +152,19 @@ def test_first_records_of_large_and_small_files(spark, zone, monkeypatch):
         monkeypatch.setattr("quayside.sources.lines.ALONE_BYTES", bound)
         found = first_records(spark, sizes, ",", '"')
         assert {p.rsplit("/", 1)[1]: r for p, r in found.items()} == want
+
+
+def test_splits_have_a_size_at_most_whatever_the_session_says(spark, tmp_path, monkeypatch):
+    p = tmp_path / "a.csv"
+    p.write_text("id,v\n" + "".join(f"{i},x\n" for i in range(40_000)))
+    schema = csvmod.with_ragged(csvmod.read_csv(spark, str(p), **OPTIONS).schema)
+
+    def scan():
+        found, left = ss.split_scan(spark, [str(p)], schema, OPTIONS, csvmod.RAGGED_COLUMN, "f", "t")
+        assert left == []
+        return found
+
+    few = scan().rdd.getNumPartitions()
+    monkeypatch.setattr(ss, "MOST_SPLIT_BYTES", 20_000)
+    many = scan()
+    assert many.rdd.getNumPartitions() > few + 5 and many.count() == 40_000
