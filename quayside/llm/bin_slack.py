@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.bpe import SLICE, WORDS, Vocabulary, read_vocabulary
-from quayside.llm.frames import in_slices, written
+from quayside.llm.frames import handing_back, in_slices, kept_by, written
 
-_WORKER: dict[int, Callable[[str], bytes]] = {}
+OPERATOR = "packing"
 # tiktoken's word split fails on white space of about a million characters.
 GAP = 10_000
 _GAPS = regex.compile(r"\p{White_Space}{%d,}" % GAP)
@@ -37,11 +37,11 @@ _SOME = re.compile(r"\s{9}")  # in every 1000th character, where there is a gap
 
 
 def _encoder(text: str) -> Callable[[str], bytes]:
-    """One encoder per Python worker, over all its tasks."""
-    key = hash(text)
-    if key not in _WORKER:
-        _WORKER[key] = library_encoder(text)
-    return _WORKER[key]
+    """One encoder per Python worker, over all its tasks until another operator's run."""
+    kept, key = kept_by(OPERATOR), hash(text)
+    if key not in kept:
+        kept[key] = library_encoder(text)
+    return kept[key]
 
 
 def library_encoder(text: str) -> Callable[[str], bytes]:
@@ -115,7 +115,8 @@ def token_pieces(docs: DataFrame, vocabulary: str, *, capacity: int = 2048, end_
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, piece int, start long, length long, ids binary")
+    return rows.mapInPandas(handing_back(run, OPERATOR),
+                            "doc_id long, piece int, start long, length long, ids binary")
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:

@@ -19,11 +19,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.frames import handing_back
+
 BLOCK = 256
 DICT_BYTES = 64 << 10
 LEVEL = 3
@@ -134,12 +136,16 @@ def score_column(spark, model: Model, text):
     """The score of a text column: 0 to 1, higher is likelier good."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
         scorer = Scorer(m.good, m.bad, m.weights)
         for texts in batches:
-            yield pd.Series([scorer.score(t) for t in texts], dtype="float64")
+            # A batch's texts stay in Arrow; one at a time becomes a Python string.
+            yield pa.array([scorer.score(t.as_py()) for t in texts], pa.float64())
+
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return handing_back(run)(batches)
 
     return score(text)
 

@@ -50,9 +50,26 @@ def hand_back(collect: bool = True) -> None:
         pass  # another C library: its allocator decides
 
 
-def handing_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``run`` over a task's batches, with ``hand_back`` after the last."""
+#: By operator: what its tasks keep in a worker for the next ones.
+KEPT: dict[str, dict] = {}
+
+
+def kept_by(operator: str) -> dict:
+    return KEPT.setdefault(operator, {})
+
+
+def let_go(but: str = "") -> None:
+    """Drop what a worker's earlier tasks kept, except those of the operator ``but``."""
+    for other in KEPT.keys() - {but}:
+        del KEPT[other]
+
+
+def handing_back(run: Callable[[Iterator], Iterator], operator: str = ""
+                 ) -> Callable[[Iterator], Iterator]:
+    """``run`` over a task's batches, with ``hand_back`` after the last. What other
+    operators than ``operator`` kept in the worker goes before the first."""
     def task(batches: Iterator) -> Iterator:
+        let_go(operator)
         try:
             yield from run(batches)
         finally:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.llm import compress_quality as cq
+from quayside.llm import frames
 from quayside.llm import quality_rules as qr
 from quayside.llm.frames import table
 from quayside.llm.queries import held_out
@@ -54,6 +55,24 @@ def test_classifier_on_empty_tables(spark):
     assert cq.fit(cases.documents(spark), labels).weights[2] == 0
 
 
+def test_a_worker_keeps_what_its_own_operator_kept():
+    frames.kept_by("packing")["a"] = "an encoder"
+    assert list(frames.handing_back(iter, "packing")(iter([1, 2]))) == [1, 2]
+    assert frames.kept_by("packing") == {"a": "an encoder"}
+    assert list(frames.handing_back(iter)(iter([3]))) == [3]
+    assert frames.kept_by("packing") == {}
+
+
+def test_scores_are_those_of_the_scorer(spark):
+    model = cq.train([("good words in a row " * 5, 1), ("!!! !!!", 0)] * 20)
+    scorer = cq.Scorer(model.good, model.bad, model.weights)
+    texts = [None, "", "a", "\u00e9\u4e2d\U0001f600 \x00" * 300, "good words in a row"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = cq.score_documents(df, model)
+    assert {r["doc_id"]: r["score"] for r in got.collect()} == {
+        i: scorer.score(t) for i, t in enumerate(texts)}
+
+
 def brute(text):
     text = text or ""
     words = re.findall("[^\x20\x09-\x0d]+", text)
